@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.session import stored
+
 
 def _mark(value: Column) -> Column:
     """A null and an empty string must not hash alike, nor may two fields run into each other."""
@@ -34,10 +36,10 @@ def collapse_snapshots(turns: DataFrame) -> DataFrame:
     step = lambda acc, t: F.concat(acc, F.array(F.sha2(F.concat(F.coalesce(F.element_at(acc, -1), F.lit("")), F.lit("|"), _mark(t["role"]), F.lit("|"), _mark(t["text"])), 256)))
     hashed = by_conv.select("conv_id", "turns", F.aggregate("turns", F.array(F.lit("")), step).alias("h"))
     hashed = hashed.select("conv_id", "turns", F.slice("h", F.lit(2), F.size("turns")).alias("h"), F.element_at("h", -1).alias("full"))
+    hashed = stored(hashed)  # grouped once; what follows reads the columns that it needs
     # copies first, so that a conversation logged a million times is one row from here on
     heads = hashed.groupBy("full").agg(F.count(F.lit(1)).alias("n_copies"), F.min("conv_id").alias("head"), F.max(F.col("conv_id").isNull()).alias("has_null"))
     heads = heads.withColumn("head", F.when(~F.col("has_null"), F.col("head")))
-    heads = heads.withColumnRenamed("full", "of")
-    kept = hashed.join(heads, (F.col("full") == F.col("of")) & F.col("conv_id").eqNullSafe(F.col("head"))).select("conv_id", "full", "turns", "h", "n_copies")
+    kept = hashed.join(heads.select("head", "n_copies"), F.col("conv_id").eqNullSafe(F.col("head"))).drop("head")
     proper = kept.select(F.explode(F.slice("h", F.lit(1), F.size("h") - 1)).alias("full")).distinct()
     return kept.join(proper, "full", "left_anti").select("conv_id", F.size("turns").alias("n_turns"), "n_copies", F.col("full").alias("prefix_hash"), _render(F.col("turns")).alias("rendered"))
