@@ -5,8 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import pairloom
+
+# Functions of this package travel to the executors as they are: they needn't have it installed.
+cloudpickle.register_pickle_by_value(pairloom)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables; Spark does the reading, so any file system it knows will do."""
