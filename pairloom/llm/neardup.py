@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.llm.text import SHINGLE, SIMILAR, whole, words
@@ -128,21 +128,28 @@ def _links(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
 
 
 def _bucket_links(left: DataFrame, groups: DataFrame, bags: DataFrame, threshold: float, links: DataFrame | None) -> DataFrame | None:
-    """links and those that the buckets (id, bucket) add between groups (id, component) that aren't joined yet."""
-    rank = F.struct(F.xxhash64("id", F.pmod("bucket", F.lit(RANKS))).alias("r"), F.col("id").alias("id"))
-    left = left.join(groups, "id")
+    """links and those that the buckets (id, bucket) add between groups (id, component) that aren't joined yet.
+
+    A round's leaders are the members of least rank, one in the first round and four times as many in each later one, so
+    that rounds grow with the logarithm of the members that no leader is linked to.
+    """
+    rank = (F.xxhash64("id", F.pmod("bucket", F.lit(RANKS))), F.col("id"))
+    left, lead = left.join(groups, "id"), 1
     while True:
+        apart = left.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
+        # a row number under a bound is cut before the shuffle too: a bucket of very many members sends a few rows a task
+        first = left.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy(*rank))).where(F.col("place") <= lead)
         # leaders are stored, so that both sides of the join are plain and AQE can split a bucket of very many members
-        leaders = left.groupBy("bucket").agg(F.min(rank)["id"].alias("b"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket", "b")
-        leaders = stored(leaders.join(groups.select(F.col("id").alias("b"), F.col("component").alias("of_b")), "b"))
+        leaders = stored(first.join(apart, "bucket").select("bucket", F.col("id").alias("b"), F.col("component").alias("of_b")))
         if leaders.isEmpty():
             return links
-        led = stored(left.join(leaders, "bucket").where("id <> b").select("bucket", "id", "component", "b", "of_b"))
-        pairs = led.where("component <> of_b").select(F.col("id").alias("a"), "b").distinct()
-        linked = stored(_links(pairs, bags, threshold))
+        led = stored(left.join(leaders, "bucket"))
+        other = led.where("component <> of_b").select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+        linked = stored(_links(other, bags, threshold))
         links = linked if links is None else links.union(linked)
-        joined = linked.select(F.col("a").alias("id"), "b")
-        left = stored(led.where("component <> of_b").join(joined, ["id", "b"], "left_anti").select("id", "bucket", "component"))
+        joined = linked.union(linked.select("b", "a")).select(F.col("a").alias("id"), "b", F.lit(True).alias("joined"))
+        fate = led.join(joined, ["id", "b"], "left").groupBy("id", "bucket", "component").agg(F.max((F.col("component") == F.col("of_b")) | F.coalesce("joined", F.lit(False))).alias("done"))
+        left, lead = stored(fate.where("not done").select("id", "bucket", "component")), lead * 4
 
 
 def near_duplicates(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
@@ -154,8 +161,8 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
 
     1. Texts of equal words are one class from the start; only the least doc_id of them goes on. 2. BagMinHash
     signatures are cut into bands; those that share a band meet in a bucket. 3. In every bucket the member of least rank
-    leads, and all others are verified against it, exactly, on their multisets: a bucket of n members costs n pairs,
-    never n^2. Members that the leader isn't linked to form the next round's bucket, until none is left over. Bands
+    leads, and all others are verified against it, exactly, on their multisets: a bucket of n copies costs n pairs, not
+    n^2. Members that the leader isn't linked to form the next round's bucket, until none is left over. Bands
     rank their members in four different ways, so that two members meet through different leaders. The first bands are
     worked through before the others, where pairs that are in one class already aren't verified again. 4. Components
     over the verified links.
@@ -165,11 +172,14 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
     have none. Rows that share a doc_id are one document: the class of one of the texts is theirs. Empty tables give
     none; other columns are ignored.
     """
-    ids = docs.select("doc_id", whole().alias("text"))
-    hashed = ids.select(F.col("doc_id").alias("id"), _word_hashes().alias("h"))
-    keyed = hashed.select("id", F.struct(F.xxhash64("h").alias("x"), F.hash("h").alias("y"), F.size("h").alias("n")).alias("key"), "h")
+    ids = docs.select(F.col("doc_id").alias("id"), whole().alias("text"))
+
+    def keyed(texts: DataFrame) -> DataFrame:
+        hashed = texts.withColumn("h", _word_hashes())
+        return hashed.withColumn("key", F.struct(F.xxhash64("h").alias("x"), F.hash("h").alias("y"), F.size("h").alias("n"))).drop("text")
+
     key_type = "struct<x:bigint,y:int,n:int>"
-    signed = stored(keyed.mapInArrow(_signed, f"id bigint, key {key_type}, bands array<bigint>"))
+    signed = stored(keyed(ids).select("id", "key", "h").mapInArrow(_signed, f"id bigint, key {key_type}, bands array<bigint>"))
     heads = stored(signed.groupBy("key").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("copies")))
     firsts = heads.where("head is not null").groupBy("head").agg(F.min("key").alias("key")).withColumnRenamed("head", "id")
     distinct = signed.join(firsts, ["id", "key"]).dropDuplicates(["id"]).select("id", "bands")
@@ -178,8 +188,9 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
     shared = meets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     left = stored(meets.join(shared, "bucket"))
     # only the texts that meet another one are needed again
-    wanted = left.select("id").distinct().join(firsts, "id")
-    bags = stored(keyed.join(wanted, ["id", "key"], "left_semi").mapInArrow(_elements, "id bigint, bag array<bigint>").groupBy("id").agg(F.min("bag").alias("bag")))
+    wanted = left.select("id").distinct().join(firsts.withColumnRenamed("key", "of"), "id")
+    again = keyed(ids.join(wanted, "id")).where("key = of").select("id", "h")
+    bags = stored(again.mapInArrow(_elements, "id bigint, bag array<bigint>").groupBy("id").agg(F.min("bag").alias("bag")))
     links, groups = None, left.select("id", F.col("id").alias("component")).distinct()
     for late in (False, True):
         links = _bucket_links(left.where(F.col("late") == late).drop("late"), groups, bags, threshold, links)
