@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.text import salted, whole
+from pairloom.session import stored
 
 #: Distinct texts from which a template recurs; tokens from which a line has a template; leading tokens that the tree
 #: looks at; share of a template's tokens that must be fixed.
@@ -23,8 +24,18 @@ def _tokens(masked: Column) -> Column:
     return F.split(masked, r"\s+")
 
 
-def recurring_templates(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH, fixed: float = FIXED) -> DataFrame:
-    """docs (doc_id, text) -> line (hash of a masked line), first (the doc_id that keeps it).
+def _index(docs: DataFrame, min_tokens: int, depth: int) -> DataFrame:
+    """doc, digest (of the text), line, n (tokens), leaf for each line that has a template: hashes only, stored, as all
+    that follows starts from them."""
+    rows = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), whole().alias("text"))
+    rows = rows.select("doc", F.xxhash64("text").alias("digest"), F.explode(F.split("text", "\n")).alias("x"))
+    rows = rows.select("doc", "digest", _mask(F.col("x")).alias("masked")).where("masked <> ''")
+    rows = rows.select("doc", "digest", "masked", _tokens(F.col("masked")).alias("tokens")).where(F.size("tokens") >= min_tokens)
+    return stored(rows.select("doc", "digest", F.xxhash64("masked").alias("line"), F.size("tokens").alias("n"), F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf")))
+
+
+def recurring_templates(docs: DataFrame, index: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, fixed: float = FIXED) -> DataFrame:
+    """docs (doc_id, text) and their index -> line (hash of a masked line), first (the doc_id that keeps it).
 
     Template tree of fixed depth: the first level is the number of tokens, the next ones are the leading tokens, tokens
     with digits being variable. A leaf's template is, position by position, the token that at least half of its
@@ -33,36 +44,36 @@ def recurring_templates(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: i
     lines in at least min_docs different texts recur. Copies of a whole text count as one text: they are near-dedup's
     work, and a document isn't boilerplate for having been copied.
 
-    Only hashes of lines are shuffled; of lines in leaves with several different lines also the tokens, each distinct
-    line once. All counts are combined before they shuffle.
+    Counts are over hashes and combined before they shuffle. Tokens are fetched for leaves only in which different
+    lines meet in min_docs texts, each distinct line once, from the first document that has it.
     """
-    text = F.xxhash64("text")
-    lines = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), whole().alias("text")).select("doc", text.alias("digest"), F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.select("doc", "digest", _mask(F.col("line")).alias("masked")).withColumn("tokens", _tokens(F.col("masked")))
-    lines = lines.where((F.col("masked") != "") & (F.size("tokens") >= min_tokens))
-    lines = lines.select("doc", "digest", F.xxhash64("masked").alias("line"), F.size("tokens").alias("n"), F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"), "tokens")
-
-    own = lines.groupBy("line").agg(F.countDistinct("digest").alias("texts"), F.min("doc").alias("first")).where(F.col("texts") >= min_docs).select("line", "first")
-
-    # leaves where different lines meet in enough texts
-    wide = lines.where(F.col("n") > depth).groupBy("leaf").agg(F.countDistinct("line").alias("n_lines"), F.approx_count_distinct("digest").alias("texts"))
-    wide = wide.where((F.col("n_lines") > 1) & (F.col("texts") > min_docs // 2)).select("leaf", "n_lines")
-    members = salted(lines.where(F.col("n") > depth), wide, "leaf", F.col("line"))
-    distinct = members.dropDuplicates(["leaf", "line"]).select("leaf", "line", "n", "n_lines", "tokens")
-    at = distinct.select("leaf", "n", "n_lines", F.posexplode("tokens").alias("pos", "token"))
-    mode = at.groupBy("leaf", "pos", "n", "n_lines", "token").agg(F.count(F.lit(1)).alias("c")).where("c * 2 >= n_lines")
-    mode = mode.groupBy("leaf", "pos", "n").agg(F.min(F.struct(-F.col("c"), "token"))["token"].alias("token"))
+    own = index.groupBy("line").agg(F.countDistinct("digest").alias("texts"), F.min("doc").alias("first")).where(F.col("texts") >= min_docs).select("line", "first")
+
+    deep = index.where(F.col("n") > depth)
+    per_line = deep.groupBy("leaf", "line").agg(F.min("doc").alias("doc"))
+    wide = per_line.groupBy("leaf").agg(F.count(F.lit(1)).alias("n_lines")).where("n_lines > 1")
+    texts = deep.groupBy("leaf").agg(F.countDistinct("digest").alias("texts")).where(F.col("texts") >= min_docs)
+    wide = stored(wide.join(texts, "leaf").select("leaf", "n_lines"))
+    fetch = per_line.join(wide, "leaf").groupBy(F.col("doc").alias("of")).agg(F.collect_list(F.struct("line", "leaf", "n_lines")).alias("wanted"))
+    found = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), whole().alias("text")).join(fetch, F.col("doc") == F.col("of"))
+    found = found.select("wanted", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), _mask))).alias("masked"))
+    found = found.withColumn("at", F.filter("wanted", lambda w: w["line"] == F.xxhash64("masked"))).where(F.size("at") > 0)
+    found = found.select(F.col("at")[0]["leaf"].alias("leaf"), F.col("at")[0]["line"].alias("line"), F.col("at")[0]["n_lines"].alias("n_lines"), _tokens(F.col("masked")).alias("tokens"))
+    distinct = stored(found.dropDuplicates(["leaf", "line"]))
+    spots = distinct.select("leaf", "n_lines", F.size("tokens").alias("n"), F.posexplode("tokens").alias("pos", "token"))
+    mode = spots.groupBy("leaf", "n", "n_lines", "pos", "token").agg(F.count(F.lit(1)).alias("c")).where("c * 2 >= n_lines")
+    mode = mode.groupBy("leaf", "n", "pos").agg(F.min(F.struct(-F.col("c"), "token"))["token"].alias("token"))
     template = mode.groupBy("leaf", "n").agg(F.map_from_entries(F.collect_list(F.struct("pos", "token"))).alias("template"))
     template = template.where((F.size("template") >= F.col("n") * fixed) & (F.size("template") < F.col("n"))).select("leaf", "template")
     fits = F.forall(F.map_entries("template"), lambda e: F.col("tokens")[e["key"]] == e["value"])
-    fitting = salted(distinct, template, "leaf", F.col("line")).where(fits).select("leaf", "line")
-    of_leaf = salted(lines.select("line", "doc", "digest"), fitting, "line", F.col("doc"))
+    fitting = distinct.join(template, "leaf").where(fits).select("leaf", "line")
+    of_leaf = salted(index.select("line", "doc", "digest"), fitting, "line", F.col("doc"))
     leaves = of_leaf.groupBy("leaf").agg(F.countDistinct("digest").alias("texts"), F.min("doc").alias("first")).where(F.col("texts") >= min_docs)
     general = fitting.join(leaves.select("leaf", "first"), "leaf").select("line", "first")
     return own.union(general).groupBy("line").agg(F.min("first").alias("first"))
 
 
-def drop_recurring_lines(docs: DataFrame, **settings: float) -> DataFrame:
+def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH, fixed: float = FIXED) -> DataFrame:
     """docs -> the same columns, text without recurring lines, with n_lines and n_dropped (long).
 
     Every line of a recurring template goes, save in the first document (least doc_id) that has one, so that no passage
@@ -71,9 +82,10 @@ def drop_recurring_lines(docs: DataFrame, **settings: float) -> DataFrame:
     the same document; rows without doc_id come after all others. Other columns pass through, save that
     n_lines and n_dropped are replaced.
     """
-    templates = recurring_templates(docs, **settings)
+    index = _index(docs, min_tokens, depth)
+    templates = recurring_templates(docs, index, min_docs, depth, fixed)
     line = lambda x: F.xxhash64(_mask(x))
-    rows = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("_doc"), F.explode(F.split("text", "\n")).alias("x")).select("_doc", line(F.col("x")).alias("line")).distinct()
+    rows = index.select(F.col("doc").alias("_doc"), "line").distinct()
     gone = salted(rows, templates, "line", F.col("_doc")).where("_doc > first").groupBy("_doc").agg(F.collect_set("line").alias("_gone"))
     at = docs.select(F.struct("*").alias("row"), F.coalesce("doc_id", F.lit(_LAST)).alias("_doc"))
     joined = at.join(gone, "_doc", "left")

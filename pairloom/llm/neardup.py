@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -108,6 +109,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A multiset as a set: the i-th copy of a shingle is an element of its own."""
     for b in batches:
+        b = b.filter(pc.equal(b.column("of"), b.column("x")))  # rows that share an id can be of other texts
         made = []
         for h in _lists(b.column("h")):
             keys, n = bag(h)
@@ -174,12 +176,10 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
     """
     ids = docs.select(F.col("doc_id").alias("id"), whole().alias("text"))
 
-    def keyed(texts: DataFrame) -> DataFrame:
-        hashed = texts.withColumn("h", _word_hashes())
-        return hashed.withColumn("key", F.struct(F.xxhash64("h").alias("x"), F.hash("h").alias("y"), F.size("h").alias("n"))).drop("text")
-
+    hashed = lambda texts: texts.withColumn("h", _word_hashes())
+    key = F.struct(F.xxhash64("h").alias("x"), F.hash("h").alias("y"), F.size("h").alias("n"))
     key_type = "struct<x:bigint,y:int,n:int>"
-    signed = stored(keyed(ids).select("id", "key", "h").mapInArrow(_signed, f"id bigint, key {key_type}, bands array<bigint>"))
+    signed = stored(hashed(ids).select("id", key.alias("key"), "h").mapInArrow(_signed, f"id bigint, key {key_type}, bands array<bigint>"))
     heads = stored(signed.groupBy("key").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("copies")))
     firsts = heads.where("head is not null").groupBy("head").agg(F.min("key").alias("key")).withColumnRenamed("head", "id")
     distinct = signed.join(firsts, ["id", "key"]).dropDuplicates(["id"]).select("id", "bands")
@@ -188,8 +188,8 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
     shared = meets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     left = stored(meets.join(shared, "bucket"))
     # only the texts that meet another one are needed again
-    wanted = left.select("id").distinct().join(firsts.withColumnRenamed("key", "of"), "id")
-    again = keyed(ids.join(wanted, "id")).where("key = of").select("id", "h")
+    wanted = left.select("id").distinct().join(firsts.select("id", F.col("key.x").alias("of")), "id")
+    again = hashed(ids.join(wanted, "id")).select("id", "of", F.xxhash64("h").alias("x"), "h")
     bags = stored(again.mapInArrow(_elements, "id bigint, bag array<bigint>").groupBy("id").agg(F.min("bag").alias("bag")))
     links, groups = None, left.select("id", F.col("id").alias("component")).distinct()
     for late in (False, True):
