@@ -31,6 +31,8 @@ def _index(docs: DataFrame, min_tokens: int, depth: int) -> DataFrame:
     rows = rows.select("doc", F.xxhash64("text").alias("digest"), F.explode(F.split("text", "\n")).alias("x"))
     rows = rows.select("doc", "digest", _mask(F.col("x")).alias("masked")).where("masked <> ''")
     rows = rows.select("doc", "digest", "masked", _tokens(F.col("masked")).alias("tokens")).where(F.size("tokens") >= min_tokens)
+    # rows of figures are all variable fields: no template
+    rows = rows.where(F.size(F.filter("tokens", lambda t: t != "<*>")) * 2 >= F.size("tokens"))
     return stored(rows.select("doc", "digest", F.xxhash64("masked").alias("line"), F.size("tokens").alias("n"), F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf")))
 
 
@@ -77,8 +79,8 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens:
     """docs -> the same columns, text without recurring lines, with n_lines and n_dropped (long).
 
     Every line of a recurring template goes, save in the first document (least doc_id) that has one, so that no passage
-    is lost from the corpus. See recurring_templates for the settings. Empty lines and lines of fewer than min_tokens
-    tokens stay. A null text stays null with 0 lines; an empty text has one empty line. Rows that share a doc_id are
+    is lost from the corpus. See recurring_templates for the settings. Empty lines, lines of fewer than min_tokens
+    tokens and lines more than half of whose tokens hold digits stay. A null text stays null with 0 lines; an empty text has one empty line. Rows that share a doc_id are
     the same document; rows without doc_id come after all others. Other columns pass through, save that
     n_lines and n_dropped are replaced.
     """

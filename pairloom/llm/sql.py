@@ -61,7 +61,7 @@ WITH d AS (SELECT coalesce(doc_id, {_LAST}) AS doc, doc_id, text, row_number() O
 l AS (SELECT doc, row, text, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM d),
 m AS (SELECT *, regexp_replace(trim(line), '\S*[0-9]\S*', '<*>', 'g') AS masked FROM l),
 t AS (SELECT *, regexp_split_to_array(masked, '\s+') AS tokens FROM m),
-used AS (SELECT *, len(tokens) AS n, [CAST(len(tokens) AS VARCHAR)] || tokens[1:{lines.DEPTH}] AS leaf FROM t WHERE masked <> '' AND len(tokens) >= {lines.MIN_TOKENS}),
+used AS (SELECT *, len(tokens) AS n, [CAST(len(tokens) AS VARCHAR)] || tokens[1:{lines.DEPTH}] AS leaf FROM t WHERE masked <> '' AND len(tokens) >= {lines.MIN_TOKENS} AND len(list_filter(tokens, lambda t: t <> '<*>')) * 2 >= len(tokens)),
 own AS (SELECT masked, min(doc) AS first FROM used GROUP BY masked HAVING count(DISTINCT text) >= {lines.MIN_DOCS}),
 distinct_lines AS (SELECT DISTINCT leaf, n, masked, tokens FROM used WHERE n > {lines.DEPTH}),
 sizes AS (SELECT leaf, count(*) AS c FROM distinct_lines GROUP BY leaf HAVING count(*) > 1),
