@@ -22,18 +22,17 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     (a self loop still names its vertex). An empty edge table gives an empty result.
     """
     both = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null")
-    current = cut(both.union(both.select("b", "a")).distinct())
-    labels = cut(current.select(F.col("a").alias("id")).distinct().withColumn("label", F.col("id")))
-    current = current.where("a <> b")
+    edges = current = cut(both.union(both.select("b", "a")).distinct())
+    current, steps = current.where("a <> b"), []
     while not current.isEmpty():
         to = current.groupBy("a").agg(F.least(F.min(_rank("b")), _rank("a"))["v"].alias("to"))
-        to = cut(to)
+        steps.append(to)
         ends = current.join(to, "a").select(F.col("to").alias("a"), "b")
         ends = ends.join(to.withColumnRenamed("a", "b"), "b").select("a", F.col("to").alias("b"))
         current = cut(ends.where("a <> b").distinct())
-        labels = cut(
-            labels.join(to.select(F.col("a").alias("label"), "to"), "label", "left")
-            .select("id", F.coalesce("to", "label").alias("label"))
-        )
+    labels = edges.select(F.col("a").alias("id")).distinct().withColumn("label", F.col("id"))
+    for to in steps:
+        labels = labels.join(to.withColumnRenamed("a", "label"), "label", "left").select("id", F.coalesce("to", "label").alias("label"))
+    labels = cut(labels)
     least = labels.groupBy("label").agg(F.min("id").alias("component"))
     return labels.join(least, "label").select("id", "component")
