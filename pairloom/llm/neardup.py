@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.text import SHINGLE, SIMILAR, whole, words
 from pairloom.operators.graph import connected_components
-from pairloom.session import cut, stored
+from pairloom.session import stored
 
 #: Registers of a signature, and those in a band. Two sets of bands, each over all registers, make 64 bands: of pairs at
 #: a similarity of 0.8 they miss about one in 10^5, at 0.85 one in 10^8.
 REGISTERS, ROWS = 256, 8
-#: Bands that are worked through first: what they join needs no more verifying in the others. Ways of ranking members.
-EARLY, RANKS = 8, 4
+#: Leaders of a class in a bucket; pairs of one text from which its multiset is dealt over several tasks; texts (8 bytes
+#: each) up to which their ids are sent to every executor.
+LEADERS, BUSY, BROADCAST_IDS = 4, 64, 1_000_000
+#: Registers that the signatures of a candidate pair must share. At a similarity of 0.8 the expected number is 205 with a
+#: deviation of 6.4: fewer than this have a chance of about one in 10^7.
+AGREE = 170
 _U = np.uint64
 
 
@@ -102,8 +107,19 @@ def _word_hashes() -> Column:
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        made = [bands(bag_minhash(*bag(h))) if len(h) else np.empty(0, np.int64) for h in _lists(b.column("h"))]
-        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("key"), pa.array(made, pa.list_(pa.int64()))], ["id", "key", "bands"])
+        found = [bag_minhash(*bag(h)) if len(h) else None for h in _lists(b.column("h"))]
+        made = [np.empty(0, np.int64) if f is None else bands(f) for f in found]
+        short = [None if f is None else _stir(f.view(_U)).astype(np.uint8).tobytes() for f in found]
+        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("key"), pa.array(made, pa.list_(pa.int64())), pa.array(short, pa.binary())], ["id", "key", "bands", "sketch"])
+
+
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose signatures, a byte to a register, agree often enough."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, REGISTERS) for c in ("x", "y"))
+        yield b.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= AGREE))
 
 
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,40 +134,63 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(made, pa.list_(pa.int64()))], ["id", "bag"])
 
 
+def _close(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Of pairs (a, b), those whose signatures agree well enough to be worth verifying."""
+    x = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("x"))
+    y = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("y"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_agreeing, "a bigint, b bigint")
+
+
 def _links(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     """Of pairs (a, b), those whose multisets overlap by the threshold: the sum of the lesser counts over that of the
-    greater ones."""
-    left = pairs.join(bags.select(F.col("id").alias("a"), F.col("bag").alias("left")), "a")
-    both = left.join(bags.select(F.col("id").alias("b"), F.col("bag").alias("right")), "b")
+    greater ones. b is a leader that may be in very many pairs: its multiset is sent to as many tasks as they need."""
+    parts = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / BUSY).cast("int").alias("parts"))
+    led = bags.select(F.col("id").alias("b"), F.col("bag").alias("right")).join(parts, "b").select("b", "right", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    busy = parts.where("parts > 1")
+    dealt = pairs.join(busy, "b", "left").select("a", "b", F.coalesce(F.pmod(F.hash("a"), F.col("parts")), F.lit(0)).alias("part"))
+    both = dealt.join(led, ["b", "part"]).join(bags.select(F.col("id").alias("a"), F.col("bag").alias("left")), "a")
     common = F.size(F.array_intersect("left", "right"))
     least, most = F.least(F.size("left"), F.size("right")), F.greatest(F.size("left"), F.size("right"))
     enough = lambda n: n >= F.lit(threshold) * (F.size("left") + F.size("right") - n) - F.lit(1e-9)
     return both.where((least >= F.lit(threshold) * most - F.lit(1e-9)) & enough(common)).select("a", "b")
 
 
-def _bucket_links(left: DataFrame, groups: DataFrame, bags: DataFrame, threshold: float, links: DataFrame | None) -> DataFrame | None:
-    """links and those that the buckets (id, bucket) add between groups (id, component) that aren't joined yet.
-
-    A round's leaders are the members of least rank, one in the first round and four times as many in each later one, so
-    that rounds grow with the logarithm of the members that no leader is linked to.
-    """
-    rank = (F.xxhash64("id", F.pmod("bucket", F.lit(RANKS))), F.col("id"))
-    left, lead = left.join(groups, "id"), 1
-    while True:
-        apart = left.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
-        # a row number under a bound is cut before the shuffle too: a bucket of very many members sends a few rows a task
-        first = left.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy(*rank))).where(F.col("place") <= lead)
-        # leaders are stored, so that both sides of the join are plain and AQE can split a bucket of very many members
-        leaders = stored(first.join(apart, "bucket").select("bucket", F.col("id").alias("b"), F.col("component").alias("of_b")))
-        if leaders.isEmpty():
-            return links
-        led = stored(left.join(leaders, "bucket"))
-        other = led.where("component <> of_b").select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
-        linked = stored(_links(other, bags, threshold))
-        links = linked if links is None else links.union(linked)
-        joined = linked.union(linked.select("b", "a")).select(F.col("a").alias("id"), "b", F.lit(True).alias("joined"))
-        fate = led.join(joined, ["id", "b"], "left").groupBy("id", "bucket", "component").agg(F.max((F.col("component") == F.col("of_b")) | F.coalesce("joined", F.lit(False))).alias("done"))
-        left, lead = stored(fate.where("not done").select("id", "bucket", "component")), lead * 4
+def _first_pairs(near: DataFrame) -> DataFrame:
+    """Each text with the leader that it meets in most of its buckets."""
+    votes = near.where("id <> lead").groupBy("id", "lead").agg(F.count(F.lit(1)).alias("n"))
+    return votes.groupBy("id").agg(F.max(F.struct("n", "lead"))["lead"].alias("b")).select(F.col("id").alias("a"), "b")
+
+
+def _pairs_between(near: DataFrame, groups: DataFrame, turn: int) -> DataFrame:
+    """Members of buckets in which different classes meet, each with the leaders of the other classes there."""
+    at = near.select("id", "bucket").join(groups, "id")
+    mixed = at.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
+    at = stored(at.join(mixed, "bucket"))
+    ranked = [F.min(F.struct(F.xxhash64("id", "bucket", F.lit(turn * LEADERS + i)), F.col("id")))["id"] for i in range(LEADERS)]
+    leaders = at.groupBy("bucket", "component").agg(F.array_distinct(F.array(*ranked)).alias("leaders"))
+    leaders = leaders.select("bucket", F.col("component").alias("of_b"), F.explode("leaders").alias("b"))
+    return at.join(leaders, "bucket").where("component <> of_b").select(F.col("id").alias("a"), "b").distinct()
+
+
+def _linked_classes(near: DataFrame, sketches: DataFrame, bags_of: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
+    """(id, component) of the texts in near (id, bucket, lead)."""
+    groups = tried = bags = links = None
+    for turn in count():
+        pairs = _first_pairs(near) if groups is None else _pairs_between(near, groups, turn)
+        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+        close = stored(_close(pairs, sketches))
+        tried = close if tried is None else tried.union(close)
+        wanted = close.select(F.col("a").alias("id")).union(close.select(F.col("b").alias("id"))).distinct()
+        wanted = stored(wanted if bags is None else wanted.join(bags, "id", "left_anti"))
+        more = stored(bags_of(wanted))
+        bags = more if bags is None else bags.union(more)
+        new = stored(_links(close, bags, threshold))
+        if groups is not None and new.isEmpty():
+            return groups
+        links = new if links is None else links.union(new)
+        known = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+        groups = stored(near.select("id").distinct().join(known, "id", "left").select("id", F.coalesce("component", "id").alias("component")))
+    raise AssertionError
 
 
 def near_duplicates(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
@@ -162,12 +201,12 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
     Jaccard similarity is at least the threshold; a class is a connected component of links.
 
     1. Texts of equal words are one class from the start; only the least doc_id of them goes on. 2. BagMinHash
-    signatures are cut into bands; those that share a band meet in a bucket. 3. In every bucket the member of least rank
-    leads, and all others are verified against it, exactly, on their multisets: a bucket of n copies costs n pairs, not
-    n^2. Members that the leader isn't linked to form the next round's bucket, until none is left over. Bands
-    rank their members in four different ways, so that two members meet through different leaders. The first bands are
-    worked through before the others, where pairs that are in one class already aren't verified again. 4. Components
-    over the verified links.
+    signatures are cut into bands; those that share a band meet in a bucket. Every bucket has a leader, the least of one
+    ranking of all texts. 3. Each text is verified against the leader that it meets most often: a group of n copies
+    costs n pairs, not n^2. 4. Components over the verified links. 5. In buckets where different classes meet, all
+    members are verified against up to four leaders of every other class there; then 4 and 5 again, with other leaders,
+    until no link is found. Pairs are verified on their whole multisets, after those whose signatures agree too little
+    have been left out.
 
     Texts without words (null, empty, punctuation only) are equal to each other: one class. A text of fewer than five
     words is one shingle. A row without doc_id belongs to its class, and its class_id is null only if all of the class
@@ -179,24 +218,22 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
     hashed = lambda texts: texts.withColumn("h", _word_hashes())
     key = F.struct(F.xxhash64("h").alias("x"), F.hash("h").alias("y"), F.size("h").alias("n"))
     key_type = "struct<x:bigint,y:int,n:int>"
-    signed = stored(hashed(ids).select("id", key.alias("key"), "h").mapInArrow(_signed, f"id bigint, key {key_type}, bands array<bigint>"))
+    signed = stored(hashed(ids).select("id", key.alias("key"), "h").mapInArrow(_signed, f"id bigint, key {key_type}, bands array<bigint>, sketch binary"))
     heads = stored(signed.groupBy("key").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("copies")))
     firsts = heads.where("head is not null").groupBy("head").agg(F.min("key").alias("key")).withColumnRenamed("head", "id")
-    distinct = signed.join(firsts, ["id", "key"]).dropDuplicates(["id"]).select("id", "bands")
-
-    meets = distinct.select("id", F.posexplode("bands").alias("band", "bucket")).select("id", "bucket", (F.col("band") >= EARLY).alias("late"))
-    shared = meets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    left = stored(meets.join(shared, "bucket"))
-    # only the texts that meet another one are needed again
-    wanted = left.select("id").distinct().join(firsts.select("id", F.col("key.x").alias("of")), "id")
-    again = hashed(ids.join(wanted, "id")).select("id", "of", F.xxhash64("h").alias("x"), "h")
-    bags = stored(again.mapInArrow(_elements, "id bigint, bag array<bigint>").groupBy("id").agg(F.min("bag").alias("bag")))
-    links, groups = None, left.select("id", F.col("id").alias("component")).distinct()
-    for late in (False, True):
-        links = _bucket_links(left.where(F.col("late") == late).drop("late"), groups, bags, threshold, links)
-        if links is not None:
-            known = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
-            groups = cut(left.select("id").distinct().join(known, "id", "left").select("id", F.coalesce("component", "id").alias("component")))
+    distinct = stored(signed.where("sketch is not null").join(firsts, ["id", "key"]).dropDuplicates(["id"]).select("id", "bands", "sketch"))
+
+    meets = distinct.select("id", F.explode("bands").alias("bucket"))
+    lead = meets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("id"), F.col("id")))["id"].alias("lead")).where("n > 1")
+    near = stored(meets.join(lead, "bucket").select("id", "bucket", "lead"))
+
+    def bags_of(wanted: DataFrame) -> DataFrame:
+        """The multisets of some texts; their ids go to every executor as long as they are few."""
+        of = wanted.join(firsts.select("id", F.col("key.x").alias("of")), "id")
+        again = hashed(ids.join(F.broadcast(of) if wanted.count() <= BROADCAST_IDS else of, "id")).select("id", "of", F.xxhash64("h").alias("x"), "h")
+        return again.mapInArrow(_elements, "id bigint, bag array<bigint>").groupBy("id").agg(F.min("bag").alias("bag"))
+
+    groups = _linked_classes(near, distinct.select("id", "sketch"), bags_of, threshold)
     found = heads.join(groups, heads["head"] == groups["id"], "left").select("key", F.coalesce("component", "head").alias("class_id"), "copies")
     size = found.groupBy(F.col("class_id").alias("of")).agg(F.sum("copies").alias("class_size"))
     found = found.join(size, F.col("class_id").eqNullSafe(F.col("of"))).select("key", "class_id", "class_size")
