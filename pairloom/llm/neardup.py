@@ -18,9 +18,9 @@ from pairloom.session import stored
 #: Registers of a signature, and those in a band. Two sets of bands, each over all registers, make 64 bands: of pairs at
 #: a similarity of 0.8 they miss about one in 10^5, at 0.85 one in 10^8.
 REGISTERS, ROWS = 256, 8
-#: Leaders of a class in a bucket; pairs of one text from which its multiset is dealt over several tasks; texts (8 bytes
+#: Leaders of a class in a bucket; ways of ranking them, by bucket; pairs of one text from which its multiset is dealt over several tasks; texts (8 bytes
 #: each) up to which their ids are sent to every executor.
-LEADERS, BUSY, BROADCAST_IDS = 4, 64, 1_000_000
+LEADERS, RANKS, BUSY, BROADCAST_IDS = 4, 8, 64, 1_000_000
 #: Registers that the signatures of a candidate pair must share. At a similarity of 0.8 the expected number is 205 with a
 #: deviation of 6.4: fewer than this have a chance of about one in 10^7.
 AGREE = 170
@@ -162,14 +162,18 @@ def _first_pairs(near: DataFrame) -> DataFrame:
 
 
 def _pairs_between(near: DataFrame, groups: DataFrame, turn: int) -> DataFrame:
-    """Members of buckets in which different classes meet, each with the leaders of the other classes there."""
+    """In buckets where different classes meet, members with the leaders of the classes that have more members there:
+    of each two classes the lesser asks, so a bucket costs its large class nothing."""
     at = near.select("id", "bucket").join(groups, "id")
-    mixed = at.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
-    at = stored(at.join(mixed, "bucket"))
-    ranked = [F.min(F.struct(F.xxhash64("id", "bucket", F.lit(turn * LEADERS + i)), F.col("id")))["id"] for i in range(LEADERS)]
-    leaders = at.groupBy("bucket", "component").agg(F.array_distinct(F.array(*ranked)).alias("leaders"))
-    leaders = leaders.select("bucket", F.col("component").alias("of_b"), F.explode("leaders").alias("b"))
-    return at.join(leaders, "bucket").where("component <> of_b").select(F.col("id").alias("a"), "b").distinct()
+    ranked = [F.min(F.struct(F.xxhash64("id", F.pmod("bucket", F.lit(RANKS)), F.lit(turn * LEADERS + i)), F.col("id")))["id"] for i in range(LEADERS)]
+    per = at.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(*ranked)).alias("leaders"))
+    size = F.struct("n", "component")
+    top = stored(per.groupBy("bucket").agg(F.count(F.lit(1)).alias("classes"), F.max(size).alias("top")).where("classes > 1").select("bucket", "top"))
+    per = stored(per.join(top, "bucket"))
+    small = at.join(top.select("bucket", F.col("top.component").alias("greatest")), "bucket").where("component <> greatest")
+    small = small.join(per.select("bucket", "component", size.alias("size")), ["bucket", "component"]).select("id", "bucket", "size")
+    leaders = per.select("bucket", size.alias("of_b"), F.explode("leaders").alias("b"))
+    return small.join(leaders, "bucket").where(F.col("size") < F.col("of_b")).select(F.col("id").alias("a"), "b").distinct()
 
 
 def _linked_classes(near: DataFrame, sketches: DataFrame, bags_of: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
@@ -203,9 +207,9 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
     1. Texts of equal words are one class from the start; only the least doc_id of them goes on. 2. BagMinHash
     signatures are cut into bands; those that share a band meet in a bucket. Every bucket has a leader, the least of one
     ranking of all texts. 3. Each text is verified against the leader that it meets most often: a group of n copies
-    costs n pairs, not n^2. 4. Components over the verified links. 5. In buckets where different classes meet, all
-    members are verified against up to four leaders of every other class there; then 4 and 5 again, with other leaders,
-    until no link is found. Pairs are verified on their whole multisets, after those whose signatures agree too little
+    costs n pairs, not n^2. 4. Components over the verified links. 5. In buckets where different classes meet, the
+    members of the lesser class are verified against up to four leaders of the greater one; then 4 and 5 again, with
+    other leaders, until no link is found. Pairs are verified on their whole multisets, after those whose signatures agree too little
     have been left out.
 
     Texts without words (null, empty, punctuation only) are equal to each other: one class. A text of fewer than five
