@@ -28,7 +28,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def _load() -> None:
     import importlib
 
-    for part in ("core",):
+    for part in ("core", "more"):
         importlib.import_module(f"pairloom.plans.{part}")
 
 
