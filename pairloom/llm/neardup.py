@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -18,12 +17,12 @@ from pairloom.session import stored
 #: Registers of a signature, and those in a band. Two sets of bands, each over all registers, make 64 bands: of pairs at
 #: a similarity of 0.8 they miss about one in 10^5, at 0.85 one in 10^8.
 REGISTERS, ROWS = 256, 8
-#: Leaders of a class in a bucket; ways of ranking them, by bucket; pairs of one text from which its multiset is dealt over several tasks; texts (8 bytes
-#: each) up to which their ids are sent to every executor.
-LEADERS, RANKS, BUSY, BROADCAST_IDS = 4, 8, 64, 1_000_000
-#: Registers, cut to two bits, in which a candidate pair must agree. At a similarity of 0.8 the expected number is 218
-#: with a deviation of 5.7: fewer than this have a chance of about one in 10^6.
-AGREE = 190
+#: Pairs of one text from which its multiset is dealt over several tasks; texts (8 bytes each) up to which their ids are
+#: sent to every executor.
+BUSY, BROADCAST_IDS = 64, 1_000_000
+#: Shingles in a block of the comparison between classes; what a text counts for at least, which bounds a block's texts
+#: (about 512); distinct shingles compared at a time.
+BLOCK, LEAST, COLUMNS = 1 << 18, 512, 2048
 _U = np.uint64
 
 
@@ -95,12 +94,6 @@ def bands(signature: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _short(signature: np.ndarray) -> bytes:
-    """Two bits of each register, four registers to a byte."""
-    two = (_stir(signature.view(_U)) & _U(3)).astype(np.uint8).reshape(-1, 4)
-    return (two[:, 0] | two[:, 1] << 2 | two[:, 2] << 4 | two[:, 3] << 6).tobytes()
-
-
 def _lists(column: pa.Array) -> Iterator[np.ndarray]:
     values, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
     for a, b in zip(ends[:-1], ends[1:], strict=True):
@@ -115,18 +108,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         found = [bag_minhash(*bag(h)) if len(h) else None for h in _lists(b.column("h"))]
         made = [np.empty(0, np.int64) if f is None else bands(f) for f in found]
-        short = [None if f is None else _short(f) for f in found]
-        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("key"), pa.array(made, pa.list_(pa.int64())), pa.array(short, pa.binary())], ["id", "key", "bands", "sketch"])
-
-
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose signatures, two bits to a register, agree often enough."""
-    for b in batches:
-        if not b.num_rows:
-            continue
-        x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, REGISTERS // 4) for c in ("x", "y"))
-        differ = (x ^ y) | ((x ^ y) >> 1)
-        yield b.select(["a", "b"]).filter(pa.array(REGISTERS - np.bitwise_count(differ & 0x55).sum(axis=1, dtype=np.int64) >= AGREE))
+        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("key"), pa.array(made, pa.list_(pa.int64()))], ["id", "key", "bands"])
 
 
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,13 +123,6 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(made, pa.list_(pa.int64()))], ["id", "bag"])
 
 
-def _close(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Of pairs (a, b), those whose signatures agree well enough to be worth verifying."""
-    x = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("x"))
-    y = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_agreeing, "a bigint, b bigint")
-
-
 def _links(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     """Of pairs (a, b), those whose multisets overlap by the threshold: the sum of the lesser counts over that of the
     greater ones. b is a leader that may be in very many pairs: its multiset is sent to as many tasks as they need."""
@@ -168,40 +143,90 @@ def _first_pairs(near: DataFrame) -> DataFrame:
     return votes.groupBy("id").agg(F.max(F.struct("n", "lead"))["lead"].alias("b")).select(F.col("id").alias("a"), "b")
 
 
-def _pairs_between(near: DataFrame, groups: DataFrame, turn: int) -> DataFrame:
-    """In buckets where different classes meet, members with the leaders of the classes that have more members there:
-    of each two classes the lesser asks, so a bucket costs its large class nothing."""
-    at = near.select("id", "bucket").join(groups, "id")
-    ranked = [F.min(F.struct(F.xxhash64("id", F.pmod("bucket", F.lit(RANKS)), F.lit(turn * LEADERS + i)), F.col("id")))["id"] for i in range(LEADERS)]
-    per = at.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(*ranked)).alias("leaders"))
-    size = F.struct("n", "component")
-    top = stored(per.groupBy("bucket").agg(F.count(F.lit(1)).alias("classes"), F.max(size).alias("top")).where("classes > 1").select("bucket", "top"))
-    per = stored(per.join(top, "bucket"))
-    small = at.join(top.select("bucket", F.col("top.component").alias("greatest")), "bucket").where("component <> greatest")
-    small = small.join(per.select("bucket", "component", size.alias("size")), ["bucket", "component"]).select("id", "bucket", "size")
-    leaders = per.select("bucket", size.alias("of_b"), F.explode("leaders").alias("b"))
-    return small.join(leaders, "bucket").where(F.col("size") < F.col("of_b")).select(F.col("id").alias("a"), "b").distinct()
+def _overlaps(bags: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many elements each bag of left has in common with each of right, some distinct elements at a time."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    row = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
+    _, element, n = np.unique(np.concatenate(bags), return_inverse=True, return_counts=True)
+    shared = n > 1
+    row, element = row[shared[element]], (np.cumsum(shared) - 1)[element[shared[element]]]
+    order = np.argsort(element, kind="stable")
+    row, element = row[order], element[order]
+    for first in range(0, int(shared.sum()), COLUMNS):
+        a, b = np.searchsorted(element, [first, first + COLUMNS])
+        has = np.zeros((len(bags), COLUMNS), np.float32)
+        has[row[a:b], element[a:b] - first] = 1
+        out += has[left] @ has[right].T
+    return out
+
+
+def _forest(threshold: float) -> Callable[[pa.Table], pa.Table]:
+    """Of a pair of blocks (or one), links between classes of the one and of the other: no more than join them up."""
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        bags = list(_lists(t.column("bag").chunk(0)))
+        side, size = t.column("side").to_numpy(), np.array([len(b) for b in bags], np.float32)
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        names, of = np.unique(t.column("component").to_numpy(), return_inverse=True)
+        common = _overlaps(bags, left, right)
+        linked = common >= threshold * (size[left][:, None] + size[right] - common) - 1e-6
+        x, y = np.nonzero(linked & (of[left][:, None] != of[right]))
+        parent, made = list(range(len(names))), []
+
+        def root(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = i = parent[parent[i]]
+            return i
 
+        for i, j in np.unique(np.stack([of[left[x]], of[right[y]]], axis=1), axis=0).tolist():
+            if (p := root(i)) != (q := root(j)):
+                parent[p] = q
+                made.append((names[i], names[j]))
+        return pa.table({"src": pa.array([m[0] for m in made], pa.int64()), "dst": pa.array([m[1] for m in made], pa.int64())})
 
-def _linked_classes(near: DataFrame, sketches: DataFrame, bags_of: Callable[[DataFrame], DataFrame], threshold: float) -> DataFrame:
+    return run
+
+
+def _links_between(near: DataFrame, groups: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+    """Links (src, dst) between classes of groups (id, component) that meet in a bucket.
+
+    Texts of contested buckets fall into families, the connected components of meeting one another. Within a family all
+    classes are compared: its texts are dealt into blocks of bounded size, and a task compares two blocks. A class that
+    fills blocks of its own is not compared with itself.
+    """
+    at = near.join(groups, "id")
+    contested = at.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("bucket")
+    meet = stored(at.join(contested, "bucket").select("id", "lead", "component"))
+    family = connected_components(meet.select("id", "lead").distinct(), "id", "lead").withColumnRenamed("component", "family")
+    weight = F.greatest(F.size("bag"), F.lit(LEAST)).cast("long")
+    members = stored(groups.join(family, "id").join(bags, "id").select("id", "family", "component", weight.alias("weight"), "bag"))
+
+    blocks_of = lambda w: F.ceil(w / BLOCK).cast("int")
+    classes = members.groupBy("family", "component").agg(F.sum("weight").alias("w"))
+    rest = classes.where(F.col("w") < BLOCK).groupBy("family").agg(F.sum("w").alias("rest"))
+    classes = classes.join(rest, "family", "left").select("family", "component", (F.col("w") >= BLOCK).alias("big"), F.when(F.col("w") >= BLOCK, blocks_of(F.col("w"))).otherwise(blocks_of(F.col("rest"))).alias("parts"))
+    own = F.when(F.col("big"), F.col("component")).otherwise(F.lit(0)).cast("long")
+    block = F.struct("big", own.alias("own"), F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("k"))
+    placed = members.join(classes, ["family", "component"]).select("family", "component", block.alias("block"), "bag")
+    blocks = members.select("id", "family", "component").join(classes, ["family", "component"]).select("family", block.alias("block")).distinct()
+    x, y = blocks.withColumnRenamed("block", "x"), blocks.withColumnRenamed("block", "y")
+    pairs = x.join(y, "family").where("x <= y and not (x.big and y.big and x.own = y.own)")
+    both = F.array(F.struct(F.col("x").alias("block"), F.lit(0).alias("side")), F.struct(F.col("y").alias("block"), F.lit(1).alias("side")))
+    one = F.array(F.struct(F.col("x").alias("block"), F.lit(2).alias("side")))
+    sides = pairs.select("family", "x", "y", F.explode(F.when(F.col("x") == F.col("y"), one).otherwise(both)).alias("s")).select("family", "x", "y", "s.*")
+    dealt = placed.join(sides, ["family", "block"]).select("family", "x", "y", "side", "component", "bag")
+    return dealt.groupBy("family", "x", "y").applyInArrow(_forest(threshold), "src bigint, dst bigint")
+
+
+def _linked_classes(near: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     """(id, component) of the texts in near (id, bucket, lead)."""
-    groups = tried = bags = links = None
-    for turn in count():
-        pairs = _first_pairs(near) if groups is None else _pairs_between(near, groups, turn)
-        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
-        close = stored(_close(pairs, sketches))
-        tried = close if tried is None else tried.union(close)
-        wanted = close.select(F.col("a").alias("id")).union(close.select(F.col("b").alias("id"))).distinct()
-        wanted = stored(wanted if bags is None else wanted.join(bags, "id", "left_anti"))
-        more = stored(bags_of(wanted))
-        bags = more if bags is None else bags.union(more)
-        new = stored(_links(close, bags, threshold))
-        if groups is not None and new.isEmpty():
-            return groups
-        links = new if links is None else links.union(new)
-        known = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
-        groups = stored(near.select("id").distinct().join(known, "id", "left").select("id", F.coalesce("component", "id").alias("component")))
-    raise AssertionError
+    links = stored(_links(_first_pairs(near), bags, threshold))
+    known = connected_components(links, "a", "b")
+    groups = stored(near.select("id").distinct().join(known, "id", "left").select("id", F.coalesce("component", "id").alias("component")))
+    joined = connected_components(stored(_links_between(near, groups, bags, threshold)))
+    joined = joined.select(F.col("id").alias("component"), F.col("component").alias("to"))
+    return groups.join(joined, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
@@ -214,10 +239,9 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
     1. Texts of equal words are one class from the start; only the least doc_id of them goes on. 2. BagMinHash
     signatures are cut into bands; those that share a band meet in a bucket. Every bucket has a leader, the least of one
     ranking of all texts. 3. Each text is verified against the leader that it meets most often: a group of n copies
-    costs n pairs, not n^2. 4. Components over the verified links. 5. In buckets where different classes meet, the
-    members of the lesser class are verified against up to four leaders of the greater one; then 4 and 5 again, with
-    other leaders, until no link is found. Pairs are verified on their whole multisets, after those whose signatures agree too little
-    have been left out.
+    costs n pairs, not n^2. 4. Components over the verified links. 5. Where different classes still meet in a bucket,
+    they are compared in full, in blocks of bounded size, and components are joined. Every pair is verified on whole
+    multisets, and no pair that meets in a bucket is left out.
 
     Texts without words (null, empty, punctuation only) are equal to each other: one class. A text of fewer than five
     words is one shingle. A row without doc_id belongs to its class, and its class_id is null only if all of the class
@@ -229,10 +253,10 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
     hashed = lambda texts: texts.withColumn("h", _word_hashes())
     key = F.struct(F.xxhash64("h").alias("x"), F.hash("h").alias("y"), F.size("h").alias("n"))
     key_type = "struct<x:bigint,y:int,n:int>"
-    signed = stored(hashed(ids).select("id", key.alias("key"), "h").mapInArrow(_signed, f"id bigint, key {key_type}, bands array<bigint>, sketch binary"))
+    signed = stored(hashed(ids).select("id", key.alias("key"), "h").mapInArrow(_signed, f"id bigint, key {key_type}, bands array<bigint>"))
     heads = stored(signed.groupBy("key").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("copies")))
     firsts = heads.where("head is not null").groupBy("head").agg(F.min("key").alias("key")).withColumnRenamed("head", "id")
-    distinct = stored(signed.where("sketch is not null").join(firsts, ["id", "key"]).dropDuplicates(["id"]).select("id", "bands", "sketch"))
+    distinct = stored(signed.where(F.size("bands") > 0).join(firsts, ["id", "key"]).dropDuplicates(["id"]).select("id", "bands"))
 
     meets = distinct.select("id", F.explode("bands").alias("bucket"))
     lead = meets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("id"), F.col("id")))["id"].alias("lead")).where("n > 1")
@@ -244,7 +268,8 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
         again = hashed(ids.join(F.broadcast(of) if wanted.count() <= BROADCAST_IDS else of, "id")).select("id", "of", F.xxhash64("h").alias("x"), "h")
         return again.mapInArrow(_elements, "id bigint, bag array<bigint>").groupBy("id").agg(F.min("bag").alias("bag"))
 
-    groups = _linked_classes(near, distinct.select("id", "sketch"), bags_of, threshold)
+    bags = stored(bags_of(stored(near.select("id").distinct())))
+    groups = _linked_classes(near, bags, threshold)
     found = heads.join(groups, heads["head"] == groups["id"], "left").select("key", F.coalesce("component", "head").alias("class_id"), "copies")
     size = found.groupBy(F.col("class_id").alias("of")).agg(F.sum("copies").alias("class_size"))
     found = found.join(size, F.col("class_id").eqNullSafe(F.col("of"))).select("key", "class_id", "class_size")
