@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 from datetime import date
 
 import numpy as np
@@ -128,6 +129,26 @@ def test_near_copies_and_a_large_group(spark):
     assert all(found[i] == 0 for i in range(80)) and all(found[i] == i for i in range(80, 120))
 
 
+def test_classes_of_a_family_in_many_blocks_equal_brute_force(spark, monkeypatch):
+    """Copies with 0 to 14 changed words: some link to the rest, some to a few, many to none; blocks of eight texts."""
+    monkeypatch.setattr(neardup, "BLOCK", 4096)
+    base, rows = prose(150).split(), []
+    for i in range(90):
+        w = list(base)
+        for _ in range(i % 15):
+            w[rng.randrange(150)] = rng.choice(WORDS[:40])
+        rows.append((i, " ".join(w)))
+    bags = [Counter(tuple(t.split()[k : k + 5]) for k in range(146)) for _, t in rows]
+    common = {(i, j): (bags[i] & bags[j]).total() for i in range(90) for j in range(i)}
+    links = [p for p, n in common.items() if n >= 0.8 * (292 - n) - 1e-9]
+    least = list(range(90))
+    for _ in range(90):
+        for i, j in links:
+            least[i] = least[j] = min(least[i], least[j])
+    found = {r.doc_id: r.class_id for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [found[i] for i in range(90)] == least and 5 < len(set(least)) < 80
+
+
 def test_media_round_trip(spark):
     texts = ["", "é" * 77, prose(3000), prose(3000)]
     texts[3] = texts[2]
