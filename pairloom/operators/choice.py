@@ -98,3 +98,33 @@ def quality_block(state: DataFrame) -> DataFrame:
     edits = state.select("obj_id", "edit_id").distinct().join(gate_a.select("edit_id", F.col("score").alias("own")), "edit_id", "left")
     edits = edits.join(_paired(gate_a, "score"), "edit_id", "left").join(gate_e.select("edit_id", F.col("score").alias("quality")), "edit_id", "left")
     return edits.select("obj_id", "edit_id", F.when(F.col("edit_id").startswith("add_"), F.col("paired")).otherwise(F.col("own")).alias("alignment"), "quality")
+
+
+def colourful_fraction(pixels: DataFrame, key: str, view: str, least_pixels: int = 50, saturation: int = 40, white_below: float = 0.05) -> DataFrame:
+    """Share of saturated pixels over the views that show enough; 0 where no view does. A low share marks a white model.
+    Fixed values: 50 pixels to a view, a saturation of over 40, a share below 0.05."""
+    views = pixels.groupBy(key, view).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("s") > saturation).alias("vivid"))
+    enough = F.col("n") >= least_pixels
+    share = F.coalesce(F.sum(F.when(enough, F.col("vivid"))) / F.sum(F.when(enough, F.col("n"))), F.lit(0.0))
+    return views.groupBy(key).agg(share.alias("fraction")).withColumn("white", F.col("fraction") < white_below)
+
+
+def with_gate(edits: DataFrame, state: DataFrame, gate: str) -> DataFrame:
+    """Every planned edit with the view and status of a gate's latest record, null where it has none."""
+    return edits.join(state.where(F.col("stage") == gate).select("edit_id", "best_view", "status"), "edit_id", "left")
+
+
+def unscored(edits: DataFrame, scores: DataFrame) -> DataFrame:
+    """Edits whose last line among scores (edit_id, score, line_no), if any, has no score."""
+    last = scores.groupBy("edit_id").agg(F.max_by("score", "line_no").alias("score"))
+    return edits.join(last.where("score is not null"), "edit_id", "left_anti")
+
+
+def merged_manifests(manifests: list[DataFrame], order: list[str]) -> DataFrame:
+    """Manifests of one layout as one, each edit once (the first manifest that has it), in order."""
+    numbered = [m.withColumn("_from", F.lit(i)) for i, m in enumerate(manifests)]
+    every = numbered[0]
+    for m in numbered[1:]:
+        every = every.unionByName(m)
+    first = every.groupBy("edit_id").agg(F.min_by(F.struct(*manifests[0].columns), "_from").alias("row"))
+    return first.select("row.*").orderBy(*order)

@@ -90,3 +90,29 @@ def joi13(s, d):
 @query("joi15_quality_block", _ev(_LATEST + f"SELECT e.obj_id, e.edit_id, CASE WHEN starts_with(e.edit_id, 'add_') THEN p.score ELSE a.score END AS alignment, g.score AS quality {_OF} {_PAIR} LEFT JOIN latest g ON g.stage = 'gate_e' AND g.edit_id = e.edit_id"))
 def joi15(s, d):
     return choice.quality_block(_state(s, d))
+
+
+@query("agg18_colourful_fraction", _vox("""SELECT pair_id, coalesce(sum(vivid) FILTER (n >= 20) / sum(n) FILTER (n >= 20), 0) AS fraction, coalesce(sum(vivid) FILTER (n >= 20) / sum(n) FILTER (n >= 20), 0) < 0.05 AS white
+ FROM (SELECT pair_id, part_id, count(*) AS n, count_if(f0 > 40) AS vivid FROM fx_voxels GROUP BY ALL) GROUP BY pair_id"""))
+def agg18(s, d):
+    return choice.colourful_fraction(fixture(s, d, "fx_voxels").withColumn("s", F.col("f0")), "pair_id", "part_id", 20)
+
+
+@query("joi1_plan_with_gate", _ev(_LATEST + "SELECT e.obj_id, e.edit_id, a.best_view, a.status " + _OF))
+def joi1(s, d):
+    found = _state(s, d)
+    return choice.with_gate(found.select("obj_id", "edit_id").distinct(), found, "gate_a").select("obj_id", "edit_id", "best_view", "status")
+
+
+@query("joi6_unscored", _ev("""SELECT obj_id, edit_id FROM (SELECT DISTINCT obj_id, edit_id FROM fx_stage_events) e
+ WHERE NOT EXISTS (SELECT 1 FROM (SELECT *, row_number() OVER (PARTITION BY edit_id ORDER BY seq DESC) AS rn FROM fx_stage_events WHERE stage = 'gate_e') l WHERE l.rn = 1 AND l.score IS NOT NULL AND l.edit_id = e.edit_id)"""))
+def joi6(s, d):
+    events = fixture(s, d, "fx_stage_events")
+    scores = events.where("stage = 'gate_e'").select("edit_id", "score", F.col("seq").alias("line_no"))
+    return choice.unscored(events.select("obj_id", "edit_id").distinct(), scores).select("obj_id", "edit_id")
+
+
+@query("set3_merged_manifests", _ev(_LATEST + """SELECT edit_id, obj_id, arg_min(tag, tag) AS tag FROM (SELECT edit_id, obj_id, stage AS tag FROM latest WHERE stage IN ('gate_c', 'gate_e') AND status = 'pass') GROUP BY ALL"""))
+def set3(s, d):
+    passed = lambda g: _state(s, d).where((F.col("stage") == g) & (F.col("status") == "pass")).select("edit_id", "obj_id", F.col("stage").alias("tag"))
+    return choice.merged_manifests([passed("gate_c"), passed("gate_e")], ["obj_id", "edit_id"])
