@@ -10,7 +10,7 @@ from pairloom.session import stored
 
 #: Distinct texts from which a template recurs; tokens from which a line has a template; leading tokens that the tree
 #: looks at; share of a template's tokens that must be fixed.
-MIN_DOCS, MIN_TOKENS, DEPTH, FIXED = 3, 3, 3, 0.7
+MIN_DOCS, MIN_TOKENS, DEPTH, FIXED = 2, 3, 3, 0.7
 _LAST = (1 << 63) - 1
 
 

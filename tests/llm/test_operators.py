@@ -174,6 +174,14 @@ def test_line_templates(spark):
     assert out[0].n_dropped == 0 and all(r.n_dropped == 2 and r.text == rows[r.doc_id][1].split("\n")[0] for r in out[1:])
 
 
+def test_a_long_line_of_two_texts(spark):
+    passage = prose(60)
+    rows = [(1, f"{prose(30)}\n{passage}"), (2, f"{passage}\n{prose(40)}"), (3, prose(60)), (4, f"{prose(9)}\nx y"), (4, f"{prose(9)}\nx y")]
+    out = lines.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.n_dropped for r in out] == [0, 1, 0, 0, 0]
+    assert out[0].text == rows[0][1] and out[1].text == rows[1][1].split("\n")[1]
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     ids, sizes = {r.doc_id for r in docs.collect()}, [docs.count()]
