@@ -165,24 +165,83 @@ _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, (p, _) in KINDS.items()))
 _SIGNS = re.compile("[0-9@]")
 
 
+#: Digits with single separators, as far as any card can reach that starts in a card's match; the groups cards are written in.
+_RUN = re.compile("[0-9](?:[ -]?[0-9]){0,37}")
+_GROUP = re.compile("[0-9]+")
+_CARD_GROUPS = re.compile(r"[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5}")
+
+
+def _card_within(text: str, m: re.Match, key: bytes, row: int) -> tuple[int, int, str | None]:
+    """Start, end and pseudonym of a card at m's place, at the greatest length that is valid and ends with a group of
+    digits. Other groups than those of cards count for the whole match only, before `row` not at all (one row of figures
+    in ten passes the check at any length), and not if they cut a card. Groups after a hyphen are starts, too. No card:
+    the end of the last group that was tried as a start."""
+    groups = [g.span() for g in _GROUP.finditer(text, m.start(), _RUN.match(text, m.start()).end())]
+    ends = [e for _, e in groups if text[e : e + 1] in ("", " ", "-") or not re.match(r"\w", text[e])]
+    if ends and ends[-1] == groups[-1][1] and text[ends[-1] : ends[-1] + 1] == "-" and not text[ends[-1] + 1 : ends[-1] + 2].isdigit():
+        ends.pop()
+
+    def lengths(s: int) -> list[int]:
+        return [e for e in reversed(ends) if 13 <= e - s <= 37 and 13 <= len(_digits(text[s:e])) <= 19]
+
+    def shaped(s: int) -> list[int]:
+        return [e for e in lengths(s) if _CARD_GROUPS.fullmatch(text, s, e) and _card(text[s:e], key)]
+
+    tried = m.start()
+    for s, tried in groups:
+        if s > m.start() and text[s - 1] != "-":
+            return s, groups[groups.index((s, tried)) - 1][1], None
+        for e in lengths(s):
+            usual = _CARD_GROUPS.fullmatch(text, s, e)
+            if (usual or ((s, e) == m.span() and s >= row)) and (new := _card(text[s:e], key)):
+                if usual or not any(x > e for t, _ in groups if s < t < e for x in shaped(t)):
+                    return s, e, new
+    return m.start(), tried, None
+
+
+def _account_within(text: str, m: re.Match, key: bytes, row: int) -> tuple[int, int, str | None]:
+    """The same for an account: at the greatest length that is valid and ends before a space."""
+    ends = [m.start() + x.start() for x in re.finditer(" ", m[0])]
+    for e in (m.end(), *reversed(ends)):
+        new = _account(text[m.start() : e], key)
+        if new:
+            return m.start(), e, new
+    return m.start(), min([m.end(), *ends]), None
+
+
+_WITHIN = {"account": _account_within, "card": _card_within}
+
+
 def pseudonymise(text: str | None, key: bytes) -> tuple[str | None, list[str]]:
     """The text with every validated value permuted within its format, and the kinds found, in order. A value is
-    replaced as a whole; what doesn't validate stays, save that it is tried as the kinds that come after."""
+    replaced as a whole; what doesn't validate stays, save that it is tried as the kinds that come after. Cards and
+    accounts are found next to other figures and capitals: shorter ends and later starts are tried at the borders of
+    groups (cards: in the groups cards are written in). Telephone numbers have no check, so part of a row of figures that is no card isn't taken for one."""
     found: list[str] = []
     if not text or not _SIGNS.search(text):
         return text, found
-
-    def put(m: re.Match) -> str:
-        kinds = list(KINDS)
-        for k in kinds[kinds.index(m.lastgroup) :]:
-            if k == m.lastgroup or re.fullmatch(KINDS[k][0], m[0]):
-                new = KINDS[k][1](m[0], key)
-                if new is not None:
-                    found.append(k)
-                    return new
-        return m[0]
-
-    return _ANY.sub(put, text), found
+    kinds, out, done, at, row = list(KINDS), [], 0, 0, 0
+    while m := _ANY.search(text, at):
+        k = m.lastgroup
+        start, at, new = m.start(), m.end(), None
+        if k in _WITHIN:
+            start, at, new = _WITHIN[k](text, m, key, row)
+        elif k != "phone" or start >= row:
+            new = KINDS[k][1](m[0], key)
+        else:
+            at = _GROUP.search(text, start).end()
+        if new is None and (k != "phone" or start >= row):
+            for k in kinds[kinds.index(m.lastgroup) + 1 :]:
+                if re.fullmatch(KINDS[k][0], m[0]) and (new := KINDS[k][1](m[0], key)) is not None:
+                    start, at = m.span()
+                    break
+        if new is not None:
+            found.append(k)
+            out += text[done:start], new
+            done = at
+        elif m.lastgroup == "card":
+            row = max(row, m.end())
+    return "".join((*out, text[done:])), found
 
 
 def pseudonymise_documents(docs: DataFrame, key: bytes = b"replace this key") -> DataFrame:

@@ -99,6 +99,20 @@ def test_pseudonyms_keep_format_and_links():
     assert pii.pseudonymise(text, b"other")[0] != out
 
 
+def test_cards_and_accounts_next_to_figures_and_capitals():
+    card, iban = "4539 1488 0343 6467", "ES91 2100 0418 4502 0005 1332"
+    new_card, new_iban = pii._card(card, b"k"), pii._account(iban, b"k")
+    hyphens = card.replace(" ", "-")
+    for text in (
+        "{c} 12/27", "{c} 127", "{c} 1234", "12 {c}", "12 27 {c} 127 x", "0170 1234 {c}", "12-{h}", "{h}-127", "AB12 {c}", "{i} EUR", "{i} PAID NOW", "AB12 {i}", "{i} {c}", "{c} {c} 12/27", "{c}, {i}."
+    ):
+        out, kinds = pii.pseudonymise(text.format(c=card, h=hyphens, i=iban), b"k")
+        assert out == text.format(c=new_card, h=new_card.replace(" ", "-"), i=new_iban), text
+        assert len(kinds) == text.count("{")
+    for text in ("1234 5678 9012 3456 7", "11 12 13 14 15 16 17 18 19 20 21", "ES91 2100 0418 4502 0005 1333 EUR"):
+        assert pii.pseudonymise(text, b"k") == (text, [])
+
+
 def test_classifier_on_held_out_rows(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     scored = quality.score(docs.select("doc_id", "text"), quality.train(docs, labels)).join(labels, "doc_id").where("crc32(cast(doc_id as string)) % 5 = 0")
