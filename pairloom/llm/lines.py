@@ -40,9 +40,10 @@ def recurring_templates(docs: DataFrame, index: DataFrame, min_docs: int = MIN_D
     """docs (doc_id, text) and their index -> line (hash of a masked line), first (the doc_id that keeps it).
 
     Template tree of fixed depth: the first level is the number of tokens, the next ones are the leading tokens, tokens
-    with digits being variable. A leaf's template is, position by position, the token that at least half of its
-    distinct lines have there, or a variable field; it counts if at least `fixed` of its positions are not variable.
-    A line belongs to it if it has all its fixed tokens, else to the template of its own masked text. Templates of
+    with digits being variable. Below a leaf lines are grouped further, see _templates. A group's template is, position
+    by position, the token that at least half of its distinct lines have there, or a variable field; it counts if at
+    least `fixed` of its positions are not variable. A line of the leaf belongs to it if it has all its fixed tokens
+    (to the first of several), else to the template of its own masked text. Templates of
     lines in at least min_docs different texts recur. Copies of a whole text count as one text: they are near-dedup's
     work, and a document isn't boilerplate for having been copied.
 
@@ -53,7 +54,7 @@ def recurring_templates(docs: DataFrame, index: DataFrame, min_docs: int = MIN_D
 
     deep = index.where(F.col("n") > depth)
     per_line = deep.groupBy("leaf", "line").agg(F.min("doc").alias("doc"))
-    wide = per_line.groupBy("leaf").agg(F.count(F.lit(1)).alias("n_lines")).where("n_lines > 1")
+    wide = per_line.groupBy("leaf").agg(F.count(F.lit(1)).alias("n_lines")).where("n_lines > 2")
     texts = deep.groupBy("leaf").agg(F.countDistinct("digest").alias("texts")).where(F.col("texts") >= min_docs)
     wide = stored(wide.join(texts, "leaf").select("leaf", "n_lines"))
     fetch = per_line.join(wide, "leaf").groupBy(F.col("doc").alias("of")).agg(F.collect_list(F.struct("line", "leaf", "n_lines")).alias("wanted"))
@@ -62,17 +63,50 @@ def recurring_templates(docs: DataFrame, index: DataFrame, min_docs: int = MIN_D
     found = found.withColumn("at", F.filter("wanted", lambda w: w["line"] == F.xxhash64("masked"))).where(F.size("at") > 0)
     found = found.select(F.col("at")[0]["leaf"].alias("leaf"), F.col("at")[0]["line"].alias("line"), F.col("at")[0]["n_lines"].alias("n_lines"), _tokens(F.col("masked")).alias("tokens"))
     distinct = stored(found.dropDuplicates(["leaf", "line"]))
-    spots = distinct.select("leaf", "n_lines", F.size("tokens").alias("n"), F.posexplode("tokens").alias("pos", "token"))
-    mode = spots.groupBy("leaf", "n", "n_lines", "pos", "token").agg(F.count(F.lit(1)).alias("c")).where("c * 2 >= n_lines")
-    mode = mode.groupBy("leaf", "n", "pos").agg(F.min(F.struct(-F.col("c"), "token"))["token"].alias("token"))
-    template = mode.groupBy("leaf", "n").agg(F.map_from_entries(F.collect_list(F.struct("pos", "token"))).alias("template"))
-    template = template.where((F.size("template") >= F.col("n") * fixed) & (F.size("template") < F.col("n"))).select("leaf", "template")
-    fits = F.forall(F.map_entries("template"), lambda e: F.col("tokens")[e["key"]] == e["value"])
-    fitting = distinct.join(template, "leaf").where(fits).select("leaf", "line")
-    of_leaf = salted(index.select("line", "doc", "digest"), fitting, "line", F.col("doc"))
-    leaves = of_leaf.groupBy("leaf").agg(F.countDistinct("digest").alias("texts"), F.min("doc").alias("first")).where(F.col("texts") >= min_docs)
-    general = fitting.join(leaves.select("leaf", "first"), "leaf").select("line", "first")
-    return own.union(general).groupBy("line").agg(F.min("first").alias("first"))
+    templates = _templates(distinct, fixed)
+    if templates is None:
+        return own
+    spots = distinct.select("leaf", "line", F.posexplode("tokens").alias("pos", "token"))
+    near = spots.join(templates, ["leaf", "pos", "token"]).select("line", "template", "rank")
+    fitting = stored(near.join(distinct.select("line", "tokens"), "line").where(_fits()).select("line", "rank"))
+    # a line may fit several templates: of those that recur it belongs to the first one, so that one of its lines is kept
+    members = stored(salted(index.select("line", "doc", "digest"), fitting.select("line").distinct(), "line", F.col("doc")).distinct())
+    recur = fitting.join(members, "line").groupBy("rank").agg(F.countDistinct("digest").alias("texts")).where(F.col("texts") >= min_docs).select("rank")
+    belongs = fitting.join(recur, "rank").groupBy("line").agg(F.min("rank").alias("rank"))
+    first = belongs.join(members, "line").groupBy("rank").agg(F.min("doc").alias("first"))
+    return own.union(belongs.join(first, "rank").select("line", "first")).groupBy("line").agg(F.min("first").alias("first"))
+
+
+def _fits() -> Column:
+    return F.forall(F.map_entries("template"), lambda e: F.col("tokens")[e["key"]] == e["value"])
+
+
+def _templates(distinct: DataFrame, fixed: float) -> DataFrame | None:
+    """leaf, line, tokens, n_lines (of the leaf) -> leaf, template (map of position to token), pos and token (the rarest of
+    it), rank (round and id): the templates of all groups, or None.
+
+    A group begins as a leaf. In each round the lines that fit their group's template leave it; in a group without one
+    each line goes on with those that share its most frequent token by position which not all lines of the group have.
+    So groups narrow until they have a template or fewer than three lines (which have no majority)."""
+    rest, rounds, found = distinct.select("leaf", F.col("leaf").alias("grp"), "line", "tokens", "n_lines"), 0, None
+    while not rest.isEmpty():
+        spots = rest.select("leaf", "grp", "line", "n_lines", F.size("tokens").alias("n"), F.posexplode("tokens").alias("pos", "token"))
+        counts = stored(spots.groupBy("leaf", "grp", "n", "n_lines", "pos", "token").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
+        mode = counts.where("c * 2 >= n_lines").groupBy("leaf", "grp", "n", "pos").agg(F.min(F.struct((-F.col("c")).alias("c"), "token")).alias("m"))
+        made = mode.groupBy("leaf", "grp", "n").agg(F.map_from_entries(F.collect_list(F.struct("pos", "m.token"))).alias("template"), F.max(F.struct("m.c", "pos", "m.token")).alias("rare"))
+        made = made.where((F.size("template") >= F.col("n") * fixed) & (F.size("template") < F.col("n")))
+        made = made.select("leaf", "grp", "template", "rare.pos", "rare.token", F.struct(F.lit(rounds).alias("round"), "grp").alias("rank"))
+        fitted = rest.join(made.select("grp", "template"), "grp").where(_fits()).select("grp").distinct()
+        made = stored(made.join(fitted, "grp"))
+        found = made if found is None else found.union(made)
+        stay = rest.join(made.select("grp", "template"), "grp").where(~_fits()).select("leaf", "grp", "line", "tokens")
+        shared = spots.join(made.select("grp"), "grp", "left_anti").join(counts.where("c < n_lines").select("grp", "pos", "token", "c"), ["grp", "pos", "token"])
+        most = shared.groupBy("line").agg(F.min(F.struct((-F.col("c")).alias("c"), "pos", "token")).alias("m"))
+        split = rest.join(most, "line").select("leaf", F.xxhash64("grp", "m.pos", "m.token").alias("grp"), "line", "tokens")
+        rest = stored(stay.union(split))
+        rest = stored(rest.join(rest.groupBy("grp").agg(F.count(F.lit(1)).alias("n_lines")).where("n_lines > 2"), "grp").select("leaf", "grp", "line", "tokens", "n_lines"))
+        rounds += 1
+    return found.drop("grp") if found is not None else None
 
 
 def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH, fixed: float = FIXED) -> DataFrame:
