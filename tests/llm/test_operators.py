@@ -196,19 +196,6 @@ def test_a_long_line_of_two_texts(spark):
     assert out[0].text == rows[0][1] and out[1].text == rows[1][1].split("\n")[1]
 
 
-def test_templates_that_share_a_leaf(spark):
-    """Two templates of ten lines each in a leaf, with few and with many unrelated lines."""
-    head = "server node alpha"
-    for unrelated in (5, 60):
-        kinds = ["{} failed job {} after long wait today", "{} moved its {} over to colder disks"]
-        said = [f"{head} {k.format('quickly' if k[3] == 'f' else 'slowly', rng.choice(WORDS) + str(i).translate(str.maketrans('0123456789', 'abcdefghij')))}" for i in range(10) for k in kinds]
-        said += [f"{head} {prose(8)}" for _ in range(unrelated)]
-        assert {len(x.split()) for x in said} == {11}
-        rows = [(i, f"{prose(8)}\n{x}") for i, x in enumerate(said)]
-        out = lines.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
-        assert [r.n_dropped for r in out] == [0, 0] + [1] * 18 + [0] * unrelated
-
-
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     ids, sizes = {r.doc_id for r in docs.collect()}, [docs.count()]
