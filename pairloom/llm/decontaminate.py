@@ -17,10 +17,9 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = SIMILA
     One row for each pair where the document holds at least `threshold` of the item's distinct n-word shingles,
     wherever in the document they stand.
 
-    Size-partitioned MinHash containment search: containment C of an item of q shingles in a document of x is a Jaccard
-    similarity of about C*q/x, so a sketch of one fixed length is blind to short items in long documents. The items are
-    therefore partitioned by size, and a partition of q shingles keeps the k(q) = q - ceil(threshold*q) + 1 least hashes
-    of each item. A document that holds ceil(threshold*q) of the q shingles can miss at most q - ceil(threshold*q) of
+    A prefix filter, not a MinHash estimate: containment C of an item of q shingles in a document of x is a Jaccard
+    similarity of about C*q/x, so a sketch of one fixed length is blind to short items in long documents. Of an
+    item of q shingles the k(q) = q - ceil(threshold*q) + 1 least hashes are therefore kept. A document that holds ceil(threshold*q) of the q shingles can miss at most q - ceil(threshold*q) of
     them, so it shares one of the k(q) at least: the search has no false negatives at any ratio of sizes, which banded
     signatures of the documents can't give. Documents probe with all their shingles, those too short for an item don't
     meet it. Candidates are verified by the exact shingle intersection.
