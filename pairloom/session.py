@@ -13,6 +13,8 @@ import pairloom
 # Functions of this package travel to the executors as they are: they needn't have it installed.
 cloudpickle.register_pickle_by_value(pairloom)
 
+_STORED: list[str] = []
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables; Spark does the reading, so any file system it knows will do."""
@@ -20,11 +22,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: the cluster's spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder all executors share: the cluster's spark.checkpoint.dir. Where that is unset a local session gets one
+    of its own; on a cluster it would be a folder that executors can't see, so it is an error."""
     sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pairloom-"))
-    return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="pairloom-"))
+    return named or sc.getCheckpointDir()
+
+
+def clear_stored(spark: SparkSession) -> None:
+    """Delete what stored() has written so far. Results that still read it must have been written by then."""
+    jvm = spark.sparkContext._jvm
+    while _STORED:
+        path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -38,4 +52,5 @@ def stored(df: DataFrame) -> DataFrame:
     intermediates that are read more than once, with fewer columns each time."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/pairloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STORED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
