@@ -75,29 +75,35 @@ def executed_as(edit_type: Column) -> Column:
     return F.coalesce(*[F.when(edit_type == k, F.lit(v)) for k, v in EXECUTED_AS.items()], F.lit("Modification"))
 
 
-def _paired(gate: DataFrame, column: str) -> DataFrame:
-    """What the deletions have in a column, by the id of the addition that undoes each."""
-    own = gate.where(F.col("edit_id").startswith("del_"))
-    return own.select(F.concat(F.lit("add_"), F.substring("edit_id", 5, 1 << 20)).alias("edit_id"), F.col(column).alias("paired"))
+def _of_deletion(column: str) -> Column:
+    """What the deletion that an addition undoes has in a column; null for other edits. Both ids end alike."""
+    pair = Window.partitionBy("obj_id", F.substring("edit_id", 5, 1 << 20))
+    return F.when(F.col("edit_id").startswith("add_"), F.max(F.when(F.col("edit_id").startswith("del_"), F.col(column))).over(pair))
 
 
 def resolved_views(state: DataFrame) -> DataFrame:
     """View of each edit: its own, for additions else that of the paired deletion, for both these else the default.
     view is null, and the edit rejected, where a generated edit has none or the view is out of range."""
-    gate = state.where("stage = 'gate_a'")
-    edits = state.select("obj_id", "edit_id").distinct().join(gate.select("edit_id", "best_view"), "edit_id", "left").join(_paired(gate, "best_view"), "edit_id", "left")
-    pair = F.when(F.col("edit_id").startswith("add_"), F.col("paired"))
+    edits = state.groupBy("obj_id", "edit_id").agg(F.max(F.when(F.col("stage") == "gate_a", F.col("best_view"))).alias("own"))
     default = F.when(F.col("edit_id").startswith("add_") | F.col("edit_id").startswith("del_"), DEFAULT_VIEW)
-    view = F.coalesce("best_view", pair, default)
+    view = F.coalesce("own", _of_deletion("own"), default)
     return edits.select("obj_id", "edit_id", F.when(view.between(0, VIEWS - 1), view).alias("view"))
 
 
+def preview_slots(verdicts: DataFrame) -> DataFrame:
+    """verdicts (obj_id, edit_id, verdict_view, legacy_view) -> obj_id, edit_id, slot: the view that the stage's verdict
+    names, else the old record's, for an addition else its deletion's, else the default. One out of range counts as none."""
+    valid = lambda c: F.when(F.col(c).between(0, VIEWS - 1), F.col(c))
+    own = verdicts.select("obj_id", "edit_id", F.coalesce(valid("verdict_view"), valid("legacy_view")).alias("own"))
+    return own.select("obj_id", "edit_id", F.coalesce("own", _of_deletion("own"), F.lit(DEFAULT_VIEW)).alias("slot"))
+
+
 def quality_block(state: DataFrame) -> DataFrame:
-    """alignment: score of gate A (for an addition that of its deletion); quality: score of gate E."""
-    gate_a, gate_e = state.where("stage = 'gate_a'"), state.where("stage = 'gate_e'")
-    edits = state.select("obj_id", "edit_id").distinct().join(gate_a.select("edit_id", F.col("score").alias("own")), "edit_id", "left")
-    edits = edits.join(_paired(gate_a, "score"), "edit_id", "left").join(gate_e.select("edit_id", F.col("score").alias("quality")), "edit_id", "left")
-    return edits.select("obj_id", "edit_id", F.when(F.col("edit_id").startswith("add_"), F.col("paired")).otherwise(F.col("own")).alias("alignment"), "quality")
+    """final_pass; alignment: score of gate A (for an addition without one that of its deletion); quality: score of gate
+    E. As JSON (to_json) the columns that are null are left out."""
+    of = lambda g, c: F.max(F.when(F.col("stage") == g, F.col(c)))
+    edits = state.groupBy("obj_id", "edit_id").agg(of("gate_a", "score").alias("own"), of("gate_e", "score").alias("quality"), (F.count_if(F.col("stage").isin("gate_a", "gate_c", "gate_e") & (F.col("status") == "fail")) == 0).alias("final_pass"))
+    return edits.select("obj_id", "edit_id", "final_pass", F.coalesce("own", _of_deletion("own")).alias("alignment"), "quality")
 
 
 def colourful_fraction(pixels: DataFrame, key: str, view: str, least_pixels: int = 50, saturation: int = 40, white_below: float = 0.05) -> DataFrame:
@@ -114,6 +120,12 @@ def with_gate(edits: DataFrame, state: DataFrame, gate: str) -> DataFrame:
     return edits.join(state.where(F.col("stage") == gate).select("edit_id", "best_view", "status"), "edit_id", "left")
 
 
+def gate_record(state: DataFrame, gate: str) -> DataFrame:
+    """The same where the plan is every edit that the state knows: one pass over it."""
+    of = lambda c: F.max(F.when(F.col("stage") == gate, F.col(c))).alias(c)
+    return state.groupBy("obj_id", "edit_id").agg(of("best_view"), of("status"))
+
+
 def unscored(edits: DataFrame, scores: DataFrame) -> DataFrame:
     """Edits whose last line among scores (edit_id, score, line_no), if any, has no score."""
     last = scores.groupBy("edit_id").agg(F.max_by("score", "line_no").alias("score"))

@@ -18,8 +18,9 @@ def prefix_of(edit_type: Column) -> Column:
 
 
 def type_of(edit_id: Column) -> Column:
+    """The type that the id's prefix names; an unknown prefix is an error."""
     known = F.create_map(*[F.lit(x) for k, v in PREFIX.items() for x in (v, k)])
-    return known[F.split_part(edit_id, F.lit("_"), F.lit(1))]
+    return F.when(edit_id.isNull(), F.lit(None)).otherwise(F.coalesce(known[F.split_part(edit_id, F.lit("_"), F.lit(1))], F.raise_error(F.concat(F.lit("unknown prefix of an edit id: "), edit_id))))
 
 
 def paired_id(edit_id: Column) -> Column:
@@ -29,9 +30,9 @@ def paired_id(edit_id: Column) -> Column:
 
 
 def normal_shard(s: Column) -> Column:
-    """Two digits at least; longer ones are kept."""
+    """Two digits at least; longer ones are kept. None at all is an error."""
     s = F.trim(s)
-    return F.when(F.length(s) < 2, F.lpad(s, 2, "0")).otherwise(s)
+    return F.when(F.coalesce(s, F.lit("")) == "", F.raise_error(F.lit("a shard has no name"))).when(F.length(s) < 2, F.lpad(s, 2, "0")).otherwise(s)
 
 
 def assign_ids(edits: DataFrame) -> DataFrame:
@@ -43,47 +44,38 @@ def assign_ids(edits: DataFrame) -> DataFrame:
     return e.withColumn("seq", seq.cast("int")).withColumn("edit_id", F.format_string("%s_%s_%03d", prefix_of(F.col("edit_type")), "obj_id", "seq")).drop("kind")
 
 
-def quota(n: Column) -> dict[str, Column]:
-    """Edits planned for an object of n parts."""
+def quota(n: Column, white: Column | None = None) -> dict[str, Column]:
+    """Edits planned for an object of n parts; a white one has no material or colour to change."""
     clamp = lambda x: F.greatest(F.lit(1), F.least(F.lit(8), F.ceil(x))).cast("int")
     few = F.when(n < 8, 1).otherwise(2)
-    return {"q_deletion": clamp(n / 2.5), "q_modification": clamp(n / 2), "q_scale": few, "q_material": few, "q_color": few, "q_global": F.lit(2)}
+    looks = few if white is None else F.when(white, 0).otherwise(few)
+    # fixed values: the divisors, bounds and counts of the plan
+    return {"q_deletion": clamp(n / 2.5), "q_modification": clamp(n / 2), "q_scale": few, "q_material": looks, "q_color": looks, "q_global": F.lit(2)}
 
 
 def halved(q: dict[str, Column]) -> dict[str, Column]:
     return {k: F.greatest(F.lit(1 if k in ("q_deletion", "q_modification") else 0), F.floor(v / 2)).cast("int") for k, v in q.items()}
 
 
-def range_shards(ids: DataFrame, key: str, shards: int) -> DataFrame:
-    """key, idx (its place in sorted order), shard: contiguous slices of ceil(n / shards).
-
-    The order is global, yet no task sees more than its range: ranges are counted, then each row adds its range's offset.
-    """
-    sorted_ids = ids.select(key).repartitionByRange(key).sortWithinPartitions(key).withColumn("part", F.spark_partition_id())
-    counts = sorted_ids.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = counts.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    total = counts.agg(F.sum("n").alias("total"))
-    placed = sorted_ids.join(F.broadcast(before.select("part", "before")), "part").crossJoin(F.broadcast(total))
-    idx = F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy(key)) - 1
-    return placed.select(key, idx.cast("long").alias("idx"), F.floor(idx / F.ceil(F.col("total") / shards)).cast("long").alias("shard"))
-
-
 def invert_prompt(p: Column) -> Column:
-    """The instruction that undoes a deletion."""
+    """The instruction that undoes a deletion. Verbs are taken in order, each as the start of the prompt (also of its
+    first word only) or else as a word within it; a prompt without any is added back. A null stays null."""
+    p = F.btrim(p, F.lit(" \t\n\r\f\v"))
     low = F.lower(p)
     out = F.concat(F.lit("Add back "), p)
     for v in reversed(REMOVE_VERBS):
         at = F.locate(f" {v} ", low)
-        out = F.when(at > 0, F.concat(F.substr(p, F.lit(1), at - 1), F.lit(" add "), F.substr(p, at + len(v) + 2))).otherwise(out)
-    for v in reversed(REMOVE_VERBS):
-        out = F.when(low.startswith(f"{v} "), F.concat(F.lit("Add"), F.substr(p, F.lit(len(v) + 1)))).otherwise(out)
+        within = F.concat(F.substr(p, F.lit(1), at), F.lit("add"), F.substr(p, at + len(v) + 1))
+        out = F.when(low.startswith(v), F.concat(F.lit("Add"), F.substr(p, F.lit(len(v) + 1)))).when(at > 0, within).otherwise(out)
     at = F.locate(" from ", out)
     out = F.when(at > 0, F.concat(F.substr(out, F.lit(1), at - 1), F.lit(" to "), F.substr(out, at + 6))).otherwise(out)
-    return F.when(F.coalesce(p, F.lit("")) == "", p).otherwise(out)
+    return F.when(p == "", p).otherwise(out)
 
 
 def repeated_edits(edits: DataFrame) -> DataFrame:
-    """Second and later edits of one type on the same parts of an object; they are warned of and stay."""
+    """Second and later edits of one type on the same parts of an object; they are warned of and stay. Where edits have
+    a column `valid`, only valid ones are looked at."""
+    edits = edits.where("valid") if "valid" in edits.columns else edits
     w = Window.partitionBy("obj_id", "edit_type", F.array_sort(F.array("pid1", "pid2"))).orderBy("edit_idx")
     return edits.where("edit_type <> 'global'").withColumn("nth", F.row_number().over(w)).where("nth > 1")
 

@@ -12,6 +12,11 @@ def cell_key(grid: int) -> Column:
     return F.col("x").cast("long") * grid * grid + F.col("y") * grid + F.col("z")
 
 
+def cell_of(key: Column, grid: int) -> list[Column]:
+    """x, y, z of a key."""
+    return [F.floor(key / (grid * grid)).cast("int").alias("x"), F.pmod(F.floor(key / grid), F.lit(grid)).cast("int").alias("y"), F.pmod(key, F.lit(grid)).cast("int").alias("z")]
+
+
 def downsample(cells: DataFrame, factor: int) -> DataFrame:
     return cells.select("pair_id", *[F.floor(F.col(a) / factor).cast("int").alias(a) for a in "xyz"]).distinct()
 

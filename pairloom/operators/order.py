@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from pairloom.session import stored
 
 
-def numbered(rows: DataFrame, *keys: str, partitions: int = 64) -> DataFrame:
+def numbered(rows: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
     """rows with rn (0, 1, ...), their place in the order of keys.
 
     Range-partitioned and stored, so that every task numbers its own range; offsets come from a table of one row a
     partition. Equal keys get places in no set order.
+    As many ranges as the session has shuffle partitions, if not said otherwise.
     """
+    partitions = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     part = stored(rows.repartitionByRange(partitions, *keys).withColumn("_part", F.spark_partition_id()))
     own = part.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*keys)))
     sizes = part.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))

@@ -20,7 +20,7 @@ def latest(events: DataFrame) -> DataFrame:
 def stage_funnel(state: DataFrame) -> DataFrame:
     """stage, stage_no, pass_done, fail, error, eligible, pending; stages without edits have zeros."""
     spark = state.sparkSession
-    stages = spark.createDataFrame(list(enumerate(STAGES)), "stage_no int, stage string")
+    stages = spark.range(1).select(F.posexplode(F.array(*map(F.lit, STAGES))).alias("stage_no", "stage"))
     gate = F.col("stage").startswith("gate")
     counts = state.groupBy("stage").agg(
         F.count_if(F.col("status").isin("pass", "done")).alias("pass_done"), F.count_if(F.col("status") == "fail").alias("fail"), F.count_if(~gate & (F.col("status") == "error")).alias("error"))
@@ -45,11 +45,46 @@ def accept_generated(wide: DataFrame) -> DataFrame:
     return wide.withColumn("reason", reason).withColumn("accepted", reason.isNull())
 
 
-def needs_stage(state: DataFrame, stage: str, prerequisite: str, force: bool = False) -> DataFrame:
-    """Edits that are to go through a stage: the gate before it has passed (additions need none), and the stage has no
-    record or an error, unless forced."""
-    own = state.where(F.col("stage") == stage).select("edit_id", F.col("status").alias("own"))
-    gate = state.where(F.col("stage") == prerequisite).select("edit_id", F.col("status").alias("gate"))
-    joined = state.select("obj_id", "edit_id").distinct().join(own, "edit_id", "left").join(gate, "edit_id", "left")
-    due = F.lit(True) if force else F.col("own").isNull() | (F.col("own") == "error")
-    return joined.where((F.col("gate").eqNullSafe("pass") | F.col("edit_id").startswith("add_")) & due).select("obj_id", "edit_id")
+def needs_stage(state: DataFrame, stage: str, prerequisite: str | None, force: bool = False) -> DataFrame:
+    """Edits that are to go through a stage: the gate before it has passed, and the stage has no record or an error,
+    unless forced. Additions need no gate A, as they undo a deletion that had it; any other gate holds for them, too."""
+    own, gate = F.col("stage") == stage, F.col("stage") == (prerequisite or "")
+    wide = state.groupBy("obj_id", "edit_id").agg(F.max(own).alias("seen"), F.max(F.when(own, F.col("status"))).alias("own"), F.max(F.when(gate, F.col("status"))).alias("gate"))
+    open_gate = F.lit(True) if prerequisite is None else F.col("gate").eqNullSafe("pass")
+    open_gate = open_gate | F.col("edit_id").startswith("add_") if prerequisite == "gate_a" else open_gate
+    due = F.lit(True) if force else ~F.col("seen") | F.col("own").eqNullSafe("error")
+    return wide.where(open_gate & due).select("obj_id", "edit_id")
+
+
+def prerequisites(active: set[str]) -> dict[str, str | None]:
+    """The gate that must have passed before each step, from the steps that are switched on."""
+    # fixed values: the steps that make a gate active (by either name), and the gates of each step in order of preference
+    on = {"gate_a": {"gate_text_align", "sq1"}, "gate_c": {"gate_2d", "sq2"}, "gate_e": {"gate_quality", "sq3"}}
+    needs = {"s4": ("gate_a",), "s5": ("gate_c", "gate_a"), "s5b": ("gate_a",), "s6p": ("gate_a",), "s6b": ("gate_e",)}
+    return {step: next((g for g in gates if on[g] & active), None) for step, gates in needs.items()}
+
+
+def verdict_view(verdicts: DataFrame) -> DataFrame:
+    """verdicts (obj_id, edit_id, gate, status, has_verdict, rule_pass, rule_code, vlm_pass, vlm_reason, legacy_pass) ->
+    obj_id, edit_id, a, c, e (whether each gate passes; one that is missing does), fail_gate, fail_reason, final_pass.
+
+    A gate's payload is its verdict, else its status if that is pass or fail, else what an old record says. The reason
+    is that of the first gate that fails: the rule's code, else 80 characters of the judge's reason."""
+    own = F.col("has_verdict") & (F.col("rule_pass").isNotNull() | F.col("vlm_pass").isNotNull())
+    said = F.col("status").isin("pass", "fail")
+    v = verdicts.select("obj_id", "edit_id", "gate", F.when(own, F.col("rule_pass")).alias("r"), F.when(own, F.col("vlm_pass")).when(said, F.col("status") == "pass").otherwise(F.col("legacy_pass")).alias("v"), "rule_code", F.when(own, F.col("vlm_reason")).when(said, F.lit("from_stage_status")).alias("why"))
+    reason = F.when(~F.col("r"), F.coalesce("rule_code", F.lit("rule_fail"))).when(~F.col("v"), F.substring(F.coalesce("why", F.lit("vlm_fail")), 1, 80))
+    v = v.withColumn("reason", reason)
+    of = lambda g: F.max(F.when(F.col("gate") == g, F.col("reason")))
+    wide = v.groupBy("obj_id", "edit_id").agg(of("gate_a").alias("ra"), of("gate_c").alias("rc"), of("gate_e").alias("re"))
+    first = F.coalesce(*[F.when(F.col(f"r{g}").isNotNull(), F.lit(g.upper())) for g in "ace"])
+    return wide.select("obj_id", "edit_id", *[F.col(f"r{g}").isNull().alias(g) for g in "ace"], first.alias("fail_gate"), F.coalesce("ra", "rc", "re").alias("fail_reason"), first.isNull().alias("final_pass"))
+
+
+def gate_summary(state: DataFrame) -> DataFrame:
+    """One row for each edit: status, ts and score of each gate, and final_pass."""
+    gates_ = ("gate_a", "gate_c", "gate_e")
+    pick = lambda g, c: F.max(F.when(F.col("stage") == g, F.col(c))).alias(f"{g}_{c}")
+    wide = state.groupBy("obj_id", "edit_id").agg(*[pick(g, c) for g in gates_ for c in ("status", "ts", "score")])
+    failed = [F.col(f"{g}_status").eqNullSafe("fail") for g in gates_]
+    return wide.withColumn("final_pass", ~(failed[0] | failed[1] | failed[2]))

@@ -8,6 +8,7 @@ from pairloom.operators import choice, judging, state
 from pairloom.plans.core import _LATEST, _SCORE, _WIDE, _state, _vox
 from pairloom.plans.fixtures import fixture, with_fixtures
 from pairloom.plans.registry import query
+from pairloom.session import stored
 
 
 def _ev(sql: str) -> str:
@@ -87,7 +88,8 @@ def joi13(s, d):
     return choice.resolved_views(_state(s, d))
 
 
-@query("joi15_quality_block", _ev(_LATEST + f"SELECT e.obj_id, e.edit_id, CASE WHEN starts_with(e.edit_id, 'add_') THEN p.score ELSE a.score END AS alignment, g.score AS quality {_OF} {_PAIR} LEFT JOIN latest g ON g.stage = 'gate_e' AND g.edit_id = e.edit_id"))
+@query("joi15_quality_block", _ev(_LATEST + f"""SELECT e.obj_id, e.edit_id, coalesce(a.score, CASE WHEN starts_with(e.edit_id, 'add_') THEN p.score END) AS alignment, g.score AS quality,
+ NOT EXISTS (SELECT 1 FROM latest f WHERE f.edit_id = e.edit_id AND starts_with(f.stage, 'gate') AND f.status = 'fail') AS final_pass {_OF} {_PAIR} LEFT JOIN latest g ON g.stage = 'gate_e' AND g.edit_id = e.edit_id"""))
 def joi15(s, d):
     return choice.quality_block(_state(s, d))
 
@@ -100,8 +102,7 @@ def agg18(s, d):
 
 @query("joi1_plan_with_gate", _ev(_LATEST + "SELECT e.obj_id, e.edit_id, a.best_view, a.status " + _OF))
 def joi1(s, d):
-    found = _state(s, d)
-    return choice.with_gate(found.select("obj_id", "edit_id").distinct(), found, "gate_a").select("obj_id", "edit_id", "best_view", "status")
+    return choice.gate_record(_state(s, d), "gate_a")
 
 
 @query("joi6_unscored", _ev("""SELECT obj_id, edit_id FROM (SELECT DISTINCT obj_id, edit_id FROM fx_stage_events) e
@@ -114,5 +115,5 @@ def joi6(s, d):
 
 @query("set3_merged_manifests", _ev(_LATEST + """SELECT edit_id, obj_id, arg_min(tag, tag) AS tag FROM (SELECT edit_id, obj_id, stage AS tag FROM latest WHERE stage IN ('gate_c', 'gate_e') AND status = 'pass') GROUP BY ALL"""))
 def set3(s, d):
-    passed = lambda g: _state(s, d).where((F.col("stage") == g) & (F.col("status") == "pass")).select("edit_id", "obj_id", F.col("stage").alias("tag"))
-    return choice.merged_manifests([passed("gate_c"), passed("gate_e")], ["obj_id", "edit_id"])
+    passed = stored(_state(s, d).where(F.col("stage").isin("gate_c", "gate_e") & (F.col("status") == "pass")).select("edit_id", "obj_id", F.col("stage").alias("tag")))
+    return choice.merged_manifests([passed.where(F.col("tag") == g) for g in ("gate_c", "gate_e")], ["obj_id", "edit_id"])

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.operators import edits, grid, judging, state
+from pairloom.operators import edits, grid, judging, order, state
 from pairloom.plans.fixtures import fixture, with_fixtures
 from pairloom.plans.registry import query
 
@@ -48,12 +48,14 @@ def key6(s, d):
 def key7(s, d):
     from pairloom.session import table
 
-    return edits.range_shards(table(s, d, "orders").select("o_orderkey").distinct(), "o_orderkey", 7).withColumn("slice", F.pmod("idx", F.lit(4)))
+    at = order.shards(table(s, d, "orders").select("o_orderkey").distinct(), "o_orderkey", 7)
+    return at.select("o_orderkey", F.col("rn").alias("idx"), F.col("shard").cast("long").alias("shard"), F.pmod("rn", F.lit(4)).alias("slice"))
 
 
-@query("key9_voxel_key", with_fixtures("SELECT pair_id, CAST(x AS BIGINT) * 1024 + y * 32 + z AS key FROM fx_voxels", "fx_voxels"))
+@query("key9_voxel_key", with_fixtures("SELECT pair_id, CAST(x AS BIGINT) * 1024 + y * 32 + z AS key, x, y, z FROM fx_voxels", "fx_voxels"))
 def key9(s, d):
-    return fixture(s, d, "fx_voxels").select("pair_id", grid.cell_key(32).alias("key"))
+    keyed = fixture(s, d, "fx_voxels").select("pair_id", grid.cell_key(32).alias("key"))
+    return keyed.select("pair_id", "key", *grid.cell_of(F.col("key"), 32))
 
 
 @query("flt1_invalid_parts", with_fixtures("SELECT e.obj_id, edit_idx, CAST((SELECT count(*) FROM (SELECT pid1 AS p UNION SELECT pid2) q WHERE NOT EXISTS (SELECT 1 FROM fx_parts f WHERE f.obj_id = e.obj_id AND f.part_id = q.p)) AS INT) AS n_invalid FROM fx_edits e", "fx_edits", "fx_parts"))
@@ -66,27 +68,28 @@ def flt3(s, d):
     return edits.repeated_edits(fixture(s, d, "fx_edits")).select("obj_id", "edit_idx", "nth")
 
 
-@query("txt1_invert_prompt", _edits("""WITH p AS (SELECT DISTINCT prompt FROM fx_edits), a AS (SELECT prompt, CASE
- WHEN starts_with(lower(prompt), 'get rid of ') THEN 'Add' || substr(prompt, 11) WHEN starts_with(lower(prompt), 'remove ') THEN 'Add' || substr(prompt, 7)
- WHEN contains(lower(prompt), ' remove ') THEN substr(prompt, 1, instr(lower(prompt), ' remove ') - 1) || ' add ' || substr(prompt, instr(lower(prompt), ' remove ') + 8) ELSE 'Add back ' || prompt END AS o FROM p)
- SELECT prompt, CASE WHEN instr(o, ' from ') > 0 THEN substr(o, 1, instr(o, ' from ') - 1) || ' to ' || substr(o, instr(o, ' from ') + 6) ELSE o END AS inverse FROM a"""))
+_VERBS = "".join(f" WHEN starts_with(lower(p), '{v}') THEN 'Add' || substr(p, {len(v) + 1}) WHEN contains(lower(p), ' {v} ') THEN substr(p, 1, instr(lower(p), ' {v} ')) || 'add' || substr(p, instr(lower(p), ' {v} ') + {len(v) + 1})" for v in edits.REMOVE_VERBS)
+_INVERT = f"SELECT prompt, CASE WHEN p = '' THEN '' WHEN instr(o, ' from ') > 0 THEN substr(o, 1, instr(o, ' from ') - 1) || ' to ' || substr(o, instr(o, ' from ') + 6) ELSE o END AS inverse FROM (SELECT prompt, p, CASE {_VERBS} ELSE 'Add back ' || p END AS o FROM (SELECT prompt, trim(prompt) AS p FROM (SELECT DISTINCT prompt FROM fx_edits)))"
+
+
+@query("txt1_invert_prompt", _edits(_INVERT))
 def txt1(s, d):
     return fixture(s, d, "fx_edits").select("prompt").distinct().select("prompt", edits.invert_prompt(F.col("prompt")).alias("inverse"))
 
 
-_QUOTA = "CAST(greatest(1, least(8, ceil(n / 2.5))) AS INT) AS q_deletion, CAST(greatest(1, least(8, ceil(n / 2))) AS INT) AS q_modification, CASE WHEN n < 8 THEN 1 ELSE 2 END AS q_scale, CASE WHEN n < 8 THEN 1 ELSE 2 END AS q_material, CASE WHEN n < 8 THEN 1 ELSE 2 END AS q_color, 2 AS q_global"
+_QUOTA = "CAST(greatest(1, least(8, ceil(n / 2.5))) AS INT) AS q_deletion, CAST(greatest(1, least(8, ceil(n / 2))) AS INT) AS q_modification, CASE WHEN n < 8 THEN 1 ELSE 2 END AS q_scale, CASE WHEN n % 5 = 0 THEN 0 WHEN n < 8 THEN 1 ELSE 2 END AS q_material, CASE WHEN n % 5 = 0 THEN 0 WHEN n < 8 THEN 1 ELSE 2 END AS q_color, 2 AS q_global"
 
 
 @query("mat1_quota", with_fixtures(f"SELECT obj_id, n, {_QUOTA} FROM (SELECT obj_id, count(*) AS n FROM fx_parts GROUP BY obj_id)", "fx_parts"))
 def mat1(s, d):
     n = fixture(s, d, "fx_parts").groupBy("obj_id").agg(F.count(F.lit(1)).alias("n"))
-    return n.select("obj_id", "n", *[v.alias(k) for k, v in edits.quota(F.col("n")).items()])
+    return n.select("obj_id", "n", *[v.alias(k) for k, v in edits.quota(F.col("n"), F.col("n") % 5 == 0).items()])
 
 
 @query("mat2_halved_quota", with_fixtures(f"SELECT obj_id, greatest(1, q_deletion // 2) AS q_deletion, greatest(1, q_modification // 2) AS q_modification, q_scale // 2 AS q_scale, q_material // 2 AS q_material, q_color // 2 AS q_color, 1 AS q_global FROM (SELECT obj_id, {_QUOTA} FROM (SELECT obj_id, count(*) AS n FROM fx_parts GROUP BY obj_id))", "fx_parts"))
 def mat2(s, d):
     n = fixture(s, d, "fx_parts").groupBy("obj_id").agg(F.count(F.lit(1)).alias("n"))
-    return n.select("obj_id", *[v.alias(k) for k, v in edits.halved(edits.quota(F.col("n"))).items()])
+    return n.select("obj_id", *[v.alias(k) for k, v in edits.halved(edits.quota(F.col("n"), F.col("n") % 5 == 0)).items()])
 
 
 @query("win1_latest_stage", with_fixtures(_LATEST + "SELECT obj_id, edit_id, stage, status, best_view, score FROM latest", "fx_stage_events"))
@@ -101,14 +104,14 @@ def agg2(s, d):
     return state.stage_funnel(_state(s, d))
 
 
-@query("agg1_status_histogram", with_fixtures(_LATEST + "SELECT stage, status, count(*) AS n FROM latest GROUP BY stage, status", "fx_stage_events"))
+@query("agg1_status_histogram", with_fixtures(_LATEST + "SELECT stage, coalesce(status, '?') AS status, count(*) AS n, count(DISTINCT obj_id) AS objects FROM latest GROUP BY stage, coalesce(status, '?')", "fx_stage_events"))
 def agg1(s, d):
-    return _state(s, d).groupBy("stage", "status").agg(F.count(F.lit(1)).alias("n"))
+    return _state(s, d).groupBy("stage", F.coalesce("status", F.lit("?")).alias("status")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("obj_id").alias("objects"))
 
 
-@query("agg9_object_badges", with_fixtures(_LATEST + "SELECT obj_id, stage, count(*) AS total, count_if(status IN ('pass', 'done', 'ok')) AS ok, count_if(status = 'fail') AS fail FROM latest GROUP BY obj_id, stage", "fx_stage_events"))
+@query("agg9_object_badges", with_fixtures(_LATEST + "SELECT obj_id, stage, count(*) AS total, count_if(status IN ('pass', 'done', 'ok')) AS ok, count_if(status = 'fail') AS fail, CASE WHEN stage = 'gate_e' THEN round(count_if(status = 'pass') / count(*), 6) END AS pass_rate FROM latest GROUP BY obj_id, stage", "fx_stage_events"))
 def agg9(s, d):
-    return _state(s, d).groupBy("obj_id", "stage").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("status").isin("pass", "done", "ok")).alias("ok"), F.count_if(F.col("status") == "fail").alias("fail"))
+    return _state(s, d).groupBy("obj_id", "stage").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("status").isin("pass", "done", "ok")).alias("ok"), F.count_if(F.col("status") == "fail").alias("fail"), F.when(F.col("stage") == "gate_e", F.round(F.count_if(F.col("status") == "pass") / F.count(F.lit(1)), 6)).alias("pass_rate"))
 
 
 @query("sta1_gate_view", with_fixtures(_WIDE + "SELECT obj_id, edit_id, gate_a, gate_c, gate_e, CASE WHEN gate_a = 'fail' THEN 'gate_a' WHEN gate_c = 'fail' THEN 'gate_c' WHEN gate_e = 'fail' THEN 'gate_e' END AS fail_gate, NOT coalesce(gate_a = 'fail' OR gate_c = 'fail' OR gate_e = 'fail', false) AS final_pass FROM wide", "fx_stage_events"))
@@ -121,11 +124,21 @@ def flt9(s, d):
     return state.accept_generated(state.gates(_state(s, d)).where("edit_id LIKE 'mod\\_%'")).select("edit_id", "reason", "accepted")
 
 
-@query("joi3_needs_stage", with_fixtures(_LATEST + "SELECT DISTINCT obj_id, edit_id FROM latest l WHERE (starts_with(edit_id, 'add_') OR EXISTS (SELECT 1 FROM latest g WHERE g.edit_id = l.edit_id AND g.stage = 'gate_c' AND g.status = 'pass')) AND NOT EXISTS (SELECT 1 FROM latest o WHERE o.edit_id = l.edit_id AND o.stage = 's5' AND o.status <> 'error')", "fx_stage_events"))
+_DUE = """SELECT obj_id, edit_id FROM (SELECT obj_id, edit_id, count_if(stage = 's5') AS seen, max(status) FILTER (stage = 's5') AS own, max(status) FILTER (stage = '{g}') AS gate FROM latest GROUP BY obj_id, edit_id)
+ WHERE (gate = 'pass' OR ('{g}' = 'gate_a' AND starts_with(edit_id, 'add_'))) AND (seen = 0 OR own = 'error')"""
+
+
+@query("joi3_needs_stage", with_fixtures(_LATEST + _DUE.format(g="gate_c"), "fx_stage_events"))
 def joi3(s, d):
     return state.needs_stage(_state(s, d), "s5", "gate_c")
 
 
+@query("joi3_joi5_after_gate_a", with_fixtures(_LATEST + _DUE.format(g="gate_a"), "fx_stage_events"))
+def joi3_without_gate_c(s, d):
+    """The gate before s5 where only the text gate is switched on."""
+    return state.needs_stage(_state(s, d), "s5", state.prerequisites({"gate_text_align", "gate_quality"})["s5"])
+
+
 _P1 = "coalesce(edit_executed, false) AND visual_quality >= 3 AND correct_region AND preserve_other"
 
 
@@ -146,8 +159,9 @@ def mat3(s, d):
 @query("agg5_6_tier_summary", with_fixtures(f"WITH t AS (SELECT edit_type, CASE WHEN NOT coalesce(edit_executed, false) THEN 'negative' WHEN s >= 0.8 THEN 'high' WHEN s >= 0.6 THEN 'medium' WHEN s >= 0.4 THEN 'low' ELSE 'negative' END AS tier FROM (SELECT *, {_SCORE} AS s FROM fx_judge)) SELECT edit_type, tier, count(*) AS n, round(count(*) / (SELECT count(*) FROM t), 6) AS part FROM t GROUP BY GROUPING SETS ((), (tier), (edit_type), (edit_type, tier))", "fx_judge"))
 def agg5(s, d):
     t = fixture(s, d, "fx_judge").select("edit_type", judging.tier(judging.composite(), F.coalesce("edit_executed", F.lit(False))).alias("tier"))
-    total = t.agg(F.count(F.lit(1)).alias("total"))
-    return t.cube("edit_type", "tier").agg(F.count(F.lit(1)).alias("n")).crossJoin(total).select("edit_type", "tier", "n", F.round(F.col("n") / F.col("total"), 6).alias("part"))
+    counts = t.groupBy("edit_type", "tier").agg(F.count(F.lit(1)).alias("n"))  # a row for each type and tier: from here on all is small
+    total = F.max(F.sum("n")).over(Window.partitionBy())
+    return counts.cube("edit_type", "tier").agg(F.sum("n").alias("n"), F.round(F.sum("n") / total, 6).alias("part"))
 
 
 @query("agg8_benchmark_summary", with_fixtures("SELECT edit_type, round(avg(visual_quality), 6) AS mean, round(stddev_pop(visual_quality), 6) AS std, count(visual_quality) AS n FROM fx_judge GROUP BY edit_type", "fx_judge"))
@@ -162,8 +176,6 @@ def agg19(s, d):
 
 @query("lim1_type_quota", _edits(_IDS + "SELECT edit_id, edit_type, nth FROM (SELECT edit_id, edit_type, CAST(row_number() OVER (PARTITION BY edit_type ORDER BY obj_id, seq) AS INT) AS nth FROM named WHERE after_desc <> '') WHERE nth <= 50"))
 def lim1(s, d):
-    from pyspark.sql import Window
-
     e = edits.assign_ids(fixture(s, d, "fx_edits")).where("after_desc <> ''")
     return e.select("edit_id", "edit_type", F.row_number().over(Window.partitionBy("edit_type").orderBy("obj_id", "seq")).alias("nth")).where("nth <= 50")
 
@@ -176,6 +188,7 @@ def _vox(sql: str) -> str:
 
 
 def _region(cells: DataFrame) -> DataFrame:
+    """The cells are stored once: dilation and what is taken from it both start from them."""
     return grid.part_region(cells, 3, 1, 32)
 
 

@@ -29,20 +29,37 @@ FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "fx_judge": """SELECT d.doc_id AS edit_no, CASE d.doc_id % 6 WHEN 0 THEN 'deletion' WHEN 1 THEN 'modification' WHEN 2 THEN 'scale' WHEN 3 THEN 'material' WHEN 4 THEN 'color' ELSE 'global' END AS edit_type,
        l.quality = 1 AS edit_executed, d.n_chars % 4 <> 0 AS correct_region, d.doc_id % 5 <> 0 AS preserve_other, CAST(1 + d.n_chars % 5 AS INT) AS visual_quality, l.toxic = 0 AS artifact_free,
        CAST(1 + d.n_chars % 6 AS INT) AS mesh_quality, CASE WHEN d.doc_id % 7 = 0 THEN NULL ELSE CAST(d.doc_id % 4 AS INT) END AS edit_strength FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+    "fx_gate_a": """SELECT obj_id, edit_idx, CASE (pid1 + edit_idx) % 5 WHEN 0 THEN 'fail' WHEN 1 THEN 'deferred' ELSE 'pass' END AS status,
+       CASE WHEN (pid2 + edit_idx) % 6 = 0 THEN NULL ELSE (pid1 + pid2) % 6 END AS best_view FROM fx_edits WHERE (pid1 + pid2) % 11 <> 0""",
+    "fx_assets": """SELECT obj_id, edit_id, min(seq) % 5 <> 0 AS has_before, max(seq) % 4 <> 0 AS has_after, count(*) % 6 <> 0 AS has_image,
+       max(seq) % 3 <> 0 AS has_latent, CAST(max(seq) % 40 AS INT) AS n_rows, CAST(min(seq) % 40 AS INT) AS n_stored FROM fx_stage_events GROUP BY obj_id, edit_id""",
+    "fx_verdicts": """SELECT obj_id, edit_id, stage AS gate, max_by(status, seq) AS status, max(seq) % 3 = 0 AS has_verdict, CASE WHEN max(seq) % 2 = 0 THEN max(seq) % 5 <> 0 END AS rule_pass,
+       CASE max(seq) % 4 WHEN 0 THEN 'prompt_too_short' WHEN 2 THEN 'verb_conflict' END AS rule_code, CASE WHEN max(seq) % 7 <> 0 THEN max(seq) % 8 <> 1 END AS vlm_pass,
+       CASE WHEN max(seq) % 9 <> 0 THEN 'reason ' || CAST(max(seq) % 50 AS STRING) END AS vlm_reason, CASE WHEN max(seq) % 6 = 0 THEN max(seq) % 12 = 0 END AS legacy_pass
+       FROM fx_stage_events WHERE stage IN ('gate_a', 'gate_c', 'gate_e') GROUP BY obj_id, edit_id, stage""",
+    "fx_sides": """SELECT pair_id, 0 AS side, x, y, z, part_id, f0 / 50 AS f0, f1 / 100000 AS f1, f2, f3 FROM fx_voxels WHERE in_before = 1 OR pair_id % 4 = 0
+       UNION ALL SELECT pair_id, 1 AS side, x, y, z, part_id, f0 / 50 + (x % 4) * (pair_id % 3) / 10 AS f0, f1 / 100000 AS f1, f2, f3 FROM fx_voxels WHERE in_after = 1 OR pair_id % 4 = 0""",
 }
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = SQL[name]
-    used = [t for t in TABLES if re.search(rf"(FROM|JOIN) {t}\b", text)]
+    used = [t for t in (*TABLES, *SQL) if re.search(rf"(FROM|JOIN) {t}\b", text)]
     for t in used:
         text = re.sub(rf"(FROM|JOIN) {t}\b", rf"\1 {{{t}}}", text)
-    return spark.sql(text, **{t: table(spark, sf_dir, t) for t in used})
+    return spark.sql(text, **{t: fixture(spark, sf_dir, t) if t in SQL else table(spark, sf_dir, t) for t in used})
+
+
+def _needed(names: tuple[str, ...]) -> set[str]:
+    below = {n for name in names for n in SQL if re.search(rf"(FROM|JOIN) {n}\b", SQL[name])}
+    return set(names) | (_needed(tuple(below)) if below else set())
 
 
 def with_fixtures(sql: str, *names: str) -> str:
     """DuckDB SQL that starts with the fixtures' common table expressions."""
-    head = ", ".join(f"{n} AS ({SQL[n]})" for n in names)
+    every = [n for n in SQL if n in _needed(names)]
+    head = ", ".join(f"{n} AS MATERIALIZED ({SQL[n]})" for n in every)
     sql = sql.strip()
-    return f"WITH {head}, {sql[5:]}" if sql.upper().startswith("WITH ") else f"WITH {head} {sql}"
+    recursive, sql = sql.upper().startswith("WITH RECURSIVE "), re.sub("^WITH RECURSIVE ", "WITH ", sql)
+    return f"WITH {'RECURSIVE ' if recursive else ''}{head}, {sql[5:]}" if sql.upper().startswith("WITH ") else f"WITH {head} {sql}"

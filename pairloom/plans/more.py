@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pairloom.operators import grid, judging, metrics, order, state
-from pairloom.plans.core import _LATEST, _REGION, _SCORE, _WIDE, _region, _state, _vox
+from pairloom.plans.core import _DUE, _LATEST, _REGION, _SCORE, _WIDE, _region, _state, _vox
 from pairloom.plans.fixtures import fixture, with_fixtures
 from pairloom.plans.registry import query
 from pairloom.session import table
@@ -70,12 +70,12 @@ def str4(s, d):
 @query("joi17_run_comparison", with_fixtures(_WIDE + """SELECT obj_id, count_if(a AND NOT b) AS pass_to_fail, count_if(b AND NOT a) AS fail_to_pass, count(*) AS n FROM
  (SELECT obj_id, coalesce(gate_c = 'pass', false) AS a, coalesce(gate_e = 'pass', false) AS b FROM wide WHERE gate_c IS NOT NULL OR gate_e IS NOT NULL) GROUP BY obj_id""", "fx_stage_events"))
 def joi17(s, d):
-    run = lambda g, c: _state(s, d).where(F.col("stage") == g).select("obj_id", "edit_id", (F.col("status") == "pass").alias(c))
-    both = run("gate_c", "a").join(run("gate_e", "b"), ["obj_id", "edit_id"], "full_outer").na.fill(False, ["a", "b"])
+    run = lambda g, c: F.coalesce(F.max(F.when(F.col("stage") == g, F.col("status") == "pass")), F.lit(False)).alias(c)
+    both = _state(s, d).where(F.col("stage").isin("gate_c", "gate_e")).groupBy("obj_id", "edit_id").agg(run("gate_c", "a"), run("gate_e", "b"))
     return both.groupBy("obj_id").agg(F.count_if(F.col("a") & ~F.col("b")).alias("pass_to_fail"), F.count_if(F.col("b") & ~F.col("a")).alias("fail_to_pass"), F.count(F.lit(1)).alias("n"))
 
 
-@query("joi4_agg10_pending_weight", with_fixtures(_LATEST + "SELECT obj_id, count(DISTINCT edit_id) AS pending FROM latest l WHERE (starts_with(edit_id, 'add_') OR EXISTS (SELECT 1 FROM latest g WHERE g.edit_id = l.edit_id AND g.stage = 'gate_c' AND g.status = 'pass')) AND NOT EXISTS (SELECT 1 FROM latest o WHERE o.edit_id = l.edit_id AND o.stage = 's5' AND o.status <> 'error') GROUP BY obj_id", "fx_stage_events"))
+@query("joi4_agg10_pending_weight", with_fixtures(_LATEST + f"SELECT obj_id, count(*) AS pending FROM ({_DUE.format(g='gate_c')}) GROUP BY obj_id", "fx_stage_events"))
 def joi4(s, d):
     return state.needs_stage(_state(s, d), "s5", "gate_c").groupBy("obj_id").agg(F.count(F.lit(1)).alias("pending"))
 
@@ -86,10 +86,44 @@ def agg12(s, d):
     return state.gates(_state(s, d)).groupBy("obj_id").agg(F.count(F.lit(1)).alias("expected"), found.alias("found"), (F.count(F.lit(1)) == found).alias("ok"))
 
 
-@query("agg7_score_summary", with_fixtures(f"SELECT edit_type, count(*) AS n, round(avg(s), 6) AS mean, round(median(s), 6) AS median FROM (SELECT *, {_SCORE} AS s FROM fx_judge) GROUP BY edit_type", "fx_judge"))
+_RATES = {"edit_executed": "executed", "correct_region": "region", "preserve_other": "preserve", "artifact_free": "artifact"}
+
+
+@query("agg7_score_summary", with_fixtures("SELECT edit_type, count(*) AS n, count_if(s >= 0.6) AS passed, round(count_if(s >= 0.6) / count(*), 6) AS pass_rate, round(avg(s), 6) AS mean, round(median(s), 6) AS median, "
+ + ", ".join(f"round(count_if({c}) / count(*), 6) AS rate_{n}" for c, n in _RATES.items()) + f" FROM (SELECT *, {_SCORE} AS s FROM fx_judge) GROUP BY GROUPING SETS ((), (edit_type))", "fx_judge"))
 def agg7(s, d):
-    j = fixture(s, d, "fx_judge").withColumn("s", judging.composite())
-    return j.groupBy("edit_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("s"), 6).alias("mean"), F.round(F.percentile("s", 0.5), 6).alias("median"))
+    j, n = fixture(s, d, "fx_judge").withColumn("s", judging.composite()), F.count(F.lit(1))
+    rates = [F.round(F.count_if(c) / n, 6).alias(f"rate_{name}") for c, name in _RATES.items()]
+    passed = F.count_if(F.col("s") >= 0.6)
+    return j.rollup("edit_type").agg(n.alias("n"), passed.alias("passed"), F.round(passed / n, 6).alias("pass_rate"), F.round(F.avg("s"), 6).alias("mean"), F.round(F.percentile("s", 0.5), 6).alias("median"), *rates)
+
+
+_VIEW = """WITH o AS (SELECT *, has_verdict AND (rule_pass IS NOT NULL OR vlm_pass IS NOT NULL) AS own FROM fx_verdicts),
+ p AS (SELECT *, CASE WHEN own THEN rule_pass END AS r, CASE WHEN own THEN vlm_pass WHEN status IN ('pass', 'fail') THEN status = 'pass' ELSE legacy_pass END AS v, CASE WHEN own THEN vlm_reason WHEN status IN ('pass', 'fail') THEN 'from_stage_status' END AS why FROM o),
+ q AS (SELECT obj_id, edit_id, gate, CASE WHEN NOT r THEN coalesce(rule_code, 'rule_fail') WHEN NOT v THEN coalesce(why, 'vlm_fail')[1:80] END AS reason FROM p),
+ w AS (SELECT obj_id, edit_id, max(reason) FILTER (gate = 'gate_a') AS ra, max(reason) FILTER (gate = 'gate_c') AS rc, max(reason) FILTER (gate = 'gate_e') AS re FROM q GROUP BY obj_id, edit_id),
+ view AS (SELECT obj_id, edit_id, ra IS NULL AS a, rc IS NULL AS c, re IS NULL AS e, CASE WHEN ra IS NOT NULL THEN 'A' WHEN rc IS NOT NULL THEN 'C' WHEN re IS NOT NULL THEN 'E' END AS fail_gate, coalesce(ra, rc, re) AS fail_reason, coalesce(ra, rc, re) IS NULL AS final_pass FROM w) """
+
+
+@query("sta1_win6_flt7_verdict_view", with_fixtures(_VIEW + "SELECT * FROM view", "fx_verdicts"))
+def sta1(s, d):
+    return state.verdict_view(fixture(s, d, "fx_verdicts"))
+
+
+@query("sta7_failure_flags", with_fixtures(_VIEW + "SELECT DISTINCT e.obj_id, e.edit_id, coalesce(NOT final_pass, false) AS edit_failed, coalesce(NOT a, false) AS gate_a_failed FROM fx_stage_events e LEFT JOIN view USING (edit_id)", "fx_verdicts", "fx_stage_events"))
+def sta7(s, d):
+    """Edits without any gate have failed none."""
+    view = state.verdict_view(fixture(s, d, "fx_verdicts")).select("edit_id", "final_pass", "a")
+    every = fixture(s, d, "fx_stage_events").select("obj_id", "edit_id").distinct()
+    return every.join(view, "edit_id", "left").select("obj_id", "edit_id", F.coalesce(~F.col("final_pass"), F.lit(False)).alias("edit_failed"), F.coalesce(~F.col("a"), F.lit(False)).alias("gate_a_failed"))
+
+
+_GATE_COLUMNS = ", ".join(f"max({c}) FILTER (stage = '{g}') AS {g}_{c}" for g in ("gate_a", "gate_c", "gate_e") for c in ("status", "ts", "score"))
+
+
+@query("sta4_gate_summary", with_fixtures(_LATEST + f"SELECT *, NOT coalesce(gate_a_status = 'fail' OR gate_c_status = 'fail' OR gate_e_status = 'fail', false) AS final_pass FROM (SELECT obj_id, edit_id, {_GATE_COLUMNS} FROM latest GROUP BY obj_id, edit_id)", "fx_stage_events"))
+def sta4(s, d):
+    return state.gate_summary(_state(s, d))
 
 
 @query("win5_object_shuffle", with_fixtures("SELECT obj_id, edit_idx, md5('7:' || obj_id) AS object_key, CAST(row_number() OVER (PARTITION BY obj_id ORDER BY md5('7:' || obj_id || ':' || CAST(edit_idx AS VARCHAR)), edit_idx) AS INT) AS place FROM fx_edits", "fx_edits"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,20 +10,29 @@ _BAD = "_corrupt"
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(records, malformed lines). Blank lines are neither; a line that is no object is malformed."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
+    """(records, malformed lines). Blank lines are neither; a line that is no object is malformed. A path where there is
+    nothing has no records."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop)
+    lines = (spark.read.text(path) if found else spark.range(0).select(F.lit("").alias("value"))).where(F.trim("value") != "")
     with_bad = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
     parsed = lines.select("value", F.from_json("value", with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}).alias("r"))
     bad = F.col(f"r.{_BAD}").isNotNull() | F.col("r").isNull() | ~F.ltrim("value").startswith("{")
     return parsed.where(~bad).select("r.*").drop(_BAD), parsed.where(bad).select(F.col("value").alias("line"))
 
 
-def append(records: DataFrame, path: str) -> None:
-    """Add records; readers see all of them or none."""
-    records.write.mode("append").partitionBy("edit_type", "shard").parquet(path)
+def append(records: DataFrame, path: str) -> int:
+    """Add records and tell how many. A reader that comes while the job commits its files can see part of them; streams
+    of records should use streaming.append_manifest, whose log prevents that."""
+    seen = Observation()
+    records.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy("edit_type", "shard").parquet(path)
+    return seen.get["n"]
 
 
-def rewrite(records: DataFrame, path: str) -> None:
-    """Replace the partitions that records are in, and no others; rows of a partition go to one folder, sorted."""
-    ordered = records.repartition("edit_type", "shard", "obj_id").sortWithinPartitions("edit_type", "shard", "obj_id")
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("edit_type", "shard").parquet(path)
+def rewrite(records: DataFrame, path: str, whole: bool = False) -> int:
+    """Replace the partitions that records are in, or the whole manifest, and tell how many records there are. An
+    object's rows of a partition go to one file, sorted."""
+    seen = Observation()
+    ordered = records.observe(seen, F.count(F.lit(1)).alias("n")).repartition("edit_type", "shard", "obj_id").sortWithinPartitions("edit_type", "shard", "obj_id")
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic").partitionBy("edit_type", "shard").parquet(path)
+    return seen.get["n"]

@@ -17,16 +17,50 @@ def hourly(events: DataFrame, late: str = "10 minutes") -> DataFrame:
     return counts.select(F.col("w.start").alias("hour"), "stage", "status", "n")
 
 
+def _telling(events: DataFrame) -> DataFrame:
+    """Of each edit's and stage's events those that its latest state comes from: the last one, the last one with a
+    best_view and the last one with a score. At most three, so a batch shrinks to its keys and loses nothing."""
+    row = F.struct("ts", "seq", "status", "best_view", "score")
+    last = lambda c: F.max(F.when(F.col(c).isNotNull(), row)) if c else F.max(row)
+    kept = events.groupBy("obj_id", "edit_id", "stage").agg(F.array(last(""), last("best_view"), last("score")).alias("rows"))
+    return kept.select("obj_id", "edit_id", "stage", F.explode(F.array_distinct(F.array_compact("rows"))).alias("r")).select("obj_id", "edit_id", "stage", "r.*")
+
+
 def follow_state(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep the latest state of each edit and stage from a stream of events. Each micro-batch is reduced to its own
-    latest records and written as one folder named by its batch id, so that a batch that is run again overwrites
-    itself; read_state() resolves the folders."""
+    """Keep the latest state of each edit and stage from a stream of events, whatever order they come in. Each
+    micro-batch is reduced to its telling events and written as one folder named by its batch id, so that a batch that
+    is run again overwrites itself; read_state() resolves the folders, compact_state() makes one of them."""
 
     def write(batch: DataFrame, number: int) -> None:
-        latest(batch).withColumn("seq", F.lit(number)).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        _telling(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def read_state(spark, path: str) -> DataFrame:
     return latest(spark.read.parquet(path).drop("batch"))
+
+
+def compact_state(spark, path: str, target: str) -> None:
+    """What read_state() reads of path, in as few rows, as a folder of its own that can stand for it."""
+    _telling(spark.read.parquet(path).drop("batch")).write.mode("overwrite").parquet(f"{target}/batch=-1")
+
+
+def append_manifest(records: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """A stream of records as a manifest partitioned by edit_type and shard. The sink's log names the files of each
+    finished batch: Spark's readers see whole batches, each once, however often one is run again."""
+    return records.writeStream.format("parquet").partitionBy("edit_type", "shard").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def gated_plans(plans: DataFrame, parts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Check each planned edit by rule as soon as its plan arrives: a stream of plans (obj_id, edit_idx, edit_type, pids,
+    prompt, target_part_desc, new_part_desc) joined to the parts (obj_id, part_id) of all objects."""
+    from pairloom.operators.rules import rule_codes
+
+    return rule_codes(plans, parts).writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def scored_once(scores: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """A stream of scores (edit_id, ...) where each edit is kept at its first score: after a restart the known ids are
+    in the stream's state, so nothing is scored twice."""
+    return scores.dropDuplicates(["edit_id"]).writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
