@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.text import salted, whole
+from pairloom.llm.text import let, salted, whole
 from pairloom.session import stored
 
 #: Distinct texts from which a template recurs; tokens from which a line has a template; leading tokens that the tree
@@ -17,61 +17,89 @@ _LAST = (1 << 63) - 1
 def _mask(line: Column) -> Column:
     """The line with each token that holds a digit as a variable field."""
     line = F.trim(line)
-    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"\S*[0-9]\S*", "<*>")).otherwise(line)
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"(?<!\S)[^\s0-9]*+[0-9]\S*", "<*>")).otherwise(line)
 
 
-def _tokens(masked: Column) -> Column:
-    return F.split(masked, r"\s+")
+def _once(name: str, value: Column) -> Column:
+    """value as a column of its own, computed once a row: conditions on it aren't moved below it and computed again."""
+    return F.explode(F.array(value)).alias(name)
+
+
+def _lines(docs: DataFrame, *columns: str) -> DataFrame:
+    """columns, pos, masked, tokens of each line that isn't blank; the text itself is left behind."""
+    each = docs.select(*columns, F.split("text", "\n").alias("x")).select(*columns, F.posexplode("x").alias("pos", "x"))
+    each = each.select(*columns, "pos", "x", _once("masked", _mask(F.col("x")))).where("masked <> ''")
+    return each.select(*columns, "pos", "x", "masked", _once("tokens", F.split("masked", r"\s+")))
 
 
 def _index(docs: DataFrame, min_tokens: int, depth: int) -> DataFrame:
-    """doc, digest (of the text), line, n (tokens), leaf for each line that has a template: hashes only, stored, as all
-    that follows starts from them."""
+    """doc, digest (of the text), pos (of the line), line, n (tokens), leaf (null: none) for each line that can recur:
+    hashes only, stored, as all that follows starts from them. A line of figures is all variable fields and would be a
+    template of any other: it stands for itself, with its figures."""
     rows = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), whole().alias("text"))
-    rows = rows.select("doc", F.xxhash64("text").alias("digest"), F.explode(F.split("text", "\n")).alias("x"))
-    rows = rows.select("doc", "digest", _mask(F.col("x")).alias("masked")).where("masked <> ''")
-    rows = rows.select("doc", "digest", "masked", _tokens(F.col("masked")).alias("tokens")).where(F.size("tokens") >= min_tokens)
-    # rows of figures are all variable fields: no template
-    rows = rows.where(F.size(F.filter("tokens", lambda t: t != "<*>")) * 2 >= F.size("tokens"))
-    return stored(rows.select("doc", "digest", F.xxhash64("masked").alias("line"), F.size("tokens").alias("n"), F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf")))
+    rows = _lines(rows.select("doc", F.xxhash64("text").alias("digest"), "text"), "doc", "digest").where(F.size("tokens") >= min_tokens)
+    words = F.size(F.filter("tokens", lambda t: t != "<*>"))
+    rows = rows.select("doc", "digest", "pos", "x", "masked", "tokens", _once("prose", words * 2 >= F.size("tokens")))
+    line = F.when(F.col("prose"), F.xxhash64("masked")).otherwise(F.xxhash64(F.trim("x"), F.lit(0)))
+    return stored(rows.select("doc", "digest", "pos", line.alias("line"), F.size("tokens").alias("n"), F.when(F.col("prose"), F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth))).alias("leaf")))
+
+
+def _templates(distinct: DataFrame, depth: int, fixed: float) -> DataFrame:
+    """distinct lines (leaf, line, tokens) -> leaf, line, template (a hash of its fixed tokens by position) of those
+    that have one.
+
+    A position's support is how many distinct lines of the leaf have the same token there. The least support among the
+    best-supported `fixed` of a line's positions is the size that its template can have; what has half of that at least
+    (and is not in this line alone) is fixed, the rest are variable fields. Lines of equal fixed tokens are instances of
+    one template, if they are at least half as many as that size: else its tokens are common ones that happen to meet.
+    So a leaf holds any number of templates, and lines that have nothing to do with them don't count.
+    """
+    spots = distinct.select("leaf", "line", F.size("tokens").alias("n"), F.posexplode("tokens").alias("pos", "token"))
+    later = spots.where(F.col("pos") >= depth).select("leaf", "line", "n", "pos", "token", F.xxhash64("leaf", "pos", "token").alias("spot"))
+    support = later.groupBy("spot").agg(F.count(F.lit(1)).alias("c")).where("c >= 2")
+    counted = later.join(support, "spot")  # a token that all lines of a large leaf share is left to AQE's splitting
+    of_line = counted.groupBy("leaf", "line", "n").agg(F.sort_array(F.collect_list(F.struct("c", "pos", "token")), asc=False).alias("spots"))
+    # the leading tokens, which all lines of a leaf share, are fixed; one more has to be at least
+    rank = F.greatest(F.ceil(F.col("n") * fixed).cast("int") - depth, F.lit(1))
+    size = F.get("spots", rank - 1)["c"]
+    sure = F.filter("spots", lambda s: s["c"] * 2 >= F.col("size"))
+    made = of_line.withColumn("size", size).where("size >= 2").select("leaf", "line", "n", "size", _once("sure", sure))
+    made = made.where((F.size("sure") + depth >= F.col("n") * fixed) & (F.size("sure") + depth < F.col("n")))
+    shape = F.array_sort(F.transform("sure", lambda s: F.struct(s["pos"].alias("pos"), s["token"].alias("token"))))
+    made = made.select("leaf", "line", "size", F.xxhash64("leaf", shape).alias("template"))
+    enough = made.groupBy("template").agg(F.count(F.lit(1)).alias("lines"), F.min("size").alias("size")).where("lines >= 2 and lines * 2 >= size").select("template")
+    return made.select("line", "template").join(enough, "template")
 
 
 def recurring_templates(docs: DataFrame, index: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, fixed: float = FIXED) -> DataFrame:
     """docs (doc_id, text) and their index -> line (hash of a masked line), first (the doc_id that keeps it).
 
     Template tree of fixed depth: the first level is the number of tokens, the next ones are the leading tokens, tokens
-    with digits being variable. A leaf's template is, position by position, the token that at least half of its
-    distinct lines have there, or a variable field; it counts if at least `fixed` of its positions are not variable.
-    A line belongs to it if it has all its fixed tokens, else to the template of its own masked text. Templates of
-    lines in at least min_docs different texts recur. Copies of a whole text count as one text: they are near-dedup's
-    work, and a document isn't boilerplate for having been copied.
+    with digits being variable. A leaf's templates are found from how many of its lines share a token by position (see
+    _templates). A line belongs to its leaf's template or else to that of its own masked text. Templates of lines in at
+    least min_docs different texts recur. Copies of a whole text count as one text: they are near-dedup's work, and a
+    document isn't boilerplate for having been copied.
 
     Counts are over hashes and combined before they shuffle. Tokens are fetched for leaves only in which different
     lines meet in min_docs texts, each distinct line once, from the first document that has it.
     """
     own = index.groupBy("line").agg(F.countDistinct("digest").alias("texts"), F.min("doc").alias("first")).where(F.col("texts") >= min_docs).select("line", "first")
 
-    deep = index.where(F.col("n") > depth)
-    per_line = deep.groupBy("leaf", "line").agg(F.min("doc").alias("doc"))
+    deep = index.where((F.col("n") > depth) & F.col("leaf").isNotNull())
+    per_line = deep.groupBy("leaf", "line").agg(F.min(F.struct("doc", "digest", "pos")).alias("at"))
     wide = per_line.groupBy("leaf").agg(F.count(F.lit(1)).alias("n_lines")).where("n_lines > 1")
     texts = deep.groupBy("leaf").agg(F.countDistinct("digest").alias("texts")).where(F.col("texts") >= min_docs)
-    wide = stored(wide.join(texts, "leaf").select("leaf", "n_lines"))
-    fetch = per_line.join(wide, "leaf").groupBy(F.col("doc").alias("of")).agg(F.collect_list(F.struct("line", "leaf", "n_lines")).alias("wanted"))
-    found = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), whole().alias("text")).join(fetch, F.col("doc") == F.col("of"))
-    found = found.select("wanted", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), _mask))).alias("masked"))
-    found = found.withColumn("at", F.filter("wanted", lambda w: w["line"] == F.xxhash64("masked"))).where(F.size("at") > 0)
-    found = found.select(F.col("at")[0]["leaf"].alias("leaf"), F.col("at")[0]["line"].alias("line"), F.col("at")[0]["n_lines"].alias("n_lines"), _tokens(F.col("masked")).alias("tokens"))
-    distinct = stored(found.dropDuplicates(["leaf", "line"]))
-    spots = distinct.select("leaf", "n_lines", F.size("tokens").alias("n"), F.posexplode("tokens").alias("pos", "token"))
-    mode = spots.groupBy("leaf", "n", "n_lines", "pos", "token").agg(F.count(F.lit(1)).alias("c")).where("c * 2 >= n_lines")
-    mode = mode.groupBy("leaf", "n", "pos").agg(F.min(F.struct(-F.col("c"), "token"))["token"].alias("token"))
-    template = mode.groupBy("leaf", "n").agg(F.map_from_entries(F.collect_list(F.struct("pos", "token"))).alias("template"))
-    template = template.where((F.size("template") >= F.col("n") * fixed) & (F.size("template") < F.col("n"))).select("leaf", "template")
-    fits = F.forall(F.map_entries("template"), lambda e: F.col("tokens")[e["key"]] == e["value"])
-    fitting = distinct.join(template, "leaf").where(fits).select("leaf", "line")
-    of_leaf = salted(index.select("line", "doc", "digest"), fitting, "line", F.col("doc"))
-    leaves = of_leaf.groupBy("leaf").agg(F.countDistinct("digest").alias("texts"), F.min("doc").alias("first")).where(F.col("texts") >= min_docs)
-    general = fitting.join(leaves.select("leaf", "first"), "leaf").select("line", "first")
+    wide = stored(wide.join(texts, "leaf").select("leaf"))
+    fetch = per_line.join(wide, "leaf").groupBy(F.col("at.doc").alias("of"), F.col("at.digest").alias("of_digest")).agg(F.sort_array(F.collect_list(F.struct("at.pos", "line", "leaf"))).alias("wanted"))
+    whole_docs = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), whole().alias("text")).withColumn("digest", F.xxhash64("text"))
+    found = whole_docs.join(fetch, (F.col("doc") == F.col("of")) & (F.col("digest") == F.col("of_digest")))
+    found = found.select("wanted", F.split("text", "\n").alias("x")).select(F.explode(F.transform("wanted", lambda w: F.struct(w["leaf"].alias("leaf"), w["line"].alias("line"), F.get("x", w["pos"]).alias("x")))).alias("w"))
+    tokens = F.transform(F.split(_mask(F.col("w.x")), r"\s+"), lambda t: F.xxhash64(t))
+    distinct = stored(found.select("w.leaf", "w.line", tokens.alias("tokens")).dropDuplicates(["leaf", "line"]))
+    fitting = stored(_templates(distinct, depth, fixed))
+    members = salted(index.select("line", "doc", "digest"), fitting, "line", F.col("doc"))
+    groups = members.groupBy("template").agg(F.countDistinct("digest").alias("texts"), F.min("doc").alias("first")).where(F.col("texts") >= min_docs)
+    general = fitting.join(groups, "template").select("line", "first")
     return own.union(general).groupBy("line").agg(F.min("first").alias("first"))
 
 
@@ -79,21 +107,30 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens:
     """docs -> the same columns, text without recurring lines, with n_lines and n_dropped (long).
 
     Every line of a recurring template goes, save in the first document (least doc_id) that has one, so that no passage
-    is lost from the corpus. See recurring_templates for the settings. Empty lines, lines of fewer than min_tokens
-    tokens and lines more than half of whose tokens hold digits stay. A null text stays null with 0 lines; an empty text has one empty line. Rows that share a doc_id are
-    the same document; rows without doc_id come after all others. Other columns pass through, save that
-    n_lines and n_dropped are replaced.
+    is lost from the corpus. See recurring_templates for the settings. Empty lines and lines of fewer than min_tokens
+    tokens stay: they are too short to tell boilerplate from speech. Of lines more than half of whose tokens hold digits
+    only those go that recur with the same figures. A null text stays null with 0 lines; an empty text has one empty
+    line. Rows that share a doc_id are the same document; rows without doc_id come after all others. A text of any
+    number of lines takes memory and time in proportion. Other columns pass through, save that n_lines and n_dropped are
+    replaced.
     """
     index = _index(docs, min_tokens, depth)
     templates = recurring_templates(docs, index, min_docs, depth, fixed)
-    line = lambda x: F.xxhash64(_mask(x))
-    rows = index.select(F.col("doc").alias("_doc"), "line").distinct()
-    gone = salted(rows, templates, "line", F.col("_doc")).where("_doc > first").groupBy("_doc").agg(F.collect_set("line").alias("_gone"))
-    at = docs.select(F.struct("*").alias("row"), F.coalesce("doc_id", F.lit(_LAST)).alias("_doc"))
-    joined = at.join(gone, "_doc", "left")
+    rows = index.select(F.col("doc").alias("_doc"), F.col("digest").alias("_digest"), "pos", "line")
+    gone = salted(rows, templates, "line", F.hash("_doc", "pos")).where("_doc > first")
+    gone = gone.groupBy("_doc", "_digest").agg(F.sort_array(F.collect_set("pos")).alias("_gone"))
+    at = docs.select(F.struct("*").alias("row"), F.coalesce("doc_id", F.lit(_LAST)).alias("_at"), F.xxhash64(whole()).alias("_of"))
+    joined = at.join(gone, (F.col("_at") == F.col("_doc")) & (F.col("_of") == F.col("_digest")), "left")
     text, every = F.col("row")["text"], F.split(F.col("row")["text"], "\n")
-    kept = F.when(F.col("_gone").isNull(), text).otherwise(F.array_join(F.filter(every, lambda x: ~F.array_contains("_gone", line(x))), "\n"))
-    lost = F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size(F.filter(every, lambda x: F.array_contains("_gone", line(x)))))
+
+    def rest(lines: Column) -> Column:
+        """What lies between the lines that go, stretch by stretch."""
+        after = F.concat(F.array(F.lit(0)), F.transform("_gone", lambda p: p + 1))
+        upto = F.concat(F.col("_gone"), F.array(F.size(lines)))
+        return F.flatten(F.zip_with(after, upto, lambda a, b: F.slice(lines, a + 1, b - a)))
+
+    kept = F.when(F.col("_gone").isNull(), text).otherwise(let(every, lambda lines: F.array_join(rest(lines), "\n")))
+    lost = F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone"))
     n_lines = F.when(text.isNull(), F.lit(0)).otherwise(F.size(every))
     columns = [kept.alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped")]
     return joined.select(*columns, n_lines.cast("long").alias("n_lines"), lost.cast("long").alias("n_dropped"))

@@ -60,23 +60,25 @@ OP4 = rf"""
 WITH d AS (SELECT coalesce(doc_id, {_LAST}) AS doc, doc_id, text, row_number() OVER () AS row FROM documents),
 l AS (SELECT doc, row, text, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM d),
 m AS (SELECT *, regexp_replace(trim(line), '\S*[0-9]\S*', '<*>', 'g') AS masked FROM l),
-t AS (SELECT *, regexp_split_to_array(masked, '\s+') AS tokens FROM m),
-used AS (SELECT *, len(tokens) AS n, [CAST(len(tokens) AS VARCHAR)] || tokens[1:{lines.DEPTH}] AS leaf FROM t WHERE masked <> '' AND len(tokens) >= {lines.MIN_TOKENS} AND len(list_filter(tokens, lambda t: t <> '<*>')) * 2 >= len(tokens)),
-own AS (SELECT masked, min(doc) AS first FROM used GROUP BY masked HAVING count(DISTINCT text) >= {lines.MIN_DOCS}),
-distinct_lines AS (SELECT DISTINCT leaf, n, masked, tokens FROM used WHERE n > {lines.DEPTH}),
-sizes AS (SELECT leaf, count(*) AS c FROM distinct_lines GROUP BY leaf HAVING count(*) > 1),
-spots AS (SELECT leaf, n, c, unnest(tokens) AS token, unnest(range(len(tokens))) AS pos FROM distinct_lines JOIN sizes USING (leaf)),
-freq AS (SELECT leaf, n, pos, token, count(*) AS k FROM spots GROUP BY leaf, n, c, pos, token HAVING count(*) * 2 >= any_value(c)),
-mode AS (SELECT leaf, n, pos, token FROM freq QUALIFY row_number() OVER (PARTITION BY leaf, pos ORDER BY k DESC, token) = 1),
-fixed AS (SELECT leaf, n, count(*) AS k FROM mode GROUP BY leaf, n HAVING count(*) >= n * {lines.FIXED} AND count(*) < n),
-fits AS (SELECT leaf, masked FROM (SELECT leaf, masked, unnest(tokens) AS token, unnest(range(len(tokens))) AS pos FROM distinct_lines) x
-         JOIN fixed USING (leaf) JOIN mode USING (leaf, pos, token) GROUP BY leaf, masked, k HAVING count(*) = k),
-leaves AS (SELECT leaf, min(doc) AS first FROM used JOIN fits USING (leaf, masked) GROUP BY leaf HAVING count(DISTINCT text) >= {lines.MIN_DOCS}),
-gone AS (SELECT masked, min(first) AS first FROM (SELECT masked, first FROM own UNION ALL SELECT masked, first FROM fits JOIN leaves USING (leaf)) GROUP BY masked),
-kept AS (SELECT t.row, count(*) AS n_lines, count(g.masked) AS n_dropped, string_agg(t.line, chr(10) ORDER BY t.i) FILTER (g.masked IS NULL) AS text
-         FROM t LEFT JOIN gone g ON t.masked = g.masked AND t.doc > g.first GROUP BY t.row)
-SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE n_lines END AS n_lines, n_dropped, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text
-FROM d JOIN kept k USING (row)
+s AS (SELECT *, regexp_split_to_array(masked, '\s+') AS tokens FROM m),
+t AS (SELECT *, len(tokens) AS n, len(list_filter(tokens, lambda t: t <> '<*>')) * 2 >= len(tokens) AS prose FROM s),
+k AS (SELECT *, CASE WHEN masked <> '' AND n >= {lines.MIN_TOKENS} THEN CASE WHEN prose THEN 'p' || masked ELSE 'f' || trim(line) END END AS key, [CAST(n AS VARCHAR)] || tokens[1:{lines.DEPTH}] AS leaf FROM t),
+own AS (SELECT key, min(doc) AS first FROM k WHERE key IS NOT NULL GROUP BY key HAVING count(DISTINCT text) >= {lines.MIN_DOCS}),
+distinct_lines AS (SELECT DISTINCT leaf, n, key, tokens FROM k WHERE n > {lines.DEPTH} AND prose AND key IS NOT NULL),
+spots AS (SELECT leaf, n, key, unnest(tokens) AS token, unnest(range(len(tokens))) AS pos FROM distinct_lines),
+support AS (SELECT leaf, pos, token, count(*) AS c FROM spots WHERE pos >= {lines.DEPTH} GROUP BY leaf, pos, token HAVING count(*) >= 2),
+counted AS (SELECT *, row_number() OVER (PARTITION BY leaf, key ORDER BY c DESC) AS place FROM spots JOIN support USING (leaf, pos, token)),
+sized AS (SELECT leaf, key, c AS size FROM counted WHERE place = greatest(ceil(n * {lines.FIXED}::DOUBLE)::INT - {lines.DEPTH}, 1)),
+shaped AS (SELECT leaf, key, any_value(size) AS size, list({{'pos': pos, 'token': token}} ORDER BY pos) AS shape FROM counted JOIN sized USING (leaf, key) WHERE c * 2 >= size
+           GROUP BY leaf, key HAVING count(*) + {lines.DEPTH} >= any_value(n) * {lines.FIXED}::DOUBLE AND count(*) + {lines.DEPTH} < any_value(n)),
+templates AS (SELECT leaf, shape FROM shaped GROUP BY leaf, shape HAVING count(*) >= 2 AND count(*) * 2 >= min(size)),
+fits AS (SELECT leaf, shape, key FROM shaped JOIN templates USING (leaf, shape)),
+groups AS (SELECT leaf, shape, min(doc) AS first FROM k JOIN fits USING (leaf, key) GROUP BY leaf, shape HAVING count(DISTINCT text) >= {lines.MIN_DOCS}),
+gone AS (SELECT key, min(first) AS first FROM (SELECT key, first FROM own UNION ALL SELECT key, first FROM fits JOIN groups USING (leaf, shape)) GROUP BY key),
+kept AS (SELECT k.row, count(*) AS n_lines, count(g.key) AS n_dropped, string_agg(k.line, chr(10) ORDER BY k.i) FILTER (g.key IS NULL) AS text
+         FROM k LEFT JOIN gone g ON k.key = g.key AND k.doc > g.first GROUP BY k.row)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE n_lines END AS n_lines, n_dropped, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text
+FROM d JOIN kept USING (row)
 """
 
 
