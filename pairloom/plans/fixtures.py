@@ -29,6 +29,9 @@ FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "fx_judge": """SELECT d.doc_id AS edit_no, CASE d.doc_id % 6 WHEN 0 THEN 'deletion' WHEN 1 THEN 'modification' WHEN 2 THEN 'scale' WHEN 3 THEN 'material' WHEN 4 THEN 'color' ELSE 'global' END AS edit_type,
        l.quality = 1 AS edit_executed, d.n_chars % 4 <> 0 AS correct_region, d.doc_id % 5 <> 0 AS preserve_other, CAST(1 + d.n_chars % 5 AS INT) AS visual_quality, l.toxic = 0 AS artifact_free,
        CAST(1 + d.n_chars % 6 AS INT) AS mesh_quality, CASE WHEN d.doc_id % 7 = 0 THEN NULL ELSE CAST(d.doc_id % 4 AS INT) END AS edit_strength FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+    "fx_plans": """SELECT obj_id, shard, edit_idx, edit_type, CASE WHEN pid1 % 13 = 0 OR (edit_type = 'global' AND pid1 % 3 <> 0) THEN NULL ELSE pid1 END AS pid1, CASE WHEN pid1 % 13 = 0 OR (edit_type = 'global' AND pid1 % 3 <> 0) THEN NULL ELSE pid2 END AS pid2,
+       prompt, target_part_desc, after_desc, CASE WHEN pid2 % 4 = 0 THEN ' ' ELSE after_desc END AS new_part_desc, CASE WHEN pid1 % 7 = 6 THEN NULL ELSE pid1 % 7 END AS view_index, factor,
+       CASE WHEN pid2 % 5 = 1 THEN NULL ELSE 'wood' END AS target_material, CASE WHEN pid2 % 5 = 2 THEN '' ELSE 'red' END AS target_color, CASE WHEN pid2 % 5 <> 3 THEN 'wax' END AS target_style FROM fx_edits""",
     "fx_gate_a": """SELECT obj_id, edit_idx, CASE (pid1 + edit_idx) % 5 WHEN 0 THEN 'fail' WHEN 1 THEN 'deferred' ELSE 'pass' END AS status,
        CASE WHEN (pid2 + edit_idx) % 6 = 0 THEN NULL ELSE (pid1 + pid2) % 6 END AS best_view FROM fx_edits WHERE (pid1 + pid2) % 11 <> 0""",
     "fx_assets": """SELECT obj_id, edit_id, min(seq) % 5 <> 0 AS has_before, max(seq) % 4 <> 0 AS has_after, count(*) % 6 <> 0 AS has_image,
