@@ -59,6 +59,15 @@ def restore(cells: DataFrame, region: DataFrame) -> DataFrame:
     return after.union(cells.where("in_before = 1 AND in_after = 0").select(*CELL).join(region, CELL, "left_anti"))
 
 
+def repasted(before: DataFrame, after: DataFrame, region: DataFrame, features: list[str]) -> DataFrame:
+    """After cells with the features of before where the cell is preserved: on both sides and outside the region."""
+    b = before.select(*CELL, F.struct(*features).alias("_b"))
+    r = region.select(*CELL).distinct().withColumn("_r", F.lit(True))
+    j = after.select(*CELL, *features).join(b, CELL, "left").join(r, CELL, "left")
+    kept = F.col("_b").isNotNull() & F.col("_r").isNull()
+    return j.select(*CELL, *[F.when(kept, F.col(f"_b.{f}")).otherwise(F.col(f)).alias(f) for f in features], kept.alias("preserved"))
+
+
 def keep_blocks(region: DataFrame, factor: int = 4, tenth: int = 1) -> DataFrame:
     """Blocks that count as edited: at least a tenth of their cells are in the region."""
     blocks = region.groupBy("pair_id", *[F.floor(F.col(a) / factor).cast("int").alias(a) for a in "xyz"]).agg(F.count(F.lit(1)).alias("n"))
