@@ -140,3 +140,28 @@ def merged_manifests(manifests: list[DataFrame], order: list[str]) -> DataFrame:
         every = every.unionByName(m)
     first = every.groupBy("edit_id").agg(F.min_by(F.struct(*manifests[0].columns), "_from").alias("row"))
     return first.select("row.*").orderBy(*order)
+
+
+def view_of_parts(objects: DataFrame, masks: DataFrame, key: str, parts: tuple[int, ...], preference: tuple[int, ...]) -> DataFrame:
+    """objects (key), masks (key, view, part, px) -> key, view that shows most of the parts, ties and none at all to the
+    first view there is; the first preference where there are no masks."""
+    px = masks.groupBy(key, "view").agg(F.sum(F.when(F.col("part").isin(*parts), F.col("px")).otherwise(0)).alias("px"))
+    best = best_of(px, [key], "view", "px").select(key, "view")
+    return objects.select(key).distinct().join(best, key, "left").select(key, F.coalesce("view", F.lit(preference[0])).cast("int").alias("view"))
+
+
+def gate_columns(pixels: DataFrame, key: str, column: Column) -> DataFrame:
+    """pixels (key, view, px) -> key, best, error, view: a judge sees the view that shows most and the views 0 to 3, and
+    names a column; one out of range counts as view 0. An object that no view shows fails."""
+    best = best_of(pixels, [key], "view", "px")
+    shown = F.array(F.col("view").cast("int"), *map(F.lit, range(4)))
+    view = F.when(column.between(0, 4), F.get(shown, column)).otherwise(0)
+    return best.select(key, F.col("view").cast("int").alias("best"), F.when(F.col("px") <= 0, "zero_visible_pixels").alias("error"), view.alias("view"))
+
+
+def roster(objects: DataFrame, styles: DataFrame, per_category: int, seed: int) -> DataFrame:
+    """objects (obj_id), styles (category, style) -> obj_id, category, style, place: for each object so many styles of each
+    category, in an order that the seed fixes. The pool of styles is a small table."""
+    order = F.xxhash64(F.col("obj_id"), F.col("category"), F.col("style"), F.lit(seed))
+    place = F.row_number().over(Window.partitionBy("obj_id", "category").orderBy(order, "style"))
+    return objects.select("obj_id").crossJoin(F.broadcast(styles)).withColumn("place", place).where(F.col("place") <= per_category)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CELL = ["pair_id", "x", "y", "z"]
@@ -44,6 +44,18 @@ def set_counts(cells: DataFrame) -> DataFrame:
     return c.select("*", F.round(F.col("common") / F.greatest(union, F.lit(1)), 6).alias("iou"), F.round((F.col("only_before") + F.col("only_after")) / F.greatest(union, F.lit(1)), 6).alias("diff_ratio"))
 
 
+def bridged(before: DataFrame, after: DataFrame, region: DataFrame) -> DataFrame:
+    """After cells that are preserved, with before_row: the place of the same cell among the before cells (0, 1, ... in
+    order of x, y, z)."""
+    rows = before.select(*CELL, (F.row_number().over(Window.partitionBy("pair_id").orderBy("x", "y", "z")) - 1).alias("before_row"))
+    return after.select(*CELL).distinct().join(rows, CELL).join(region, CELL, "left_anti")
+
+
+def restored(cells: DataFrame, region: DataFrame) -> DataFrame:
+    """pair_id, n_restored: before cells that restore() adds."""
+    return cells.where("in_before = 1 AND in_after = 0").join(region, CELL, "left_anti").groupBy("pair_id").agg(F.count(F.lit(1)).alias("n_restored"))
+
+
 def preserved(cells: DataFrame, region: DataFrame) -> DataFrame:
     """Cells of both sides outside the region."""
     return cells.where("in_before = 1 AND in_after = 1").join(region, CELL, "left_anti")
@@ -74,16 +86,186 @@ def keep_blocks(region: DataFrame, factor: int = 4, tenth: int = 1) -> DataFrame
     return blocks.where(F.col("n") * 10 >= tenth * factor**3)
 
 
-def component_counts(cells: DataFrame, grid: int) -> DataFrame:
-    """pair_id, n_components, largest of 6-connected cells."""
+def component_labels(cells: DataFrame, grid: int, corners: bool = False, axes: str = "xyz") -> DataFrame:
+    """cells (pair_id and axes, distinct) with component, the number of the connected component that each is in: cells
+    that share a face (an edge of pixels), or a corner too."""
+    from itertools import product
+
     from pairloom.operators.graph import connected_components
 
-    size = grid**3
-    keyed = cells.select("pair_id", "x", "y", "z", (F.col("pair_id") * size + cell_key(grid)).alias("id"))
-    step = {"x": grid * grid, "y": grid, "z": 1}
-    ends = F.explode(F.array(*[F.when(F.col(a) < grid - 1, F.col("id") + d).otherwise(F.col("id")) for a, d in step.items()]))
-    near = keyed.select(F.col("id").alias("src"), ends.alias("dst")).join(keyed.select(F.col("id").alias("dst")), "dst", "left_semi")
-    edges = near.union(keyed.select(F.col("id").alias("src"), F.col("id").alias("dst"))).select("src", "dst")
-    labels = connected_components(edges).withColumn("pair_id", F.floor(F.col("id") / size).cast("long"))
-    sizes = labels.groupBy("pair_id", "component").agg(F.count(F.lit(1)).alias("n"))
+    size = grid ** len(axes)
+    step = {a: grid ** (len(axes) - 1 - i) for i, a in enumerate(axes)}
+    number = sum((F.col(a).cast("long") * d for a, d in step.items()), F.col("pair_id").cast("long") * size)
+    keyed = cells.select("pair_id", *axes, number.alias("id"))
+    moves = [m for m in product((-1, 0, 1), repeat=len(axes)) if m > (0,) * len(axes) and (corners or sum(map(abs, m)) == 1)]
+
+    def moved(m: tuple[int, ...]) -> Column:
+        inside = [F.col(a).between(max(0, -d), grid - 1 - max(0, d)) for a, d in zip(axes, m, strict=True) if d]
+        to = F.col("id") + sum(d * step[a] for a, d in zip(axes, m, strict=True))
+        out = F.lit(True)
+        for i in inside:
+            out = out & i
+        return F.when(out, to)
+
+    ends = F.explode(F.array_compact(F.array(*map(moved, moves)))).alias("dst")
+    near = keyed.select(F.col("id").alias("src"), ends).join(keyed.select(F.col("id").alias("dst")), "dst", "left_semi")
+    edges = near.select("src", "dst").union(keyed.select(F.col("id").alias("src"), F.col("id").alias("dst")))
+    return keyed.join(connected_components(edges), "id").drop("id")
+
+
+def component_counts(cells: DataFrame, grid: int) -> DataFrame:
+    """pair_id, n_components, largest of 6-connected cells."""
+    sizes = component_labels(cells, grid).groupBy("pair_id", "component").agg(F.count(F.lit(1)).alias("n"))
     return sizes.groupBy("pair_id").agg(F.count(F.lit(1)).alias("n_components"), F.max("n").alias("largest"))
+
+
+def large_components(cells: DataFrame, grid: int, least: int) -> DataFrame:
+    """The cells of components of at least so many cells."""
+    labels = component_labels(cells, grid)
+    return labels.join(labels.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least), "component").select(*CELL)
+
+
+def _enclosed(empty: DataFrame, grid: int, axes: str) -> DataFrame:
+    """The empty cells that can't be reached from the border through empty cells."""
+    labels = component_labels(empty, grid, axes=axes)
+    border = F.lit(False)
+    for a in axes:
+        border = border | F.col(a).isin(0, grid - 1)
+    outside = labels.groupBy("component").agg(F.max(border).alias("out")).where("out")
+    return labels.join(outside, "component", "left_anti").select("pair_id", *axes)
+
+
+def holes(white: DataFrame, grid: int, least: int, large: int) -> DataFrame:
+    """white (pair_id, x, y: background pixels of an image) -> pair_id, n_holes, largest, total, hole: background within
+    the object, as 8-connected areas of at least `least` pixels; a hole is one of `large` at least. Images without any
+    give no row."""
+    areas = component_labels(_enclosed(white, grid, "xy"), grid, corners=True, axes="xy").groupBy("pair_id", "component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    return areas.groupBy("pair_id").agg(F.count(F.lit(1)).alias("n_holes"), F.max("n").alias("largest"), F.sum("n").alias("total"), (F.max("n") >= large).alias("hole"))
+
+
+def every_cell(pairs: DataFrame, grid: int, axes: str = "xyz") -> DataFrame:
+    """All cells of a dense grid for each pair."""
+    out = pairs.select("pair_id").distinct()
+    for a in axes:
+        out = out.withColumn(a, F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
+    return out
+
+
+def solid_fill(shell: DataFrame, grid: int, growth: float = 0.15) -> tuple[DataFrame, DataFrame]:
+    """(shell and what it encloses, pair_id and watertight: whether it grew by more than 15 %)."""
+    cells = shell.select(*CELL).distinct()
+    inside = _enclosed(every_cell(cells, grid).join(cells, CELL, "left_anti"), grid, "xyz").select(*CELL)
+    filled = cells.withColumn("own", F.lit(1)).union(inside.withColumn("own", F.lit(0)))
+    n = filled.groupBy("pair_id").agg(F.count(F.lit(1)).alias("n"), F.sum("own").alias("n_shell"))
+    return filled.select(*CELL), n.select("pair_id", "n", "n_shell", (F.col("n") > F.col("n_shell") * (1 + growth)).alias("watertight"))
+
+
+def _faces(cells: DataFrame, grid: int) -> DataFrame:
+    """The cells next to each cell, itself aside, within the grid."""
+    around = F.array(*[F.struct(*[(F.col(a) + (d if a == axis else 0)).alias(a) for a in "xyz"]) for axis in "xyz" for d in (-1, 1)])
+    out = cells.select("pair_id", F.explode(around).alias("c")).select("pair_id", "c.*")
+    return out.where((F.least("x", "y", "z") >= 0) & (F.greatest("x", "y", "z") < grid)).distinct()
+
+
+def contact(region: DataFrame, before: DataFrame, grid: int) -> tuple[DataFrame, DataFrame]:
+    """(contact cells: those of the region that touch a preserved cell; pair_id, n_contact, n_surface, ratio, sigma1,
+    sigma2). Preserved are before cells outside the region, the surface are the cells around the region."""
+    preserved = before.select(*CELL).distinct().join(region, CELL, "left_anti")
+    touched = region.select(*CELL).join(_faces(preserved, grid), CELL, "left_semi")
+    surface = _faces(region.select(*CELL), grid).join(region, CELL, "left_anti")
+    n = lambda df, name: df.groupBy("pair_id").agg(F.count(F.lit(1)).alias(name))
+    counts = n(region, "_n").join(n(touched, "n_contact"), "pair_id", "left").join(n(surface, "n_surface"), "pair_id", "left").na.fill(0, ["n_contact", "n_surface"])
+    ratio = F.least(F.col("n_contact") / F.greatest("n_surface", F.lit(1)), F.lit(1.0))
+    # fixed values: how wide a transition is at both resolutions, without contact and by share of contact
+    return touched, counts.select("pair_id", "n_contact", "n_surface", ratio.alias("ratio"), (1.5 + 4.0 * ratio).alias("sigma1"), (2.0 + 10.0 * ratio).alias("sigma2"))
+
+
+def densified(after: DataFrame, region: DataFrame, by: int, grid: int) -> DataFrame:
+    """After cells, and the cells within `by` of them that are within `by` of the region."""
+    grown = dilate(after, by, grid).join(dilate(region, by, grid), CELL, "left_semi")
+    return after.select(*CELL).union(grown).distinct()
+
+
+def soft_keep(region: DataFrame, blocks: int, feather: float, factor: int = 4) -> DataFrame:
+    """pair_id, x, y, z, keep for every block of a dense grid: 1 where the block isn't edited, else the mean of that over
+    the blocks around it (edges repeat)."""
+    edited = keep_blocks(region, factor).select(*CELL).withColumn("_e", F.lit(1))
+    dense = every_cell(region, blocks).join(edited, CELL, "left").select(*CELL, F.when(F.col("_e").isNull(), 1.0).otherwise(0.0).alias("keep"))
+    r = max(1, round(feather))
+    if feather <= 0:
+        return dense
+    around = dense.select(*CELL, F.col("keep").alias("own"))
+    for a in "xyz":
+        shift = F.explode(F.array(*[F.least(F.greatest(F.col(a) + d, F.lit(0)), F.lit(blocks - 1)) for d in range(-r, r + 1)]))
+        around = around.withColumn(f"n{a}", shift)
+    near = dense.select("pair_id", *[F.col(a).alias(f"n{a}") for a in "xyz"], F.col("keep").alias("near"))
+    return around.join(near, ["pair_id", "nx", "ny", "nz"]).groupBy(*CELL).agg(F.greatest(F.max("own"), F.avg("near")).alias("keep"))
+
+
+def dense_keep(region: DataFrame, blocks: int, factor: int = 4) -> DataFrame:
+    """pair_id, x, y, z, keep (1 or 0) for every block."""
+    return soft_keep(region, blocks, 0, factor).withColumn("keep", F.col("keep").cast("int"))
+
+
+def part_keep(tokens: DataFrame, target: DataFrame, factor: int) -> DataFrame:
+    """tokens (cells), target (cells of the parts that are edited) -> pair_id, n_tokens, n_edit_tokens, n_kept: a token is
+    kept unless its block holds a target cell."""
+    block = [F.floor(F.col(a) / factor).cast("int").alias(f"b{a}") for a in "xyz"]
+    hit = downsample(target, factor).select("pair_id", *[F.col(a).alias(f"b{a}") for a in "xyz"]).withColumn("_hit", F.lit(1))
+    j = tokens.select("pair_id", *block).join(hit, ["pair_id", "bx", "by", "bz"], "left")
+    return j.groupBy("pair_id").agg(F.count(F.lit(1)).alias("n_tokens"), F.count("_hit").alias("n_edit_tokens"), F.count_if(F.col("_hit").isNull()).alias("n_kept"))
+
+
+def transition(region: DataFrame, preserved: DataFrame, occupied: DataFrame, radius: int, grid: int) -> DataFrame:
+    """The region and the preserved or occupied cells within so many steps (over faces) of it."""
+    near = region.select(*CELL).distinct()
+    for _ in range(radius):
+        near = near.union(_faces(near, grid)).distinct()
+    solid = preserved.select(*CELL).union(occupied.select(*CELL)).distinct()
+    return near.join(solid, CELL, "left_semi").union(region.select(*CELL)).distinct()
+
+
+def split_counts(after: DataFrame, region: DataFrame) -> DataFrame:
+    """pair_id, n_edit, n_keep, grid: after cells within and outside the region; the grid has 32 cells to a side unless
+    some cell lies beyond."""
+    j = after.select(*CELL).join(region.select(*CELL).distinct().withColumn("_in", F.lit(1)), CELL, "left")
+    return j.groupBy("pair_id").agg(F.count("_in").alias("n_edit"), F.count_if(F.col("_in").isNull()).alias("n_keep"), F.when(F.max(F.greatest("x", "y", "z")) < 32, 32).otherwise(64).alias("grid"))
+
+
+def added_cells(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Cells of b that a lacks."""
+    return b.select(*CELL).distinct().join(a.select(*CELL), CELL, "left_anti")
+
+
+def mask_warnings(counts: DataFrame) -> DataFrame:
+    """counts (pair_id, n_edit, n_keep, whole: whether the edit is of the whole object) with warning."""
+    share = F.col("n_edit") / (F.col("n_edit") + F.col("n_keep"))
+    # fixed values: fewest cells, and the share of the object from which a part's edit is suspicious
+    return counts.withColumn("warning", F.when(F.col("n_edit") == 0, "no overlap").when(F.col("n_edit") < 10, "few cells").when((share > 0.95) & ~F.col("whole"), "nearly everything"))
+
+
+def sample_invariants(sides: DataFrame, stored_cells: DataFrame, side: int) -> DataFrame:
+    """pair_id and what must hold of a sample: its cells equal those that are stored, none lies beyond the grid."""
+    a, b = sides.select(*CELL).distinct().withColumn("a", F.lit(1)), stored_cells.select(*CELL).distinct().withColumn("b", F.lit(1))
+    j = a.join(b, CELL, "full_outer")
+    return j.groupBy("pair_id").agg((F.count_if(F.col("a").isNull() | F.col("b").isNull()) == 0).alias("same_cells"), (F.max(F.greatest("x", "y", "z")) < side).alias("in_grid"))
+
+
+def rerun_iou(fine: DataFrame, coarse: DataFrame, factor: int = 2) -> DataFrame:
+    """pair_id, coords_iou: how a run's cells, made coarser, agree with those that are stored."""
+    j = downsample(fine, factor).withColumn("a", F.lit(1)).join(coarse.select(*CELL).distinct().withColumn("b", F.lit(1)), CELL, "full_outer")
+    return j.groupBy("pair_id").agg((F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull()) / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("coords_iou"))
+
+
+def box_mask(edits: DataFrame) -> DataFrame:
+    """edits (edit_id, pids) -> edit_id, x, y, z: a region of two cells that follows from the parts alone, for dry runs."""
+    base = F.aggregate("pids", F.lit(0), lambda acc, p: acc + p) % 16
+    return edits.select("edit_id", F.explode(F.array(base, base + 1)).alias("x")).select("edit_id", "x", F.col("x").alias("y"), F.col("x").alias("z"))
+
+
+def normalised(cells: DataFrame, features: list[str]) -> DataFrame:
+    """Features less their mean, over their standard deviation, by channel over all cells (0 where that is 0)."""
+    stats = cells.agg(*[f(c).alias(f"_{n}_{c}") for c in features for n, f in (("m", F.avg), ("s", F.stddev_pop))])
+    out = cells.crossJoin(F.broadcast(stats))  # one row
+    scaled = [F.when(F.col(f"_s_{c}") > 0, (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).otherwise(0.0).alias(c) for c in features]
+    return out.select(*[c for c in cells.columns if c not in features], *scaled)

@@ -235,12 +235,12 @@ def set1(s, d):
     return grid.set_counts(fixture(s, d, "fx_voxels"))
 
 
-@query("gra1_components", _vox("""WITH RECURSIVE c AS (SELECT DISTINCT pair_id, x // 4 AS x, y // 4 AS y, z // 4 AS z FROM fx_voxels WHERE f0 > 30), k AS (SELECT pair_id, x * 64 + y * 8 + z AS id, x, y, z FROM c),
- e AS (SELECT a.pair_id, a.id AS i, b.id AS j FROM k a JOIN k b ON a.pair_id = b.pair_id AND abs(a.x - b.x) + abs(a.y - b.y) + abs(a.z - b.z) <= 1),
- r AS (SELECT pair_id, i, j FROM e UNION SELECT r.pair_id, r.i, e.j FROM r JOIN e ON r.pair_id = e.pair_id AND r.j = e.i), l AS (SELECT pair_id, i, min(j) AS c FROM r GROUP BY pair_id, i)
- SELECT pair_id, count(*) AS n_components, max(n) AS largest FROM (SELECT pair_id, c, count(*) AS n FROM l GROUP BY pair_id, c) GROUP BY pair_id""").replace("WITH fx_voxels", "WITH RECURSIVE fx_voxels").replace(", RECURSIVE c AS", ", c AS"))
+@query("gra1_components", _vox("""WITH RECURSIVE k AS (SELECT pair_id, x * 1024 + y * 32 + z AS id, x, y, z FROM fx_voxels),
+ e AS (SELECT a.pair_id, a.id AS i, b.id AS j FROM k a CROSS JOIN (VALUES (0, 0, 0), (1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)) o(p, q, r) JOIN k b ON a.pair_id = b.pair_id AND b.x = a.x + p AND b.y = a.y + q AND b.z = a.z + r),
+ t AS (SELECT pair_id, i, j FROM e UNION SELECT t.pair_id, t.i, e.j FROM t JOIN e ON t.pair_id = e.pair_id AND t.j = e.i), l AS (SELECT pair_id, i, min(j) AS c FROM t GROUP BY pair_id, i)
+ SELECT pair_id, count(*) AS n_components, max(n) AS largest FROM (SELECT pair_id, c, count(*) AS n FROM l GROUP BY pair_id, c) GROUP BY pair_id"""))
 def gra1(s, d):
-    return grid.component_counts(grid.downsample(fixture(s, d, "fx_voxels").where("f0 > 30"), 4), 8)
+    return grid.component_counts(fixture(s, d, "fx_voxels"), 32)
 
 
 @query("chk1_5_cell_checks", _vox("SELECT pair_id, count(*) AS n_cells, count(*) BETWEEN 100 AND 40000 AS count_ok, min(least(x, y, z)) >= 0 AND max(greatest(x, y, z)) < 64 AS coords_ok, max(abs(f1)) > 50 AS too_large, round(stddev_pop(f0), 6) AS spread FROM fx_voxels GROUP BY pair_id"))
