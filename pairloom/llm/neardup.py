@@ -7,8 +7,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pairloom.llm.text import SHINGLE, SIMILAR, whole, words
 from pairloom.operators.graph import connected_components
@@ -17,9 +18,9 @@ from pairloom.session import stored
 #: Registers of a signature, and those in a band. Two sets of bands, each over all registers, make 64 bands: of pairs at
 #: a similarity of 0.8 they miss about one in 10^5, at 0.85 one in 10^8.
 REGISTERS, ROWS = 256, 8
-#: Pairs of one text from which its multiset is dealt over several tasks; texts (8 bytes each) up to which their ids are
-#: sent to every executor.
-BUSY, BROADCAST_IDS = 64, 1_000_000
+#: Pairs of one text from which its multiset is dealt over several tasks; rows (32 bytes each) to be read again up to which
+#: their ids are sent to every executor.
+BUSY, BROADCAST_IDS = 64, 250_000
 #: Shingles in a block of the comparison between classes; what a text counts for at least, which bounds a block's texts
 #: (about 512); distinct shingles compared at a time.
 BLOCK, LEAST, COLUMNS = 1 << 18, 512, 2048
@@ -108,13 +109,13 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         found = [bag_minhash(*bag(h)) if len(h) else None for h in _lists(b.column("h"))]
         made = [np.empty(0, np.int64) if f is None else bands(f) for f in found]
-        yield pa.RecordBatch.from_arrays([b.column("id"), b.column("key"), pa.array(made, pa.list_(pa.int64()))], ["id", "key", "bands"])
+        yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("raw"), b.column("key"), pa.array(made, pa.list_(pa.int64()))], ["doc", "raw", "key", "bands"])
 
 
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A multiset as a set: the i-th copy of a shingle is an element of its own."""
     for b in batches:
-        b = b.filter(pc.equal(b.column("of"), b.column("x")))  # rows that share an id can be of other texts
+        b = b.filter(pc.equal(b.column("of"), b.column("x")))  # two texts of one hash
         made = []
         for h in _lists(b.column("h")):
             keys, n = bag(h)
@@ -229,56 +230,84 @@ def _linked_classes(near: DataFrame, bags: DataFrame, threshold: float) -> DataF
     return groups.join(joined, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
 
 
-def near_duplicates(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
-    """docs (doc_id, text) -> doc_id, class_id, class_size: one row for each row of docs; class_id is the least doc_id of
-    the class, class_size the number of its rows.
+def _key() -> Column:
+    """Tells texts apart by their words."""
+    return F.struct(F.xxhash64("h").alias("x"), F.hash("h").alias("y"), F.size("h").alias("n"))
 
-    Texts are multisets of five-word shingles (lower-cased words; punctuation is none). Two are linked if their weighted
-    Jaccard similarity is at least the threshold; a class is a connected component of links.
 
-    1. Texts of equal words are one class from the start; only the least doc_id of them goes on. 2. BagMinHash
-    signatures are cut into bands; those that share a band meet in a bucket. Every bucket has a leader, the least of one
-    ranking of all texts. 3. Each text is verified against the leader that it meets most often: a group of n copies
-    costs n pairs, not n^2. 4. Components over the verified links. 5. Where different classes still meet in a bucket,
-    they are compared in full, in blocks of bounded size, and components are joined. Every pair is verified on whole
-    multisets, and no pair that meets in a bucket is left out.
+def _row(docs: DataFrame) -> list[Column]:
+    """What a row of docs is found again by: its doc_id and a hash of its text."""
+    return [docs["doc_id"].alias("doc"), F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("raw")]
+
+
+def _first_row(*columns: str) -> Column:
+    """The row of least doc_id, those without one last."""
+    return F.min(F.struct(F.col("doc").isNull().alias("none"), *columns))
 
-    Texts without words (null, empty, punctuation only) are equal to each other: one class. A text of fewer than five
-    words is one shingle. A row without doc_id belongs to its class, and its class_id is null only if all of the class
-    have none. Rows that share a doc_id are one document: the class of one of the texts is theirs. Empty tables give
-    none; other columns are ignored.
-    """
-    ids = docs.select(F.col("doc_id").alias("id"), whole().alias("text"))
 
+def _classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(doc, raw, key) for each row of docs, and (key, head, copies, component) for each distinct text: its first row,
+    how many rows have it, and the class that it is in."""
+    rows = docs.select(*_row(docs), whole().alias("text"))
     hashed = lambda texts: texts.withColumn("h", _word_hashes())
-    key = F.struct(F.xxhash64("h").alias("x"), F.hash("h").alias("y"), F.size("h").alias("n"))
-    key_type = "struct<x:bigint,y:int,n:int>"
-    signed = stored(hashed(ids).select("id", key.alias("key"), "h").mapInArrow(_signed, f"id bigint, key {key_type}, bands array<bigint>"))
-    heads = stored(signed.groupBy("key").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("copies")))
-    firsts = heads.where("head is not null").groupBy("head").agg(F.min("key").alias("key")).withColumnRenamed("head", "id")
-    distinct = stored(signed.where(F.size("bands") > 0).join(firsts, ["id", "key"]).dropDuplicates(["id"]).select("id", "bands"))
-
-    meets = distinct.select("id", F.explode("bands").alias("bucket"))
+    keyed = hashed(rows).select("doc", "raw", _key().alias("key"), "h")
+    fields = [T.StructField(f.name, f.dataType) for f in keyed.schema if f.name != "h"]
+    signed = stored(keyed.mapInArrow(_signed, T.StructType([*fields, T.StructField("bands", T.ArrayType(T.LongType()))])))
+    # texts get numbers, which stay as they are once they are stored: from here on a text is its number
+    heads = signed.groupBy("key").agg(_first_row("doc", "raw").alias("head"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
+    heads = stored(heads.withColumn("id", F.monotonically_increasing_id()))
+    meets = heads.select("id", F.explode("bands").alias("bucket"))
     lead = meets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("id"), F.col("id")))["id"].alias("lead")).where("n > 1")
     near = stored(meets.join(lead, "bucket").select("id", "bucket", "lead"))
 
     def bags_of(wanted: DataFrame) -> DataFrame:
-        """The multisets of some texts; their ids go to every executor as long as they are few."""
-        of = wanted.join(firsts.select("id", F.col("key.x").alias("of")), "id")
-        again = hashed(ids.join(F.broadcast(of) if wanted.count() <= BROADCAST_IDS else of, "id")).select("id", "of", F.xxhash64("h").alias("x"), "h")
+        """The multisets of some texts, each from its first row; the rows to read go to every executor as long as they
+        are few."""
+        of = wanted.join(heads, "id").select("id", F.col("head.doc").alias("doc"), F.col("head.raw").alias("raw"), F.col("key.x").alias("of"))
+        of = F.broadcast(of) if wanted.count() <= BROADCAST_IDS else of
+        found = rows.join(of, rows["doc"].eqNullSafe(of["doc"]) & (rows["raw"] == of["raw"])).select("id", "of", "text")
+        again = hashed(found).select("id", "of", F.xxhash64("h").alias("x"), "h")
         return again.mapInArrow(_elements, "id bigint, bag array<bigint>").groupBy("id").agg(F.min("bag").alias("bag"))
 
     bags = stored(bags_of(stored(near.select("id").distinct())))
     groups = _linked_classes(near, bags, threshold)
-    found = heads.join(groups, heads["head"] == groups["id"], "left").select("key", F.coalesce("component", "head").alias("class_id"), "copies")
-    size = found.groupBy(F.col("class_id").alias("of")).agg(F.sum("copies").alias("class_size"))
-    found = found.join(size, F.col("class_id").eqNullSafe(F.col("of"))).select("key", "class_id", "class_size")
-    return signed.select(F.col("id").alias("doc_id"), "key").join(found, "key").select("doc_id", "class_id", "class_size")
+    texts = heads.select("id", "key", "head", "copies").join(groups, "id", "left")
+    return signed.select("doc", "raw", "key"), texts.select("key", "head", "copies", F.coalesce("component", "id").alias("component"))
+
+
+def near_duplicates(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
+    """docs (doc_id, text) -> doc_id, class_id, class_size: one row for each row of docs; class_id is the least doc_id of
+    the class, class_size the number of its rows.
+
+    Texts are multisets of five-word shingles (lower-cased words; punctuation is none). Two are linked if their weighted
+    Jaccard similarity is at least the threshold; a class is a connected component of links.
+
+    1. Texts of equal words are one class from the start; only one of them goes on, under a number of its own. 2.
+    BagMinHash signatures are cut into bands; those that share a band meet in a bucket. Every bucket has a leader, the
+    least of one ranking of all texts. 3. Each text is verified against the leader that it meets most often: a group of
+    n copies costs n pairs, not n^2. 4. Components over the verified links. 5. Where different classes still meet in a
+    bucket, they are compared in full, in blocks of bounded size, and components are joined. Every pair is verified on
+    whole multisets, and no pair that meets in a bucket is left out.
+
+    Texts without words (null, empty, punctuation only) are equal to each other: one class. A text of fewer than five
+    words is one shingle. Classes are of texts, not of ids: a row without doc_id is in the class of its text, whose
+    class_id is null only if no row of it has one; rows that share a doc_id are each in the class of their own text.
+    Repeated rows stay. Empty tables give none; other columns are ignored.
+    """
+    rows, texts = _classes(docs, threshold)
+    texts = stored(texts)
+    of = texts.groupBy("component").agg(F.min("head.doc").alias("class_id"), F.sum("copies").alias("class_size"))
+    found = texts.join(of, "component").select("key", "class_id", "class_size")
+    return rows.join(found, "key").select(F.col("doc").alias("doc_id"), "class_id", "class_size")
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = SIMILAR) -> DataFrame:
-    """docs with one document of each class, the one of least doc_id; all columns stay. Rows that share that doc_id stay
-    together; a class without any doc_id keeps all its rows."""
-    kept = near_duplicates(docs, threshold).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_doc"))
-    return rows.join(kept, rows["_doc"].eqNullSafe(kept["_kept"]), "left_semi").select("row.*")
+    """docs with exactly one row of each class (see near_duplicates): one of least doc_id, a row without doc_id only
+    where the class has none with one. All columns stay. Of rows that are alike in doc_id and text any one stays."""
+    _, texts = _classes(docs, threshold)
+    kept = texts.groupBy("component").agg(F.min("head").alias("head")).select(F.col("head.doc").alias("_kept"), F.col("head.raw").alias("_of"))
+    doc, raw = _row(docs)
+    rows = docs.select(F.struct("*").alias("row"), doc.alias("_doc"), raw.alias("_raw"))
+    found = rows.join(kept, rows["_doc"].eqNullSafe(kept["_kept"]) & (rows["_raw"] == kept["_of"]), "left_semi")
+    nth = F.row_number().over(Window.partitionBy("_doc", "_raw").orderBy(F.lit(1)))
+    return found.withColumn("_nth", nth).where("_nth = 1").select("row.*")

@@ -145,16 +145,17 @@ FROM p LEFT JOIN judged j ON j.url = p.url LEFT JOIN comp ON comp.v = {_bare("p.
 
 OP9 = f"""
 WITH RECURSIVE d AS (SELECT doc_id, row_number() OVER () AS row, {_WORDS} AS w FROM documents),
-heads AS (SELECT w, min(doc_id) AS head, count(*) AS copies FROM d GROUP BY w),
-x AS (SELECT head, unnest(CASE WHEN len(w) < {SHINGLE} THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - {SHINGLE - 2}), lambda i: array_to_string(w[i:i + {SHINGLE - 1}], ' ')) END) AS s FROM heads WHERE len(w) > 0),
-counts AS (SELECT head, s, count(*) AS c FROM x GROUP BY head, s),
-sizes AS (SELECT head, sum(c) AS n FROM counts GROUP BY head),
-pairs AS (SELECT a.head AS a, b.head AS b, sum(least(a.c, b.c)) AS m FROM counts a JOIN counts b ON a.s = b.s AND a.head < b.head GROUP BY a.head, b.head),
-linked AS (SELECT a, b FROM pairs JOIN sizes p ON p.head = a JOIN sizes q ON q.head = b WHERE m >= {SIMILAR} * (p.n + q.n - m) - 1e-9),
+heads AS (SELECT w, row_number() OVER () AS t, min(doc_id) AS doc, count(*) AS copies FROM d GROUP BY w),
+x AS (SELECT t, unnest(CASE WHEN len(w) < {SHINGLE} THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - {SHINGLE - 2}), lambda i: array_to_string(w[i:i + {SHINGLE - 1}], ' ')) END) AS s FROM heads WHERE len(w) > 0),
+counts AS (SELECT t, s, count(*) AS c FROM x GROUP BY t, s),
+sizes AS (SELECT t, sum(c) AS n FROM counts GROUP BY t),
+pairs AS (SELECT a.t AS a, b.t AS b, sum(least(a.c, b.c)) AS m FROM counts a JOIN counts b ON a.s = b.s AND a.t < b.t GROUP BY a.t, b.t),
+linked AS (SELECT a, b FROM pairs JOIN sizes p ON p.t = a JOIN sizes q ON q.t = b WHERE m >= {SIMILAR} * (p.n + q.n - m) - 1e-9),
 both_ways AS (SELECT a, b FROM linked UNION SELECT b, a FROM linked),
 reach(v, w) AS (SELECT a, a FROM both_ways UNION SELECT r.v, x.b FROM reach r JOIN both_ways x ON r.w = x.a),
 comp AS (SELECT v, min(w) AS c FROM reach GROUP BY v),
-classes AS (SELECT w, coalesce(c, head) AS class_id, sum(copies) OVER (PARTITION BY coalesce(c, head)) AS class_size FROM heads LEFT JOIN comp ON v = head)
+member AS (SELECT w, doc, copies, coalesce(c, t) AS c FROM heads LEFT JOIN comp ON v = t),
+classes AS (SELECT w, min(doc) OVER (PARTITION BY c) AS class_id, sum(copies) OVER (PARTITION BY c) AS class_size FROM member)
 SELECT d.doc_id, class_id, class_size::BIGINT AS class_size FROM d JOIN classes USING (w)
 """
 
