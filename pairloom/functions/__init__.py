@@ -1 +1 @@
-"""Part of pairloom."""
+"""Scalar functions: texts, JSON replies, settings."""

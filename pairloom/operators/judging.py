@@ -1,30 +1,131 @@
-"""Judge thresholds, scores and tiers."""
+"""Judge thresholds, scores, tiers, records and what follows from them."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Thresholds by version of the rule, before overrides by type.
+DEFAULTS = {
+    1: {"min_visual_quality": 3, "require_preserve_other": True},
+    2: {"min_mesh_quality": 4, "min_edit_strength": 2, "min_visual_quality": 2, "require_preserve_other": True},
+    3: {"min_visual_quality": 3, "require_preserve_other": True},
+}
+# Weights of the composite score, and what a judgement says that was never made.
+WEIGHTS = {"edit_executed": 0.3, "correct_region": 0.2, "preserve_other": 0.2, "visual_quality": 0.2, "artifact_free": 0.1}
+NO_RESPONSE, EVALUATION_ERROR = "VLM returned no valid response", "Evaluation error"
+
 
 def _is(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(False))
 
 
-def passes(version: int) -> Column:
-    """Whether a judgement passes, by version of the rule."""
+def _whole(c: str) -> Column:
+    """A score as a whole number; 0 if it isn't one."""
+    return F.coalesce(F.col(c).try_cast("int"), F.lit(0))
+
+
+def passes(version: int, overrides: dict[str, dict] | None = None) -> Column:
+    """Whether a judgement passes, by version of the rule. overrides: edit type -> thresholds that replace the defaults."""
+
+    def limit(name: str) -> Column:
+        out = F.lit(DEFAULTS[version][name])
+        for kind, own in (overrides or {}).items():
+            out = F.when(F.col("edit_type") == kind, F.lit(own[name])).otherwise(out) if name in own else out
+        return out
+
+    common = (_whole("visual_quality") >= limit("min_visual_quality")) & _is("correct_region") & (_is("preserve_other") | ~limit("require_preserve_other"))
     if version == 2:
-        strength = F.coalesce("edit_strength", F.when(_is("edit_executed"), 1).otherwise(0))
-        return (F.coalesce("mesh_quality", F.lit(0)) >= 4) & (strength >= 2) & (F.coalesce("visual_quality", F.lit(0)) >= 2) & _is("correct_region") & _is("preserve_other")
-    first = _is("edit_executed") & (F.coalesce("visual_quality", F.lit(0)) >= 3) & _is("correct_region") & _is("preserve_other")
-    return first & _is("artifact_free") if version == 3 else first
+        strength = F.when(F.col("edit_strength").isNull(), F.when(_is("edit_executed"), 1).otherwise(0)).otherwise(_whole("edit_strength"))
+        return (_whole("mesh_quality") >= limit("min_mesh_quality")) & (strength >= limit("min_edit_strength")) & common
+    return _is("edit_executed") & common & _is("artifact_free") if version == 3 else _is("edit_executed") & common
 
 
 def composite() -> Column:
     """Weighted score of a judgement, rounded half to even."""
-    one = lambda c: F.when(_is(c), 1.0).otherwise(0.0)
-    quality = F.greatest(F.lit(0), F.col("visual_quality") - 1) / 4
-    return F.bround(0.3 * one("edit_executed") + 0.2 * one("correct_region") + 0.2 * one("preserve_other") + 0.2 * quality + 0.1 * one("artifact_free"), 4)
+    one = lambda c: F.lit(WEIGHTS[c]) * F.when(_is(c), 1.0).otherwise(0.0)
+    quality = WEIGHTS["visual_quality"] * (F.greatest(F.lit(0), F.col("visual_quality") - 1) / 4)
+    return F.bround(one("edit_executed") + one("correct_region") + one("preserve_other") + quality + one("artifact_free"), 4)
 
 
 def tier(score: Column, passed: Column) -> Column:
     return F.when(~passed, "negative").when(score >= 0.8, "high").when(score >= 0.6, "medium").when(score >= 0.4, "low").otherwise("negative")
+
+
+def judge_tier(score: Column, reason: Column) -> Column:
+    """Tier of a judgement by what it says: rejected where there was none, negative where the edit failed, then by how
+    clean and good it is."""
+    none = (score == 0) & ~_is("edit_executed") & F.coalesce(reason.startswith(EVALUATION_ERROR) | (reason == NO_RESPONSE), F.lit(False))
+    clean, vq = _is("preserve_other") & _is("artifact_free"), F.coalesce("visual_quality", F.lit(0))
+    return F.when(none, "rejected").when(~_is("edit_executed") | ~_is("correct_region"), "negative").when(clean & (vq >= 4), "high").when(clean & (vq >= 3), "medium").when(vq >= 2, "low").otherwise("negative")
+
+
+def inherited_scores(additions: DataFrame, scores: DataFrame) -> DataFrame:
+    """additions (obj_id, edit_id, source_del_seq), scores (obj_id, edit_id, seq, tier, score) of deletions -> obj_id,
+    edit_id, tier, score, source, reason: an addition has its deletion's score; without one it has no row."""
+    own = scores.select("obj_id", F.col("seq").alias("source_del_seq"), "tier", "score", F.col("edit_id").alias("source"))
+    return additions.join(own, ["obj_id", "source_del_seq"]).select("obj_id", "edit_id", "tier", "score", "source", F.concat(F.lit("Inherited from "), "source").alias("reason"))
+
+
+def rolled_up(manifest: DataFrame, scores: DataFrame, *keys: str) -> DataFrame:
+    """manifest (keys, edit_id, edit_type), scores (edit_id, tier, score) -> keys, num_edits, num_passed, edits: identities
+    are high, what isn't scored is rejected. An object's edits are few."""
+    j = manifest.join(scores.select("edit_id", "tier", "score"), "edit_id", "left")
+    same = F.col("edit_type") == "identity"
+    label = F.when(same, "high").otherwise(F.coalesce("tier", F.lit("rejected")))
+    e = F.struct("edit_id", label.alias("tier"), F.when(same, 1.0).otherwise(F.coalesce("score", F.lit(0.0))).alias("score"))
+    return j.groupBy(*keys).agg(F.count(F.lit(1)).alias("num_edits"), F.count_if(label.isin("high", "medium")).alias("num_passed"), F.sort_array(F.collect_list(e)).alias("edits"))
+
+
+def judge_work(specs: DataFrame, records: DataFrame, done: DataFrame, asked: list[str] | None = None, force: bool = False) -> DataFrame:
+    """specs (obj_id, edit_id, edit_type), records (obj_id, status, only_types) of earlier runs, done (edit_id) -> the edits
+    that gate E has to judge.
+
+    An object is left out if its record is ok and was of all types, or of all those that are asked for. Deletions are
+    never judged, nor what has its verdict, unless forced."""
+    wanted = F.array(*map(F.lit, asked or [])).cast("array<string>")
+    only = F.coalesce("only_types", F.array().cast("array<string>"))
+    covered = (F.col("status") == "ok") & ((F.size(only) == 0) | (F.lit(bool(asked)) & (F.size(F.array_except(wanted, only)) == 0)))
+    work = specs if force else specs.join(records.where(covered).select("obj_id"), "obj_id", "left_anti").join(done.select("edit_id"), "edit_id", "left_anti")
+    work = work.where(F.col("edit_type") != "deletion")
+    return work if asked is None else work.where(F.col("edit_type").isin(*asked))
+
+
+def judge_records(work: DataFrame, judged: DataFrame, passed: Column) -> DataFrame:
+    """work (edit_id, edit_type, has_preview), judged (edit_id and a judgement) -> edit_id, ok, score, reason: fails with a
+    fixed reason where there is nothing to look at or no answer. passed: see passes()."""
+    j = work.join(judged.withColumn("_answered", F.lit(True)), "edit_id", "left")
+    seen, answered = F.coalesce("has_preview", F.lit(False)), F.col("_answered").isNotNull()
+    # fixed values: the reasons
+    why = F.when(~seen, "missing_previews").when(~answered, "vlm_no_response").otherwise(F.coalesce("reason", F.lit("")))
+    return j.select("edit_id", "edit_type", (seen & answered & passed).alias("ok"), F.when(seen & answered, F.bround(_whole("visual_quality") / 5, 2)).otherwise(0.0).alias("score"), why.alias("reason"))
+
+
+def refined_prompts(records: DataFrame, judged: DataFrame) -> DataFrame:
+    """edit_id, original, improved, judge_pass, for_addition: the prompt that replaces an addition's, if the judge has a
+    better one."""
+    j = records.join(judged.select("edit_id", "prompt", "improved_prompt"), "edit_id")
+    better = F.when(F.coalesce("improved_prompt", F.lit("")) != "", F.col("improved_prompt"))
+    return j.select("edit_id", F.col("prompt").alias("original"), F.coalesce("improved_prompt", F.lit("")).alias("improved"), F.col("ok").alias("judge_pass"), F.when(F.col("edit_type") == "addition", better).alias("for_addition"))
+
+
+def gate_two(edits: DataFrame, judged: DataFrame, overrides: dict | None = None) -> DataFrame:
+    """edits (edit_id, edit_type, gate_a_failed, has_preview), judged -> records of the gate on 2-D edits: those that gate A
+    failed or that have no input are left out."""
+    work = edits.where(~F.coalesce("gate_a_failed", F.lit(False)) & F.coalesce("has_preview", F.lit(False)))
+    return judge_records(work, judged, passes(1, overrides))
+
+
+def gate_one(edits: DataFrame) -> DataFrame:
+    """edits (edit_id, codes, most_px, has_overview, best, reply: see replies.alignment, answered) -> edit_id, ok, score,
+    reason, best_view.
+
+    Rules come first, then whether any view shows the parts, then the judge. Without an overview there is nothing to
+    judge and the edit passes."""
+    shown = F.array(F.col("best"), *map(F.lit, range(4)))
+    view = F.coalesce(F.when(F.col("reply.best_view").between(0, 4), F.get(shown, F.col("reply.best_view"))), F.lit(0))
+    # fixed values: the reasons
+    ok = F.when(F.size("codes") > 0, False).when(~F.col("has_overview"), True).when(F.col("most_px") <= 0, False).when(F.col("reply").isNull(), False).otherwise(F.col("reply.aligned"))
+    why = F.when(F.size("codes") > 0, F.get("codes", F.lit(0))).when(~F.col("has_overview"), "no_overview_auto_pass").when(F.col("most_px") <= 0, "zero_visible_pixels").when(F.col("reply").isNull(), "vlm_error").otherwise(F.coalesce("reply.reason", F.lit("")))
+    judged = (F.size("codes") == 0) & F.col("has_overview") & (F.col("most_px") > 0) & F.col("reply").isNotNull()
+    return edits.select("edit_id", ok.alias("ok"), F.when(ok, 1.0).otherwise(0.0).alias("score"), why.alias("reason"), F.when(judged, view).alias("best_view"))
