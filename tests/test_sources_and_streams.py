@@ -16,10 +16,14 @@ def test_manifest_round_trip(spark, tmp_path):
 
     out = str(tmp_path / "out")
     rows = lambda *r: spark.createDataFrame(list(r), "edit_type string, shard string, obj_id string, v int")
-    manifest.append(rows(("deletion", "00", "x", 1), ("scale", "00", "y", 2)), out)
+    assert manifest.append(rows(("deletion", "00", "x", 1), ("scale", "00", "y", 2)), out) == 2
     manifest.append(rows(("deletion", "00", "z", 3)), out)
-    manifest.rewrite(rows(("deletion", "00", "x", 9)), out)
+    assert manifest.rewrite(rows(("deletion", "00", "x", 9)), out) == 1
     assert sorted((r.edit_type, r.obj_id, r.v) for r in spark.read.parquet(out).collect()) == [("deletion", "x", 9), ("scale", "y", 2)]
+    manifest.rewrite(rows(("deletion", "01", "x", 3)), out, whole=True)
+    assert [(r.shard, r.v) for r in spark.read.parquet(out).collect()] == [("01", 3)] or [(int(r.shard), r.v) for r in spark.read.parquet(out).collect()] == [(1, 3)]
+    good, bad = manifest.read_jsonl(spark, str(tmp_path / "nowhere.jsonl"), schema)
+    assert good.count() == bad.count() == 0
 
 
 def test_streams_equal_batches(spark, tmp_path):
@@ -28,7 +32,7 @@ def test_streams_equal_batches(spark, tmp_path):
     events.repartition(3).write.parquet(src)
     stream = lambda: spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(src)
     progress.follow_state(stream(), str(tmp_path / "state"), str(tmp_path / "c1")).awaitTermination(120)
-    key = lambda df: sorted((r.edit_id, r.stage, str(r.ts)) for r in df.collect())
+    key = lambda df: sorted((r.edit_id, r.stage, str(r.ts), r.status, str(r.best_view), str(r.score)) for r in df.collect())
     assert key(progress.read_state(spark, str(tmp_path / "state"))) == key(latest(events))
     counts = progress.hourly(stream(), "3650 days")
     counts.writeStream.format("memory").queryName("hourly").outputMode("complete").trigger(availableNow=True).start().awaitTermination(120)
