@@ -6,9 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.text import SHINGLE, SIMILAR, let, shingles, whole
+from pairloom.session import stored
 
 #: Sketch rows (about 40 bytes each) up to which they are sent to every executor; above, they are shuffled.
 BROADCAST_ROWS = 200_000
+#: Items, about, that a text is verified for at a time.
+TESTS = 64
+
+
+def _sketches(sets: DataFrame) -> DataFrame:
+    """of, need, least_hits, h: the MinHash sketch of each set of shingles (its k least hashes) as rows.
+
+    Sets are partitioned by size, each partition [2^p, 2^(p+1)) with a k of its own: twice the shingles that a document
+    may miss of the partition's largest, and one. What a document must hold of a sketch follows from what it may miss of
+    the set: least_hits."""
+    part = F.floor(F.log2("n_item")).cast("int")
+    largest = F.pow(F.lit(2.0), part + 1) - 1
+    length = F.least(F.col("n_item"), 2 * F.floor(largest * F.col("slack") + F.lit(1e-9)).cast("int") + 1)
+    sized = sets.withColumn("k", length).withColumn("least_hits", F.col("k") - (F.col("n_item") - F.col("need")))
+    return sized.select("of", "need", "least_hits", F.explode(F.slice(F.array_sort("shingles"), F.lit(1), F.col("k"))).alias("h"))
 
 
 def contained_items(docs: DataFrame, items: DataFrame, threshold: float = SIMILAR, n: int = SHINGLE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -17,34 +33,39 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = SIMILA
     One row for each pair where the document holds at least `threshold` of the item's distinct n-word shingles,
     wherever in the document they stand.
 
-    A prefix filter, not a MinHash estimate: containment C of an item of q shingles in a document of x is a Jaccard
-    similarity of about C*q/x, so a sketch of one fixed length is blind to short items in long documents. Of an
-    item of q shingles the k(q) = q - ceil(threshold*q) + 1 least hashes are therefore kept. A document that holds ceil(threshold*q) of the q shingles can miss at most q - ceil(threshold*q) of
-    them, so it shares one of the k(q) at least: the search has no false negatives at any ratio of sizes, which banded
-    signatures of the documents can't give. Documents probe with all their shingles, those too short for an item don't
-    meet it. Candidates are verified by the exact shingle intersection.
+    Containment MinHash: the item is sketched by its least hashes and the document isn't sketched at all, as the
+    signature of a 20,000-shingle document says nothing about 20 of them. The share of an item's sketch among the
+    document's shingles estimates the containment without bias at any ratio of sizes. Items are partitioned by size, with
+    a sketch length for each partition (see _sketches); only documents that have enough shingles for an item probe it. A
+    document that holds ceil(threshold * q) of q shingles misses q - ceil(threshold * q) at most, so it has at least the
+    sketch length less that many hits: pairs with fewer are no candidates, and no pair is missed. Candidates are verified
+    by the exact shingle intersection.
 
-    Items of fewer than n words and null or empty texts hold no shingles and match nothing. Rows that share a doc_id
-    (null included) are reported once, with the best of them; of repeated item_ids each text is matched, the best is
-    kept. Empty tables give no rows; other columns are ignored.
+    Items of equal shingles are searched for once. Items of fewer than n words and null or empty texts hold no shingles
+    and match nothing. Rows that share a doc_id (null included) are reported once, with the best of them; of repeated
+    item_ids each text is matched, the best is kept. Empty tables give no rows; other columns are ignored.
     """
-    d = docs.select("doc_id", whole().alias("text"))
-    sets = items.select("item_id", shingles(whole(), n).alias("of_item")).where(F.size("of_item") > 0)
-    sets = sets.withColumn("n_item", F.size("of_item")).withColumn("need", F.ceil(F.col("n_item") * F.lit(threshold) - F.lit(1e-9)).cast("int"))
-    sets = sets.withColumn("size_part", F.floor(F.log2("n_item")).cast("int"))
-    sketch = sets.select("item_id", "size_part", "need", F.explode(F.slice(F.array_sort("of_item"), F.lit(1), F.col("n_item") - F.col("need") + 1)).alias("h"))
-    small = sketch.count() <= broadcast_rows
-    probe = d.select("doc_id", shingles(F.col("text"), n).alias("s")).where(F.size("s") > 0).select("doc_id", F.size("s").alias("x"), F.explode("s").alias("h"))
-    found = probe.join(F.broadcast(sketch) if small else sketch, "h").where("x >= need").select("doc_id", "item_id").distinct()
-
-    # a document meets no more items than it has shingles, so this list is bounded by the document
-    tests = found.join(F.broadcast(sets) if small else sets, found["item_id"].eqNullSafe(sets["item_id"])).select(found["doc_id"].alias("at"), F.struct(found["item_id"], "of_item", "n_item", "need").alias("test"))
-    tests = tests.groupBy("at").agg(F.collect_list("test").alias("tests"))
-    held = d.join(tests, d["doc_id"].eqNullSafe(tests["at"])).select(
-        "doc_id",
-        F.explode(let(shingles(F.col("text"), n), lambda s: F.transform("tests", lambda t: F.struct(t["item_id"].alias("item_id"), F.size(F.array_intersect(s, t["of_item"])).alias("n_shared"), t["n_item"].alias("n_item"), t["need"].alias("need"))))).alias("r"),
-    ).select("doc_id", "r.*")
-    best = held.where("n_shared >= need").groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("n_shared") / F.col("n_item"), "n_shared", "n_item")).alias("b"))
+    rows = docs.select("doc_id", F.xxhash64(whole()).alias("raw"), whole().alias("text"))
+    named = items.select("item_id", F.array_sort(shingles(whole(), n)).alias("shingles")).where(F.size("shingles") > 0)
+    named = stored(named.withColumn("of", F.struct(F.xxhash64("shingles").alias("x"), F.hash("shingles").alias("y"))))
+    need = F.ceil(F.size("shingles") * F.lit(threshold) - F.lit(1e-9)).cast("int")
+    sets = named.groupBy("of").agg(F.first("shingles").alias("shingles")).select("of", "shingles", F.size("shingles").alias("n_item"), need.alias("need"), F.lit(1.0 - threshold).alias("slack"))
+    sketch = _sketches(sets)
+    small = max(sketch.count(), named.count()) <= broadcast_rows
+    few = F.broadcast if small else lambda df: df
+    probe = rows.select("doc_id", "raw", shingles(F.col("text"), n).alias("s")).where(F.size("s") > 0).select("doc_id", "raw", F.size("s").alias("x"), F.explode("s").alias("h"))
+    hits = probe.join(few(sketch), "h").where("x >= need").groupBy("doc_id", "raw", "of").agg(F.countDistinct("h").alias("hits"), F.min("least_hits").alias("least_hits"))
+    found = hits.where("hits >= least_hits").select("doc_id", "raw", "of")
+
+    # a text is read again with some of its tests at a time, however many it has
+    tests = found.join(few(sets), "of").select("doc_id", "raw", F.struct("of", "shingles", "n_item", "need").alias("test"))
+    many = found.groupBy("doc_id", "raw").agg(F.ceil(F.count(F.lit(1)) / TESTS).cast("int").alias("turns"))
+    tests = tests.join(many, tests["doc_id"].eqNullSafe(many["doc_id"]) & (tests["raw"] == many["raw"])).select(tests["doc_id"].alias("at"), tests["raw"].alias("at_raw"), "test", F.pmod(F.xxhash64("test.of"), "turns").alias("turn"))
+    tests = tests.groupBy("at", "at_raw", "turn").agg(F.collect_list("test").alias("tests"))
+    shared = lambda s: F.transform("tests", lambda t: F.struct(t["of"].alias("of"), F.size(F.array_intersect(s, t["shingles"])).alias("n_shared"), t["n_item"].alias("n_item"), t["need"].alias("need")))
+    held = rows.join(tests, rows["doc_id"].eqNullSafe(tests["at"]) & (rows["raw"] == tests["at_raw"])).select("doc_id", F.explode(let(shingles(F.col("text"), n), shared)).alias("r"))
+    held = held.select("doc_id", "r.*").where("n_shared >= need").join(few(named.select("of", "item_id")), "of")
+    best = held.groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("n_shared") / F.col("n_item"), "n_shared", "n_item")).alias("b"))
     return best.select("doc_id", "item_id", "b.n_shared", "b.n_item", F.round(F.col("b.n_shared") / F.col("b.n_item"), 6).alias("containment"))
 
 
