@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairloom.operators.state import not_passed
+
 # The view taken where none is known, the number of views, voxels a side may have, cells to a side of a
 # latent grid, tiers from best to worst, and how each type of edit is carried out (any other as Modification).
 DEFAULT_VIEW, VIEWS, MAX_VOXELS, LATENT_SIDE = 4, 5, 32768, 64
@@ -47,7 +49,7 @@ def top_reasons(failures: DataFrame, n: int, by: list[str] | None = None) -> Dat
 
 def accept_deletions(wide: DataFrame) -> DataFrame:
     """Strict acceptance of deletions: gate A must say pass; else reason tells what it said."""
-    reason = F.when(~F.col("gate_a").eqNullSafe("pass"), F.concat(F.lit("gate_A="), F.coalesce("gate_a", F.lit("none"))))
+    reason = not_passed("gate_a", "A")
     return wide.where(F.col("edit_id").startswith("del_")).withColumn("reason", reason).withColumn("accepted", reason.isNull())
 
 
@@ -58,11 +60,13 @@ def voxel_counts(voxels: DataFrame, most: int = MAX_VOXELS) -> DataFrame:
 
 
 def latent_report(cells: DataFrame, key: str, side: int = LATENT_SIDE) -> DataFrame:
-    """For each table of cells its row count and the first error: a coordinate out of range or a missing feature."""
+    """For each table of cells its row count and the first error: a coordinate out of range or a missing feature; and a
+    warning where cells (with a column b) are of another batch than 0."""
     low, high = F.min(F.least("x", "y", "z")), F.max(F.greatest("x", "y", "z"))
     missing = F.count_if(F.col("f0").isNull() | F.col("f1").isNull() | F.col("f2").isNull() | F.col("f3").isNull())
     error = F.when((low < 0) | (high >= side), "coords out of range").when(missing > 0, "features missing")
-    return cells.groupBy(key).agg(F.count(F.lit(1)).alias("n"), error.alias("error"))
+    batch = F.max(F.col("b") != 0) if "b" in cells.columns else F.lit(False)
+    return cells.groupBy(key).agg(F.count(F.lit(1)).alias("n"), error.alias("error"), F.when(batch, "batch isn't 0").alias("warning"))
 
 
 def within_tier(tier: Column, worst: str) -> Column:

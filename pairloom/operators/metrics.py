@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,43 +11,50 @@ from pyspark.sql import functions as F
 SSIM_C1, SSIM_C2 = 0.01**2, 0.03**2
 
 
-def _sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+def sums(a: Column, b: Column) -> Column:
+    """n, a, b, aa, bb, ab, dd: the sums over two vectors that similarities are made of, in one pass."""
+    d = lambda v: v.cast("double")
+    zero = F.struct(*[F.lit(0.0).alias(n) for n in ("a", "b", "aa", "bb", "ab", "dd")])
 
+    def add(acc: Column, p: Column) -> Column:
+        x, y = d(p["x"]), d(p["y"])
+        more = {"a": x, "b": y, "aa": x * x, "bb": y * y, "ab": x * y, "dd": (x - y) * (x - y)}
+        return F.struct(*[(acc[n] + v).alias(n) for n, v in more.items()])
 
-def _dot(a: Column, b: Column) -> Column:
-    return _sum(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")))
+    pairs = F.zip_with(a, b, lambda x, y: F.struct(x.alias("x"), y.alias("y")))
+    return F.aggregate(pairs, zero, add, lambda acc: F.struct(F.size(a).alias("n"), *[acc[n].alias(n) for n in ("a", "b", "aa", "bb", "ab", "dd")]))
 
 
-def _apart(a: Column, b: Column) -> Column:
-    return _sum(F.zip_with(a, b, lambda x, y: F.pow(x.cast("double") - y.cast("double"), F.lit(2))))
+def _with(a: Column, b: Column, f: Callable[[Column], Column]) -> Column:
+    """f of the sums, which are made once however often f names them."""
+    return F.transform(F.array(sums(a, b)), f)[0]
 
 
 def cosine(a: Column, b: Column) -> Column:
     """Cosine similarity; 0 where a vector is about zero."""
-    na, nb = F.sqrt(_dot(a, a)), F.sqrt(_dot(b, b))
-    return F.when((na < 1e-12) | (nb < 1e-12), 0.0).otherwise(_dot(a, b) / (na * nb))
+    return _with(a, b, lambda s: F.when((F.sqrt(s["aa"]) < 1e-12) | (F.sqrt(s["bb"]) < 1e-12), 0.0).otherwise(s["ab"] / (F.sqrt(s["aa"]) * F.sqrt(s["bb"]))))
 
 
 def relative_l2(a: Column, b: Column) -> Column:
     """Distance over the length of a; infinite where a is about zero."""
-    na = F.sqrt(_dot(a, a))
-    return F.when(na < 1e-12, F.lit(float("inf"))).otherwise(F.sqrt(_apart(a, b)) / na)
+    return _with(a, b, lambda s: F.when(F.sqrt(s["aa"]) < 1e-12, F.lit(float("inf"))).otherwise(F.sqrt(s["dd"]) / F.sqrt(s["aa"])))
 
 
 def psnr(a: Column, b: Column) -> Column:
     """Peak signal to noise ratio in dB for values between 0 and 1; 100 where they are equal."""
-    mse = _apart(a, b) / F.size(a)
-    return F.when(mse <= 1e-12, 100.0).otherwise(20 * F.log10(1 / F.sqrt(mse)))
+    return _with(a, b, lambda s: F.when(s["dd"] / s["n"] <= 1e-12, 100.0).otherwise(20 * F.log10(1 / F.sqrt(s["dd"] / s["n"]))))
 
 
 def ssim(a: Column, b: Column) -> Column:
     """Structural similarity of one channel as a whole, between -1 and 1."""
-    n = F.size(a)
-    ma, mb = _sum(F.transform(a, lambda v: v.cast("double"))) / n, _sum(F.transform(b, lambda v: v.cast("double"))) / n
-    va, vb, cov = _dot(a, a) / n - ma * ma, _dot(b, b) / n - mb * mb, _dot(a, b) / n - ma * mb
-    s = (2 * ma * mb + SSIM_C1) * (2 * cov + SSIM_C2) / ((ma * ma + mb * mb + SSIM_C1) * (va + vb + SSIM_C2))
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), s))
+
+    def of(s: Column) -> Column:
+        ma, mb = s["a"] / s["n"], s["b"] / s["n"]
+        va, vb, cov = s["aa"] / s["n"] - ma * ma, s["bb"] / s["n"] - mb * mb, s["ab"] / s["n"] - ma * mb
+        value = (2 * ma * mb + SSIM_C1) * (2 * cov + SSIM_C2) / ((ma * ma + mb * mb + SSIM_C1) * (va + vb + SSIM_C2))
+        return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value))
+
+    return _with(a, b, of)
 
 
 def vector_pairs(vectors: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Stages in order; gate stages end in pass or fail, others in done or error.
@@ -18,17 +18,17 @@ def latest(events: DataFrame) -> DataFrame:
 
 
 def stage_funnel(state: DataFrame) -> DataFrame:
-    """stage, stage_no, pass_done, fail, error, eligible, pending; stages without edits have zeros."""
-    spark = state.sparkSession
-    stages = spark.range(1).select(F.posexplode(F.array(*map(F.lit, STAGES))).alias("stage_no", "stage"))
-    gate = F.col("stage").startswith("gate")
-    counts = state.groupBy("stage").agg(
-        F.count_if(F.col("status").isin("pass", "done")).alias("pass_done"), F.count_if(F.col("status") == "fail").alias("fail"), F.count_if(~gate & (F.col("status") == "error")).alias("error"))
-    edits = state.agg(F.countDistinct("edit_id").alias("edits"))
-    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    out = F.broadcast(stages).join(counts, "stage", "left").crossJoin(edits).select("stage", "stage_no", zero("pass_done"), zero("fail"), zero("error"), "edits")
-    eligible = F.col("pass_done") + F.col("fail") + F.col("error")
-    return out.select("stage", "stage_no", "pass_done", "fail", "error", eligible.alias("eligible"), F.when(F.col("stage_no") == 0, F.col("edits") - eligible).otherwise(0).alias("pending"))
+    """stage, stage_no, pass_done, fail, error, eligible, pending; stages without edits have zeros. One pass: each edit
+    becomes a row of its stages' statuses, and those are counted."""
+    wide = state.groupBy("obj_id", "edit_id").agg(*[F.max(F.when(F.col("stage") == s, F.col("status"))).alias(s) for s in STAGES])
+    n = lambda c: F.coalesce(F.count_if(c), F.lit(0))
+    rows = []
+    for i, s in enumerate(STAGES):
+        done, fail, error = n(F.col(s).isin("pass", "done")), n(F.col(s) == "fail"), F.lit(0).cast("long") if s.startswith("gate") else n(F.col(s) == "error")
+        eligible = done + fail + error
+        pending = F.count(F.lit(1)) - eligible if i == 0 else F.lit(0).cast("long")
+        rows.append(F.struct(F.lit(s).alias("stage"), F.lit(i).alias("stage_no"), done.alias("pass_done"), fail.alias("fail"), error.alias("error"), eligible.alias("eligible"), pending.alias("pending")))
+    return wide.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 def gates(state: DataFrame) -> DataFrame:
@@ -38,10 +38,14 @@ def gates(state: DataFrame) -> DataFrame:
     return wide.withColumn("fail_gate", failed).withColumn("final_pass", failed.isNull())
 
 
+def not_passed(gate: str, name: str) -> Column:
+    """What a gate says other than pass, as gate_X='fail', or gate_X=None where it says nothing; null if it passes."""
+    return F.when(~F.col(gate).eqNullSafe("pass"), F.concat(F.lit(f"gate_{name}="), F.coalesce(F.concat(F.lit("'"), F.col(gate), F.lit("'")), F.lit("None"))))
+
+
 def accept_generated(wide: DataFrame) -> DataFrame:
     """Strict acceptance: gate A and then gate E must say pass; reason names the first that doesn't."""
-    says = lambda g, n: F.when(~F.col(g).eqNullSafe("pass"), F.concat(F.lit(f"gate_{n}="), F.coalesce(g, F.lit("none"))))
-    reason = F.coalesce(says("gate_a", "A"), says("gate_e", "E"))
+    reason = F.coalesce(not_passed("gate_a", "A"), not_passed("gate_e", "E"))
     return wide.withColumn("reason", reason).withColumn("accepted", reason.isNull())
 
 

@@ -51,7 +51,7 @@ def agg4(s, d):
     return choice.top_reasons(_failures(s, d), 3, ["stage"])
 
 
-@query("flt8_accept_deletions", _ev(_WIDE + "SELECT obj_id, edit_id, CASE WHEN gate_a IS DISTINCT FROM 'pass' THEN 'gate_A=' || coalesce(gate_a, 'none') END AS reason, gate_a IS NOT DISTINCT FROM 'pass' AS accepted FROM wide WHERE starts_with(edit_id, 'del_')"))
+@query("flt8_accept_deletions", _ev(_WIDE + "SELECT obj_id, edit_id, CASE WHEN gate_a IS DISTINCT FROM 'pass' THEN 'gate_A=' || coalesce('''' || gate_a || '''', 'None') END AS reason, gate_a IS NOT DISTINCT FROM 'pass' AS accepted FROM wide WHERE starts_with(edit_id, 'del_')"))
 def flt8(s, d):
     return choice.accept_deletions(state.gates(_state(s, d))).select("obj_id", "edit_id", "reason", "accepted")
 
@@ -61,9 +61,9 @@ def flt13(s, d):
     return choice.voxel_counts(fixture(s, d, "fx_voxels"), 900)
 
 
-@query("flt18_latent_report", _vox("SELECT pair_id, count(*) AS n, CASE WHEN min(least(x, y, z)) < 0 OR max(greatest(x, y, z)) >= 31 THEN 'coords out of range' WHEN count_if(f0 IS NULL OR f1 IS NULL OR f2 IS NULL OR f3 IS NULL) > 0 THEN 'features missing' END AS error FROM fx_voxels GROUP BY pair_id"))
+@query("flt18_latent_report", _vox("SELECT pair_id, count(*) AS n, CASE WHEN min(least(x, y, z)) < 0 OR max(greatest(x, y, z)) >= 31 THEN 'coords out of range' WHEN count_if(f0 IS NULL OR f1 IS NULL OR f2 IS NULL OR f3 IS NULL) > 0 THEN 'features missing' END AS error, CASE WHEN count_if(pair_id % 5 = 0 AND x = 0) > 0 THEN 'batch isn''t 0' END AS warning FROM fx_voxels GROUP BY pair_id"))
 def flt18(s, d):
-    return choice.latent_report(fixture(s, d, "fx_voxels"), "pair_id", 31)
+    return choice.latent_report(fixture(s, d, "fx_voxels").withColumn("b", ((F.col("pair_id") % 5 == 0) & (F.col("x") == 0)).cast("int")), "pair_id", 31)
 
 
 @query("flt20_tier_cut", with_fixtures(f"SELECT edit_no, s AS score FROM (SELECT *, {_SCORE} AS s FROM fx_judge) WHERE coalesce(edit_executed, false) AND s >= 0.6", "fx_judge"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pairloom.operators import edits, grid, judging, order, state
 from pairloom.plans.fixtures import fixture, with_fixtures
 from pairloom.plans.registry import query
+from pairloom.session import stored
 
 _GEN = "('modification', 'scale', 'material', 'color', 'global')"
 _IDS = f"""WITH k AS (SELECT *, CASE WHEN edit_type = 'deletion' THEN 'd' WHEN edit_type IN {_GEN} THEN 'g' END AS kind FROM fx_edits),
@@ -119,7 +120,7 @@ def sta1(s, d):
     return state.gates(_state(s, d))
 
 
-@query("flt9_accept_generated", with_fixtures(_WIDE + "SELECT edit_id, CASE WHEN gate_a IS DISTINCT FROM 'pass' THEN 'gate_A=' || coalesce(gate_a, 'none') WHEN gate_e IS DISTINCT FROM 'pass' THEN 'gate_E=' || coalesce(gate_e, 'none') END AS reason, gate_a IS NOT DISTINCT FROM 'pass' AND gate_e IS NOT DISTINCT FROM 'pass' AS accepted FROM wide WHERE starts_with(edit_id, 'mod_')", "fx_stage_events"))
+@query("flt9_accept_generated", with_fixtures(_WIDE + "SELECT edit_id, CASE WHEN gate_a IS DISTINCT FROM 'pass' THEN 'gate_A=' || coalesce('''' || gate_a || '''', 'None') WHEN gate_e IS DISTINCT FROM 'pass' THEN 'gate_E=' || coalesce('''' || gate_e || '''', 'None') END AS reason, gate_a IS NOT DISTINCT FROM 'pass' AND gate_e IS NOT DISTINCT FROM 'pass' AS accepted FROM wide WHERE starts_with(edit_id, 'mod_')", "fx_stage_events"))
 def flt9(s, d):
     return state.accept_generated(state.gates(_state(s, d)).where("edit_id LIKE 'mod\\_%'")).select("edit_id", "reason", "accepted")
 
@@ -187,8 +188,12 @@ def _vox(sql: str) -> str:
     return with_fixtures(sql, "fx_voxels")
 
 
+def _cells(s, d) -> DataFrame:
+    """Stored once: the region and what is taken from it both start from them."""
+    return stored(fixture(s, d, "fx_voxels"))
+
+
 def _region(cells: DataFrame) -> DataFrame:
-    """The cells are stored once: dilation and what is taken from it both start from them."""
     return grid.part_region(cells, 3, 1, 32)
 
 
@@ -204,29 +209,29 @@ def vox3(s, d):
 
 @query("vox4_part_region", _vox(_REGION + "SELECT * FROM region"))
 def vox4(s, d):
-    return _region(fixture(s, d, "fx_voxels"))
+    return _region(_cells(s, d))
 
 
 @query("vox5_keep_blocks", _vox(_REGION + "SELECT pair_id, x // 4 AS x, y // 4 AS y, z // 4 AS z, count(*) AS n FROM region GROUP BY ALL HAVING count(*) * 10 >= 64"))
 def vox5(s, d):
-    return grid.keep_blocks(_region(fixture(s, d, "fx_voxels")))
+    return grid.keep_blocks(_region(_cells(s, d)))
 
 
 @query("vox9_preserve_bridge", _vox(_REGION + "SELECT pair_id, x, y, z FROM fx_voxels v WHERE in_before = 1 AND in_after = 1 AND NOT EXISTS (SELECT 1 FROM region r WHERE v.pair_id = r.pair_id AND v.x = r.x AND v.y = r.y AND v.z = r.z)"))
 def vox9(s, d):
-    v = fixture(s, d, "fx_voxels")
+    v = _cells(s, d)
     return grid.preserved(v, _region(v)).select(*grid.CELL)
 
 
 @query("vox29_warm_start", _vox(_REGION + "SELECT pair_id, x, y, z FROM fx_voxels v WHERE in_before = 1 AND in_after = 1 AND EXISTS (SELECT 1 FROM region r WHERE v.pair_id = r.pair_id AND v.x = r.x AND v.y = r.y AND v.z = r.z)"))
 def vox29(s, d):
-    v = fixture(s, d, "fx_voxels")
+    v = _cells(s, d)
     return grid.warm_start(v, _region(v)).select(*grid.CELL)
 
 
 @query("vox10_restore", _vox(_REGION + "SELECT pair_id, x, y, z FROM fx_voxels v WHERE in_after = 1 OR (in_before = 1 AND NOT EXISTS (SELECT 1 FROM region r WHERE v.pair_id = r.pair_id AND v.x = r.x AND v.y = r.y AND v.z = r.z))"))
 def vox10(s, d):
-    v = fixture(s, d, "fx_voxels")
+    v = _cells(s, d)
     return grid.restore(v, _region(v))
 
 
@@ -250,9 +255,10 @@ def chk1(s, d):
     return v.groupBy("pair_id").agg(n.alias("n_cells"), n.between(100, 40000).alias("count_ok"), ((F.min(F.least("x", "y", "z")) >= 0) & (F.max(F.greatest("x", "y", "z")) < 64)).alias("coords_ok"), (F.max(F.abs("f1")) > 50).alias("too_large"), F.round(F.stddev_pop("f0"), 6).alias("spread"))
 
 
-@query("met1_2_bounding_boxes", _vox("SELECT pair_id, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1, min(z) AS z0, max(z) AS z1, round(sqrt(pow(max(x) - min(x), 2) + pow(max(y) - min(y), 2) + pow(max(z) - min(z), 2)), 6) AS diagonal FROM fx_voxels WHERE in_after = 1 GROUP BY pair_id"))
+@query("met1_2_bounding_boxes", _vox("SELECT pair_id, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1, min(z) AS z0, max(z) AS z1, round(sqrt(pow(max(x) - min(x), 2) + pow(max(y) - min(y), 2) + pow(max(z) - min(z), 2)), 6) AS diagonal, (min(x) + max(x)) / 2 AS cx, (min(y) + max(y)) / 2 AS cy, (min(z) + max(z)) / 2 AS cz FROM fx_voxels WHERE in_after = 1 GROUP BY pair_id"))
 def met1(s, d):
     v = fixture(s, d, "fx_voxels").where("in_after = 1")
     ends = [f(a).alias(f"{a}{i}") for a in "xyz" for i, f in enumerate((F.min, F.max))]
     length = sum((F.pow(F.max(a) - F.min(a), F.lit(2)) for a in "xyz"), F.lit(0.0))
-    return v.groupBy("pair_id").agg(*ends, F.round(F.sqrt(length), 6).alias("diagonal"))
+    centre = [((F.min(a) + F.max(a)) / 2).alias(f"c{a}") for a in "xyz"]
+    return v.groupBy("pair_id").agg(*ends, F.round(F.sqrt(length), 6).alias("diagonal"), *centre)

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pairloom.operators import grid, judging, metrics, order, state
-from pairloom.plans.core import _DUE, _LATEST, _REGION, _SCORE, _WIDE, _region, _state, _vox
+from pairloom.plans.core import _DUE, _LATEST, _cells, _REGION, _SCORE, _WIDE, _region, _state, _vox
 from pairloom.plans.fixtures import fixture, with_fixtures
 from pairloom.plans.registry import query
 from pairloom.session import table
@@ -47,7 +47,7 @@ def chk1(s, d):
 
 @query("vox7_keep_flag", _vox(_REGION + "SELECT pair_id, x, y, z, CASE WHEN EXISTS (SELECT 1 FROM region r WHERE r.pair_id = v.pair_id AND r.x = v.x AND r.y = v.y AND r.z = v.z) THEN 0 ELSE 1 END AS keep FROM fx_voxels v"))
 def vox7(s, d):
-    v = fixture(s, d, "fx_voxels")
+    v = _cells(s, d)
     return v.join(_region(v).withColumn("_in", F.lit(1)), grid.CELL, "left").select(*grid.CELL, F.when(F.col("_in").isNull(), 1).otherwise(0).alias("keep"))
 
 
@@ -80,10 +80,13 @@ def joi4(s, d):
     return state.needs_stage(_state(s, d), "s5", "gate_c").groupBy("obj_id").agg(F.count(F.lit(1)).alias("pending"))
 
 
-@query("agg12_sta5_gate_coverage", with_fixtures(_WIDE + "SELECT obj_id, count(*) AS expected, count_if(gate_a IN ('pass', 'fail')) AS found, count(*) = count_if(gate_a IN ('pass', 'fail')) AS ok FROM wide GROUP BY obj_id", "fx_stage_events"))
+@query("agg12_sta5_gate_coverage", with_fixtures(_WIDE + "SELECT *, expected = found AS ok, expected_c = found_c AS ok_c FROM (SELECT obj_id, count(*) AS expected, count(*) FILTER (gate_a IN ('pass', 'fail')) AS found, count(*) FILTER (starts_with(edit_id, 'mod_')) AS expected_c, count(*) FILTER (starts_with(edit_id, 'mod_') AND gate_c IN ('pass', 'fail')) AS found_c FROM wide GROUP BY obj_id)", "fx_stage_events"))
 def agg12(s, d):
-    found = F.count_if(F.col("gate_a").isin("pass", "fail"))
-    return state.gates(_state(s, d)).groupBy("obj_id").agg(F.count(F.lit(1)).alias("expected"), found.alias("found"), (F.count(F.lit(1)) == found).alias("ok"))
+    """Gate A is expected of all edits, gate C of generated ones."""
+    n = lambda c: F.coalesce(F.count_if(c), F.lit(0))
+    made = F.col("edit_id").startswith("mod_")
+    w = state.gates(_state(s, d)).groupBy("obj_id").agg(F.count(F.lit(1)).alias("expected"), n(F.col("gate_a").isin("pass", "fail")).alias("found"), n(made).alias("expected_c"), n(made & F.col("gate_c").isin("pass", "fail")).alias("found_c"))
+    return w.select("*", (F.col("expected") == F.col("found")).alias("ok"), (F.col("expected_c") == F.col("found_c")).alias("ok_c"))
 
 
 _RATES = {"edit_executed": "executed", "correct_region": "region", "preserve_other": "preserve", "artifact_free": "artifact"}
