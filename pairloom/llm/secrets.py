@@ -38,6 +38,8 @@ MORE = (
     Rule("login", r"[a-z][a-z0-9+.-]*://[^/ @:]+:[^/ @:]+@"),
 )
 RULES = BASE + MORE
+#: Matches of one rule in one text whose places are worked out together.
+BLOCK = 128
 
 #: A query over trigrams of the lower-cased text: True (any text), a trigram, ("and", ...) or ("or", ...).
 Query = bool | str | tuple
@@ -147,15 +149,30 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return by_doc.select("doc_id", kinds.alias("kinds")).where(F.size("kinds") > 0)
 
 
+_SPAN = "struct<start:int,order:int,kind:string,end:int,size:int>"
+
+
+def _blocks(n: Column) -> Column:
+    """0, BLOCK, 2 * BLOCK, ... below n."""
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(BLOCK))).otherwise(F.array().cast("array<int>"))
+
+
 def _spans(text: Column, r: Rule, order: int) -> Column:
-    """Spans of one rule in code points: what lies between matches gives their places."""
+    """Spans of one rule in code points: what lies between matches gives their places.
+
+    Matches are taken in blocks: first the length of each block, then where each one starts, then the spans within. An
+    array is only ever appended to within a block or once a block, so very many matches don't cost their square."""
 
     def placed(between: Column, found: Column, sized: Column) -> Column:
+        length = lambda i: F.length(between[i]) + F.length(found[i])
+        inside = lambda b: F.sequence(b, F.least(b + BLOCK, F.size(found)) - 1)
+        sums = F.transform(_blocks(F.size(found)), lambda b: F.struct(b.alias("b"), F.aggregate(inside(b), F.lit(0), lambda acc, i: acc + length(i)).alias("n")))
+        begun = lambda acc, s: F.struct((acc["end"] + s["n"]).alias("end"), F.concat(acc["out"], F.array(F.struct(s["b"].alias("b"), acc["end"].alias("at")))).alias("out"))
+        starts = F.aggregate(sums, F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<b:int,at:int>>").alias("out")), begun)["out"]
         start = lambda acc, i: acc["end"] + F.length(between[i])
-        one = lambda acc, i: F.struct((start(acc, i) + F.length(found[i])).alias("end"), F.concat(acc["out"], F.array(F.struct(start(acc, i).alias("start"), F.lit(order).alias("order"), F.lit(r.kind).alias("kind"), (start(acc, i) + F.length(found[i])).alias("end"), F.length(sized[i]).alias("size")))).alias("out"))
-        first = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<start:int,order:int,kind:string,end:int,size:int>>").alias("out"))
-        each = F.when(F.size(found) > 0, F.sequence(F.lit(0), F.size(found) - 1)).otherwise(F.array().cast("array<int>"))
-        return F.filter(F.aggregate(each, first, one)["out"], lambda s: s["size"] >= r.least)
+        one = lambda acc, i: F.struct((acc["end"] + length(i)).alias("end"), F.concat(acc["out"], F.array(F.struct(start(acc, i).alias("start"), F.lit(order).alias("order"), F.lit(r.kind).alias("kind"), (acc["end"] + length(i)).alias("end"), F.length(sized[i]).alias("size")))).alias("out"))
+        of_block = lambda s: F.aggregate(inside(s["b"]), F.struct(s["at"].alias("end"), F.array().cast(f"array<{_SPAN}>").alias("out")), one)["out"]
+        return F.filter(F.flatten(F.transform(starts, of_block)), lambda s: s["size"] >= r.least)
 
     return let(F.split(text, r.pattern, -1), lambda b: let(F.regexp_extract_all(text, F.lit(r.pattern), F.lit(0)), lambda m: let(F.regexp_extract_all(text, F.lit(r.pattern), F.lit(r.group)), lambda g: placed(b, m, g))))
 
@@ -172,7 +189,7 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     d = docs.select("doc_id", whole().alias("text"))
     c = candidates(d, rules).withColumnRenamed("doc_id", "at")
     j = d.join(c, d["doc_id"].eqNullSafe(c["at"]), "left")
-    none = F.array().cast("array<struct<start:int,order:int,kind:string,end:int,size:int>>")
+    none = F.array().cast(f"array<{_SPAN}>")
     found = []
     for i, r in enumerate(rules):
         to_read = F.col("text").rlike(r.pattern) if trigram_query(r.pattern) is True else F.array_contains("kinds", r.kind)
