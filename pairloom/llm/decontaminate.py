@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.text import SHINGLE, SIMILAR, let, shingles, whole
+from pairloom.llm.text import SHINGLE, SIMILAR, let, once, shingles, whole
 from pairloom.session import stored
 
 #: Sketch rows (about 40 bytes each) up to which they are sent to every executor; above, they are shuffled.
@@ -53,9 +53,9 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = SIMILA
     sketch = _sketches(sets)
     small = max(sketch.count(), named.count()) <= broadcast_rows
     few = F.broadcast if small else lambda df: df
-    probe = rows.select("doc_id", "raw", shingles(F.col("text"), n).alias("s")).where(F.size("s") > 0).select("doc_id", "raw", F.size("s").alias("x"), F.explode("s").alias("h"))
+    probe = rows.select("doc_id", "raw", once("s", shingles(F.col("text"), n))).select("doc_id", "raw", F.size("s").alias("x"), F.explode("s").alias("h"))
     hits = probe.join(few(sketch), "h").where("x >= need").groupBy("doc_id", "raw", "of").agg(F.countDistinct("h").alias("hits"), F.min("least_hits").alias("least_hits"))
-    found = hits.where("hits >= least_hits").select("doc_id", "raw", "of")
+    found = stored(hits.where("hits >= least_hits").select("doc_id", "raw", "of"))
 
     # a text is read again with some of its tests at a time, however many it has
     tests = found.join(few(sets), "of").select("doc_id", "raw", F.struct("of", "shingles", "n_item", "need").alias("test"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.text import let, salted, whole
+from pairloom.llm.text import let, once, salted, whole
 from pairloom.session import stored
 
 #: Distinct texts from which a template recurs; tokens from which a line has a template; leading tokens that the tree
@@ -20,16 +20,11 @@ def _mask(line: Column) -> Column:
     return F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"(?<!\S)[^\s0-9]*+[0-9]\S*", "<*>")).otherwise(line)
 
 
-def _once(name: str, value: Column) -> Column:
-    """value as a column of its own, computed once a row: conditions on it aren't moved below it and computed again."""
-    return F.explode(F.array(value)).alias(name)
-
-
 def _lines(docs: DataFrame, *columns: str) -> DataFrame:
     """columns, pos, masked, tokens of each line that isn't blank; the text itself is left behind."""
     each = docs.select(*columns, F.split("text", "\n").alias("x")).select(*columns, F.posexplode("x").alias("pos", "x"))
-    each = each.select(*columns, "pos", "x", _once("masked", _mask(F.col("x")))).where("masked <> ''")
-    return each.select(*columns, "pos", "x", "masked", _once("tokens", F.split("masked", r"\s+")))
+    each = each.select(*columns, "pos", "x", once("masked", _mask(F.col("x")))).where("masked <> ''")
+    return each.select(*columns, "pos", "x", "masked", once("tokens", F.split("masked", r"\s+")))
 
 
 def _index(docs: DataFrame, min_tokens: int, depth: int) -> DataFrame:
@@ -39,7 +34,7 @@ def _index(docs: DataFrame, min_tokens: int, depth: int) -> DataFrame:
     rows = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), whole().alias("text"))
     rows = _lines(rows.select("doc", F.xxhash64("text").alias("digest"), "text"), "doc", "digest").where(F.size("tokens") >= min_tokens)
     words = F.size(F.filter("tokens", lambda t: t != "<*>"))
-    rows = rows.select("doc", "digest", "pos", "x", "masked", "tokens", _once("prose", words * 2 >= F.size("tokens")))
+    rows = rows.select("doc", "digest", "pos", "x", "masked", "tokens", once("prose", words * 2 >= F.size("tokens")))
     line = F.when(F.col("prose"), F.xxhash64("masked")).otherwise(F.xxhash64(F.trim("x"), F.lit(0)))
     return stored(rows.select("doc", "digest", "pos", line.alias("line"), F.size("tokens").alias("n"), F.when(F.col("prose"), F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth))).alias("leaf")))
 
@@ -63,7 +58,7 @@ def _templates(distinct: DataFrame, depth: int, fixed: float) -> DataFrame:
     rank = F.greatest(F.ceil(F.col("n") * fixed).cast("int") - depth, F.lit(1))
     size = F.get("spots", rank - 1)["c"]
     sure = F.filter("spots", lambda s: s["c"] * 2 >= F.col("size"))
-    made = of_line.withColumn("size", size).where("size >= 2").select("leaf", "line", "n", "size", _once("sure", sure))
+    made = of_line.withColumn("size", size).where("size >= 2").select("leaf", "line", "n", "size", once("sure", sure))
     made = made.where((F.size("sure") + depth >= F.col("n") * fixed) & (F.size("sure") + depth < F.col("n")))
     shape = F.array_sort(F.transform("sure", lambda s: F.struct(s["pos"].alias("pos"), s["token"].alias("token"))))
     made = made.select("leaf", "line", "size", F.xxhash64("leaf", shape).alias("template"))

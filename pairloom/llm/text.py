@@ -19,6 +19,11 @@ def let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), then)[0]
 
 
+def once(name: str, value: Column) -> Column:
+    """value as a column of its own, computed once a row: conditions on it aren't moved below it and computed again."""
+    return F.explode(F.array(value)).alias(name)
+
+
 def whole(col: str = "text") -> Column:
     """The text, a null read as empty."""
     return F.coalesce(F.col(col), F.lit(""))
