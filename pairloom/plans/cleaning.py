@@ -48,14 +48,19 @@ _SIDE = """v AS (SELECT pair_id, x, y, z, unnest([f0, f1, f2, f3]) AS f FROM fx_
  UNION ALL SELECT pair_id, 3, 'coords_valid', valid::INT, valid, 3 FROM cs UNION ALL SELECT pair_id, 4, 'coords_unique', u / n, u = n, 2 FROM cs)"""
 
 
-def _first(s, d) -> DataFrame:
-    after = fixture(s, d, "fx_sides").where("side = 1")
+def _stored(s, d) -> DataFrame:
+    """Both layers of checks start from the sides: they are made once."""
+    return stored(fixture(s, d, "fx_sides"))
+
+
+def _first(s, d, sides: DataFrame) -> DataFrame:
+    after = sides.where("side = 1")
     return checks.side_checks(after, _latents(s, d).select("pair_id", F.col("after").alias("dense")))
 
 
 @query("chk1_5_side_checks", _sides(f"WITH {_LAT}, {_SIDE} SELECT pair_id, place, name, round(value, 6) AS value, passed, weight FROM first"))
 def chk1(s, d):
-    return _first(s, d).withColumn("value", F.round("value", 6))
+    return _first(s, d, fixture(s, d, "fx_sides")).withColumn("value", F.round("value", 6))
 
 
 _ENDS = ", ".join(f"{f}({x}) FILTER (side = {w}) AS {n}_{e}_{x}" for w, n in ((0, "b"), (1, "a")) for e, f in (("lo", "min"), ("hi", "max")) for x in "xyz")
@@ -88,15 +93,14 @@ _SECOND = f"""ends AS (SELECT pair_id, count_if(side = 0) AS nb, count_if(side =
 _ALL = f"WITH RECURSIVE {_LAT}, {_SIDE}, {_ROWS}, {_CHANGE}, {_SECOND} "
 
 
-def _second(s, d) -> DataFrame:
-    sides = fixture(s, d, "fx_sides")
+def _second(s, d, sides: DataFrame) -> DataFrame:
     latents = _latents(s, d).join(sides.select("pair_id").distinct(), "pair_id", "left_semi")
     return checks.check_pairs(_edits(sides), stored(checks.pair_metrics(sides, latents)), checks.threshold_table(s))
 
 
 @query("chk6_12_pair_checks", _sides(_ALL + "SELECT pair_id, edit_type, place, name, round(value, 6) AS value, passed, weight FROM second"))
 def chk6(s, d):
-    return _second(s, d).withColumn("value", F.round("value", 6))
+    return _second(s, d, _stored(s, d)).withColumn("value", F.round("value", 6))
 
 
 _TIER = "CASE WHEN NOT {p} THEN 'negative' WHEN {s} >= 0.8 THEN 'high' WHEN {s} >= 0.6 THEN 'medium' WHEN {s} >= 0.4 THEN 'low' ELSE 'negative' END"
@@ -115,7 +119,8 @@ _CLEAN = (
 
 
 def _cleaned(s, d) -> DataFrame:
-    return checks.clean_edits(_edits(fixture(s, d, "fx_sides")), _first(s, d), _second(s, d))
+    sides = _stored(s, d)
+    return checks.clean_edits(_edits(sides), _first(s, d, sides), _second(s, d, sides))
 
 
 @query("sco3_clean_edits", _sides(_CLEAN + "SELECT * FROM clean"))
