@@ -31,7 +31,9 @@ def path(url: Column) -> Column:
 
 
 def rule_table(spark: SparkSession, rules: tuple = RULES) -> DataFrame:
-    return spark.createDataFrame(list(rules), "verdict string, host string, path string")
+    """verdict, host, path as a table of literals."""
+    rows = F.array(*[F.struct(F.lit(v).alias("verdict"), F.lit(h).alias("host"), F.lit(p).alias("path")) for v, h, p in rules])
+    return spark.range(1).select(F.inline(rows.cast("array<struct<verdict:string,host:string,path:string>>")))
 
 
 def alias_edges(pages: DataFrame) -> DataFrame:
