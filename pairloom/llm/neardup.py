@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairloom.llm.text import SHINGLE, SIMILAR, whole, words
+from pairloom.llm.text import SHINGLE, SIMILAR, salted, whole, words
 from pairloom.operators.graph import connected_components
 from pairloom.session import stored
 
@@ -206,7 +206,7 @@ def _links_between(near: DataFrame, groups: DataFrame, bags: DataFrame, threshol
     blocks_of = lambda w: F.ceil(w / BLOCK).cast("int")
     classes = members.groupBy("family", "component").agg(F.sum("weight").alias("w"))
     rest = classes.where(F.col("w") < BLOCK).groupBy("family").agg(F.sum("w").alias("rest"))
-    classes = classes.join(rest, "family", "left").select("family", "component", (F.col("w") >= BLOCK).alias("big"), F.when(F.col("w") >= BLOCK, blocks_of(F.col("w"))).otherwise(blocks_of(F.col("rest"))).alias("parts"))
+    classes = salted(classes, rest, "family", F.col("component"), how="left").select("family", "component", (F.col("w") >= BLOCK).alias("big"), F.when(F.col("w") >= BLOCK, blocks_of(F.col("w"))).otherwise(blocks_of(F.col("rest"))).alias("parts"))
     own = F.when(F.col("big"), F.col("component")).otherwise(F.lit(0)).cast("long")
     block = F.struct("big", own.alias("own"), F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("k"))
     placed = members.join(classes, ["family", "component"]).select("family", "component", block.alias("block"), "bag")
