@@ -28,7 +28,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def _load() -> None:
     import importlib
 
-    for part in ("core", "more", "choice", "cleaning", "rules", "release", "space", "reviews", "words"):
+    for part in ("core", "more", "choice", "cleaning", "rules", "release", "space", "reviews", "words", "streams"):
         importlib.import_module(f"pairloom.plans.{part}")
 
 
