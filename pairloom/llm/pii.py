@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import date
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,18 +17,39 @@ from pyspark.sql import types as T
 from pairloom.llm.arrow import add_columns
 
 ROUNDS = 8
+#: Characters of an address that are permuted together; a longer one is permuted piece by piece.
+PIECE = 64
 
 
-def permute(x: int, size: int, key: bytes, tweak: str) -> int:
+@dataclass(frozen=True)
+class Key:
+    """The secret, and whether values are replaced by pseudonyms or pseudonyms by values."""
+
+    secret: bytes
+    undo: bool = False
+
+
+def _round(x: int, r: int, bits: int, key: Key, salt: bytes) -> int:
+    """bits pseudo-random bits from x: as many digests as that takes."""
+    data, out, width = x.to_bytes(-(-bits // 8), "big"), b"", -(-bits // 8) + 8
+    while len(out) < width:
+        person = (len(out) // 64 << 8 | r).to_bytes(16, "big")
+        out += hashlib.blake2b(data, key=key, digest_size=min(64, width - len(out)), person=person, salt=salt).digest()
+    return int.from_bytes(out, "big") & ((1 << bits) - 1)
+
+
+def permute(x: int, size: int, key: Key, tweak: str) -> int:
     """A keyed permutation of 0..size-1: a balanced Feistel network over the least even number of bits that holds them,
-    walked until it comes back within the range."""
+    walked until it comes back within the range. Backwards (key.undo) it takes every value to where it came from."""
     half = max(1, -(-max(1, (size - 1).bit_length()) // 2))
-    mask, width = (1 << half) - 1, -(-half // 8)
+    mask, salt = (1 << half) - 1, hashlib.blake2b(tweak.encode("utf-8", "surrogatepass"), digest_size=16).digest()
     while True:
         left, right = x >> half, x & mask
-        for r in range(ROUNDS):
-            f = hashlib.blake2b(right.to_bytes(width, "big"), key=key, digest_size=min(64, width + 8), person=r.to_bytes(16, "big"), salt=hashlib.blake2b(tweak.encode(), digest_size=16).digest())
-            left, right = right, left ^ (int.from_bytes(f.digest(), "big") & mask)
+        for r in reversed(range(ROUNDS)) if key.undo else range(ROUNDS):
+            if key.undo:
+                left, right = right ^ _round(left, r, half, key.secret, salt), left
+            else:
+                left, right = right, left ^ _round(right, r, half, key.secret, salt)
         x = left << half | right
         if x < size:
             return x
@@ -42,11 +66,25 @@ ALPHABETS = (
 _PLACE = {c: (a, i) for a in ALPHABETS for i, c in enumerate(a)}
 
 
-def permute_text(s: str, key: bytes, tweak: str, good: Callable[[str], bool] = lambda s: True) -> str:
+@cache
+def _alphabet(page: int, category: str) -> str:
+    """Letters or digits of one case and script: those of a category among 256 neighbours in Unicode."""
+    return "".join(c for i in range(page << 8, (page + 1) << 8) if unicodedata.category(c := chr(i)) == category and c not in _PLACE)
+
+
+def _place(c: str) -> tuple[str, int] | None:
+    """The alphabet of a letter or digit and its place there; None for any other character."""
+    if c in _PLACE or not c.isalnum():
+        return _PLACE.get(c)
+    letters = _alphabet(ord(c) >> 8, unicodedata.category(c))
+    return letters, letters.index(c)
+
+
+def permute_text(s: str, key: Key, tweak: str, good: Callable[[str], bool] = lambda s: True) -> str:
     """Permute all strings of s's pattern of alphabets; other characters stay. good(): which of them are valid; the walk
     goes on until it meets a valid one, so valid ones are permuted among themselves."""
-    places = [_PLACE.get(c) for c in s]
-    shape = "".join(str(ALPHABETS.index(p[0])) if p else c for p, c in zip(places, s, strict=True))
+    places = [_place(c) for c in s]
+    shape = "".join((str(ALPHABETS.index(p[0])) if p[0] in ALPHABETS else p[0][0]) if p else c for p, c in zip(places, s, strict=True))
     size = x = 0
     for p in places:
         if p:
@@ -81,7 +119,7 @@ def _digits(s: str) -> str:
     return re.sub("[^0-9]", "", s)
 
 
-def _card(s: str, key: bytes) -> str | None:
+def _card(s: str, key: Key) -> str | None:
     d = _digits(s)
     if luhn_digit(d[:-1]) != d[-1] or not d.strip("0"):
         return None
@@ -89,7 +127,7 @@ def _card(s: str, key: bytes) -> str | None:
     return _refill(s, body + luhn_digit(body))
 
 
-def _phone(s: str, key: bytes) -> str | None:
+def _phone(s: str, key: Key) -> str | None:
     d = _digits(s)
     if not 8 <= len(d) <= 15:
         return None
@@ -102,11 +140,11 @@ def _good_id(s: str) -> bool:
     return a not in ("000", "666") and a[0] != "9" and b != "00" and c != "0000"
 
 
-def _id_number(s: str, key: bytes) -> str | None:
+def _id_number(s: str, key: Key) -> str | None:
     return permute_text(s, key, "id", _good_id) if _good_id(s) else None
 
 
-def _address(s: str, key: bytes) -> str | None:
+def _address(s: str, key: Key) -> str | None:
     parts = [int(p) for p in s.split(".")]
     if max(parts) > 255 or any(len(p) > 1 and p[0] == "0" for p in s.split(".")):
         return None
@@ -114,16 +152,25 @@ def _address(s: str, key: bytes) -> str | None:
     return ".".join(map(str, x.to_bytes(4, "big")))
 
 
-def _mail(s: str, key: bytes) -> str | None:
+def _mail(s: str, key: Key) -> str | None:
+    """The local part is permuted, piece by piece where it is long: a piece depends on what stands before it."""
     local, at, domain = s.partition("@")
-    return permute_text(local, key, f"mail/{domain.lower()}") + at + domain
+    if not any(map(_place, local)):
+        return None
+    new, before = "", f"mail/{domain.lower()}"
+    for i in range(0, len(local), PIECE):
+        old = local[i : i + PIECE]
+        made = permute_text(old, key, before)
+        new += made
+        before = f"{hashlib.blake2b((before + (made if key.undo else old)).encode('utf-8', 'surrogatepass')).hexdigest()}/{domain.lower()}"
+    return new + at + domain
 
 
 def _check_digits(country: str, account: str) -> str:
     return f"{98 - int(''.join(str(int(c, 36)) for c in account + country + '00')) % 97:02d}"
 
 
-def _account(s: str, key: bytes) -> str | None:
+def _account(s: str, key: Key) -> str | None:
     c = s.replace(" ", "")
     if not 15 <= len(c) <= 34 or _check_digits(c[:2], c[4:]) != c[2:4]:
         return None
@@ -135,7 +182,7 @@ def _account(s: str, key: bytes) -> str | None:
 _FIRST, _LAST = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
 
-def _date(s: str, key: bytes) -> str | None:
+def _date(s: str, key: Key) -> str | None:
     a, b, c = re.split(r"[-/.]", s)
     orders = ("ymd",) if len(a) == 4 else ("dmy", "mdy") if "/" in s else ("dmy",)
     for order in orders:
@@ -153,7 +200,7 @@ def _date(s: str, key: bytes) -> str | None:
 
 # What each kind looks like before it is validated, in the order in which they are tried at a place.
 KINDS = {
-    "mail": (r"[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", _mail),
+    "mail": (r"(?<![\w.%+-])[\w.%+-]++@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,}", _mail),
     "account": (r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", _account),
     "address": (r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])", _address),
     "date": (r"(?<![\w])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?!\w)", _date),
@@ -162,6 +209,8 @@ KINDS = {
     "phone": (r"(?<!\w)(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![\w-])|(?<!\w)\+[0-9]{8,15}(?!\w)", _phone),
 }
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, (p, _) in KINDS.items()))
+#: An address that starts right where another one ends.
+_NEXT = re.compile(f"(?P<mail>{KINDS['mail'][0].partition(')')[2]})")
 _SIGNS = re.compile("[0-9@]")
 
 
@@ -171,7 +220,7 @@ _GROUP = re.compile("[0-9]+")
 _CARD_GROUPS = re.compile(r"[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5}")
 
 
-def _card_within(text: str, m: re.Match, key: bytes, row: int) -> tuple[int, int, str | None]:
+def _card_within(text: str, m: re.Match, key: Key, row: int) -> tuple[int, int, str | None]:
     """Start, end and pseudonym of a card at m's place, at the greatest length that is valid and ends with a group of
     digits. Other groups than those of cards count for the whole match only, before `row` not at all (one row of figures
     in ten passes the check at any length), and not if they cut a card. Groups after a hyphen are starts, too. No card:
@@ -199,7 +248,7 @@ def _card_within(text: str, m: re.Match, key: bytes, row: int) -> tuple[int, int
     return m.start(), tried, None
 
 
-def _account_within(text: str, m: re.Match, key: bytes, row: int) -> tuple[int, int, str | None]:
+def _account_within(text: str, m: re.Match, key: Key, row: int) -> tuple[int, int, str | None]:
     """The same for an account: at the greatest length that is valid and ends before a space."""
     ends = [m.start() + x.start() for x in re.finditer(" ", m[0])]
     for e in (m.end(), *reversed(ends)):
@@ -212,7 +261,7 @@ def _account_within(text: str, m: re.Match, key: bytes, row: int) -> tuple[int,
 _WITHIN = {"account": _account_within, "card": _card_within}
 
 
-def pseudonymise(text: str | None, key: bytes) -> tuple[str | None, list[str]]:
+def pseudonymise(text: str | None, key: Key) -> tuple[str | None, list[str]]:
     """The text with every validated value permuted within its format, and the kinds found, in order. A value is
     replaced as a whole; what doesn't validate stays, save that it is tried as the kinds that come after. Cards and
     accounts are found next to other figures and capitals: shorter ends and later starts are tried at the borders of
@@ -221,7 +270,7 @@ def pseudonymise(text: str | None, key: bytes) -> tuple[str | None, list[str]]:
     if not text or not _SIGNS.search(text):
         return text, found
     kinds, out, done, at, row = list(KINDS), [], 0, 0, 0
-    while m := _ANY.search(text, at):
+    while m := (_NEXT.match(text, at) if found[-1:] == ["mail"] and at == done else None) or _ANY.search(text, at):
         k = m.lastgroup
         start, at, new = m.start(), m.end(), None
         if k in _WITHIN:
@@ -244,20 +293,23 @@ def pseudonymise(text: str | None, key: bytes) -> tuple[str | None, list[str]]:
     return "".join((*out, text[done:])), found
 
 
-def pseudonymise_documents(docs: DataFrame, key: bytes = b"replace this key") -> DataFrame:
+def pseudonymise_documents(docs: DataFrame, secret: bytes, undo: bool = False) -> DataFrame:
     """docs (text) -> the same rows and columns, text with pseudonyms, and kinds array<string>, n_found long.
 
-    Kinds: mail addresses (the local part; the domain stays), bank accounts (IBAN, checked), IPv4 addresses, dates (of
-    1900 to 2099, in three notations), US social security numbers, telephone numbers (the country code stays), card
-    numbers (Luhn-checked). Each is permuted by a Feistel network keyed with `key` among the valid values of its format:
-    lengths, separators and check digits hold, equal values have equal pseudonyms in all documents (cards, dates and
-    telephone numbers also across notations), different ones different ones, and whoever has the key can undo it. Nothing
-    is stored and no document looks at another one, so the work is one pass without a shuffle. In a format of very few
-    values one may be its own pseudonym.
-
-    A null text stays null and an empty one empty, both with no kinds. Other columns pass through; kinds and n_found are
-    replaced.
+    Kinds: mail addresses (the local part, in any script and of any length; the domain stays), bank accounts (IBAN,
+    checked), IPv4 addresses, dates (of 1900 to 2099, in three notations), US social security numbers, telephone numbers
+    (the country code stays), card numbers (Luhn-checked). Each is permuted by a Feistel network keyed with `secret` (up
+    to 64 bytes, which are not kept anywhere) among the valid values of its format: lengths, separators and check digits
+    hold, equal values have equal pseudonyms in all documents (cards, dates and telephone numbers also across notations),
+    different ones different ones. Whoever has the secret can undo it: `undo` gives the original texts, as pseudonyms
+    validate where values do. Nothing is stored and no document looks at another one, so the work is one pass without a
+    shuffle. In a format of very few values one may be its own pseudonym. An address without any letter or digit stays
+    and isn't counted.
+
+    A null text stays null and an empty one empty, both with no kinds. A text of any length is read whole, in time in
+    proportion to it. Other columns pass through; kinds and n_found are replaced.
     """
+    key = Key(secret, undo)
 
     def compute(batch: pa.RecordBatch) -> list:
         done = [pseudonymise(t, key) for t in batch.column("text").to_pylist()]

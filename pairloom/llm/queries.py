@@ -34,7 +34,8 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    secret = spark.conf.get("spark.pairloom.pii.key", "a key for trials only")
+    return pii.pseudonymise_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), secret.encode())
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
