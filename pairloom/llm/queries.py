@@ -61,7 +61,7 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = media.media_columns(table(spark, sf_dir, "documents").select("doc_id", "text"))
     pairs = F.transform(F.arrays_zip("times", "hashes"), lambda p: F.concat_ws(":", p["times"].cast("string"), p["hashes"].cast("string")))
     feature = F.concat_ws(",", F.col("n_frames").cast("string"), F.size("times").cast("string"), F.md5(F.array_join(pairs, ",")))
-    return made.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), feature.alias("feature"))
+    return made.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), feature.alias("feature"), "times", "hashes")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
