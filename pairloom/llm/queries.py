@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import chat, decontaminate, lines, media, mixing, neardup, pii, quality, secrets, sql, urls
+from pairloom.llm import chat, decontaminate, lines, media, mixing, neardup, pii, pivots, quality, repair, secrets, sql, urls, whitening
 from pairloom.session import table
 
 
@@ -64,8 +64,22 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), feature.alias("feature"), "times", "hashes")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    each = made.select("vec_id", "n", "deviation", "explained", "identity_error", F.posexplode("z").alias("at", "whitened"))
+    return each.select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened", F.col("explained")[F.col("at")].alias("explained"), "identity_error")
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_chat_formatting, op2_secret_scan, op3_decontamination, op4_line_dedup, op5_pii, op6_mixing, op7_quality, op8_url_filter, op9_near_dedup, op10_media)
+    every = (op1_chat_formatting, op2_secret_scan, op3_decontamination, op4_line_dedup, op5_pii, op6_mixing, op7_quality, op8_url_filter, op9_near_dedup, op10_media, op11_conversation_repair, op12_whitening, op13_embedding_near_dedup)
     return {f.__name__: f for f in every}
 
 
