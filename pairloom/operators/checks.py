@@ -9,11 +9,11 @@ from pairloom.operators.grid import component_counts
 from pairloom.operators.judging import tier
 
 _INF = float("inf")
-# What a pair of each type is checked for, in order: metric, weight, least and greatest value that passes,
-# and which of the two ends don't pass themselves.
+# What a pair of each type is checked for, in order: name, weight, least and greatest value that passes, which
+# of the two ends don't pass themselves, and the metric if its name is another one.
 CHECKS = {
     "deletion": (("voxel_ratio", 2.0, 0.05, 0.95, ""), ("delete_ratio", 2.0, 0.02, 0.80, ""), ("bbox_iou", 1.5, 0.15, _INF, ""), ("ss_change", 1.0, 0.01, 0.90, ""), ("connected_components", 1.5, -_INF, 3.0, ""), ("not_degenerate", 2.0, 1.0, _INF, "low")),
-    "addition": (("voxel_increase", 2.0, 1.05, 20.0, ""), ("add_ratio", 2.0, 0.02, 0.80, ""), ("bbox_iou", 1.5, 0.15, _INF, "")),
+    "addition": (("voxel_ratio", 2.0, 1.05, 20.0, "", "voxel_increase"), ("add_ratio", 2.0, 0.02, 0.80, ""), ("bbox_iou", 1.5, 0.15, _INF, "")),
     "modification": (("voxel_ratio", 1.5, 0.3, 3.0, ""), ("ss_cosine_sim", 2.0, 0.3, _INF, ""), ("edit_locality", 2.5, 0.02, 0.70, ""), ("connected_components", 1.0, -_INF, 5.0, ""), ("center_drift", 1.5, -_INF, 0.3, "high"), ("feat_change", 1.0, -_INF, 5.0, "high")),
     "scale": (("voxel_ratio", 2.0, 0.5, 2.0, ""), ("ss_cosine_sim", 2.5, 0.5, _INF, ""), ("edit_locality", 2.0, 0.01, 0.50, ""), ("center_drift", 1.5, -_INF, 0.2, "high"), ("bbox_axis_ratio", 1.5, 0.7, 1.8, "")),
     "material": (("voxel_count_close", 2.0, -_INF, 0.01, ""), ("ss_match", 3.0, -_INF, 1e-3, "high"), ("feat_change", 1.5, 0.01, 2.0, "")),
@@ -27,13 +27,14 @@ _CHANNELS = ("f0", "f1", "f2", "f3")
 
 
 def threshold_table(spark: SparkSession, overrides: dict[str, dict[str, tuple[float, float]]] | None = None) -> DataFrame:
-    """edit_type, place, name, weight, low, high, open: CHECKS with other bounds where overrides (type -> metric -> (low,
+    """edit_type, place, name, metric, weight, low, high, open: CHECKS with other bounds where overrides (type -> metric -> (low,
     high)) name them."""
     rows = []
     for kind, checks in CHECKS.items():
-        for place, (name, weight, low, high, end) in enumerate(checks):
+        for place, (name, weight, low, high, end, *metric) in enumerate(checks):
             low, high = (overrides or {}).get(kind, {}).get(name, (low, high))
-            rows.append(F.struct(*[F.lit(v).alias(n) for n, v in (("edit_type", kind), ("place", place), ("name", name), ("weight", weight), ("low", low), ("high", high), ("open", end))]))
+            row = {"edit_type": kind, "place": place, "name": name, "metric": (metric or [name])[0], "weight": weight, "low": low, "high": high, "open": end}
+            rows.append(F.struct(*[F.lit(v).alias(n) for n, v in row.items()]))
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
@@ -66,10 +67,11 @@ def dense_change(latents: DataFrame) -> DataFrame:
 
 
 def pair_metrics(sides: DataFrame, latents: DataFrame) -> DataFrame:
-    """pair_id, name, value, low: every metric that some type is checked for, as rows. low is the value that the least
-    bound is held against (the least of the axis ratios; else the value itself). Pairs without dense latents have no
-    metrics of them."""
+    """pair_id, metric, value, lowest, highest: every metric that some type is checked for, as rows. lowest and highest are
+    held against the bounds: the least of the axis ratios, how far a ratio is from one; else the value itself. Pairs that
+    lack a side have no metrics, those without dense latents none of them."""
     on = {"b": F.col("side") == 0, "a": F.col("side") == 1}
+    sides = sides.join(sides.groupBy("pair_id").agg(F.countDistinct("side").alias("n")).where("n = 2").select("pair_id"), "pair_id", "left_semi")
     ends = [f(F.when(w, F.col(x))).alias(f"{s}_{n}_{x}") for s, w in on.items() for n, f in (("lo", F.min), ("hi", F.max)) for x in "xyz"]
     at = F.struct("x", "y", "z")
     cell = sides.groupBy("pair_id", "x", "y", "z").agg(F.max(on["b"]).alias("b"), F.max(on["a"]).alias("a")).groupBy("pair_id").agg(F.count_if(F.col("a") != F.col("b")).alias("apart"), F.count(F.lit(1)).alias("all"))
@@ -99,13 +101,16 @@ def pair_metrics(sides: DataFrame, latents: DataFrame) -> DataFrame:
         "edit_locality": c("apart") / c("all"),
         "center_drift": drift,
         "feat_change": c("feat_change"),
-        "voxel_count_close": F.abs(ratio - 1),
         "change_coverage": F.when(c("same_rows"), c("change_coverage")),
         "identity_valid": F.lit(1.0),
     }
-    row = lambda name, v, low=None: F.struct(F.lit(name).alias("name"), v.cast("double").alias("value"), (v if low is None else low).cast("double").alias("low"))
-    rows = F.array(*[row(k, v) for k, v in values.items()], row("bbox_axis_ratio", F.greatest(*axes), F.least(*axes)))
-    return m.select("pair_id", F.explode(rows).alias("r")).select("pair_id", F.col("r.name").alias("name"), F.col("r.value").alias("value"), F.col("r.low").alias("lowest")).where("value is not null")
+    def row(metric: str, v: Column, low: Column | None = None, high: Column | None = None) -> Column:
+        own = {"value": v, "lowest": v if low is None else low, "highest": v if high is None else high}
+        return F.struct(F.lit(metric).alias("metric"), *[x.cast("double").alias(n) for n, x in own.items()])
+
+    off = F.abs(ratio - 1)
+    rows = F.array(*[row(k, v) for k, v in values.items()], row("bbox_axis_ratio", F.greatest(*axes), F.least(*axes)), row("voxel_count_close", ratio, off, off))
+    return m.select("pair_id", F.explode(rows).alias("r")).select("pair_id", "r.*").where("value is not null")
 
 
 def check_pairs(edits: DataFrame, metrics: DataFrame, thresholds: DataFrame, color_as: str | None = None) -> DataFrame:
@@ -114,9 +119,9 @@ def check_pairs(edits: DataFrame, metrics: DataFrame, thresholds: DataFrame, col
     kind = F.col("edit_type") if color_as is None else F.when(F.col("edit_type") == "color", F.lit(color_as)).otherwise(F.col("edit_type"))
     e = edits.select("pair_id", "edit_type", kind.alias("kind"))
     few = F.broadcast(thresholds.withColumnRenamed("edit_type", "kind"))  # a row for each type and metric
-    of_type = e.join(few, "kind").join(metrics, ["pair_id", "name"])
+    of_type = e.join(few, "kind").join(metrics, ["pair_id", "metric"])
     above = F.when(F.col("open") == "low", F.col("lowest") > F.col("low")).otherwise(F.col("lowest") >= F.col("low"))
-    below = F.when(F.col("open") == "high", F.col("value") < F.col("high")).otherwise(F.col("value") <= F.col("high"))
+    below = F.when(F.col("open") == "high", F.col("highest") < F.col("high")).otherwise(F.col("highest") <= F.col("high"))
     known = of_type.select("pair_id", "edit_type", "place", "name", "value", (above & below).alias("passed"), "weight")
     strange = e.where(~F.col("kind").isin(*CHECKS)).select("pair_id", "edit_type", F.lit(0).alias("place"), F.lit("unknown_type").alias("name"), F.lit(0.0).alias("value"), F.lit(False).alias("passed"), F.lit(1.0).alias("weight"))
     return known.union(strange)
@@ -162,22 +167,24 @@ def score_of(checks: DataFrame, *keys: str) -> DataFrame:
     return checks.groupBy(*keys).agg(F.bround(F.sum(F.col("weight") * F.col("passed").cast("int")) / F.sum("weight"), 4).alias("score"), F.bool_and("passed").alias("passed"), failed.alias("first_failed"))
 
 
-def clean_edits(edits: DataFrame, first: DataFrame, second: DataFrame) -> DataFrame:
-    """edits (pair_id, edit_type) with the checks of their sides (first) and pairs (second) -> pair_id, edit_type, score,
-    tier, reason.
-
-    Where a side fails the edit is rejected with half the side's score; else the score is the mean of both layers, and
-    the tier goes by it if both pass. An identity has 1, or 0.5 if its side fails. Without data the edit is rejected
-    with 0. The reason names the first check that failed."""
-    one = score_of(first, "pair_id").select("pair_id", F.col("score").alias("s1"), F.col("passed").alias("p1"), F.col("first_failed").alias("f1"))
-    two = score_of(second, "pair_id", "edit_type").select("pair_id", "edit_type", F.col("score").alias("s2"), F.col("passed").alias("p2"), F.col("first_failed").alias("f2"))
-    e = edits.join(one, "pair_id", "left").join(two, ["pair_id", "edit_type"], "left")
-    same, mean = F.col("edit_type") == "identity", (F.col("s1") + F.col("s2")) / 2
-    own = F.when(F.col("p1"), 1.0).otherwise(0.5)
-    no_data = F.col("s1").isNull() | F.col("s2").isNull()
-    score = F.when(no_data, 0.0).when(same, own).when(~F.col("p1"), F.col("s1") * 0.5).otherwise(F.bround(mean, 4))
-    label = F.when(no_data, "rejected").when(same, tier(own, F.col("p1"))).when(~F.col("p1"), "rejected").otherwise(tier(mean, F.col("p2")))
-    reason = F.when(no_data, "no data").when(same, F.lit(None)).when(~F.col("p1"), F.concat(F.lit("Layer1 failed: "), "f1")).when(~F.col("p2"), F.concat(F.lit("Layer2 failed: "), "f2"))
+def clean_edits(edits: DataFrame, first: DataFrame, second: DataFrame, originals: DataFrame) -> DataFrame:
+    """edits (pair_id, edit_type) with the checks of their edited sides (first), of the sides they started from
+    (originals) and of the pairs (second) -> pair_id, edit_type, score, tier, reason. A side without rows isn't there.
+
+    An identity has no edited side: it scores 1, or 0.5 if its original fails, and passes where there is no original. For
+    the others: without an edited side the score is 0; where that side fails it is half the side's score, whether or not
+    there is an original; without an original it is 0; these are rejected. Else the score is the mean of both layers, and
+    the tier goes by it if both pass. The reason names what is missing or the first check that failed."""
+    layer = lambda df, n, *keys: score_of(df, *keys).select(*keys, F.col("score").alias(f"s{n}"), F.col("passed").alias(f"p{n}"), F.col("first_failed").alias(f"f{n}"))
+    e = edits.join(layer(first, 1, "pair_id"), "pair_id", "left").join(layer(originals, 0, "pair_id"), "pair_id", "left").join(layer(second, 2, "pair_id", "edit_type"), ["pair_id", "edit_type"], "left")
+    s2, p2 = F.coalesce("s2", F.lit(0.0)), F.coalesce("p2", F.lit(True))
+    same, mean = F.col("edit_type") == "identity", (F.col("s1") + s2) / 2
+    sane = F.coalesce("p0", F.lit(True))
+    own = F.when(sane, 1.0).otherwise(0.5)
+    gone, unsound, alone = F.col("s1").isNull(), ~F.col("p1"), F.col("s0").isNull()
+    score = F.when(same, own).when(gone, 0.0).when(unsound, F.col("s1") * 0.5).when(alone, 0.0).otherwise(F.bround(mean, 4))
+    label = F.when(same, tier(own, sane)).when(gone | unsound | alone, "rejected").otherwise(tier(mean, p2))
+    reason = F.when(same, F.lit(None)).when(gone, "no edited side").when(unsound, F.concat(F.lit("Layer1 failed: "), "f1")).when(alone, "no original").when(~p2, F.concat(F.lit("Layer2 failed: "), "f2"))
     return e.select("pair_id", "edit_type", score.alias("score"), label.alias("tier"), reason.alias("reason"))
 
 

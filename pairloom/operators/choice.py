@@ -85,20 +85,24 @@ def _of_deletion(column: str) -> Column:
     return F.when(F.col("edit_id").startswith("add_"), F.max(F.when(F.col("edit_id").startswith("del_"), F.col(column))).over(pair))
 
 
+def _in_range(c: str) -> Column:
+    """A view, null where it is out of range: one rule for all that looks for a view."""
+    return F.when(F.col(c).between(0, VIEWS - 1), F.col(c))
+
+
 def resolved_views(state: DataFrame) -> DataFrame:
-    """View of each edit: its own, for additions else that of the paired deletion, for both these else the default.
-    view is null, and the edit rejected, where a generated edit has none or the view is out of range."""
-    edits = state.groupBy("obj_id", "edit_id").agg(F.max(F.when(F.col("stage") == "gate_a", F.col("best_view"))).alias("own"))
+    """View of each edit: its own, for additions else that of the paired deletion, for both these else the default. A view
+    out of range counts as none, its own as well as the deletion's; a generated edit without one has a null view, and is
+    rejected."""
+    edits = state.groupBy("obj_id", "edit_id").agg(F.max(F.when(F.col("stage") == "gate_a", _in_range("best_view"))).alias("own"))
     default = F.when(F.col("edit_id").startswith("add_") | F.col("edit_id").startswith("del_"), DEFAULT_VIEW)
-    view = F.coalesce("own", _of_deletion("own"), default)
-    return edits.select("obj_id", "edit_id", F.when(view.between(0, VIEWS - 1), view).alias("view"))
+    return edits.select("obj_id", "edit_id", F.coalesce("own", _of_deletion("own"), default).alias("view"))
 
 
 def preview_slots(verdicts: DataFrame) -> DataFrame:
     """verdicts (obj_id, edit_id, verdict_view, legacy_view) -> obj_id, edit_id, slot: the view that the stage's verdict
     names, else the old record's, for an addition else its deletion's, else the default. One out of range counts as none."""
-    valid = lambda c: F.when(F.col(c).between(0, VIEWS - 1), F.col(c))
-    own = verdicts.select("obj_id", "edit_id", F.coalesce(valid("verdict_view"), valid("legacy_view")).alias("own"))
+    own = verdicts.select("obj_id", "edit_id", F.coalesce(_in_range("verdict_view"), _in_range("legacy_view")).alias("own"))
     return own.select("obj_id", "edit_id", F.coalesce("own", _of_deletion("own"), F.lit(DEFAULT_VIEW)).alias("slot"))
 
 

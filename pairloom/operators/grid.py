@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from itertools import product
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,31 +91,48 @@ def keep_blocks(region: DataFrame, factor: int = 4, tenth: int = 1) -> DataFrame
     return blocks.where(F.col("n") * 10 >= tenth * factor**3)
 
 
-def component_labels(cells: DataFrame, grid: int, corners: bool = False, axes: str = "xyz") -> DataFrame:
-    """cells (pair_id and axes, distinct) with component, the number of the connected component that each is in: cells
-    that share a face (an edge of pixels), or a corner too."""
-    from itertools import product
+def _labelled(grid: int, axes: str, moves: list[tuple[int, ...]]) -> Callable[[pa.Table], pa.Table]:
+    """The cells of one pair, each with the least cell that it is connected with."""
+    step = [grid ** (len(axes) - 1 - i) for i in range(len(axes))]
+
+    def run(t: pa.Table) -> pa.Table:
+        places = [t.column(a).to_numpy().astype(np.int64) for a in axes]
+        key = sum(p * d for p, d in zip(places, step, strict=True))
+        order = np.argsort(key, kind="stable")
+        sorted_key, label = key[order], np.arange(len(key))
+        ends: list[tuple[np.ndarray, np.ndarray]] = []
+        for m in moves:
+            inside = np.ones(len(key), bool)
+            for p, d in zip(places, m, strict=True):
+                inside &= (p + d >= 0) & (p + d < grid)
+            a = np.flatnonzero(inside[order])
+            to = sorted_key[a] + sum(x * d for x, d in zip(m, step, strict=True))
+            b = np.minimum(np.searchsorted(sorted_key, to), len(key) - 1)
+            there = sorted_key[b] == to
+            ends.append((a[there], b[there]))
+        a, b = (np.concatenate(e) for e in zip(*ends, strict=True))
+        while (label[a] != label[b]).any():  # roots meet, then everything points at its root
+            least = np.minimum(label[a], label[b])
+            np.minimum.at(label, label[a], least)
+            np.minimum.at(label, label[b], least)
+            while (label != label[label]).any():
+                label = label[label]
+        component = np.empty(len(key), np.int64)
+        component[order] = sorted_key[label]
+        number = t.column("pair_id").to_numpy().astype(np.int64) * grid ** len(axes) + component
+        return t.append_column("component", pa.array(number, pa.int64()))
+
+    return run
 
-    from pairloom.operators.graph import connected_components
 
-    size = grid ** len(axes)
-    step = {a: grid ** (len(axes) - 1 - i) for i, a in enumerate(axes)}
-    number = sum((F.col(a).cast("long") * d for a, d in step.items()), F.col("pair_id").cast("long") * size)
-    keyed = cells.select("pair_id", *axes, number.alias("id"))
+def component_labels(cells: DataFrame, grid: int, corners: bool = False, axes: str = "xyz") -> DataFrame:
+    """cells (pair_id and axes, distinct) with component, the number of the connected component that each is in: cells
+    that share a face (an edge of pixels), or a corner too. One shuffle by pair; a task labels one grid at a time, which
+    is bounded by its side."""
     moves = [m for m in product((-1, 0, 1), repeat=len(axes)) if m > (0,) * len(axes) and (corners or sum(map(abs, m)) == 1)]
-
-    def moved(m: tuple[int, ...]) -> Column:
-        inside = [F.col(a).between(max(0, -d), grid - 1 - max(0, d)) for a, d in zip(axes, m, strict=True) if d]
-        to = F.col("id") + sum(d * step[a] for a, d in zip(axes, m, strict=True))
-        out = F.lit(True)
-        for i in inside:
-            out = out & i
-        return F.when(out, to)
-
-    ends = F.explode(F.array_compact(F.array(*map(moved, moves)))).alias("dst")
-    near = keyed.select(F.col("id").alias("src"), ends).join(keyed.select(F.col("id").alias("dst")), "dst", "left_semi")
-    edges = near.select("src", "dst").union(keyed.select(F.col("id").alias("src"), F.col("id").alias("dst")))
-    return keyed.join(connected_components(edges), "id").drop("id")
+    given = cells.select("pair_id", *axes)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema) + ", component bigint"
+    return given.groupBy("pair_id").applyInArrow(_labelled(grid, axes, moves), schema)
 
 
 def component_counts(cells: DataFrame, grid: int) -> DataFrame:
@@ -122,7 +144,7 @@ def component_counts(cells: DataFrame, grid: int) -> DataFrame:
 def large_components(cells: DataFrame, grid: int, least: int) -> DataFrame:
     """The cells of components of at least so many cells."""
     labels = component_labels(cells, grid)
-    return labels.join(labels.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least), "component").select(*CELL)
+    return labels.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("pair_id", "component"))).where(F.col("n") >= least).select(*CELL)
 
 
 def _enclosed(empty: DataFrame, grid: int, axes: str) -> DataFrame:
@@ -186,25 +208,37 @@ def densified(after: DataFrame, region: DataFrame, by: int, grid: int) -> DataFr
     return after.select(*CELL).union(grown).distinct()
 
 
-def soft_keep(region: DataFrame, blocks: int, feather: float, factor: int = 4) -> DataFrame:
+def _line_mean(dense: DataFrame, axis: str, radius: int, value: str) -> DataFrame:
+    """value averaged along one axis of dense grids over the cells up to radius away, the ends repeated."""
+    rest = [c for c in CELL if c != axis]
+    lines = dense.groupBy(*rest).agg(F.array_sort(F.collect_list(F.struct(axis, value)))[value].alias("v"))  # a grid's side each
+    at = lambda i: F.col("v")[F.least(F.greatest(i, F.lit(0)), F.size("v") - 1)]
+    mean = F.transform("v", lambda _, i: sum((at(i + d) for d in range(-radius, radius + 1)), F.lit(0.0)) / (2 * radius + 1))
+    return lines.select(*rest, F.posexplode(mean).alias(axis, value)).select(*CELL, value)
+
+
+def soft_keep(region: DataFrame, blocks: int, feather: float, factor: int = 4, pairs: DataFrame | None = None) -> DataFrame:
     """pair_id, x, y, z, keep for every block of a dense grid: 1 where the block isn't edited, else the mean of that over
-    the blocks around it (edges repeat)."""
+    the blocks around it (edges repeat). The grids are those of pairs (pair_id), by default of the pairs that region
+    names; a pair that region doesn't name keeps everything.
+
+    The mean over a cube is that of means along each axis: three shuffles of the grid, whatever the radius."""
     edited = keep_blocks(region, factor).select(*CELL).withColumn("_e", F.lit(1))
-    dense = every_cell(region, blocks).join(edited, CELL, "left").select(*CELL, F.when(F.col("_e").isNull(), 1.0).otherwise(0.0).alias("keep"))
+    every = every_cell(region if pairs is None else pairs, blocks)
+    dense = every.join(edited, CELL, "left").select(*CELL, F.when(F.col("_e").isNull(), 1.0).otherwise(0.0).alias("keep"))
     r = max(1, round(feather))
     if feather <= 0:
         return dense
-    around = dense.select(*CELL, F.col("keep").alias("own"))
+    near = dense
     for a in "xyz":
-        shift = F.explode(F.array(*[F.least(F.greatest(F.col(a) + d, F.lit(0)), F.lit(blocks - 1)) for d in range(-r, r + 1)]))
-        around = around.withColumn(f"n{a}", shift)
-    near = dense.select("pair_id", *[F.col(a).alias(f"n{a}") for a in "xyz"], F.col("keep").alias("near"))
-    return around.join(near, ["pair_id", "nx", "ny", "nz"]).groupBy(*CELL).agg(F.greatest(F.max("own"), F.avg("near")).alias("keep"))
+        near = _line_mean(near, a, r, "keep")
+    own = edited.withColumnRenamed("_e", "_own")
+    return near.join(own, CELL, "left").select(*CELL, F.when(F.col("_own").isNull(), 1.0).otherwise(F.col("keep")).alias("keep"))
 
 
-def dense_keep(region: DataFrame, blocks: int, factor: int = 4) -> DataFrame:
+def dense_keep(region: DataFrame, blocks: int, factor: int = 4, pairs: DataFrame | None = None) -> DataFrame:
     """pair_id, x, y, z, keep (1 or 0) for every block."""
-    return soft_keep(region, blocks, 0, factor).withColumn("keep", F.col("keep").cast("int"))
+    return soft_keep(region, blocks, 0, factor, pairs).withColumn("keep", F.col("keep").cast("int"))
 
 
 def part_keep(tokens: DataFrame, target: DataFrame, factor: int) -> DataFrame:
@@ -216,13 +250,15 @@ def part_keep(tokens: DataFrame, target: DataFrame, factor: int) -> DataFrame:
     return j.groupBy("pair_id").agg(F.count(F.lit(1)).alias("n_tokens"), F.count("_hit").alias("n_edit_tokens"), F.count_if(F.col("_hit").isNull()).alias("n_kept"))
 
 
-def transition(region: DataFrame, preserved: DataFrame, occupied: DataFrame, radius: int, grid: int) -> DataFrame:
-    """The region and the preserved or occupied cells within so many steps (over faces) of it."""
+def transition(region: DataFrame, preserved: DataFrame, occupied: DataFrame, radius: int, grid: int, exclude: DataFrame | None = None) -> DataFrame:
+    """The region and the preserved or occupied cells within so many steps (over faces) of it, without the cells of
+    exclude; those of the region that exclude names go, too."""
     near = region.select(*CELL).distinct()
     for _ in range(radius):
         near = near.union(_faces(near, grid)).distinct()
     solid = preserved.select(*CELL).union(occupied.select(*CELL)).distinct()
-    return near.join(solid, CELL, "left_semi").union(region.select(*CELL)).distinct()
+    grown = near.join(solid, CELL, "left_semi").union(region.select(*CELL)).distinct()
+    return grown if exclude is None else grown.join(exclude.select(*CELL), CELL, "left_anti")
 
 
 def split_counts(after: DataFrame, region: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.operators.edits import GENERATED, invert_prompt, paired_id, prefix_of, type_of
+from pairloom.operators.rules import VIEWS
 
 # The version of a release record, and the prefixes of edits that own no 'before' of their object.
 SCHEMA_VERSION, BORROWING = 3, ("del_", "add_")
@@ -69,16 +70,18 @@ def promoted(edits: DataFrame) -> DataFrame:
     """edits (obj_id, edit_id, view, source: the object's asset, has_before, has_after, has_image) -> with edit_type, ok,
     reason.
 
-    Deletions need their after, generated edits a before, an after and a view, all of them the object's asset. Additions
-    come last: the deletion they undo must be in the dataset, with its image."""
+    Deletions need their after, generated edits a before and an after, additions the deletion that they undo in the
+    dataset, with its image; all of them need the object's asset and a view that is one (see choice.resolved_views, which
+    gives deletions and additions a default)."""
     e = edits.withColumn("edit_type", type_of(F.col("edit_id")))
     common = F.when(F.col("source").isNull(), "no asset of the object")
-    deletion = F.coalesce(F.when(~F.col("has_after"), "no after"), common)
-    generated = F.coalesce(F.when(~F.col("has_before"), "no before"), F.when(~F.col("has_after"), "no after"), common, F.when(F.col("view").isNull(), "no view"))
+    viewless = F.when(~F.coalesce(F.col("view").between(0, VIEWS - 1), F.lit(False)), "no view")
+    deletion = F.coalesce(F.when(~F.col("has_after"), "no after"), common, viewless)
+    generated = F.coalesce(F.when(~F.col("has_before"), "no before"), F.when(~F.col("has_after"), "no after"), common, viewless)
     first = e.withColumn("reason", F.when(F.col("edit_type") == "deletion", deletion).when(F.col("edit_type") != "addition", generated))
     pair = Window.partitionBy("obj_id", F.substring("edit_id", 5, 1 << 20))
     partner = F.max(F.when((F.col("edit_type") == "deletion") & F.col("reason").isNull(), F.col("has_image"))).over(pair)
-    addition = F.coalesce(F.when(F.col("_partner").isNull(), "its deletion is not promoted"), common, F.when(~F.col("_partner"), "no image of its deletion"))
+    addition = F.coalesce(F.when(F.col("_partner").isNull(), "its deletion is not promoted"), common, F.when(~F.col("_partner"), "no image of its deletion"), viewless)
     out = first.withColumn("_partner", partner).withColumn("reason", F.when(F.col("edit_type") == "addition", addition).otherwise(F.col("reason")))
     return out.drop("_partner").withColumn("ok", F.col("reason").isNull())
 

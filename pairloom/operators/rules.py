@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from pairloom.operators.edits import GENERATED, PREFIX, assign_ids
 
+# The types that a plan can ask for.
+PLANNED = ("deletion", "modification", "scale", "material", "color", "global")
 # Types that need parts, those that need a description of what they change; verbs (looked for anywhere in the
 # prompt, also within words) that add, that only remove, and that replace.
 PART_TYPES, DESCRIBED = ("deletion", "modification", "scale", "material", "color"), ("modification", "scale", "material", "color")
@@ -60,7 +62,7 @@ def plan_problems(edits: DataFrame, parts: DataFrame) -> DataFrame:
     empty = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
     named = {f"no_{c}": (kind == k) & empty(c) for k, c in PARAMETER.items()}
     return e.withColumn("problems", _codes(
-        bad_type=~F.coalesce(kind.isin(*PREFIX), F.lit(False)), bad_parts=F.size(F.array_except("pids", "known")) > 0, parts_of_global=(kind == "global") & ~none, no_parts=(kind != "global") & none,
+        bad_type=~F.coalesce(kind.isin(*PLANNED), F.lit(False)), bad_parts=F.size(F.array_except("pids", "known")) > 0, parts_of_global=(kind == "global") & ~none, no_parts=(kind != "global") & none,
         bad_view=~F.col("view_index").between(0, VIEWS - 1), no_after_desc=(kind != "deletion") & empty("after_desc"), bad_factor=(kind == "scale") & ~F.coalesce(F.col("factor").between(*FACTORS), F.lit(False)), **named)).drop("known")
 
 

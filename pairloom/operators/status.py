@@ -53,11 +53,20 @@ def flipped(status: Column, validated_before: Column, ok: Column, skip: Column)
 
 
 def checked(steps: DataFrame, validators: dict[str, Check]) -> DataFrame:
-    """steps (obj_id, step, status, validated_before) after their checks: each registered check runs on its step's objects."""
+    """steps (obj_id, step, status, validated_before) after their checks: each registered check runs on its step's objects.
+    An object that a check has no row for, or a null in it, is skipped: it stays as it ended. A check that can't even be
+    planned (it raises, or lacks a column) fails its step for all its objects."""
     done = []
     for step, check in validators.items():
         own = steps.where(F.col("step") == step)
-        done.append(own.join(check(own.select("obj_id")), "obj_id").withColumn("status", flipped(F.col("status"), F.col("validated_before"), F.col("ok"), F.col("skip"))).select("obj_id", "step", "status"))
+        try:
+            found = check(own.select("obj_id")).select("obj_id", "ok", "skip")
+        except Exception:  # whatever a registered check does wrong
+            found = own.select("obj_id", F.lit(False).alias("ok"), F.lit(False).alias("skip"))
+        answered = own.join(found, "obj_id", "left")
+        silent = F.col("ok").isNull() | F.col("skip").isNull()
+        ok, skip = F.coalesce("ok", F.lit(True)), F.when(silent, True).otherwise(F.col("skip"))
+        done.append(answered.select("obj_id", "step", flipped(F.col("status"), F.col("validated_before"), ok, skip).alias("status")))
     rest = steps.where(~F.col("step").isin(*validators)).select("obj_id", "step", "status")
     return reduce(DataFrame.unionByName, [*done, rest])
 
@@ -96,12 +105,15 @@ def pending_objects(objects: DataFrame, entries: DataFrame, steps: list[str], as
     return every.where(open_step | part).select("obj_id").union(lacking.join(objects.select("obj_id"), "obj_id", "left_semi").select("obj_id")).distinct()
 
 
-def gate_coverage(edits: DataFrame) -> DataFrame:
+def gate_coverage(edits: DataFrame, objects: DataFrame | None = None) -> DataFrame:
     """edits (obj_id, edit_type, final_pass, has_gate, only_types of the object's run) -> obj_id, expected, found, ok, skip:
-    edits that failed before, or of types that the run wasn't for, aren't expected to have the gate."""
+    edits that failed before, or of types that the run wasn't for, aren't expected to have the gate. Of objects (obj_id)
+    those without edits have their row too: nothing expected, skipped."""
     only = F.coalesce("only_types", F.array().cast("array<string>"))
     due = ((F.size(only) == 0) | F.array_contains(only, F.lower("edit_type"))) & F.coalesce("final_pass", F.lit(True))
     n = edits.groupBy("obj_id").agg(F.count_if(due).alias("expected"), F.count_if(due & F.col("has_gate")).alias("found"))
+    if objects is not None:
+        n = objects.select("obj_id").distinct().join(n, "obj_id", "left").na.fill(0, ["expected", "found"])
     return n.withColumn("ok", F.col("expected") == F.col("found")).withColumn("skip", F.col("expected") == 0)
 
 

@@ -42,6 +42,7 @@ FROM lineitem JOIN part ON l_partkey = p_partkey""",
        FROM fx_stage_events WHERE stage IN ('gate_a', 'gate_c', 'gate_e') GROUP BY obj_id, edit_id, stage""",
     "fx_sides": """SELECT pair_id, 0 AS side, x, y, z, part_id, f0 / 50 AS f0, f1 / 100000 AS f1, f2, f3 FROM fx_voxels WHERE in_before = 1 OR pair_id % 4 = 0
        UNION ALL SELECT pair_id, 1 AS side, x, y, z, part_id, f0 / 50 + (x % 4) * (pair_id % 3) / 10 AS f0, f1 / 100000 AS f1, f2, f3 FROM fx_voxels WHERE in_after = 1 OR pair_id % 4 = 0""",
+    "fx_uneven": """SELECT * FROM fx_sides WHERE NOT (side = 0 AND pair_id % 9 = 4) AND NOT (side = 1 AND pair_id % 9 = 7)""",
     "fx_half": """SELECT pair_id, CAST(floor(x / 2) AS INT) AS x, CAST(floor(y / 2) AS INT) AS y, CAST(floor(z / 2) AS INT) AS z, max(in_before) AS in_before, max(in_after) AS in_after, min(part_id) AS part_id, min(f0) AS f0
        FROM fx_voxels GROUP BY pair_id, CAST(floor(x / 2) AS INT), CAST(floor(y / 2) AS INT), CAST(floor(z / 2) AS INT)""",
 }

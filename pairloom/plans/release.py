@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.operators import choice, edits, grid, release
+from pairloom.plans.choice import _SEEN, _seen
 from pairloom.plans.core import _IDS, _LATEST, _VERBS, _state
 from pairloom.plans.fixtures import fixture, with_fixtures
 from pairloom.plans.registry import query
@@ -108,8 +109,9 @@ def joi9(s, d):
 
 _PROMOTED = (
     _LATEST
-    + f""", {_SOURCE}, views AS (SELECT e.obj_id, e.edit_id, coalesce(a.best_view, p.best_view, CASE WHEN NOT starts_with(e.edit_id, 'mod_') THEN 4 END) AS view FROM (SELECT DISTINCT obj_id, edit_id FROM latest) e LEFT JOIN latest a ON a.stage = 'gate_a' AND a.edit_id = e.edit_id
- LEFT JOIN latest p ON p.stage = 'gate_a' AND starts_with(e.edit_id, 'add_') AND p.edit_id = 'del_' || substr(e.edit_id, 5)),
+    + _SEEN
+    + f""", {_SOURCE}, views AS (SELECT e.obj_id, e.edit_id, coalesce(a.best_view, p.best_view, CASE WHEN NOT starts_with(e.edit_id, 'mod_') THEN 4 END) AS view FROM (SELECT DISTINCT obj_id, edit_id FROM latest) e LEFT JOIN valid a ON a.stage = 'gate_a' AND a.edit_id = e.edit_id
+ LEFT JOIN valid p ON p.stage = 'gate_a' AND starts_with(e.edit_id, 'add_') AND p.edit_id = 'del_' || substr(e.edit_id, 5)),
  j AS (SELECT v.obj_id, v.edit_id, view, source, has_before, has_after, has_image FROM views v JOIN fx_assets USING (edit_id) LEFT JOIN source s ON s.obj_id = v.obj_id),
  one AS (SELECT *, CASE WHEN starts_with(edit_id, 'del_') THEN CASE WHEN NOT has_after THEN 'no after' WHEN source IS NULL THEN 'no asset of the object' END WHEN starts_with(edit_id, 'mod_') THEN CASE WHEN NOT has_before THEN 'no before' WHEN NOT has_after THEN 'no after' WHEN source IS NULL THEN 'no asset of the object' WHEN view IS NULL THEN 'no view' END END AS why FROM j),
  two AS (SELECT o.*, CASE WHEN starts_with(o.edit_id, 'add_') THEN CASE WHEN d.edit_id IS NULL THEN 'its deletion is not promoted' WHEN o.source IS NULL THEN 'no asset of the object' WHEN NOT d.has_image THEN 'no image of its deletion' END ELSE o.why END AS reason
@@ -118,7 +120,7 @@ _PROMOTED = (
 
 
 def _promoted(s, d) -> DataFrame:
-    views = choice.resolved_views(_state(s, d))
+    views = choice.resolved_views(_seen(_state(s, d)))
     flags = _assets(s, d).select("edit_id", "has_before", "has_after", "has_image")
     return release.promoted(views.join(flags, "edit_id").join(_sources(s, d), "obj_id", "left"))
 

@@ -37,7 +37,7 @@ def flt1(s, d):
 
 
 _NO = lambda kind, c: f"CASE WHEN edit_type = '{kind}' AND coalesce({c}, '') = '' THEN 'no_{c}' END"
-_PROBLEMS = f"""concat_ws(',', CASE WHEN unknown > 0 THEN 'bad_parts' END, CASE WHEN edit_type = 'global' AND len(pids) > 0 THEN 'parts_of_global' END, CASE WHEN edit_type <> 'global' AND len(pids) = 0 THEN 'no_parts' END,
+_PROBLEMS = f"""concat_ws(',', CASE WHEN edit_type IS NULL OR edit_type NOT IN ('deletion', 'modification', 'scale', 'material', 'color', 'global') THEN 'bad_type' END, CASE WHEN unknown > 0 THEN 'bad_parts' END, CASE WHEN edit_type = 'global' AND len(pids) > 0 THEN 'parts_of_global' END, CASE WHEN edit_type <> 'global' AND len(pids) = 0 THEN 'no_parts' END,
  CASE WHEN view_index < 0 OR view_index > 4 THEN 'bad_view' END, CASE WHEN edit_type <> 'deletion' AND coalesce(after_desc, '') = '' THEN 'no_after_desc' END, CASE WHEN edit_type = 'scale' AND NOT coalesce(factor BETWEEN 0.3 AND 0.85, false) THEN 'bad_factor' END,
  {_NO("modification", "new_part_desc")}, {_NO("material", "target_material")}, {_NO("color", "target_color")}, {_NO("global", "target_style")})"""
 _WITH_PROBLEMS = _P + f", q AS (SELECT *, {_PROBLEMS} AS problems FROM k) "

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.operators import choice, grid, metrics, neighbours, pixels
+from pairloom.operators import choice, distance, grid, metrics, neighbours, pixels
 from pairloom.plans.core import _REGION, _region, _vox
 from pairloom.plans.fixtures import fixture, with_fixtures
 from pairloom.plans.registry import query
@@ -101,52 +101,66 @@ def nnb5(s, d):
     return neighbours.without_labels(_labelled(s, d), chosen, "obj")
 
 
-_CONTACT = f"""WITH region AS (SELECT pair_id, x, y, z FROM fx_half WHERE part_id = 3), pres AS (SELECT pair_id, x, y, z FROM fx_half WHERE in_before = 1 AND part_id <> 3),
+#: The cells that are edited: those of a part; in some pairs the whole object, which leaves nothing to touch, or nothing.
+_EDITED = "(part_id = 3 OR pair_id % 6 = 0) AND pair_id % 7 <> 5"
+_CONTACT = f"""WITH region AS (SELECT pair_id, x, y, z FROM fx_half WHERE {_EDITED}), pres AS (SELECT pair_id, x, y, z FROM fx_half WHERE in_before = 1 AND NOT ({_EDITED})),
  touched AS (SELECT DISTINCT g.* FROM region g CROSS JOIN {_SIX} JOIN pres b ON b.pair_id = g.pair_id AND b.x = g.x + p AND b.y = g.y + q AND b.z = g.z + r),
  surface AS (SELECT DISTINCT pair_id, x + p AS x, y + q AS y, z + r AS z FROM region CROSS JOIN {_SIX} WHERE least(x + p, y + q, z + r) >= 0 AND greatest(x + p, y + q, z + r) < 16 EXCEPT SELECT * FROM region),
  n AS (SELECT g.pair_id, (SELECT count(*) FROM touched t WHERE t.pair_id = g.pair_id) AS n_contact, (SELECT count(*) FROM surface u WHERE u.pair_id = g.pair_id) AS n_surface FROM (SELECT DISTINCT pair_id FROM region) g),
  ratios AS (SELECT *, least(n_contact / greatest(n_surface, 1), 1) AS ratio FROM n) """
 
 
+def _edited(cells: DataFrame) -> DataFrame:
+    return cells.where(_EDITED).select(*grid.CELL)
+
+
 @query("vox13_contact_boundary", _hf(_CONTACT + "SELECT pair_id, n_contact, n_surface, round(ratio, 6) AS ratio, round(1.5::DOUBLE + 4 * ratio, 6) AS sigma1, round(2::DOUBLE + 10 * ratio, 6) AS sigma2 FROM ratios"))
 def vox13(s, d):
     h = _half(s, d)
-    counts = grid.contact(_edit(h), h.where("in_before = 1"), 16)[1]
+    counts = grid.contact(_edited(h), h.where("in_before = 1"), 16)[1]
     return counts.select("pair_id", "n_contact", "n_surface", *[F.round(c, 6).alias(c) for c in ("ratio", "sigma1", "sigma2")])
 
 
 @query("vox14_distance_decay", _hf(_CONTACT + f", near AS (SELECT a.pair_id, a.x, a.y, a.z, min({_D2}) AS d2 FROM pres a JOIN touched b ON a.pair_id = b.pair_id GROUP BY ALL) SELECT p.*, round(coalesce(exp(-sqrt(d2) / (2::DOUBLE + 10 * ratio)), 0), 6) AS weight FROM pres p LEFT JOIN near USING (pair_id, x, y, z) LEFT JOIN ratios USING (pair_id)"))
 def vox14(s, d):
     h = _half(s, d)
-    touched, counts = grid.contact(_edit(h), h.where("in_before = 1"), 16)
-    kept = h.where("in_before = 1 AND part_id <> 3").select(*grid.CELL).join(counts.select("pair_id", "sigma2"), "pair_id", "left")
-    return neighbours.decay(kept, touched, F.col("sigma2")).select(*grid.CELL, F.round("weight", 6).alias("weight"))
+    touched, counts = grid.contact(_edited(h), h.where("in_before = 1"), 16)
+    kept = h.where(f"in_before = 1 AND NOT ({_EDITED})").select(*grid.CELL).join(counts.select("pair_id", "sigma2"), "pair_id", "left")
+    return distance.decay(kept, touched, F.col("sigma2")).select(*grid.CELL, F.round("weight", 6).alias("weight"))
 
 
-_BLOCKS = "edited AS (SELECT pair_id, x // 4 AS x, y // 4 AS y, z // 4 AS z FROM region GROUP BY ALL HAVING count(*) * 10 >= 64), pairs AS (SELECT DISTINCT pair_id FROM region), dense AS (SELECT pair_id, i.range::INT AS x, j.range::INT AS y, k.range::INT AS z FROM pairs, range(4) i, range(4) j, range(4) k)"
+@query("vox14_squared_distances", _hf(_CONTACT + f"SELECT a.pair_id, a.x, a.y, a.z, min({_D2})::BIGINT AS d2 FROM fx_half a LEFT JOIN pres b ON a.pair_id = b.pair_id GROUP BY ALL"))
+def vox14_distances(s, d):
+    h = _half(s, d)
+    return distance.squared_distances(h.select(*grid.CELL), h.where(f"in_before = 1 AND NOT ({_EDITED})"))
+
 
+_BLOCKS = "edited AS (SELECT pair_id, x // 4 AS x, y // 4 AS y, z // 4 AS z FROM region GROUP BY ALL HAVING count(*) * 10 >= 64), pairs AS (SELECT DISTINCT pair_id FROM fx_half), dense AS (SELECT pair_id, i.range::INT AS x, j.range::INT AS y, k.range::INT AS z FROM pairs, range(4) i, range(4) j, range(4) k)"
 
-@query("vox15_block_decay", _hf(_CONTACT + f", {_BLOCKS}, ref AS (SELECT DISTINCT pair_id, x // 4 AS x, y // 4 AS y, z // 4 AS z FROM touched), near AS (SELECT a.pair_id, a.x, a.y, a.z, min({_D2}) AS d2 FROM dense a JOIN ref b ON a.pair_id = b.pair_id GROUP BY ALL)"
- " SELECT g.*, round(CASE WHEN e.pair_id IS NOT NULL THEN 0 ELSE coalesce(1 - exp(-sqrt(d2) / 3), 1) END, 6) AS keep FROM dense g LEFT JOIN near USING (pair_id, x, y, z) LEFT JOIN edited e ON " + _AT("e", "g")))
+
+@query("vox15_block_decay", _hf(_CONTACT + f""", {_BLOCKS}, touching AS (SELECT DISTINCT pair_id, x // 4 AS x, y // 4 AS y, z // 4 AS z FROM touched), ref AS (SELECT * FROM touching UNION ALL SELECT * FROM edited WHERE pair_id NOT IN (SELECT pair_id FROM touching)),
+ near AS (SELECT a.pair_id, a.x, a.y, a.z, min({_D2}) AS d2 FROM dense a JOIN ref b ON a.pair_id = b.pair_id GROUP BY ALL)
+ SELECT g.*, round(CASE WHEN e.pair_id IS NOT NULL THEN 0 ELSE coalesce(1 - exp(-sqrt(d2) / 3), 1) END, 6) AS keep FROM dense g LEFT JOIN near USING (pair_id, x, y, z) LEFT JOIN edited e ON {_AT("e", "g")}"""))
 def vox15(s, d):
     h = _half(s, d)
-    region = _edit(h)
+    region = _edited(h)
     touched = grid.contact(region, h.where("in_before = 1"), 16)[0]
-    dense = grid.dense_keep(region, 4)
-    w = neighbours.decay(dense, grid.downsample(touched, 4), 3.0)
-    return w.select(*grid.CELL, F.round(F.when(F.col("keep") == 0, 0.0).otherwise(1 - F.col("weight")), 6).alias("keep"))
+    kept = distance.block_keep(grid.every_cell(h, 4), grid.downsample(touched, 4), grid.keep_blocks(region), 3.0)
+    return kept.select(*grid.CELL, F.round("keep", 6).alias("keep"))
 
 
 @query("vox6_soft_keep", _hf(_CONTACT + f""", {_BLOCKS}, hard AS (SELECT g.*, CASE WHEN e.pair_id IS NULL THEN 1 ELSE 0 END AS keep FROM dense g LEFT JOIN edited e ON {_AT("e", "g")}),
  blur AS (SELECT h.pair_id, h.x, h.y, h.z, any_value(h.keep) AS own, avg(b.keep) AS near FROM hard h CROSS JOIN range(-1, 2) p(p) CROSS JOIN range(-1, 2) q(q) CROSS JOIN range(-1, 2) r(r) JOIN hard b ON b.pair_id = h.pair_id AND b.x = greatest(least(h.x + p, 3), 0) AND b.y = greatest(least(h.y + q, 3), 0) AND b.z = greatest(least(h.z + r, 3), 0) GROUP BY ALL)
  SELECT pair_id, x, y, z, round(greatest(own, near), 6) AS keep FROM blur"""))
 def vox6(s, d):
-    return grid.soft_keep(_edit(_half(s, d)), 4, 1.0).select(*grid.CELL, F.round("keep", 6).alias("keep"))
+    h = _half(s, d)
+    return grid.soft_keep(_edited(h), 4, 1.0, pairs=h).select(*grid.CELL, F.round("keep", 6).alias("keep"))
 
 
 @query("vox5_dense_keep", _hf(_CONTACT + f", {_BLOCKS} SELECT g.*, CASE WHEN e.pair_id IS NULL THEN 1 ELSE 0 END AS keep FROM dense g LEFT JOIN edited e ON {_AT('e', 'g')}"))
 def vox5(s, d):
-    return grid.dense_keep(_edit(_half(s, d)), 4)
+    h = _half(s, d)
+    return grid.dense_keep(_edited(h), 4, pairs=h)
 
 
 @query("vox2_coarse_region", _hf("SELECT DISTINCT pair_id, x // 4 AS x, y // 4 AS y, z // 4 AS z FROM fx_half WHERE part_id = 3"))
@@ -220,10 +234,10 @@ def vox23(s, d):
 
 
 @query("vox24_transition", _hf(f"""WITH g0 AS (SELECT pair_id, x, y, z FROM fx_half WHERE part_id = 3), g1 AS (SELECT * FROM g0 UNION SELECT pair_id, x + p, y + q, z + r FROM g0 CROSS JOIN {_SIX}), g2 AS (SELECT * FROM g1 UNION SELECT pair_id, x + p, y + q, z + r FROM g1 CROSS JOIN {_SIX})
- SELECT * FROM g0 UNION SELECT h.pair_id, h.x, h.y, h.z FROM fx_half h JOIN g2 g ON {_AT("g", "h")} WHERE in_before = 1"""))
+ SELECT * FROM g0 UNION SELECT h.pair_id, h.x, h.y, h.z FROM fx_half h JOIN g2 g ON {_AT("g", "h")} WHERE in_before = 1 EXCEPT SELECT pair_id, x, y, z FROM fx_half WHERE part_id >= 6"""))
 def vox24(s, d):
     h = _half(s, d)
-    return grid.transition(_edit(h), h.where("in_before = 1 AND part_id <> 3"), h.where("in_before = 1"), 2, 16)
+    return grid.transition(_edit(h), h.where("in_before = 1 AND part_id <> 3"), h.where("in_before = 1"), 2, 16, h.where("part_id >= 6"))
 
 
 _COARSE = "c AS (SELECT pair_id, x // 2 AS x, y // 2 AS y, z // 2 AS z, min(part_id) AS part_id FROM fx_half GROUP BY ALL)"

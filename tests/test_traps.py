@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairloom.functions import replies, settings, texts
-from pairloom.operators import checks, choice, edits, graph, grid, judging, neighbours, release, rules, state, status
+from pairloom.operators import checks, choice, distance, edits, graph, grid, judging, neighbours, release, rules, state, status
 from pairloom.sources import states
 from pairloom.streaming import progress
 
@@ -79,7 +79,7 @@ def test_scene_errors(spark):
 
 def test_colour_edits_have_no_checker(spark):
     e = spark.createDataFrame([(1, "color"), (1, "identity")], "pair_id long, edit_type string")
-    m = spark.createDataFrame([(1, "voxel_count_close", 0.0, 0.0), (1, "feat_change", 0.5, 0.5), (1, "identity_valid", 1.0, 1.0)], "pair_id long, name string, value double, lowest double")
+    m = spark.createDataFrame([(1, "voxel_count_close", 1.0, 0.0, 0.0), (1, "feat_change", 0.5, 0.5, 0.5), (1, "identity_valid", 1.0, 1.0, 1.0)], "pair_id long, metric string, value double, lowest double, highest double")
     t = checks.threshold_table(spark)
     found = lambda **k: {(r.edit_type, r.name, r.passed) for r in checks.check_pairs(e, m, t, **k).collect()}
     assert found() == {("color", "unknown_type", False), ("identity", "identity_valid", True)}
@@ -88,13 +88,22 @@ def test_colour_edits_have_no_checker(spark):
     assert ("color", "feat_change", False) in {(r.edit_type, r.name, r.passed) for r in checks.check_pairs(e, m, other, color_as="material").collect()}
 
 
-def test_sides_that_fail_are_rejected_and_pairs_negative(spark):
-    e = spark.createDataFrame([(1, "scale"), (2, "scale"), (3, "scale"), (4, "identity")], "pair_id long, edit_type string")
+def test_cleaning_case_by_case(spark):
+    kinds = {1: "scale", 2: "scale", 3: "scale", 4: "identity", 5: "identity", 6: "scale", 7: "scale", 8: "color", 9: "scale"}
+    e = spark.createDataFrame(list(kinds.items()), "pair_id long, edit_type string")
     schema = "pair_id long, place int, name string, value double, passed boolean, weight double"
-    first = spark.createDataFrame([(1, 0, "a", 0.0, False, 1.0), (1, 1, "b", 0.0, True, 3.0), (2, 0, "a", 0.0, True, 1.0), (4, 0, "a", 0.0, False, 1.0)], schema)
-    second = spark.createDataFrame([(i, k, 0, "v", 0.0, i == 1, 1.0) for i, k in ((1, "scale"), (2, "scale"), (4, "identity"))], schema.replace("place", "edit_type string, place"))
-    found = {r.pair_id: (r.score, r.tier, r.reason) for r in checks.clean_edits(e, first, second).collect()}
-    assert found == {1: (0.375, "rejected", "Layer1 failed: a"), 2: (0.5, "negative", "Layer2 failed: v"), 3: (0.0, "rejected", "no data"), 4: (0.5, "negative", None)}
+    fine = lambda i: (i, 0, "a", 0.0, True, 1.0)
+    bad = lambda i: [(i, 0, "a", 0.0, False, 1.0), (i, 1, "b", 0.0, True, 3.0)]
+    first = spark.createDataFrame([*bad(1), fine(2), *bad(6), fine(7), fine(8), fine(9)], schema)
+    originals = spark.createDataFrame([fine(1), fine(2), fine(3), *bad(4), fine(8), *bad(9)], schema)
+    second = spark.createDataFrame([(i, kinds[i], 0, "v", 0.0, ok, 1.0) for i, ok in ((1, True), (2, False), (4, True), (8, False), (9, True))], schema.replace("place", "edit_type string, place"))
+    found = {r.pair_id: (r.score, r.tier, r.reason) for r in checks.clean_edits(e, first, second, originals).collect()}
+    assert found == {
+        1: (0.375, "rejected", "Layer1 failed: a"), 2: (0.5, "negative", "Layer2 failed: v"), 3: (0.0, "rejected", "no edited side"),
+        4: (0.5, "negative", None), 5: (1.0, "high", None),  # an identity whose original fails, one without an original
+        6: (0.375, "rejected", "Layer1 failed: a"), 7: (0.0, "rejected", "no original"),  # without an original, and unsound or sound
+        8: (0.5, "negative", "Layer2 failed: v"), 9: (1.0, "high", None),  # only an identity's original is looked at
+    }
 
 
 def test_migrating_twice_changes_nothing(spark):
@@ -270,3 +279,52 @@ def test_streams_of_plans_scores_and_manifests(spark, tmp_path):
     for _ in range(2):
         progress.append_manifest(read("m", m), at("manifest"), at("c3")).awaitTermination(120)
     assert sorted((r.edit_type, r.obj_id) for r in spark.read.parquet(at("manifest")).collect()) == [("deletion", "x"), ("scale", "y")]
+
+
+def test_distance_transform_equals_brute_force(spark):
+    r = random.Random(8)
+    spot = lambda p, n: [(p, r.randrange(-3, 14), r.randrange(9), r.randrange(12)) for _ in range(n)]
+    cells, ref = spot(0, 150) + spot(1, 150) + spot(2, 20), spot(0, 3) + spot(1, 40)
+    make = lambda rows: spark.createDataFrame([(*x, f"row {i}") for i, x in enumerate(rows)], "pair_id long, x int, y int, z int, note string")
+    want = sorted((*c, f"row {i}", min((sum((a - b) ** 2 for a, b in zip(c[1:], o[1:], strict=True)) for o in ref if o[0] == c[0]), default=None)) for i, c in enumerate(cells))
+    assert sorted(map(tuple, distance.squared_distances(make(cells), make(ref)).collect())) == want
+    assert {x.d2 for x in distance.squared_distances(make(cells), make(ref).limit(0)).collect()} == {None}
+    with pytest.raises(ValueError, match="too large"):
+        distance.transform(np.array([[0, 0, 0]]), np.array([[10**6, 10**6, 0]]))
+
+
+def test_blocks_without_contact_decay_from_the_edit(spark):
+    """Pair 0 touches in block 0, pair 1 is edited without contact, pair 2 isn't edited."""
+    make = lambda *rows: spark.createDataFrame(list(rows), "pair_id long, x int, y int, z int")
+    dense = grid.every_cell(make((0, 0, 0, 0), (1, 0, 0, 0), (2, 0, 0, 0)), 4)
+    found = {(r.pair_id, r.x, r.y, r.z): r.keep for r in distance.block_keep(dense, make((0, 0, 0, 0)), make((0, 1, 0, 0), (1, 3, 3, 3)), 3.0).collect()}
+    assert len(found) == 3 * 64 and {v for (p, *_), v in found.items() if p == 2} == {1.0}
+    assert found[0, 1, 0, 0] == 0 and found[0, 0, 0, 0] == 0 and found[0, 3, 0, 0] == pytest.approx(1 - np.exp(-1))
+    assert found[1, 3, 3, 3] == 0 and found[1, 3, 3, 0] == pytest.approx(1 - np.exp(-1))
+
+
+def test_views_out_of_range_are_none(spark):
+    st = state.latest(events(spark, ("del_o_000", "gate_a", "pass", 7), ("add_o_000", "gate_a", "pass", -1), ("del_o_001", "gate_a", "pass", 1), ("add_o_001", "gate_a", "pass", 9), ("mod_o_002", "gate_a", "pass", 5), ("mod_o_003", "gate_a", "pass", 0), ("add_o_009", "gate_c", "pass")))
+    views = choice.resolved_views(st)
+    assert {r.edit_id: r.view for r in views.collect()} == {"del_o_000": 4, "add_o_000": 4, "del_o_001": 1, "add_o_001": 1, "mod_o_002": None, "mod_o_003": 0, "add_o_009": 4}
+    e = spark.createDataFrame([("o", "del_o_000", None, "x", False, True, True), ("o", "add_o_000", 4, "x", False, False, False)], "obj_id string, edit_id string, view int, source string, has_before boolean, has_after boolean, has_image boolean")
+    assert {r.edit_id: r.reason for r in release.promoted(e).collect()} == {"del_o_000": "no view", "add_o_000": "its deletion is not promoted"}
+
+
+def test_plans_know_six_types(spark):
+    e = spark.createDataFrame([("o", 0, k, [1], "p", "t", "n", "a", 0, 0.5, "m", "c", "s") for k in ("addition", "identity", "scale", None, "Scale")], "obj_id string, edit_idx int, edit_type string, pids array<int>, prompt string, target_part_desc string, new_part_desc string, after_desc string, view_index int, factor double, target_material string, target_color string, target_style string")
+    found = {r.edit_type: "bad_type" in r.problems for r in rules.plan_problems(e, spark.createDataFrame([("o", 1)], "obj_id string, part_id int")).collect()}
+    assert found == {"addition": True, "identity": True, "scale": False, None: True, "Scale": True}
+
+
+def test_checks_answer_for_every_object(spark):
+    steps = spark.createDataFrame([("a", "s1", "ok", None), ("b", "s1", None, None), ("c", "s1", "run", None), ("d", "s1", "fail", False), ("e", "s2", "ok", None), ("f", "s3", "ok", True)], "obj_id string, step string, status string, validated_before boolean")
+    silent = lambda o: o.where("obj_id in ('a', 'd')").select("obj_id", F.lit(True).alias("ok"), F.lit(False).alias("skip"))
+
+    def broken(o):
+        raise OSError("no such store")
+
+    found = {r.obj_id: r.status for r in status.checked(steps, {"s1": silent, "s2": broken, "s3": lambda o: o.select("obj_id", "nothing")}).collect()}
+    assert found == {"a": "ok", "b": "skip", "c": "skip", "d": "ok", "e": "fail", "f": "fail"}
+    none = spark.createDataFrame([], "obj_id string, edit_type string, final_pass boolean, has_gate boolean, only_types array<string>")
+    assert [tuple(r) for r in status.gate_coverage(none, steps.where("obj_id = 'a'")).collect()] == [("a", 0, 0, True, True)]
