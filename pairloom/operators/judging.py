@@ -60,11 +60,18 @@ def judge_tier(score: Column, reason: Column) -> Column:
     return F.when(none, "rejected").when(~_is("edit_executed") | ~_is("correct_region"), "negative").when(clean & (vq >= 4), "high").when(clean & (vq >= 3), "medium").when(vq >= 2, "low").otherwise("negative")
 
 
+# What an addition has of its deletion besides tier and score, and what it is where the deletion lacks it.
+INHERITED = {"edit_executed": False, "correct_region": False, "preserve_other": False, "visual_quality": 0, "artifact_free": False}
+
+
 def inherited_scores(additions: DataFrame, scores: DataFrame) -> DataFrame:
-    """additions (obj_id, edit_id, source_del_seq), scores (obj_id, edit_id, seq, tier, score) of deletions -> obj_id,
-    edit_id, tier, score, source, reason: an addition has its deletion's score; without one it has no row."""
-    own = scores.select("obj_id", F.col("seq").alias("source_del_seq"), "tier", "score", F.col("edit_id").alias("source"))
-    return additions.join(own, ["obj_id", "source_del_seq"]).select("obj_id", "edit_id", "tier", "score", "source", F.concat(F.lit("Inherited from "), "source").alias("reason"))
+    """additions (obj_id, edit_id, source_del_seq), scores (obj_id, edit_id, seq, tier, score, and what INHERITED names, as
+    far as it is there) of deletions -> obj_id, edit_id, tier, score, INHERITED, source, reason: an addition has its
+    deletion's score and judgement; without one it has no row."""
+    rest = [F.coalesce(F.col(c) if c in scores.columns else F.lit(None), F.lit(v)).alias(c) for c, v in INHERITED.items()]
+    label, score = F.coalesce("tier", F.lit("rejected")).alias("tier"), F.coalesce("score", F.lit(0.0)).alias("score")
+    own = scores.select("obj_id", F.col("seq").alias("source_del_seq"), label, score, *rest, F.col("edit_id").alias("source"))
+    return additions.join(own, ["obj_id", "source_del_seq"]).select("obj_id", "edit_id", "tier", "score", *INHERITED, "source", F.concat(F.lit("Inherited from "), "source").alias("reason"))
 
 
 def rolled_up(manifest: DataFrame, scores: DataFrame, *keys: str) -> DataFrame:

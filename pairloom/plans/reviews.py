@@ -46,14 +46,16 @@ def mat4(s, d):
     return j.select("edit_no", judging.judge_tier(F.when(F.coalesce("edit_executed", F.lit(False)), 0.3).otherwise(0.0), F.col("reason")).alias("tier"))
 
 
-_DEL = "del AS (SELECT obj_id, seq, edit_id, CASE pid1 % 4 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' WHEN 2 THEN 'low' ELSE 'negative' END AS tier, pid1 / 20 AS score FROM named WHERE edit_type = 'deletion' AND pid2 % 5 <> 0)"
-_ADD = f"adds AS (SELECT e.obj_id, 'add_' || e.obj_id || '_' || edit_idx AS edit_id, tier, score, d.edit_id AS source, 'Inherited from ' || d.edit_id AS reason FROM fx_edits e JOIN del d ON d.obj_id = e.obj_id AND d.seq = pid2 % 3 WHERE edit_type = 'addition')"
+_DEL = "del AS (SELECT obj_id, seq, edit_id, CASE pid1 % 4 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' WHEN 2 THEN 'low' ELSE 'negative' END AS tier, pid1 / 20 AS score, pid1 % 3 = 0 AS edit_executed, CASE WHEN pid1 % 5 <> 0 THEN pid1 % 2 = 0 END AS correct_region, pid2 % 2 = 0 AS preserve_other, CASE WHEN pid2 % 4 <> 0 THEN pid2 % 6 END AS visual_quality, pid2 % 3 = 0 AS artifact_free FROM named WHERE edit_type = 'deletion' AND pid2 % 5 <> 0)"
+_ADD = f"adds AS (SELECT e.obj_id, 'add_' || e.obj_id || '_' || edit_idx AS edit_id, tier, score, edit_executed, coalesce(correct_region, false) AS correct_region, preserve_other, coalesce(visual_quality, 0) AS visual_quality, artifact_free, d.edit_id AS source, 'Inherited from ' || d.edit_id AS reason FROM fx_edits e JOIN del d ON d.obj_id = e.obj_id AND d.seq = pid2 % 3 WHERE edit_type = 'addition')"
 
 
 def _scores(s, d) -> DataFrame:
     named = edits.assign_ids(fixture(s, d, "fx_edits")).where("edit_type = 'deletion' AND pid2 % 5 <> 0")
     names = F.element_at(F.array(*map(F.lit, ("high", "medium", "low", "negative"))), (F.col("pid1") % 4 + 1).cast("int"))
-    return named.select("obj_id", "seq", "edit_id", names.alias("tier"), (F.col("pid1") / 20).alias("score"))
+    p, q = F.col("pid1"), F.col("pid2")
+    said = [(p % 3 == 0).alias("edit_executed"), F.when(p % 5 != 0, p % 2 == 0).alias("correct_region"), (q % 2 == 0).alias("preserve_other"), F.when(q % 4 != 0, q % 6).alias("visual_quality"), (q % 3 == 0).alias("artifact_free")]
+    return named.select("obj_id", "seq", "edit_id", names.alias("tier"), (p / 20).alias("score"), *said)
 
 
 def _inherited(s, d) -> DataFrame:

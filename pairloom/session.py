@@ -34,13 +34,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def clear_stored(spark: SparkSession) -> None:
-    """Delete what stored() has written so far. Results that still read it must have been written by then."""
+    """Delete what stored() and scratch() paths hold so far. Results that still read it must have been written by then."""
     jvm = spark.sparkContext._jvm
     while _STORED:
         path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in shared storage, for whatever writes there itself; clear_stored() deletes it, too."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _STORED.append(path)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows go to shared storage and survive any executor."""
     shared_dir(df.sparkSession)
@@ -50,7 +57,6 @@ def cut(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     """Write the rows as Parquet to shared storage and read them back. Columnar and compressed, so it suits wide
     intermediates that are read more than once, with fewer columns each time."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/pairloom-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, "pairloom")
     df.write.parquet(path)
-    _STORED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,11 +1,13 @@
-"""Manifests: JSON lines in, records partitioned by type and shard out."""
+"""Manifests: JSON lines in, records partitioned by type and shard out, in snapshots."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pairloom.sources import snapshots
+
 _BAD = "_corrupt"
 
 
@@ -21,18 +23,21 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> tuple[Da
     return parsed.where(~bad).select("r.*").drop(_BAD), parsed.where(bad).select(F.col("value").alias("line"))
 
 
+_PARTITIONS = ("edit_type", "shard")
+
+
 def append(records: DataFrame, path: str) -> int:
-    """Add records and tell how many. A reader that comes while the job commits its files can see part of them; streams
-    of records should use streaming.append_manifest, whose log prevents that."""
-    seen = Observation()
-    records.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy("edit_type", "shard").parquet(path)
-    return seen.get["n"]
+    """Add records and tell how many: all of them are there for readers, or none. Writers can append at once."""
+    return snapshots.commit(records, path, _PARTITIONS)
 
 
 def rewrite(records: DataFrame, path: str, whole: bool = False) -> int:
-    """Replace the partitions that records are in, or the whole manifest, and tell how many records there are. An
-    object's rows of a partition go to one file, sorted."""
-    seen = Observation()
-    ordered = records.observe(seen, F.count(F.lit(1)).alias("n")).repartition("edit_type", "shard", "obj_id").sortWithinPartitions("edit_type", "shard", "obj_id")
-    ordered.write.mode("overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic").partitionBy("edit_type", "shard").parquet(path)
-    return seen.get["n"]
+    """Replace the partitions that records are in, or the whole manifest, and tell how many records there are. A reader
+    has the old manifest or the new one, never a part of either. An object's rows of a partition go to one file, sorted."""
+    ordered = records.repartition(*_PARTITIONS, "obj_id").sortWithinPartitions(*_PARTITIONS, "obj_id")
+    return snapshots.commit(ordered, path, _PARTITIONS, "all" if whole else "touched")
+
+
+def read(spark: SparkSession, path: str, **only: str) -> DataFrame | None:
+    """The manifest as its last commit left it; None if there is none. only: see snapshots.read."""
+    return snapshots.read(spark, path, **only)
