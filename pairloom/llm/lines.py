@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from pairloom.llm.text import let, once, salted, whole
 from pairloom.session import stored
 
-#: Distinct texts from which a template recurs; tokens from which a line has a template; leading tokens that the tree
-#: looks at; share of a template's tokens that must be fixed.
-MIN_DOCS, MIN_TOKENS, DEPTH, FIXED = 2, 3, 3, 0.7
+#: Distinct texts from which a template recurs; tokens from which a line has a template; distinct texts from which a shorter
+#: line recurs as it stands (one or two words come together by chance); leading tokens that the tree looks at; share of a
+#: template's tokens that must be fixed.
+MIN_DOCS, MIN_TOKENS, SHORT_DOCS, DEPTH, FIXED = 2, 3, 10, 3, 0.7
 _LAST = (1 << 63) - 1
 
 
@@ -32,11 +33,11 @@ def _index(docs: DataFrame, min_tokens: int, depth: int) -> DataFrame:
     hashes only, stored, as all that follows starts from them. A line of figures is all variable fields and would be a
     template of any other: it stands for itself, with its figures."""
     rows = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), whole().alias("text"))
-    rows = _lines(rows.select("doc", F.xxhash64("text").alias("digest"), "text"), "doc", "digest").where(F.size("tokens") >= min_tokens)
+    rows = _lines(rows.select("doc", F.xxhash64("text").alias("digest"), "text"), "doc", "digest")
     words = F.size(F.filter("tokens", lambda t: t != "<*>"))
     rows = rows.select("doc", "digest", "pos", "x", "masked", "tokens", once("prose", words * 2 >= F.size("tokens")))
     line = F.when(F.col("prose"), F.xxhash64("masked")).otherwise(F.xxhash64(F.trim("x"), F.lit(0)))
-    return stored(rows.select("doc", "digest", "pos", line.alias("line"), F.size("tokens").alias("n"), F.when(F.col("prose"), F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth))).alias("leaf")))
+    return stored(rows.select("doc", "digest", "pos", line.alias("line"), F.size("tokens").alias("n"), F.when(F.col("prose") & (F.size("tokens") >= min_tokens), F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth))).alias("leaf")))
 
 
 def _templates(distinct: DataFrame, depth: int, fixed: float) -> DataFrame:
@@ -66,19 +67,21 @@ def _templates(distinct: DataFrame, depth: int, fixed: float) -> DataFrame:
     return made.select("line", "template").join(enough, "template")
 
 
-def recurring_templates(docs: DataFrame, index: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, fixed: float = FIXED) -> DataFrame:
+def recurring_templates(docs: DataFrame, index: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, fixed: float = FIXED, min_tokens: int = MIN_TOKENS, short_docs: int = SHORT_DOCS) -> DataFrame:
     """docs (doc_id, text) and their index -> line (hash of a masked line), first (the doc_id that keeps it).
 
     Template tree of fixed depth: the first level is the number of tokens, the next ones are the leading tokens, tokens
     with digits being variable. A leaf's templates are found from how many of its lines share a token by position (see
     _templates). A line belongs to its leaf's template or else to that of its own masked text. Templates of lines in at
-    least min_docs different texts recur. Copies of a whole text count as one text: they are near-dedup's work, and a
+    least min_docs different texts recur; a line of fewer than min_tokens tokens is a template of its own, and recurs from
+    short_docs texts on. Copies of a whole text count as one text: they are near-dedup's work, and a
     document isn't boilerplate for having been copied.
 
     Counts are over hashes and combined before they shuffle. Tokens are fetched for leaves only in which different
     lines meet in min_docs texts, each distinct line once, from the first document that has it.
     """
-    own = index.groupBy("line").agg(F.countDistinct("digest").alias("texts"), F.min("doc").alias("first")).where(F.col("texts") >= min_docs).select("line", "first")
+    enough = F.when(F.col("n") < min_tokens, short_docs).otherwise(min_docs)
+    own = index.groupBy("line", "n").agg(F.countDistinct("digest").alias("texts"), F.min("doc").alias("first")).where(F.col("texts") >= enough).select("line", "first")
 
     deep = index.where((F.col("n") > depth) & F.col("leaf").isNotNull())
     per_line = deep.groupBy("leaf", "line").agg(F.min(F.struct("doc", "digest", "pos")).alias("at"))
@@ -98,19 +101,18 @@ def recurring_templates(docs: DataFrame, index: DataFrame, min_docs: int = MIN_D
     return own.union(general).groupBy("line").agg(F.min("first").alias("first"))
 
 
-def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH, fixed: float = FIXED) -> DataFrame:
+def drop_recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, depth: int = DEPTH, fixed: float = FIXED, short_docs: int = SHORT_DOCS) -> DataFrame:
     """docs -> the same columns, text without recurring lines, with n_lines and n_dropped (long).
 
     Every line of a recurring template goes, save in the first document (least doc_id) that has one, so that no passage
-    is lost from the corpus. See recurring_templates for the settings. Empty lines and lines of fewer than min_tokens
-    tokens stay: they are too short to tell boilerplate from speech. Of lines more than half of whose tokens hold digits
+    is lost from the corpus. See recurring_templates for the settings. Empty lines stay. Of lines more than half of whose tokens hold digits
     only those go that recur with the same figures. A null text stays null with 0 lines; an empty text has one empty
     line. Rows that share a doc_id are the same document; rows without doc_id come after all others. A text of any
     number of lines takes memory and time in proportion. Other columns pass through, save that n_lines and n_dropped are
     replaced.
     """
     index = _index(docs, min_tokens, depth)
-    templates = recurring_templates(docs, index, min_docs, depth, fixed)
+    templates = recurring_templates(docs, index, min_docs, depth, fixed, min_tokens, short_docs)
     rows = index.select(F.col("doc").alias("_doc"), F.col("digest").alias("_digest"), "pos", "line")
     gone = salted(rows, templates, "line", F.hash("_doc", "pos")).where("_doc > first")
     gone = gone.groupBy("_doc", "_digest").agg(F.sort_array(F.collect_set("pos")).alias("_gone"))

@@ -62,8 +62,8 @@ l AS (SELECT doc, row, text, unnest(string_split(coalesce(text, ''), chr(10))) A
 m AS (SELECT *, regexp_replace(trim(line), '\S*[0-9]\S*', '<*>', 'g') AS masked FROM l),
 s AS (SELECT *, regexp_split_to_array(masked, '\s+') AS tokens FROM m),
 t AS (SELECT *, len(tokens) AS n, len(list_filter(tokens, lambda t: t <> '<*>')) * 2 >= len(tokens) AS prose FROM s),
-k AS (SELECT *, CASE WHEN masked <> '' AND n >= {lines.MIN_TOKENS} THEN CASE WHEN prose THEN 'p' || masked ELSE 'f' || trim(line) END END AS key, [CAST(n AS VARCHAR)] || tokens[1:{lines.DEPTH}] AS leaf FROM t),
-own AS (SELECT key, min(doc) AS first FROM k WHERE key IS NOT NULL GROUP BY key HAVING count(DISTINCT text) >= {lines.MIN_DOCS}),
+k AS (SELECT *, CASE WHEN masked <> '' THEN CASE WHEN prose THEN 'p' || masked ELSE 'f' || trim(line) END END AS key, [CAST(n AS VARCHAR)] || tokens[1:{lines.DEPTH}] AS leaf FROM t),
+own AS (SELECT key, min(doc) AS first FROM k WHERE key IS NOT NULL GROUP BY key HAVING count(DISTINCT text) >= CASE WHEN any_value(n) < {lines.MIN_TOKENS} THEN {lines.SHORT_DOCS} ELSE {lines.MIN_DOCS} END),
 distinct_lines AS (SELECT DISTINCT leaf, n, key, tokens FROM k WHERE n > {lines.DEPTH} AND prose AND key IS NOT NULL),
 spots AS (SELECT leaf, n, key, unnest(tokens) AS token, unnest(range(len(tokens))) AS pos FROM distinct_lines),
 support AS (SELECT leaf, pos, token, count(*) AS c FROM spots WHERE pos >= {lines.DEPTH} GROUP BY leaf, pos, token HAVING count(*) >= 2),

@@ -451,3 +451,23 @@ def test_pipeline_on_null_ids_and_clashing_columns(spark, hard, tmp_path):
         spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{empty}/{t}.parquet")
     hard.limit(0).write.parquet(f"{empty}/documents.parquet")
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_short_lines_recur_as_they_stand(spark):
+    """Footers of two words in many documents go, save in the first; a short line in a few stays, as does each text."""
+    docs = [(i, f"{prose(20)}\nRead more\n{'Hm.' if i < 5 else 'Ah'} \nCookie policy") for i in range(50)]
+    found = {r.doc_id: r for r in lines.drop_recurring_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert found[0].text == docs[0][1]
+    for i, text in docs[1:]:
+        own = text.split("\n")
+        want = [own[0], own[2]] if i <= 5 else own[:1]  # the first 'Ah' is in document 5
+        assert found[i].text.split("\n") == want and found[i].n_dropped == 4 - len(want)
+
+
+def test_hosts_of_very_many_labels(spark):
+    long = ".".join(["a"] * 100_000)
+    pages = spark.createDataFrame([(1, f"http://{long}.net/es/x", ""), (2, f"http://{long}.org/", ""), (3, "http://net/es/", ""), (4, "http://x.example.com./en/", ""), (5, "http://www.example.com/en/1", "")], "page_id long, url string, html string")
+    began = time.time()
+    found = {r.page_id: (r.rule, r.verdict) for r in urls.judge_urls(pages).select("page_id", "rule", "verdict").collect()}
+    assert found == {1: ("net/es/", "block"), 2: (None, "allow"), 3: ("net/es/", "block"), 4: (None, "allow"), 5: ("www.example.com/en/", "allow")}
+    assert time.time() - began < 60
