@@ -167,9 +167,21 @@ def gate_columns(pixels: DataFrame, key: str, column: Column) -> DataFrame:
     return best.select(key, F.col("view").cast("int").alias("best"), F.when(F.col("px") <= 0, "zero_visible_pixels").alias("error"), view.alias("view"))
 
 
-def roster(objects: DataFrame, styles: DataFrame, per_category: int, seed: int) -> DataFrame:
-    """objects (obj_id), styles (category, style) -> obj_id, category, style, place: for each object so many styles of each
-    category, in an order that the seed fixes. The pool of styles is a small table."""
-    order = F.xxhash64(F.col("obj_id"), F.col("category"), F.col("style"), F.lit(seed))
-    place = F.row_number().over(Window.partitionBy("obj_id", "category").orderBy(order, "style"))
-    return objects.select("obj_id").crossJoin(F.broadcast(styles)).withColumn("place", place).where(F.col("place") <= per_category)
+#: Orders of the pool of styles: objects are dealt among them.
+ORDERS = 1024
+
+
+def roster(objects: DataFrame, styles: DataFrame, slots: int, seed: int) -> DataFrame:
+    """objects (obj_id, n_global: how many edits it asks for), styles (category, style) -> obj_id, category, style, place:
+    for each object slots + 1 styles of each category, in an order that the seed fixes. An object that asks for more edits
+    than there are categories has one more slot in one of them.
+
+    The pool is ranked once for each of 1024 orders, not for each object: what objects are joined with has at most
+    slots + 2 rows for an order and category. Objects of one order have the same styles."""
+    order, place = F.pmod(F.xxhash64("obj_id", F.lit(seed)), F.lit(ORDERS)), F.row_number().over(Window.partitionBy("ord", "category").orderBy(F.xxhash64("ord", "category", "style", F.lit(seed)), "style"))
+    categories = styles.select("category").distinct().select("category", F.row_number().over(Window.orderBy("category")).alias("nth"), F.count(F.lit(1)).over(Window.partitionBy()).alias("n_categories"))
+    pool = styles.join(F.broadcast(categories), "category").withColumn("ord", F.explode(F.sequence(F.lit(0), F.lit(ORDERS - 1)))).withColumn("place", place).where(F.col("place") <= slots + 2)
+    extra = F.pmod(F.xxhash64("obj_id", F.lit(seed), F.lit("extra")), F.col("n_categories")) + 1 == F.col("nth")
+    asked = objects.select("obj_id", "n_global", order.cast("int").alias("ord")).join(pool, "ord")
+    more = ((F.coalesce("n_global", F.lit(0)) > F.col("n_categories")) & extra).cast("int")
+    return asked.where(F.col("place") <= slots + 1 + more).select("obj_id", "category", "style", "place")

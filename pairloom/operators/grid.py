@@ -280,11 +280,31 @@ def mask_warnings(counts: DataFrame) -> DataFrame:
     return counts.withColumn("warning", F.when(F.col("n_edit") == 0, "no overlap").when(F.col("n_edit") < 10, "few cells").when((share > 0.95) & ~F.col("whole"), "nearly everything"))
 
 
-def sample_invariants(sides: DataFrame, stored_cells: DataFrame, side: int) -> DataFrame:
-    """pair_id and what must hold of a sample: its cells equal those that are stored, none lies beyond the grid."""
-    a, b = sides.select(*CELL).distinct().withColumn("a", F.lit(1)), stored_cells.select(*CELL).distinct().withColumn("b", F.lit(1))
-    j = a.join(b, CELL, "full_outer")
-    return j.groupBy("pair_id").agg((F.count_if(F.col("a").isNull() | F.col("b").isNull()) == 0).alias("same_cells"), (F.max(F.greatest("x", "y", "z")) < side).alias("in_grid"))
+#: Cell tables of a sample, by name: coordinates of shape and texture on either side, and those that its region holds.
+SAMPLE = ("before_shape", "before_texture", "after_shape", "after_texture", "coords0", "coords_new")
+
+
+def sample_invariants(cells: DataFrame, masks: DataFrame, mirrors: DataFrame, side: int = 32) -> DataFrame:
+    """cells (pair_id, kind: one of SAMPLE, x, y, z), masks (pair_id, side 0/1, n: entries of the keep mask), mirrors
+    (pair_id, mirror: the pair that undoes it) -> one row for each pair: same_coords (shape and texture, on both sides),
+    before_stored, after_stored (cells equal to the region's), before_mask, after_mask (as many entries as cells), in_grid,
+    mirrored (its sides are the other's, swapped; true where it has no mirror).
+
+    Tables are compared as multisets by their number of rows and two order-free sums of hashes: one pass, one row for each
+    pair and kind, no join of cells."""
+    sums = [F.sum(F.pmod(F.xxhash64("x", "y", "z", F.lit(i)), F.lit(1 << 31))).alias(f"h{i}") for i in range(2)]
+    each = cells.groupBy("pair_id", "kind").agg(F.count(F.lit(1)).alias("n"), *sums, F.max(F.greatest("x", "y", "z")).alias("hi"), F.min(F.least("x", "y", "z")).alias("lo"))
+    none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("h0"), F.lit(0).cast("long").alias("h1"))
+    of = [F.coalesce(F.max(F.when(F.col("kind") == k, F.struct("n", "h0", "h1"))), none).alias(k) for k in SAMPLE]
+    m = each.groupBy("pair_id").agg(*of, ((F.max("hi") < side) & (F.min("lo") >= 0)).alias("in_grid"))
+    n = masks.groupBy("pair_id").agg(*[F.max(F.when(F.col("side") == i, F.col("n"))).alias(f"mask{i}") for i in range(2)])
+    other = m.select(F.col("pair_id").alias("mirror"), F.col("before_shape").alias("_before"), F.col("after_shape").alias("_after"), F.lit(True).alias("_there"))
+    j = m.join(n, "pair_id", "left").join(mirrors, "pair_id", "left").join(other, "mirror", "left")
+    c = F.col
+    swapped = c("_there").isNotNull() & (c("before_shape") == c("_after")) & (c("after_shape") == c("_before"))
+    return j.select(
+        "pair_id", ((c("before_shape") == c("before_texture")) & (c("after_shape") == c("after_texture"))).alias("same_coords"), (c("before_shape") == c("coords0")).alias("before_stored"), (c("after_shape") == c("coords_new")).alias("after_stored"),
+        F.coalesce(c("mask0") == c("before_shape.n"), F.lit(False)).alias("before_mask"), F.coalesce(c("mask1") == c("after_shape.n"), F.lit(False)).alias("after_mask"), "in_grid", F.when(c("mirror").isNull(), True).otherwise(F.coalesce(swapped, F.lit(False))).alias("mirrored"))
 
 
 def rerun_iou(fine: DataFrame, coarse: DataFrame, factor: int = 2) -> DataFrame:

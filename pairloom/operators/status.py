@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,9 +124,39 @@ def object_manifest(states: DataFrame) -> DataFrame:
     return m.orderBy("shard", "obj_id")
 
 
-def measured(pairs: DataFrame, metrics: dict[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:
-    """Rows pair_id, name, value, passed, weight of all registered metrics of a table of pairs."""
-    return reduce(DataFrame.unionByName, [f(pairs).select("pair_id", F.lit(n).alias("name"), F.col("value").cast("double").alias("value"), "passed", F.col("weight").cast("double").alias("weight")) for n, f in metrics.items()])
+#: A metric: takes the pairs, returns pair_id, value, passed, weight and, if it has any, reason.
+Metric = Callable[[DataFrame], DataFrame]
+
+
+def measured(pairs: DataFrame, metrics: dict[str, Metric]) -> DataFrame:
+    """Rows pair_id, name, value, passed, weight, reason: one for each pair and registered metric, whatever the metric does.
+    One that can't be planned (it raises, or lacks a column) fails for all pairs, one that says nothing of a pair, or has
+    no value or verdict for it, fails for that pair: with value 0, weight 1 and the reason."""
+    ids, done = pairs.select("pair_id").distinct(), []
+    for name, metric in metrics.items():
+        try:
+            found = metric(pairs)
+            why = F.col("reason") if "reason" in found.columns else F.lit(None)
+            found = found.select("pair_id", F.col("value").cast("double").alias("value"), "passed", F.col("weight").cast("double").alias("weight"), why.cast("string").alias("reason"))
+        except Exception as e:  # whatever a registered metric does wrong
+            found = ids.select("pair_id", *[F.lit(None).cast(t).alias(c) for c, t in (("value", "double"), ("passed", "boolean"), ("weight", "double"))], F.lit(f"error: {type(e).__name__}").alias("reason"))
+        lost = F.col("value").isNull() | F.isnan("value") | F.col("passed").isNull()
+        done.append(ids.join(found, "pair_id", "left").select("pair_id", F.lit(name).alias("name"), F.when(lost, 0.0).otherwise(F.col("value")).alias("value"), F.when(lost, False).otherwise(F.col("passed")).alias("passed"), F.when(lost, 1.0).otherwise(F.coalesce("weight", F.lit(1.0))).alias("weight"), F.when(lost, F.coalesce("reason", F.lit("no value"))).otherwise(F.col("reason")).alias("reason")))
+    return reduce(DataFrame.unionByName, done)
+
+
+def of_each_pair(measure: Callable[[pd.DataFrame], tuple[float, bool]], weight: float = 1.0) -> Metric:
+    """A metric from a Python function of one pair's rows. Where it raises, that pair's row fails and names the error; the
+    job goes on."""
+
+    def one(rows: pd.DataFrame) -> pd.DataFrame:
+        try:
+            value, passed, why = *measure(rows), None
+        except Exception as e:  # becomes a row
+            value, passed, why = None, None, f"error: {type(e).__name__}"
+        return pd.DataFrame({"pair_id": [rows["pair_id"].iloc[0]], "value": [value], "passed": [passed], "weight": [weight], "reason": [why]})
+
+    return lambda pairs: pairs.groupBy("pair_id").applyInPandas(one, f"pair_id {pairs.schema['pair_id'].dataType.simpleString()}, value double, passed boolean, weight double, reason string")
 
 
 def masks(edits: DataFrame, cells: DataFrame, builder: Callable[[DataFrame, DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:

@@ -304,10 +304,21 @@ def src4(s, d):
     return states.planned_edits(s.read.schema(states.PLAN).json(path)).select("obj_id", "edit_idx", "edit_type", "prompt", F.col("selected_part_ids")[0].alias("pid1"))
 
 
-@query("udf1_metric_registry", with_fixtures("SELECT pair_id, 'n_before' AS name, sum(in_before)::DOUBLE AS value, sum(in_before) >= 100 AS passed, 2.0::DOUBLE AS weight FROM fx_voxels GROUP BY pair_id UNION ALL SELECT pair_id, 'n_parts', count(DISTINCT part_id), count(DISTINCT part_id) <= 8, 1 FROM fx_voxels GROUP BY pair_id", "fx_voxels"))
+@query("udf1_metric_registry", with_fixtures("""WITH n AS (SELECT pair_id, sum(in_before) AS b, count(DISTINCT part_id) AS p, min(x) AS lx, max(x) AS hx FROM fx_voxels GROUP BY pair_id)
+ SELECT pair_id, 'n_before' AS name, b::DOUBLE AS value, b >= 100 AS passed, 2.0::DOUBLE AS weight, NULL AS reason FROM n UNION ALL SELECT pair_id, 'n_parts', p, p <= 8, 1, NULL FROM n
+ UNION ALL SELECT pair_id, 'silent', CASE WHEN pair_id % 3 = 0 THEN 0 ELSE b END, pair_id % 3 <> 0, 1, CASE WHEN pair_id % 3 = 0 THEN 'no value' END FROM n UNION ALL SELECT pair_id, 'broken', 0, false, 1, 'error: AnalysisException' FROM n
+ UNION ALL SELECT pair_id, 'span', CASE WHEN pair_id % 5 = 0 THEN 0 ELSE hx - lx END, pair_id % 5 <> 0 AND hx - lx > 20, CASE WHEN pair_id % 5 = 0 THEN 1 ELSE 1.5 END, CASE WHEN pair_id % 5 = 0 THEN 'error: ZeroDivisionError' END FROM n""", "fx_voxels"))
 def udf1(s, d):
+    """Metrics that work, one that is silent on some pairs, one of a column there isn't, one that raises for some pairs."""
     by = lambda value, ok, w: lambda df: df.groupBy("pair_id").agg(value.alias("value")).withColumn("passed", ok(F.col("value"))).withColumn("weight", F.lit(w))
-    return status.measured(fixture(s, d, "fx_voxels"), {"n_before": by(F.sum("in_before"), lambda v: v >= 100, 2.0), "n_parts": by(F.countDistinct("part_id"), lambda v: v <= 8, 1.0)})
+
+    def span(rows):
+        x, _ = rows["x"], 1 // (int(rows["pair_id"].iloc[0]) % 5)
+        return float(x.max() - x.min()), bool(x.max() - x.min() > 20)
+
+    known = {"n_before": by(F.sum("in_before"), lambda v: v >= 100, 2.0), "n_parts": by(F.countDistinct("part_id"), lambda v: v <= 8, 1.0)}
+    odd = {"silent": lambda df: by(F.sum("in_before"), lambda v: v >= 0, 1.0)(df.where("pair_id % 3 <> 0")), "broken": by(F.sum("nothing"), lambda v: v > 0, 1.0), "span": status.of_each_pair(span, 1.5)}
+    return status.measured(fixture(s, d, "fx_voxels"), known | odd)
 
 
 @query("udf2_mask_builder", with_fixtures("SELECT obj_id || '/' || edit_idx AS edit_id, count(*) AS n FROM fx_edits, range(2) WHERE edit_type <> 'global' GROUP BY 1", "fx_edits"))
@@ -321,4 +332,5 @@ def udf2(s, d):
 def win7(s, d):
     """Styles are the parts' types by brand. No SQL: the order is that of a hash that only Spark has; see the tests."""
     styles = table(s, d, "part").select(F.col("p_brand").alias("category"), F.col("p_type").alias("style")).distinct()
-    return choice.roster(table(s, d, "customer").select(F.col("c_custkey").alias("obj_id")), styles, 2, 7)
+    objects = table(s, d, "customer").select(F.col("c_custkey").alias("obj_id"), (F.col("c_custkey") % 40).cast("int").alias("n_global"))
+    return choice.roster(objects, styles, 1, 7)

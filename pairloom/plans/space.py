@@ -227,10 +227,25 @@ def vox22(s, d):
     return grid.normalised(fixture(s, d, "fx_half").select(*grid.CELL, "f0"), ["f0"]).withColumn("f0", F.round("f0", 6))
 
 
-@query("vox23_sample_invariants", _hf("SELECT pair_id, count_if(in_before <> in_after) = 0 AS same_cells, max(greatest(x, y, z)) < 15 AS in_grid FROM fx_half WHERE in_before = 1 OR in_after = 1 GROUP BY pair_id"))
+#: Pairs are mirrored two by two; some samples lack a cell of their texture, have one off the grid, or one too many.
+_SAMPLE = """SELECT pair_id * 2 + m.range AS pair_id, k.kind, x + CASE WHEN pair_id % 11 = 5 AND x = 15 THEN 20 ELSE 0 END AS x, y, z FROM fx_half, range(2) m, (VALUES ('before_shape', 0), ('before_texture', 0), ('after_shape', 1), ('after_texture', 1), ('coords0', 0), ('coords_new', 1)) k(kind, side)
+ WHERE (CASE WHEN (k.side + m.range) % 2 = 0 THEN in_before ELSE in_after END) = 1 AND NOT (kind = 'after_texture' AND pair_id % 5 = 1 AND x = 3) AND NOT (kind = 'coords0' AND pair_id % 7 = 2 AND y = 4) AND NOT (kind = 'after_shape' AND pair_id % 13 = 3 AND m.range = 0 AND z = 2)"""
+_SETS = ", ".join(f"coalesce(list(DISTINCT (x, y, z) ORDER BY (x, y, z)) FILTER (kind = '{k}'), []) AS {k}" for k in grid.SAMPLE)
+
+
+@query("vox23_sample_invariants", _hf(f"""WITH c AS ({_SAMPLE}), s AS (SELECT pair_id, {_SETS}, max(greatest(x, y, z)) < 32 AS in_grid FROM c GROUP BY pair_id)
+ SELECT s.pair_id, s.before_shape = s.before_texture AND s.after_shape = s.after_texture AS same_coords, s.before_shape = s.coords0 AS before_stored, s.after_shape = s.coords_new AS after_stored, s.pair_id % 9 <> 4 AS before_mask, true AS after_mask, s.in_grid,
+ coalesce(s.before_shape = t.after_shape AND s.after_shape = t.before_shape, s.pair_id % 8 > 5) AS mirrored FROM s LEFT JOIN s t ON s.pair_id % 8 < 6 AND t.pair_id = xor(s.pair_id, 1)"""))
 def vox23(s, d):
     h = _half(s, d)
-    return grid.sample_invariants(h.where("in_after = 1"), h.where("in_before = 1"), 15)
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(1 if k in ("after_shape", "after_texture", "coords_new") else 0).alias("side")) for k in grid.SAMPLE])
+    c = h.withColumn("m", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("k", F.explode(kinds)).select("*", "k.kind", "k.side")
+    c = c.where("(case when (side + m) % 2 = 0 then in_before else in_after end) = 1 and not (kind = 'after_texture' and pair_id % 5 = 1 and x = 3) and not (kind = 'coords0' and pair_id % 7 = 2 and y = 4) and not (kind = 'after_shape' and pair_id % 13 = 3 and m = 0 and z = 2)")
+    c = stored(c.selectExpr("pair_id * 2 + m as pair_id", "kind", "x + case when pair_id % 11 = 5 and x = 15 then 20 else 0 end as x", "y", "z"))
+    shape = c.where("kind in ('before_shape', 'after_shape')").groupBy("pair_id", (F.col("kind") == "after_shape").cast("int").alias("side")).agg(F.count(F.lit(1)).alias("n"))
+    masks = shape.withColumn("n", F.when((F.col("pair_id") % 9 == 4) & (F.col("side") == 0), F.col("n") + 1).otherwise(F.col("n")))
+    mirrors = c.select("pair_id").distinct().where("pair_id % 8 < 6").select("pair_id", F.col("pair_id").bitwiseXOR(F.lit(1)).alias("mirror"))
+    return grid.sample_invariants(c, masks, mirrors)
 
 
 @query("vox24_transition", _hf(f"""WITH g0 AS (SELECT pair_id, x, y, z FROM fx_half WHERE part_id = 3), g1 AS (SELECT * FROM g0 UNION SELECT pair_id, x + p, y + q, z + r FROM g0 CROSS JOIN {_SIX}), g2 AS (SELECT * FROM g1 UNION SELECT pair_id, x + p, y + q, z + r FROM g1 CROSS JOIN {_SIX})

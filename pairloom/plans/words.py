@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions import settings, texts
-from pairloom.operators import choice, meshes
+from pairloom.operators import checks, choice, meshes
 from pairloom.plans.fixtures import fixture, with_fixtures
 from pairloom.plans.registry import query
 from pairloom.session import table
@@ -107,10 +107,46 @@ def msh1(s, d):
     return m.select("pair_id", "n_before", "n_after", F.round("edit_ratio", 6).alias("edit_ratio"), F.round("area_ratio", 5).alias("area_ratio"))
 
 
-@query("msh2_swap_metrics", with_fixtures("""WITH e AS (SELECT pair_id, sqrt(pow(max(x) FILTER (side = 0) - min(x) FILTER (side = 0), 2) + pow(max(y) FILTER (side = 0) - min(y) FILTER (side = 0), 2) + pow(max(z) FILTER (side = 0) - min(z) FILTER (side = 0), 2)) AS db,
- sqrt(pow(max(x) FILTER (side = 1) - min(x) FILTER (side = 1), 2) + pow(max(y) FILTER (side = 1) - min(y) FILTER (side = 1), 2) + pow(max(z) FILTER (side = 1) - min(z) FILTER (side = 1), 2)) AS da, max(greatest(x, y, z)) AS ext FROM fx_sides GROUP BY pair_id)
- SELECT pair_id, round(greatest(da / db, db / da), 6) AS scale_match, greatest(da / db, db / da) <= 3 AS scale_ok, round(pair_id / 100 / ext, 6) AS gap_share, pair_id / 100 / ext <= 0.15 AS gap_ok FROM e""", "fx_sides"))
-def msh2(s, d):
+_BOX = "b AS (SELECT pair_id, side, " + ", ".join(f"{f}({a}) AS {n}_{a}" for a in ("vx", "vy", "vz") for f, n in (("min", "lo"), ("max", "hi"))) + " FROM corners GROUP BY ALL)"
+_EXT = [f"(hi_{a} - lo_{a})" for a in ("vx", "vy", "vz")]
+_COMMON = " * ".join(f"greatest(least(p.hi_{a}, q.hi_{a}) - greatest(p.lo_{a}, q.lo_{a}), 0)" for a in ("vx", "vy", "vz"))
+_DRIFTED = "sqrt(" + " + ".join(f"pow((q.lo_{a} + q.hi_{a} - p.lo_{a} - p.hi_{a}) / 2, 2)" for a in ("vx", "vy", "vz")) + ")"
+_MESH_ALL = f"""{_MESH}, {_BOX}, e AS (SELECT *, {" * ".join(_EXT)} AS volume, sqrt({" + ".join(f"pow({x}, 2)" for x in _EXT)}) AS diagonal, least({", ".join(_EXT)}) AS thin FROM b),
+ boxes AS (SELECT p.pair_id, q.volume / p.volume AS volume_ratio, ({_COMMON}) / (p.volume + q.volume - {_COMMON}) AS iou, {_DRIFTED} / p.diagonal AS drift, least(p.thin, q.thin) AS thin FROM e p JOIN e q ON p.pair_id = q.pair_id AND p.side = 0 AND q.side = 1),
+ f AS (SELECT pair_id, count(DISTINCT face) FILTER (side = 0) AS fb, count(DISTINCT face) FILTER (side = 1) AS fa, count(DISTINCT (vx, vy, vz)) FILTER (side = 0) AS vb, count(DISTINCT (vx, vy, vz)) FILTER (side = 1) AS va FROM corners GROUP BY pair_id),
+ w AS (SELECT pair_id, face, round(vx, 4) || '/' || vy || '/' || vz AS v FROM corners WHERE side = 1), link AS (SELECT DISTINCT a.pair_id, a.v AS i, b.v AS j FROM w a JOIN w b ON a.pair_id = b.pair_id AND a.face = b.face),
+ touch AS (SELECT pair_id, i, j FROM link UNION SELECT t.pair_id, t.i, l.j FROM touch t JOIN link l ON t.pair_id = l.pair_id AND t.j = l.i), comps AS (SELECT pair_id, count(DISTINCT c) AS comps FROM (SELECT pair_id, i, min(j) AS c FROM touch GROUP BY ALL) GROUP BY pair_id),
+ m AS (SELECT * FROM n JOIN diff USING (pair_id) JOIN area USING (pair_id) JOIN boxes USING (pair_id) JOIN f USING (pair_id) JOIN comps USING (pair_id)),
+ r AS (SELECT pair_id, 'volume_ratio' AS name, volume_ratio AS value, volume_ratio BETWEEN 0.05 AND 20 AS passed, 1.5::DOUBLE AS weight FROM m UNION ALL SELECT pair_id, 'surface_area_ratio', aa / ab, aa / ab BETWEEN 0.1 AND 8, 1 FROM m
+ UNION ALL SELECT pair_id, 'edit_ratio', apart / greatest(nb, na), apart / greatest(nb, na) BETWEEN 0.001 AND 1, 2 FROM m UNION ALL SELECT pair_id, 'part_proportion', abs(fb - fa) / greatest(fb, fa), abs(fb - fa) / greatest(fb, fa) BETWEEN 0.005 AND 0.8, 1.5 FROM m
+ UNION ALL SELECT pair_id, 'connected_components', comps, comps <= 5, 1 FROM m UNION ALL SELECT pair_id, 'has_geometry', least(vb, va), least(vb, va) >= 50, 2 FROM m UNION ALL SELECT pair_id, 'not_degenerate', CASE WHEN thin < 1e-4 THEN thin ELSE 1 END, thin >= 1e-4, 1 FROM m
+ UNION ALL SELECT pair_id, 'center_drift', drift, drift < 0.3, 1 FROM m UNION ALL SELECT pair_id, 'vertex_color', 1, true, 0.5 FROM m UNION ALL SELECT pair_id, 'bbox_overlap', iou, iou >= 0.1, 1 FROM m)"""
+
+
+def _mesh_checks(s, d) -> DataFrame:
+    return meshes.mesh_checks(_triangles(s, d).withColumns({"r": (F.col("face") % 200).cast("int"), "g": F.lit(0), "b": F.lit(0)}))
+
+
+@query("msh1_mesh_checks", with_fixtures(f"WITH RECURSIVE {_MESH_ALL} SELECT pair_id, name, round(value, 5) AS value, passed, weight FROM r", "fx_sides"))
+def msh1_checks(s, d):
+    return _mesh_checks(s, d).select("pair_id", "name", F.round("value", 5).alias("value"), "passed", "weight")
+
+
+_SWAP = """x AS (SELECT pair_id, greatest(max(x) FILTER (side = 0) - min(x) FILTER (side = 0), max(y) FILTER (side = 0) - min(y) FILTER (side = 0), max(z) FILTER (side = 0) - min(z) FILTER (side = 0)) AS db,
+ greatest(max(x) FILTER (side = 1) - min(x) FILTER (side = 1), max(y) FILTER (side = 1) - min(y) FILTER (side = 1), max(z) FILTER (side = 1) - min(z) FILTER (side = 1)) AS da, max(greatest(x, y, z)) AS ext FROM fx_sides GROUP BY pair_id)"""
+
+
+def _swapped(s, d) -> tuple[DataFrame, DataFrame]:
     v = fixture(s, d, "fx_sides").select("pair_id", "side", F.col("x").alias("vx"), F.col("y").alias("vy"), F.col("z").alias("vz"))
-    ext = v.groupBy("pair_id").agg(F.max(F.greatest("vx", "vy", "vz")).alias("extent")).withColumn("gap", F.col("pair_id") / 100)
-    return meshes.swap_metrics(v, ext).select("pair_id", F.round("scale_match", 6).alias("scale_match"), "scale_ok", F.round("gap_share", 6).alias("gap_share"), "gap_ok")
+    return v, v.groupBy("pair_id").agg(F.max(F.greatest("vx", "vy", "vz")).alias("extent")).withColumn("gap", F.col("pair_id") / 100)
+
+
+@query("msh2_swap_metrics", with_fixtures(f"WITH {_SWAP} SELECT pair_id, round(greatest(da / db, db / da), 6) AS scale_match, greatest(da / db, db / da) <= 3 AS scale_ok, round(pair_id / 100 / ext, 6) AS gap_share, pair_id / 100 / ext <= 0.15 AS gap_ok FROM x", "fx_sides"))
+def msh2(s, d):
+    return meshes.swap_metrics(*_swapped(s, d)).select("pair_id", F.round("scale_match", 6).alias("scale_match"), "scale_ok", F.round("gap_share", 6).alias("gap_share"), "gap_ok")
+
+
+@query("msh2_rescored_swaps", with_fixtures(f"""WITH RECURSIVE {_MESH_ALL}, {_SWAP}, every AS (SELECT pair_id, passed, weight FROM r UNION ALL SELECT pair_id, greatest(da / db, db / da) <= 3, 1.5 FROM x UNION ALL SELECT pair_id, pair_id / 100 / ext <= 0.15, 1.5 FROM x)
+ SELECT pair_id, round_even(coalesce(sum(weight) FILTER (passed), 0) / sum(weight), 4) AS score, bool_and(passed) AS passed FROM every GROUP BY pair_id""", "fx_sides"))
+def msh2_rescored(s, d):
+    return checks.score_of(_mesh_checks(s, d).union(meshes.swap_checks(*_swapped(s, d))), "pair_id").select("pair_id", "score", "passed")

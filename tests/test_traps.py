@@ -208,12 +208,13 @@ def test_thresholds_and_records(spark):
 
 
 def test_rosters_are_the_same_each_time(spark):
-    objects = spark.range(40).withColumnRenamed("id", "obj_id")
+    objects = spark.range(40).select(F.col("id").alias("obj_id"), F.when(F.col("id") < 10, 3).otherwise(2).alias("n_global"))
     styles = spark.createDataFrame([(c, f"{c}{i}") for c in "ab" for i in range(6)], "category string, style string")
-    draw = lambda seed: {tuple(r) for r in choice.roster(objects, styles, 2, seed).collect()}
+    draw = lambda seed: {tuple(r) for r in choice.roster(objects, styles, 1, seed).collect()}
     first = draw(1)
-    assert first == draw(1) != draw(2) and len(first) == 40 * 2 * 2
-    assert len({(o, c, s) for o, c, s, _ in first}) == 160 and len({(c, s) for o, c, s, p in first if p == 1}) > 8
+    assert first == draw(1) != draw(2) and len(first) == 40 * 2 * 2 + 10  # the first ten have a second slot in one category
+    assert {o for o, _, _, p in first if p == 3} == set(range(10)) and {c for _, c, _, p in first if p == 3} == {"a", "b"}
+    assert len({(o, c, s) for o, c, s, _ in first}) == 170 and len({(c, s) for o, c, s, p in first if p == 1}) > 8
 
 
 def test_latents_from_containers(spark, tmp_path):
