@@ -143,6 +143,41 @@ def container_report(contents: DataFrame) -> DataFrame:
     return r.withColumn("verdict", F.when(F.size("errors") > 0, "FAIL").when(F.size("warnings") > 0, "WARN").otherwise("PASS"))
 
 
+# Members that a mesh container must have (one of the first two; parts by their pattern; a shape for numbers)
+# and the keys of its JSON; the same for one of images.
+WHOLE, PARTS, KEYS = ("full.glb", "full.ply"), r"^part_\d+\.glb$", {"anno_info.json": ("bboxes", "ordered_faceid", "ordered_face_label"), "split_mesh.json": ("part_id_to_name", "valid_clusters")}
+SHAPES, PICTURES = {"vd_scale": [1], "vd_offset": [3]}, r"^\d{3}\.(png|webp)$"
+
+
+def content_report(contents: DataFrame, images: bool = False) -> DataFrame:
+    """contents (see containers.contents) of mesh containers, or of those of images -> path, errors, warnings, verdict. A
+    member that is missing, empty, of the wrong shape or not the JSON it should be is an error; parts and views that are
+    empty, and captions or transforms that are missing, are warnings."""
+    c = F.col
+    has = lambda k: F.count_if(c("key") == k) > 0
+    of = lambda k, what: F.max(F.when(c("key") == k, what))
+    like = lambda pattern: c("key").rlike(pattern)
+    said = lambda ok, text: F.when(ok, F.lit(text))
+
+    def keyed(member: str) -> list[Column]:
+        bad = F.max(F.when((c("key") == member) & c("error").isNotNull(), F.concat(F.lit(f"{member}: "), "error")))
+        return [said(~has(member), f"missing {member}"), bad, *[said(of(member, c("json_keys").isNotNull() & ~F.array_contains("json_keys", k)), f"{member} lacks {k}") for k in KEYS[member]]]
+
+    unreadable = F.max(F.when(c("key").isNull(), c("error")))
+    if images:
+        errors = [*keyed("split_mesh.json"), said(of("split_mesh.json", F.array_contains("json_empty", "valid_clusters")), "no valid_clusters"), said(F.count_if(like(PICTURES)) == 0, "no views")]
+        warnings = [said(~has("transforms.json"), "missing transforms.json"), said(F.count_if(like(PICTURES) & (c("nbytes") == 0)) > 0, "empty views")]
+    else:
+        first = F.when(has(WHOLE[0]), of(WHOLE[0], c("nbytes"))).otherwise(of(WHOLE[1], c("nbytes")))
+        shaped = [x for k, shape in SHAPES.items() for x in (said(~has(k), f"missing {k}"), said(of(k, ~c("shape").eqNullSafe(F.lit(shape))), f"{k} isn't of shape {shape}"))]
+        captions = "part_captions.json"
+        errors = [said(~has(WHOLE[0]) & ~has(WHOLE[1]), "missing full mesh"), said(first == 0, "empty full mesh"), said(F.count_if(like(PARTS)) == 0, "no parts"), *keyed("anno_info.json"), F.max(F.when((c("key") == captions) & c("error").isNotNull(), F.concat(F.lit(f"{captions}: "), "error"))), *shaped, said(of("vd_scale", c("shape").eqNullSafe(F.lit([1])) & (c("number") <= 0)), "vd_scale isn't positive")]
+        warnings = [said(F.count_if(like(PARTS) & (c("nbytes") == 0)) > 0, "empty parts"), said(~has(captions), f"missing {captions}"), said(of(captions, F.size("json_keys") == 0), f"empty {captions}")]
+    listed = lambda those: F.array_compact(F.array(*those)).cast("array<string>")
+    r = contents.groupBy("path").agg(F.when(unreadable.isNotNull(), F.array(unreadable)).otherwise(listed(errors)).alias("errors"), F.when(unreadable.isNotNull(), F.array().cast("array<string>")).otherwise(listed(warnings)).alias("warnings"))
+    return r.withColumn("verdict", F.when(F.size("errors") > 0, "FAIL").when(F.size("warnings") > 0, "WARN").otherwise("PASS"))
+
+
 def batch_totals(reports: DataFrame) -> DataFrame:
     """Objects by verdict."""
     return reports.groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))

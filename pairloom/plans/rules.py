@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import json
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +14,8 @@ from pairloom.operators import edits, rules
 from pairloom.plans.core import _IDS, _QUOTA
 from pairloom.plans.fixtures import fixture, with_fixtures
 from pairloom.plans.registry import query
-from pairloom.session import table
+from pairloom.session import stored, table
+from pairloom.sources import containers
 
 
 def _plans(s, d) -> DataFrame:
@@ -164,3 +170,68 @@ _SCENES = """CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '{"offset": [1, 2,
 def flt19(s, d):
     scenes = table(s, d, "orders").selectExpr("o_orderkey", _SCENES)
     return scenes.select("o_orderkey", rules.scene_error(F.col("transforms")).alias("error")).distinct()
+
+
+def _packed(rows: DataFrame, pack) -> DataFrame:
+    """path, content: containers that a function makes of each row."""
+
+    def run(frames):
+        for f in frames:
+            made = [pack(r) for r in f.itertuples(index=False)]
+            yield pd.DataFrame({"path": [m[0] for m in made], "content": [m[1] for m in made]})
+
+    return stored(rows.mapInPandas(run, "path string, content binary"))
+
+
+def _npz(members: dict) -> bytes:
+    out = io.BytesIO()
+    np.savez(out, **{k: np.frombuffer(v, np.uint8) if isinstance(v, bytes) else np.asarray(v) for k, v in members.items()})
+    return out.getvalue()
+
+
+def _mesh_container(row) -> tuple[str, bytes]:
+    """By the number of a customer something is missing, empty or wrong."""
+    k = int(row.c_custkey)
+    members = {"vd_offset": [0.5, 1, 2][: 2 if k % 8 == 1 else 3], "vd_scale": [1.0, 2.0] if k % 6 == 0 else [-1.0] if k % 6 == 1 else [2.5]}
+    members |= {} if k % 7 == 0 else {"full.ply": b"" if k % 7 == 1 else b"mesh"}
+    members |= {} if k % 5 == 0 else {"part_0.glb": b"" if k % 5 == 1 else b"part", "part_12.glb": b"part"}
+    anno = {"bboxes": [1], "ordered_faceid": [1], "ordered_face_label": [1]}
+    members |= {} if k % 4 == 0 else {"anno_info.json": b"{" if k % 4 == 2 else json.dumps({x: v for x, v in anno.items() if k % 4 != 1 or x != "bboxes"}).encode()}
+    members |= {} if k % 3 == 0 else {"part_captions.json": b"{}" if k % 3 == 1 else b'{"0": "lid"}'}
+    if k % 8 == 0:
+        del members["vd_offset"]
+    return f"/objects/{k}.npz", b"no container" if k % 50 == 0 else _npz(members)
+
+
+@query("flt17_content_report", """SELECT '/objects/' || c_custkey || '.npz' AS path, CASE WHEN c_custkey % 50 = 0 THEN 'unreadable' ELSE concat_ws(',', CASE c_custkey % 7 WHEN 0 THEN 'missing full mesh' WHEN 1 THEN 'empty full mesh' END, CASE WHEN c_custkey % 5 = 0 THEN 'no parts' END,
+ CASE c_custkey % 4 WHEN 0 THEN 'missing anno_info.json' WHEN 1 THEN 'anno_info.json lacks bboxes' WHEN 2 THEN 'anno_info.json: not JSON' END, CASE WHEN c_custkey % 6 = 0 THEN 'vd_scale isn''t of shape [1]' END,
+ CASE c_custkey % 8 WHEN 0 THEN 'missing vd_offset' WHEN 1 THEN 'vd_offset isn''t of shape [3]' END, CASE WHEN c_custkey % 6 = 1 THEN 'vd_scale isn''t positive' END) END AS errors,
+ CASE WHEN c_custkey % 50 = 0 THEN '' ELSE concat_ws(',', CASE WHEN c_custkey % 5 = 1 THEN 'empty parts' END, CASE c_custkey % 3 WHEN 0 THEN 'missing part_captions.json' WHEN 1 THEN 'empty part_captions.json' END) END AS warnings FROM customer""")
+def flt17_contents(s, d):
+    made = containers.contents(_packed(table(s, d, "customer").select("c_custkey"), _mesh_container))
+    return rules.content_report(made).select("path", F.array_join("errors", ",").alias("errors"), F.array_join("warnings", ",").alias("warnings"))
+
+
+def _latent_files(s, d) -> DataFrame:
+    """A container for each pair, with coordinates of three or four columns; every fifth lacks its features."""
+
+    def pack(r):
+        coords = np.stack([np.asarray(r.x), np.asarray(r.y), np.asarray(r.z)], axis=1).astype(np.int32)
+        coords = coords if r.pair_id % 2 else np.insert(coords, 0, 0, axis=1)
+        feats = {} if r.pair_id % 5 == 0 else {"slat_feats": np.asarray(r.f0, np.float32)[:, None] * [1, 2]}
+        return f"/out/mod_o{r.pair_id}_003/after.npz", _npz({"slat_coords": coords, **feats, "ss": np.full((1, 2, 2), r.pair_id)})
+
+    lists = [F.collect_list(c).alias(c) for c in ("x", "y", "z", "f0")]  # cells of a small grid
+    return _packed(fixture(s, d, "fx_half").groupBy("pair_id").agg(*lists), pack)
+
+
+@query("src6_latent_cells", with_fixtures("SELECT 'o' || pair_id AS obj_id, 'mod_o' || pair_id || '_003' AS edit_id, 'after' AS role, x, y, z, f0 * 2 AS f1 FROM fx_half WHERE pair_id % 5 <> 0 UNION ALL SELECT DISTINCT 'o' || pair_id, 'mod_o' || pair_id || '_003', 'error', NULL, NULL, NULL, NULL FROM fx_half WHERE pair_id % 5 = 0", "fx_half"))
+def src6(s, d):
+    c = containers.latent_cells(_latent_files(s, d))
+    return c.select("obj_id", "edit_id", F.when(F.col("error").isNotNull(), "error").otherwise(F.col("role")).alias("role"), "x", "y", "z", F.col("feats")[1].cast("double").alias("f1"))
+
+
+@query("src6_dense_latents", with_fixtures("SELECT DISTINCT 'o' || pair_id AS obj_id, CASE WHEN pair_id % 5 <> 0 THEN '1,2,2' END AS shape, CASE WHEN pair_id % 5 <> 0 THEN pair_id * 4.0::DOUBLE END AS total FROM fx_half", "fx_half"))
+def src6_dense(s, d):
+    total = F.aggregate("ss", F.lit(0.0), lambda acc, v: acc + v.cast("double"))
+    return containers.dense_latents(_latent_files(s, d)).select("obj_id", F.array_join("shape", ",").alias("shape"), total.alias("total"))

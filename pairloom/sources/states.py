@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import io
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +12,6 @@ STATE = """obj_id string, shard string, schema_version int, updated string, step
 _EDIT = "struct<edit_type: string, selected_part_ids: array<int>, prompt: string, target_part_desc: string, after_desc: string, view_index: int>"
 _PART = "struct<part_id: int, name: string>"
 PLAN = f"obj_id string, parsed struct<object: struct<full_desc: string, parts: array<{_PART}>, edits: array<{_EDIT}>>, edits: array<{_EDIT}>>"
-CELLS = "path string, error string, b int, x int, y int, z int, feats array<float>"
 
 
 def _there(spark: SparkSession, path: str) -> bool:
@@ -26,12 +21,21 @@ def _there(spark: SparkSession, path: str) -> bool:
 
 
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Files of one JSON object each. What isn't there has no rows, what isn't JSON none either."""
+    """Files of one JSON object each. What isn't there has no rows, what isn't JSON none either: see bad_files."""
     if not _there(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("mode", "PERMISSIVE").option("multiLine", True).json(path).where("obj_id is not null")
 
 
+def bad_files(spark: SparkSession, path: str) -> DataFrame:
+    """path of each file that read_json leaves out: it holds no JSON object, or one without obj_id."""
+    if not _there(spark, path):
+        return spark.createDataFrame([], "path string")
+    whole = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    kept = F.get_json_object("value", "$.obj_id").isNotNull() & F.try_parse_json("value").isNotNull()
+    return whole.where(~F.coalesce(kept, F.lit(False))).select("path")
+
+
 def edit_states(states: DataFrame) -> DataFrame:
     """shard, obj_id, edit_id, edit_type, stage, status, ts, reason: a row for each stage of each edit."""
     e = states.select("shard", "obj_id", F.explode("edits").alias("edit_id", "e"))
@@ -61,26 +65,3 @@ def planned_edits(plans: DataFrame) -> DataFrame:
 def planned_parts(plans: DataFrame) -> DataFrame:
     """obj_id, part_id, name for each part of each plan."""
     return plans.select("obj_id", F.explode("parsed.object.parts").alias("p")).select("obj_id", "p.*")
-
-
-def latent_cells(spark: SparkSession, path: str) -> DataFrame:
-    """Containers of sparse latents (NPZ with slat_coords of three or four columns and slat_feats) -> path, error, b, x, y,
-    z, feats: a row for each cell, in batches; a container that lacks them, or doesn't fit, has one row with the error."""
-
-    def decode(frames):
-        for frame in frames:
-            for p, content in zip(frame["path"], frame["content"], strict=True):
-                try:
-                    with np.load(io.BytesIO(content)) as z:
-                        coords, feats = z["slat_coords"], z["slat_feats"]
-                    if len(coords) != len(feats) or coords.ndim != 2 or coords.shape[1] not in (3, 4):
-                        raise ValueError(f"coords {coords.shape} don't fit feats {feats.shape}")
-                except (KeyError, ValueError, OSError) as e:
-                    yield pd.DataFrame({"path": [p], "error": [str(e)], **{c: pd.array([None], "Int32") for c in "bxyz"}, "feats": [None]})
-                    continue
-                coords = coords if coords.shape[1] == 4 else np.insert(coords, 0, 0, axis=1)
-                for i in range(0, len(coords), 10_000):
-                    part = coords[i : i + 10_000].astype(np.int32)
-                    yield pd.DataFrame({"path": p, "error": None, **dict(zip("bxyz", part.T, strict=True)), "feats": list(feats[i : i + 10_000].astype(np.float32))})
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(decode, CELLS)

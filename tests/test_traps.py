@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions import replies, settings, texts
 from pairloom.operators import checks, choice, distance, edits, graph, grid, judging, neighbours, release, rules, state, status
-from pairloom.sources import states
+from pairloom.sources import containers, snapshots, states
 from pairloom.streaming import progress
 
 EVENTS = "obj_id string, edit_id string, stage string, status string, best_view int, score double, ts timestamp, seq long"
@@ -229,7 +229,7 @@ def test_latents_from_containers(spark, tmp_path):
     save("c.npz", slat_coords=coords)
     save("d.npz", slat_coords=coords, slat_feats=np.ones((3, 2), np.float32))
     (tmp_path / "e.npz").write_bytes(b"no container")
-    found = states.latent_cells(spark, str(tmp_path / "*.npz")).withColumn("name", F.regexp_extract("path", r"([a-z])\.npz", 1)).collect()
+    found = containers.latent_cells(containers.files(spark, str(tmp_path / "*.npz"))).withColumn("name", F.regexp_extract("path", r"([a-z])\.npz", 1)).collect()
     cells = {(r.name, r.b, r.x, r.y, r.z, tuple(r.feats)) for r in found if r.error is None}
     assert cells == {(n, b, *map(int, c), (1.0, 1.0)) for n, b in (("a", 0), ("b", 7)) for c in coords}
     assert {r.name for r in found if r.error is not None} == {"c", "d", "e"}
@@ -257,8 +257,7 @@ def test_late_events_on_a_stream(spark, tmp_path):
     rows = lambda df: sorted(map(tuple, df.select("edit_id", "stage", "status", "best_view", "score", "ts").collect()))
     want = rows(state.latest(e))
     assert want[0][2:5] == ("tie", 3, 0.5) and rows(progress.read_state(spark, str(tmp_path / "s"))) == want
-    progress.compact_state(spark, str(tmp_path / "s"), str(tmp_path / "t"))
-    assert rows(progress.read_state(spark, str(tmp_path / "t"))) == want
+    assert snapshots.vacuum(spark, str(tmp_path / "s"), 1) > 0 and rows(progress.read_state(spark, str(tmp_path / "s"))) == want
 
 
 def test_streams_of_plans_scores_and_manifests(spark, tmp_path):
@@ -269,12 +268,15 @@ def test_streams_of_plans_scores_and_manifests(spark, tmp_path):
     at = lambda n: str(tmp_path / n)
     progress.gated_plans(read("plans", plans), parts, at("gated"), at("c1")).awaitTermination(120)
     assert {r.edit_idx: r.codes for r in spark.read.parquet(at("gated")).collect()} == {0: [], 1: ["parts_invalid", "verb_conflict"]}
-    scores = lambda *rows: spark.createDataFrame(list(rows), "edit_id string, score double")
-    scores(("a", 1.0), ("b", 0.5)).coalesce(1).write.parquet(at("in"))
-    progress.scored_once(read("in", scores(("a", 1.0))), at("out"), at("c2")).awaitTermination(120)
-    scores(("b", 0.9), ("c", 0.1)).coalesce(1).write.mode("append").parquet(at("in"))
-    progress.scored_once(read("in", scores(("a", 1.0))), at("out"), at("c2")).awaitTermination(120)
-    assert sorted(map(tuple, spark.read.parquet(at("out")).collect())) == [("a", 1.0), ("b", 0.5), ("c", 0.1)]
+    scores = lambda *rows: spark.createDataFrame([("o", i, int(i[-1]), "high", s) for i, s in rows], "obj_id string, edit_id string, seq int, tier string, score double").withColumn("ts", F.timestamp_seconds(F.lit(0)))
+    edits_ = spark.createDataFrame([("o", "mod_0", "modification", None), ("o", "mod_1", "modification", None), ("o", "del_2", "deletion", None), ("o", "add_3", "addition", 2), ("o", "idt_4", "identity", None)], "obj_id string, edit_id string, edit_type string, source_del_seq int")
+    for rows, checkpoint in (((("mod_0", 1.0), ("mod_1", 0.5)), "c2"), ((("mod_1", 0.9), ("del_2", 0.1)), "c2"), ((), "c2b")):  # the last time all of it again
+        if rows:
+            scores(*rows).coalesce(1).write.mode("append").parquet(at("in"))
+        progress.score_stream(read("in", scores(("mod_0", 1.0))), edits_, at("out"), at(checkpoint)).awaitTermination(120)
+    found = snapshots.read(spark, at("out/scores")).select("edit_id", "score", "tier").collect()
+    assert sorted(map(tuple, found)) == [("add_3", 0.1, "high"), ("del_2", 0.1, "high"), ("mod_0", 1.0, "high"), ("mod_1", 0.5, "high")]
+    assert [(r.num_edits, r.num_passed) for r in snapshots.read(spark, at("out/objects")).collect()] == [(5, 5)]
     m = spark.createDataFrame([("deletion", "00", "x"), ("scale", "01", "y")], "edit_type string, shard string, obj_id string")
     m.write.parquet(at("m"))
     for _ in range(2):
