@@ -95,6 +95,25 @@ def progress(objects: DataFrame, entries: DataFrame, steps: list[str], first: st
     return rows.crossJoin(F.broadcast(kept)).withColumn("not_yet", F.greatest(F.lit(0), F.col("kept") - F.col("edit_ok") - F.col("edit_fail") - F.col("edit_skip"))).drop("kept")
 
 
+def progress_totals(objects: DataFrame, entries: DataFrame, first: str, last: str) -> DataFrame:
+    """One row over all objects: n_total, n_skipped (their first step is skipped, so progress() leaves them out), kept (edits
+    that the first step gave), passed, failed, skipped (edits by the last step)."""
+    o = objects.select("obj_id").distinct()
+    at = lambda step, c: F.coalesce(F.sum(F.when(F.col("step") == step, F.col(c))), F.lit(0))
+    e = entries.join(o, "obj_id", "left_semi")
+    n = e.agg(F.countDistinct(F.when((F.col("step") == first) & (F.col("status") == "skip"), F.col("obj_id"))).alias("n_skipped"), at(first, "n_ok").alias("kept"), at(last, "n_ok").alias("passed"), at(last, "n_fail").alias("failed"), at(last, "n_skip").alias("skipped"))
+    return o.agg(F.count(F.lit(1)).alias("n_total")).crossJoin(F.broadcast(n))  # a row each
+
+
+def compared_runs(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two runs' verdicts (obj_id, edit_id, passed: null where a run didn't judge) -> obj_id, n, a_pass, b_pass,
+    pass_to_fail, fail_to_pass over the edits that either judged; what one of them didn't judge didn't pass there."""
+    side = lambda run, n: run.groupBy("obj_id", "edit_id").agg(F.max("passed").alias(n))
+    j = side(a, "a").join(side(b, "b"), ["obj_id", "edit_id"], "full_outer").where("a is not null or b is not null")
+    j = j.select("obj_id", F.coalesce("a", F.lit(False)).alias("a"), F.coalesce("b", F.lit(False)).alias("b"))
+    return j.groupBy("obj_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("a").alias("a_pass"), F.count_if("b").alias("b_pass"), F.count_if(F.col("a") & ~F.col("b")).alias("pass_to_fail"), F.count_if(F.col("b") & ~F.col("a")).alias("fail_to_pass"))
+
+
 def pending_objects(objects: DataFrame, entries: DataFrame, steps: list[str], asked: list[str] | None, gate: str, lacking: DataFrame) -> DataFrame:
     """Objects with work left: a step that is neither ok nor skipped, a gate that an earlier run didn't do for all the types
     asked for, or edits without their output (lacking: obj_id)."""

@@ -234,6 +234,22 @@ def agg3(s, d):
     return status.progress(table(s, d, "customer").select(F.col("c_custkey").alias("obj_id")), stored(_entries(s, d)), _STEPS, "s1")
 
 
+@query("agg3_totals", f"""WITH {_ENTRIES} SELECT (SELECT count(*) FROM customer) AS n_total, (SELECT count(*) FROM customer WHERE c_custkey IN (SELECT obj_id FROM entries WHERE step = 's1' AND status = 'skip')) AS n_skipped, sum(n_ok) FILTER (step = 's1')::BIGINT AS kept,
+ sum(n_ok) FILTER (step = 'sq3')::BIGINT AS passed, sum(n_fail) FILTER (step = 'sq3')::BIGINT AS failed, sum(n_skip) FILTER (step = 'sq3')::BIGINT AS skipped FROM entries WHERE obj_id IN (SELECT c_custkey FROM customer)""")
+def agg3_totals(s, d):
+    return status.progress_totals(table(s, d, "customer").select(F.col("c_custkey").alias("obj_id")), _entries(s, d), "s1", "sq3")
+
+
+@query("joi17_two_runs", _ev("""WITH v AS (SELECT obj_id, edit_id, seq % 2 AS run, bool_or(CASE WHEN seq % 5 <> 0 THEN status = 'pass' END) AS passed FROM fx_stage_events WHERE stage = 'gate_e' AND seq % 3 <> 0 GROUP BY ALL),
+ j AS (SELECT obj_id, edit_id, a.passed AS a, b.passed AS b FROM (SELECT * FROM v WHERE run = 0) a FULL JOIN (SELECT * FROM v WHERE run = 1) b USING (obj_id, edit_id))
+ SELECT obj_id, count(*) AS n, count_if(coalesce(a, false)) AS a_pass, count_if(coalesce(b, false)) AS b_pass, count_if(coalesce(a, false) AND NOT coalesce(b, false)) AS pass_to_fail, count_if(coalesce(b, false) AND NOT coalesce(a, false)) AS fail_to_pass
+ FROM j WHERE a IS NOT NULL OR b IS NOT NULL GROUP BY obj_id"""))
+def joi17_runs(s, d):
+    """The events of even and of odd number stand for two runs; some edits are in one only, some records have no verdict."""
+    e = fixture(s, d, "fx_stage_events").where("stage = 'gate_e' and seq % 3 <> 0").select("obj_id", "edit_id", "seq", F.when(F.col("seq") % 5 != 0, F.col("status") == "pass").alias("passed"))
+    return status.compared_runs(e.where("seq % 2 = 0"), e.where("seq % 2 = 1"))
+
+
 @query("agg11_pending_objects", f"""WITH {_ENTRIES}, every AS (SELECT c_custkey AS obj_id, s.step, status, partial FROM customer CROSS JOIN (SELECT unnest(['s1', 'sq3']) AS step) s LEFT JOIN entries e ON e.obj_id = c_custkey AND e.step = s.step)
  SELECT DISTINCT obj_id FROM (SELECT obj_id FROM every WHERE status IS NULL OR status NOT IN ('ok', 'skip') OR (step = 'sq3' AND partial) UNION ALL SELECT c_custkey FROM customer WHERE c_custkey % 10 = 0)""")
 def agg11(s, d):
