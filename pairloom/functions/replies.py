@@ -9,22 +9,29 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# What a model's fences and thoughts look like.
 _FENCE = re.compile(r"```(?:json)?\s*\n?(.*?)\n?```", re.DOTALL)
 _THINK = re.compile(r"`think`.*?`</think>`|<think>.*?</think>", re.DOTALL | re.IGNORECASE)
 
 
+_MARK = re.compile(r'[{}"\\]')
+
+
 def objects_in(text: str) -> list[str]:
-    """Balanced {...} of a text from left to right, none within another; braces within strings don't count. One scan: a
-    brace that is never closed ends it."""
-    found, start, depth, quoted, escaped = [], -1, 0, False, False
-    for i, c in enumerate(text):
-        if depth and quoted:
-            escaped, quoted = (False, True) if escaped else (c == "\\", c != '"')
-        elif depth and c == '"':
-            quoted = True
+    """Balanced {...} of a text from left to right, none within another; braces within strings don't count. One scan, which
+    stops at braces, quotes and backslashes only: a brace that is never closed ends it."""
+    found, start, depth, quoted, escaped = [], -1, 0, False, -1
+    for m in _MARK.finditer(text):
+        i, c = m.start(), m[0]
+        if quoted:
+            if i == escaped:
+                continue
+            escaped, quoted = (i + 1, True) if c == "\\" else (escaped, c != '"')
         elif c == "{":
             start, depth = (i, 1) if not depth else (start, depth + 1)
-        elif c == "}" and depth:
+        elif depth and c == '"':
+            quoted = True
+        elif depth and c == "}":
             depth -= 1
             if not depth:
                 found.append(text[start : i + 1])

@@ -6,13 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Words of a description that tell how a thing looks, and what shape it has.
-APPEARANCE = """red blue green black white silver gold golden pink brown grey gray purple orange yellow beige bronze copper chrome ivory crimson burgundy teal navy maroon
-cream tan dark light bright pale deep vibrant matte glossy shiny polished brushed frosted translucent transparent opaque iridescent textured smooth rough ridged ribbed
-grooved knurled woven striped checkered patterned plain solid metallic wooden plastic rubber leather fabric ceramic glass steel iron aluminum titanium marble stone
-concrete brick velvet silk linen cotton denim suede fur feathered rustic aged weathered worn faded tarnished corroded oxidized""".split()
-STRUCTURE = """round rounded circular spherical cylindrical conical rectangular square triangular hexagonal octagonal curved angular pointed blunt flat concave convex tapered
-flared bulbous elongated stubby slender wide narrow thick thin tall short long large small tiny massive compact slim bulky streamlined aerodynamic boxy blocky dome-shaped
-wedge-shaped bell-shaped teardrop oval oblong""".split()
+APPEARANCE = [
+    "red", "blue", "green", "black", "white", "silver", "gold", "golden", "pink", "brown", "grey", "gray", "purple", "orange", "yellow", "beige",
+    "bronze", "copper", "chrome", "ivory", "crimson", "burgundy", "teal", "navy", "maroon", "cream", "tan", "dark", "light", "bright", "pale",
+    "deep", "vibrant", "matte", "glossy", "shiny", "polished", "brushed", "frosted", "translucent", "transparent", "opaque", "iridescent",
+    "textured", "smooth", "rough", "ridged", "ribbed", "grooved", "knurled", "woven", "striped", "checkered", "patterned", "plain", "solid",
+    "metallic", "wooden", "plastic", "rubber", "leather", "fabric", "ceramic", "glass", "steel", "iron", "aluminum", "titanium", "marble", "stone",
+    "concrete", "brick", "velvet", "silk", "linen", "cotton", "denim", "suede", "fur", "feathered", "rustic", "aged", "weathered", "worn", "faded",
+    "tarnished", "corroded", "oxidized",
+]
+STRUCTURE = [
+    "round", "rounded", "circular", "spherical", "cylindrical", "conical", "rectangular", "square", "triangular", "hexagonal", "octagonal", "curved",
+    "angular", "pointed", "blunt", "flat", "concave", "convex", "tapered", "flared", "bulbous", "elongated", "stubby", "slender", "wide", "narrow",
+    "thick", "thin", "tall", "short", "long", "large", "small", "tiny", "massive", "compact", "slim", "bulky", "streamlined", "aerodynamic", "boxy",
+    "blocky", "dome-shaped", "wedge-shaped", "bell-shaped", "teardrop", "oval", "oblong",
+]
 _MARKS = ".,;:!?()[]\"'"
 
 
@@ -41,7 +49,8 @@ def part_label(captions: Column) -> Column:
     return F.get(F.filter(F.transform(captions, _collapsed), lambda c: c != ""), F.lit(0))
 
 
-_ARTICLES = r"(?i)^(?:a |an |the )+"
+# The patterns of articles, of a raw caption's number and of what it names.
+_ARTICLES, _NUMBER, _NAMED = r"(?i)^(?:a |an |the )+", r"\._[0-9]+\s*$", r"(?i)(?:of the|of a|of an)\s+(.+)$"
 
 
 def part_name(captions: Column, raw: Column, part_id: Column) -> Column:
@@ -49,8 +58,8 @@ def part_name(captions: Column, raw: Column, part_id: Column) -> Column:
     a' or 'of an' (or all of it) without a number at its end; else part_<id>."""
     plain = lambda c: F.trim(F.regexp_replace(F.regexp_replace(F.trim(c), r"\.+$", ""), _ARTICLES, ""))
     some = lambda c: F.when(c != "", c)
-    tail = F.regexp_replace(F.trim(F.regexp_replace(raw, r"\._[0-9]+\s*$", "")), r"\.+$", "")
-    after = F.regexp_extract(tail, r"(?i)(?:of the|of a|of an)\s+(.+)$", 1)
+    tail = F.regexp_replace(F.trim(F.regexp_replace(raw, _NUMBER, "")), r"\.+$", "")
+    after = F.regexp_extract(tail, _NAMED, 1)
     return F.coalesce(some(plain(F.get(captions, F.lit(0)))), some(plain(F.when(after != "", after).otherwise(tail))), F.concat(F.lit("part_"), part_id.cast("string")))
 
 
