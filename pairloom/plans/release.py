@@ -197,10 +197,10 @@ def _listing(s, d) -> DataFrame:
     return _assets(s, d).select("edit_id", "n_rows", "n_stored", files).where((F.col("n_stored") + F.col("i") + 1) % 11 != 0).select("edit_id", "file", ((F.col("n_rows") + F.col("i") + 1) % 9).alias("size"))
 
 
-@query("joi23_pending_pairs", _as(f"""WITH {_LIST}, del AS (SELECT obj_id, edit_id FROM fx_assets WHERE starts_with(edit_id, 'del_') AND n_rows % 3 = 0), need AS (SELECT obj_id, edit_id FROM del UNION ALL SELECT obj_id, 'add_' || substr(edit_id, 5) FROM del)
+@query("joi23_pending_pairs", _as(f"""WITH {_LIST}, del AS (SELECT obj_id, edit_id FROM fx_assets WHERE starts_with(edit_id, 'del_')), need AS (SELECT obj_id, edit_id FROM del UNION ALL SELECT obj_id, 'add_' || substr(edit_id, 5) FROM del)
  SELECT DISTINCT obj_id FROM need WHERE (SELECT count(*) FROM listing l WHERE l.edit_id = need.edit_id AND size > 0) < 3"""))
 def joi23(s, d):
-    return release.pending_pairs(_assets(s, d).where("edit_id LIKE 'del\\\\_%' AND n_rows % 3 = 0"), _listing(s, d), _FILES)
+    return release.pending_pairs(_assets(s, d).where("edit_id LIKE 'del\\\\_%'"), _listing(s, d), _FILES)
 
 
 @query("joi21_lacking_prerequisite", _as(_LATEST + "SELECT DISTINCT obj_id FROM latest WHERE stage = 'gate_a' AND status = 'pass' AND starts_with(edit_id, 'mod_') AND obj_id NOT IN (SELECT obj_id FROM fx_assets WHERE n_rows > 36)"))

@@ -61,11 +61,11 @@ def txt10(s, d):
     return slots.select("obj_id", "edit_idx", "effective_type", "target_part", "new_cpl", "ori_s1_cpl", "new_s2_cpl", "ori_s1_part")
 
 
-@query("txt11_judge_requests", with_fixtures("""SELECT obj_id, edit_idx, concat_ws(chr(10), 'edit_type: ' || edit_type, 'Object: ' || obj_id, 'Edit instruction: "' || prompt || '"', 'Target part: part ' || pid1, CASE WHEN target_part_desc <> '' THEN 'Target part description (before): "' || target_part_desc || '"' END,
- CASE WHEN edit_type = 'modification' AND coalesce(new_part_desc, '') <> '' THEN 'Expected shape after: "' || new_part_desc || '"' WHEN edit_type = 'material' AND target_material <> '' THEN 'Expected material/finish: "' || target_material || '"' WHEN edit_type = 'color' AND target_color <> '' THEN 'Expected colour: "' || target_color || '"'
- WHEN edit_type = 'global' AND target_style <> '' THEN 'Expected style: "' || target_style || '"' END) AS request FROM fx_plans WHERE pid1 IS NOT NULL AND edit_type <> 'scale'""", "fx_plans"))
+@query("txt11_judge_requests", with_fixtures("""SELECT obj_id, edit_idx, concat_ws(chr(10), 'edit_type: ' || edit_type, 'Object: ' || obj_id, 'Edit instruction: "' || prompt || '"', 'Target part: ' || coalesce('part ' || pid1, ''), CASE WHEN target_part_desc <> '' THEN 'Target part description (before): "' || target_part_desc || '"' END,
+ CASE WHEN edit_type = 'modification' AND coalesce(new_part_desc, '') <> '' THEN 'Expected shape after: "' || new_part_desc || '"' WHEN edit_type = 'scale' AND factor IS NOT NULL THEN 'Scale factor (shrink): ' || factor WHEN edit_type = 'material' AND target_material <> '' THEN 'Expected material/finish: "' || target_material || '"' WHEN edit_type = 'color' AND target_color <> '' THEN 'Expected colour: "' || target_color || '"'
+ WHEN edit_type = 'global' AND target_style <> '' THEN 'Expected style: "' || target_style || '"' END) AS request FROM fx_plans""", "fx_plans"))
 def txt11(s, d):
-    p = fixture(s, d, "fx_plans").where("pid1 IS NOT NULL AND edit_type <> 'scale'")
+    p = fixture(s, d, "fx_plans")
     return p.withColumn("object_desc", F.col("obj_id")).withColumn("label", F.concat(F.lit("part "), "pid1")).select("obj_id", "edit_idx", texts.judge_request().alias("request"))
 
 
