@@ -94,6 +94,23 @@ def base_records(promoted_edits: DataFrame, instructions_: DataFrame, quality: D
     return own.select("obj_id", "edit_id", "edit_type", F.lit(SCHEMA_VERSION).alias("schema_version"), "instruction", F.struct(F.col("view").alias("best_view_index")).alias("views"), F.struct("final_pass", "alignment", "quality").alias("quality"), F.struct(F.lit(version).alias("pipeline_version"), F.lit(source).alias("source_dataset")).alias("lineage"))
 
 
+def training_records(edits: DataFrame, quality: DataFrame, root: str = "") -> DataFrame:
+    """edits (edit_id, edit_type, obj_id, shard, prompt, pids, object_desc, target_part_desc, new_part_desc, after_desc),
+    quality (edit_id, tier, score, checks map<string, boolean>) -> a flat record of 17 fields for each edit, and the paths
+    of its two meshes. Parts of deletions and modifications are removed ones, those of additions and modifications added
+    ones. What isn't known is empty: '', 0.0, no list entries; only the donor of a swap is null."""
+    c, text = F.col, lambda name: F.coalesce(F.col(name), F.lit(""))
+    none = F.array().cast("array<int>")
+    parts = lambda *kinds: F.when(c("edit_type").isin(*kinds), F.coalesce("pids", none)).otherwise(none)
+    mesh = lambda side: F.concat(F.lit(f"{root}meshes/"), c("edit_id"), F.lit(f"_{side}.ply"))
+    fields = {
+        "edit_id": c("edit_id"), "edit_type": c("edit_type"), "instruction": text("prompt"), "instruction_variants": F.array().cast("array<string>"), "source_obj_id": c("obj_id"), "source_shard": text("shard"), "donor_obj_id": F.lit(None).cast("string"),
+        "removed_part_ids": parts("deletion", "modification"), "added_part_ids": parts("addition", "modification"), "old_part_label": text("target_part_desc"), "new_part_label": text("new_part_desc"), "object_desc": text("object_desc"), "edit_prompt": text("prompt"), "after_desc": text("after_desc"),
+        "quality_tier": text("tier"), "quality_score": F.coalesce("score", F.lit(0.0)), "quality_checks": F.coalesce("checks", F.create_map().cast("map<string,boolean>")), "before_mesh": mesh("before"), "after_mesh": mesh("after"),
+    }
+    return edits.join(quality.select("edit_id", "tier", "score", "checks"), "edit_id", "left").select(*[v.alias(k) for k, v in fields.items()])
+
+
 def manifest_lines(records: DataFrame) -> DataFrame:
     """edit_type, shard, obj_id, edit_id, line: each record as a line of JSON, without what is null."""
     return records.select("edit_type", "obj_id", "edit_id", F.to_json(F.struct(*records.columns)).alias("line"))
