@@ -251,14 +251,14 @@ def part_keep(tokens: DataFrame, target: DataFrame, factor: int) -> DataFrame:
 
 
 def transition(region: DataFrame, preserved: DataFrame, occupied: DataFrame, radius: int, grid: int, exclude: DataFrame | None = None) -> DataFrame:
-    """The region and the preserved or occupied cells within so many steps (over faces) of it, without the cells of
-    exclude; those of the region that exclude names go, too."""
+    """The region and the preserved or occupied cells within so many steps (over faces) of it. Cells of exclude don't count
+    as occupied; preserved ones and those of the region stay whatever it names."""
     near = region.select(*CELL).distinct()
     for _ in range(radius):
         near = near.union(_faces(near, grid)).distinct()
-    solid = preserved.select(*CELL).union(occupied.select(*CELL)).distinct()
-    grown = near.join(solid, CELL, "left_semi").union(region.select(*CELL)).distinct()
-    return grown if exclude is None else grown.join(exclude.select(*CELL), CELL, "left_anti")
+    free = occupied.select(*CELL) if exclude is None else occupied.select(*CELL).join(exclude.select(*CELL), CELL, "left_anti")
+    solid = preserved.select(*CELL).union(free)
+    return near.join(solid, CELL, "left_semi").union(region.select(*CELL)).distinct()
 
 
 def split_counts(after: DataFrame, region: DataFrame) -> DataFrame:
@@ -313,6 +313,19 @@ def rerun_iou(fine: DataFrame, coarse: DataFrame, factor: int = 2) -> DataFrame:
     return j.groupBy("pair_id").agg((F.count_if(F.col("a").isNotNull() & F.col("b").isNotNull()) / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("coords_iou"))
 
 
+def part_masks(specs: DataFrame, cells: DataFrame, pad: int, grid: int) -> DataFrame:
+    """specs (spec_id, pair_id, pids), cells (pair_id, x, y, z, part_id) -> spec_id, cells array<long>: the keys, in order, of
+    the cells of a spec's parts, grown by pad along every axis, into those of other parts, too. A spec without parts, or
+    whose parts have no cells, has no row.
+
+    A part is grown once, however many specs name it: what grows from a union is the union of what grows. A mask is one
+    row, as the grid bounds it."""
+    wanted = specs.select("spec_id", "pair_id", F.explode(F.array_distinct("pids")).alias("part_id"))
+    own = cells.join(wanted.select("pair_id", "part_id").distinct(), ["pair_id", "part_id"]).select(F.struct("pair_id", "part_id").alias("pair_id"), "x", "y", "z")
+    grown = dilate(own, pad, grid).groupBy("pair_id").agg(F.collect_list(cell_key(grid)).alias("keys")).select("pair_id.*", "keys")
+    return wanted.join(grown, ["pair_id", "part_id"]).groupBy("spec_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("keys")))).alias("cells"))
+
+
 def box_mask(edits: DataFrame) -> DataFrame:
     """edits (edit_id, pids) -> edit_id, x, y, z: a region of two cells that follows from the parts alone, for dry runs."""
     base = F.aggregate("pids", F.lit(0), lambda acc, p: acc + p) % 16

@@ -14,6 +14,8 @@ DEFAULTS = {
 # Weights of the composite score, and what a judgement says that was never made.
 WEIGHTS = {"edit_executed": 0.3, "correct_region": 0.2, "preserve_other": 0.2, "visual_quality": 0.2, "artifact_free": 0.1}
 NO_RESPONSE, EVALUATION_ERROR = "VLM returned no valid response", "Evaluation error"
+# Why gate E fails what its judge never saw, or gave no answer to.
+UNSEEN, UNANSWERED = "missing_previews", "vlm_no_response"
 
 
 def _is(c: str) -> Column:
@@ -103,17 +105,47 @@ def judge_records(work: DataFrame, judged: DataFrame, passed: Column) -> DataFra
     fixed reason where there is nothing to look at or no answer. passed: see passes()."""
     j = work.join(judged.withColumn("_answered", F.lit(True)), "edit_id", "left")
     seen, answered = F.coalesce("has_preview", F.lit(False)), F.col("_answered").isNotNull()
-    # fixed values: the reasons
-    why = F.when(~seen, "missing_previews").when(~answered, "vlm_no_response").otherwise(F.coalesce("reason", F.lit("")))
+    why = F.when(~seen, UNSEEN).when(~answered, UNANSWERED).otherwise(F.coalesce("reason", F.lit("")))
     return j.select("edit_id", "edit_type", (seen & answered & passed).alias("ok"), F.when(seen & answered, F.bround(_whole("visual_quality") / 5, 2)).otherwise(0.0).alias("score"), why.alias("reason"))
 
 
+def thresholds(version: int, overrides: dict[str, dict] | None = None) -> Column:
+    """The thresholds that passes() holds a judgement of an edit_type against, as a map of their names."""
+
+    def of(own: dict) -> Column:
+        pairs = [F.lit(x) for name, v in {**DEFAULTS[version], **own}.items() for x in (name, str(v).lower())]
+        return F.create_map(*pairs)
+
+    out = of({})
+    for kind, own in (overrides or {}).items():
+        out = F.when(F.col("edit_type") == kind, of(own)).otherwise(out)
+    return out
+
+
+def judge_audit(work: DataFrame, judged: DataFrame, system: str, version: int = 1, overrides: dict | None = None) -> DataFrame:
+    """work (edit_id, edit_type, has_preview, request: see texts.judge_request; conditions array<string>, if there), judged
+    (edit_id and a judgement) -> edit_id, edit_type, ok, judge_version, conditions, thresholds, judge (all that judged has),
+    prompt (system, user): a row for each edit that was seen and judged, with what the judge was sent."""
+    answer = judged.select("edit_id", *[c for c in judged.columns if c not in work.columns], F.struct(*[c for c in judged.columns if c != "edit_id"]).alias("judge"))
+    j = work.where("has_preview").join(answer, "edit_id")
+    shown = F.coalesce("conditions", F.array().cast("array<string>")) if "conditions" in work.columns else F.array().cast("array<string>")
+    return j.select(
+        "edit_id", "edit_type", passes(version, overrides).alias("ok"), F.lit(f"v{version}").alias("judge_version"), shown.alias("conditions"),
+        thresholds(version, overrides).alias("thresholds"), "judge", F.struct(F.lit(system).alias("system"), F.col("request").alias("user")).alias("prompt"),
+    )
+
+
 def refined_prompts(records: DataFrame, judged: DataFrame) -> DataFrame:
-    """edit_id, original, improved, judge_pass, for_addition: the prompt that replaces an addition's, if the judge has a
-    better one."""
-    j = records.join(judged.select("edit_id", "prompt", "improved_prompt"), "edit_id")
-    better = F.when(F.coalesce("improved_prompt", F.lit("")) != "", F.col("improved_prompt"))
-    return j.select("edit_id", F.col("prompt").alias("original"), F.coalesce("improved_prompt", F.lit("")).alias("improved"), F.col("ok").alias("judge_pass"), F.when(F.col("edit_type") == "addition", better).alias("for_addition"))
+    """records of judge_records(), judged (edit_id, prompt, improved_prompt, and improved_after_desc, prompt_quality as far as
+    they are there) -> edit_id, original, improved, improved_after, prompt_quality, judge_pass, for_addition,
+    after_for_addition: the texts that replace an addition's, if the judge has better ones. What the judge never saw has no
+    row."""
+    there = lambda c: F.col(c) if c in judged.columns else F.lit(None)
+    said = judged.select("edit_id", "prompt", F.coalesce("improved_prompt", F.lit("")).alias("improved"), F.coalesce(there("improved_after_desc").cast("string"), F.lit("")).alias("improved_after"), there("prompt_quality").cast("int").alias("prompt_quality"))
+    j = records.where(F.col("reason") != UNSEEN).join(said, "edit_id")
+    better = (F.col("edit_type") == "addition") & (F.col("improved") != "")
+    after = F.when(better & (F.col("improved_after") != ""), F.col("improved_after"))
+    return j.select("edit_id", F.col("prompt").alias("original"), "improved", "improved_after", "prompt_quality", F.col("ok").alias("judge_pass"), F.when(better, F.col("improved")).alias("for_addition"), after.alias("after_for_addition"))
 
 
 def gate_two(edits: DataFrame, judged: DataFrame, overrides: dict | None = None) -> DataFrame:

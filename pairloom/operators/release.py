@@ -150,17 +150,27 @@ def merged_results(manifest: DataFrame, results: DataFrame, least: float) -> Dat
     return manifest.join(results.where(F.col("score") >= least).select("edit_id", "score"), "edit_id").orderBy(F.desc("score"), "edit_id")
 
 
-def gallery(state: DataFrame, before: DataFrame, after: DataFrame, requested: int, per_shard: int, views: int = 5) -> DataFrame:
+def gallery(state: DataFrame, before: DataFrame, after: DataFrame, requested: int, per_shard: int, views: int = 5, judged: DataFrame | None = None) -> DataFrame:
     """Edits that gate E passes, with the first view that both sides are rendered from (obj_id, edit_id, view): the one
-    their gate matched, the requested one, then the rest in order; at most per_shard of a shard."""
-    passed = state.groupBy("obj_id", "shard", "edit_id").agg(F.max(F.when(F.col("stage") == "gate_e", F.col("status"))).alias("e"), F.max(F.when(F.col("stage") == "gate_a", F.col("best_view"))).alias("matched"), F.max(F.when(F.col("stage") == "gate_e", F.col("score"))).alias("score"))
-    order = F.array_distinct(F.array_compact(F.array(F.col("matched"), F.lit(requested), *[F.lit(v) for v in range(views)])))
-    wanted = passed.where("e = 'pass'").select("obj_id", "shard", "edit_id", "score", F.posexplode(order).alias("place", "view"))
+    their gate matched, the requested one, then the rest in order; at most per_shard of a shard -> shard, obj_id, edit_id,
+    view, matched (it is the gate's), score, nth. With judged (edit_id, original, improved, visual_quality, reason) also
+    prompt (the improved one, else the original), original, visual_quality and description; texts that aren't there are
+    empty."""
+    best_view = F.max(F.when(F.col("stage") == "gate_a", F.col("best_view")))
+    passed = state.groupBy("obj_id", "shard", "edit_id").agg(F.max(F.when(F.col("stage") == "gate_e", F.col("status"))).alias("e"), F.when(best_view.between(0, views - 1), best_view).alias("own"), F.max(F.when(F.col("stage") == "gate_e", F.col("score"))).alias("score"))
+    order = F.array_distinct(F.array_compact(F.array(F.col("own"), F.lit(requested), *[F.lit(v) for v in range(views)])))
+    wanted = passed.where("e = 'pass'").select("obj_id", "shard", "edit_id", "own", "score", F.posexplode(order).alias("place", "view"))
     keys = ["edit_id", "view"]
     shown = wanted.join(before.select(*keys).distinct(), keys, "left_semi").join(after.select(*keys).distinct(), keys, "left_semi")
-    best = shown.groupBy("shard", "obj_id", "edit_id").agg(F.min_by("view", "place").alias("view"), F.max("score").alias("score"))
+    best = shown.groupBy("shard", "obj_id", "edit_id").agg(F.min_by("view", "place").alias("view"), F.max("own").alias("own"), F.max("score").alias("score"))
     nth = F.row_number().over(Window.partitionBy("shard").orderBy("edit_id"))
-    return best.withColumn("nth", nth).where(F.col("nth") <= per_shard)
+    best = best.withColumn("nth", nth).where(F.col("nth") <= per_shard)
+    best = best.select("shard", "obj_id", "edit_id", "view", F.coalesce(F.col("view") == F.col("own"), F.lit(False)).alias("matched"), "score", "nth")
+    if judged is None:
+        return best
+    said = judged.groupBy("edit_id").agg(F.max_by(F.struct("original", "improved", "visual_quality", "reason"), F.struct("improved", "original", "visual_quality", "reason")).alias("j"))
+    text = lambda *c: F.coalesce(*map(_filled, c), F.lit(""))
+    return best.join(said, "edit_id", "left").select(*best.columns, text("j.improved", "j.original").alias("prompt"), text("j.original").alias("original"), "j.visual_quality", text("j.reason").alias("description"))
 
 
 def repaste_list(assets: DataFrame, passed: DataFrame, done: DataFrame) -> DataFrame:

@@ -28,24 +28,37 @@ def gate_event(payloads: DataFrame) -> DataFrame:
 
 
 def migrated(records: DataFrame) -> DataFrame:
-    """records (obj_id, edit_id, schema_version, stages map<stage, struct<status, passed>>, gates map<letter, struct<passed>>,
-    final_pass) -> the same as version 3, and changed.
+    """records (obj_id, edit_id, schema_version, stages map<stage, struct<status, verdict and any others>>, gates
+    map<letter, verdict>, and final_pass, fail_gate, fail_reason as far as they are there) -> obj_id, edit_id,
+    schema_version 3, stages, changed. A verdict is a struct with rule and vlm, each a struct with `pass` and any others.
 
-    An old gate's verdict goes to its stage; its status only where the stage has none. gates and final_pass go. Records of
+    An old gate's verdict goes to its stage whole, over the one that is there; its status only where the stage has none.
+    A verdict that is null, or null in both rule and vlm, is none. gates and the final_ and fail_ columns go. Records of
     version 3 without them are left as they are, so that migrating twice changes nothing."""
-    old = F.coalesce("gates", F.create_map().cast("map<string,struct<passed:boolean>>"))
-    stages = F.coalesce("stages", F.create_map().cast("map<string,struct<status:string,passed:boolean>>"))
+    kinds = {c: records.schema[c].dataType for c in ("stages", "gates")}
+    old, stages = (F.coalesce(c, F.create_map().cast(kinds[c])) for c in ("gates", "stages"))
     entries = []
     for letter, stage in GATES.items():
         v, now = old[letter], stages[stage]
-        entry = F.struct(F.coalesce(now["status"], gate_status(F.lit(None).cast("boolean"), v["passed"])).alias("status"), v["passed"].alias("passed"))
-        entries.append(F.struct(F.lit(stage).alias("key"), F.when(v.isNotNull(), entry).otherwise(now).alias("value")))
+        made = {"status": F.coalesce(now["status"], gate_status(v["rule"]["pass"], v["vlm"]["pass"])), "verdict": v}
+        entry = F.struct(*[made.get(f, now[f]).alias(f) for f in kinds["stages"].valueType.names])
+        entries.append(F.struct(F.lit(stage).alias("key"), F.when(v["rule"].isNotNull() | v["vlm"].isNotNull(), entry).otherwise(now).alias("value")))
     made = F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull()))
     rest = F.map_filter(stages, lambda k, _: ~k.isin(*GATES.values()))
-    changed = F.col("gates").isNotNull() | F.col("final_pass").isNotNull() | ~F.col("schema_version").eqNullSafe(VERSION)
+    derived = [F.col(c).isNotNull() for c in ("gates", "final_pass", "fail_gate", "fail_reason") if c in records.columns]
+    changed = reduce(Column.__or__, derived, ~F.col("schema_version").eqNullSafe(VERSION))
     return records.select("obj_id", "edit_id", F.lit(VERSION).alias("schema_version"), F.map_concat(rest, made).alias("stages"), changed.alias("changed"))
 
 
+def migration_counts(done: DataFrame, bad: DataFrame, *keys: str) -> DataFrame:
+    """done (keys, obj_id, changed: see migrated()), bad (keys, obj_id: files that can't be read) -> keys, scanned, migrated,
+    skipped, bad: numbers of objects. One of which any edit changed is migrated."""
+    own = done.groupBy(*keys, "obj_id").agg(F.bool_or("changed").alias("changed"))
+    both = own.unionByName(bad.select(*keys, "obj_id").distinct().withColumn("changed", F.lit(None).cast("boolean")))
+    n = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
+    return both.groupBy(*keys).agg(F.count(F.lit(1)).alias("scanned"), n(F.col("changed")).alias("migrated"), n(~F.col("changed")).alias("skipped"), n(F.col("changed").isNull()).alias("bad"))
+
+
 def flipped(status: Column, validated_before: Column, ok: Column, skip: Column) -> Column:
     """A step's status after a check: what is skipped stays as it ended, a check that fails fails the step, one that passes
     ends it; a failure is only lifted if it came from a check."""
@@ -178,7 +191,19 @@ def of_each_pair(measure: Callable[[pd.DataFrame], tuple[float, bool]], weight:
     return lambda pairs: pairs.groupBy("pair_id").applyInPandas(one, f"pair_id {pairs.schema['pair_id'].dataType.simpleString()}, value double, passed boolean, weight double, reason string")
 
 
-def masks(edits: DataFrame, cells: DataFrame, builder: Callable[[DataFrame, DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """(what a builder of masks makes of edits and cells, the edits that it makes nothing of)."""
-    made = builder(edits, cells)
-    return made, edits.join(made.select("edit_id").distinct(), "edit_id", "left_anti")
+#: A builder of masks: takes specs (spec_id, pair_id, pids) and cells, returns rows with the spec_id of those it has a mask for.
+Builder = Callable[[DataFrame, DataFrame], DataFrame]
+
+
+def masks(edits: DataFrame, cells: DataFrame, builder: Builder) -> tuple[DataFrame, DataFrame]:
+    """edits (edit_id, pair_id, pids) -> (what the builder makes of their specs, edits as edit_id, spec_id, built).
+
+    A spec is a pair and a set of parts: edits of the same ones share its mask, which is made and held once. Where the
+    builder makes nothing of a spec, its edits are skipped (built is false); a null list of parts is an empty one."""
+    parts = F.array_sort(F.array_distinct(F.coalesce("pids", F.array().cast(edits.schema["pids"].dataType))))
+    named = edits.select("edit_id", F.struct("pair_id", parts.alias("pids")).alias("spec_id"))
+    made = builder(named.select("spec_id").distinct().select("spec_id", "spec_id.*"), cells)
+    built = made.select(F.col("spec_id").alias("_of"), F.lit(True).alias("built")).distinct()
+    # the null pair is a pair of its own
+    j = named.join(built, F.col("spec_id").eqNullSafe(F.col("_of")), "left")
+    return made, j.select("edit_id", "spec_id", F.coalesce("built", F.lit(False)).alias("built"))

@@ -173,15 +173,23 @@ def joi16(s, d):
 _SIDES = "shown AS (SELECT DISTINCT edit_id, CAST(seq % 5 AS INT) AS view FROM fx_stage_events WHERE seq % 3 = 0), made AS (SELECT DISTINCT edit_id, CAST(seq % 5 AS INT) AS view FROM fx_stage_events WHERE seq % 2 = 0)"
 
 
-@query("joi18_gallery", _as(_LATEST + f""", {_SIDES}, e AS (SELECT l.obj_id, l.edit_id, l.score, a.best_view AS matched FROM latest l LEFT JOIN latest a ON a.edit_id = l.edit_id AND a.stage = 'gate_a' WHERE l.stage = 'gate_e' AND l.status = 'pass'),
- w AS (SELECT e.*, v.view, CASE WHEN v.view = matched THEN 0 WHEN v.view = 2 THEN 1 ELSE 2 + v.view END AS place FROM e JOIN shown v USING (edit_id) JOIN made m ON m.edit_id = e.edit_id AND m.view = v.view),
- b AS (SELECT obj_id[-1:] AS shard, obj_id, edit_id, arg_min(view, place) AS view, max(score) AS score FROM w GROUP BY ALL)
- SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY shard ORDER BY edit_id) AS INT) AS nth FROM b) WHERE nth <= 6"""))
+_SAID = """said AS (SELECT edit_id, CASE WHEN k % 4 <> 0 THEN 'do ' || k END AS original, CASE WHEN k % 3 = 0 THEN 'better ' || k WHEN k % 3 = 1 THEN '' END AS improved, k % 6 AS visual_quality, CASE WHEN k % 5 <> 0 THEN 'since ' || k END AS reason
+ FROM (SELECT edit_id, max(seq) AS k FROM fx_stage_events WHERE stage = 'gate_e' GROUP BY edit_id) WHERE k % 7 <> 0)"""
+
+
+@query("joi18_gallery", _as(_LATEST + f""", {_SIDES}, {_SAID}, e AS (SELECT l.obj_id, l.edit_id, l.score, a.best_view AS own FROM latest l LEFT JOIN latest a ON a.edit_id = l.edit_id AND a.stage = 'gate_a' WHERE l.stage = 'gate_e' AND l.status = 'pass'),
+ w AS (SELECT e.*, v.view, CASE WHEN v.view = own THEN 0 WHEN v.view = 2 THEN 1 ELSE 2 + v.view END AS place FROM e JOIN shown v USING (edit_id) JOIN made m ON m.edit_id = e.edit_id AND m.view = v.view),
+ b AS (SELECT obj_id[-1:] AS shard, obj_id, edit_id, arg_min(view, place) AS view, coalesce(arg_min(view, place) = max(own), false) AS matched, max(score) AS score FROM w GROUP BY ALL),
+ n AS (SELECT *, CAST(row_number() OVER (PARTITION BY shard ORDER BY edit_id) AS INT) AS nth FROM b)
+ SELECT n.*, coalesce(nullif(improved, ''), original, '') AS prompt, coalesce(original, '') AS original, visual_quality, coalesce(reason, '') AS description FROM n LEFT JOIN said USING (edit_id) WHERE nth <= 6"""))
 def joi18(s, d):
-    events = fixture(s, d, "fx_stage_events")
+    events, k = fixture(s, d, "fx_stage_events"), F.col("k")
     views = lambda c: events.where(c).select("edit_id", (F.col("seq") % 5).cast("int").alias("view"))
     state = _state(s, d).withColumn("shard", F.right("obj_id", F.lit(1)))
-    return release.gallery(state, views("seq % 3 = 0"), views("seq % 2 = 0"), 2, 6)
+    said = events.where("stage = 'gate_e'").groupBy("edit_id").agg(F.max("seq").alias("k")).where("k % 7 <> 0")
+    text = lambda start: F.concat(F.lit(start), k)
+    said = said.select("edit_id", F.when(k % 4 != 0, text("do ")).alias("original"), F.when(k % 3 == 0, text("better ")).when(k % 3 == 1, "").alias("improved"), (k % 6).alias("visual_quality"), F.when(k % 5 != 0, text("since ")).alias("reason"))
+    return release.gallery(state, views("seq % 3 = 0"), views("seq % 2 = 0"), 2, 6, judged=said)
 
 
 @query("joi19_repaste_list", _as(_LATEST + """SELECT edit_id, a.best_view AS view, CASE WHEN n_rows <> n_stored THEN 'rows differ: ' || n_rows || ', ' || n_stored END AS error FROM fx_assets JOIN latest e USING (edit_id) JOIN latest a USING (edit_id)

@@ -118,6 +118,7 @@ def sta5(s, d):
     return st.select("obj_id", "edit_id").distinct().join(st.where("stage = 'gate_a' AND status IN ('pass', 'fail')").select("edit_id"), "edit_id", "left_anti").select("obj_id", "edit_id")
 
 
+_LEAST_VQ = "CASE edit_type WHEN 'scale' THEN '4' ELSE '3' END"
 _JOINED = f"j AS (SELECT *, edit_no % 5 <> 0 AS has_preview, edit_no % 7 <> 0 AS answered, {_V1} AS p1 FROM fx_judge)"
 
 
@@ -143,10 +144,23 @@ def sta10(s, d):
     return judging.gate_two(*_gate_input(s, d), _OVERRIDES).drop("edit_type")
 
 
-@query("sta9_refined_prompts", _jd(f"WITH {_JOINED} SELECT edit_no AS edit_id, 'p' || edit_no AS original, CASE WHEN edit_no % 2 = 0 THEN 'better ' || edit_no ELSE '' END AS improved, has_preview AND p1 AS judge_pass FROM j WHERE answered"))
+@query("sta9_refined_prompts", _jd(f"""WITH {_JOINED} SELECT edit_no AS edit_id, 'p' || edit_no AS original, CASE WHEN edit_no % 2 = 0 THEN 'better ' || edit_no ELSE '' END AS improved, CASE WHEN edit_no % 3 = 0 THEN 'then ' || edit_no ELSE '' END AS improved_after, mesh_quality AS prompt_quality, p1 AS judge_pass,
+ CASE WHEN edit_type = 'deletion' AND edit_no % 2 = 0 THEN 'better ' || edit_no END AS for_addition, CASE WHEN edit_type = 'deletion' AND edit_no % 6 = 0 THEN 'then ' || edit_no END AS after_for_addition FROM j WHERE has_preview AND answered"""))
 def sta9_refined(s, d):
+    """The deletions stand for additions."""
     work, said = _gate_input(s, d)
-    return judging.refined_prompts(judging.judge_records(work, said, judging.passes(1, _OVERRIDES)), said).drop("for_addition")
+    work = work.withColumn("edit_type", F.when(F.col("edit_type") == "deletion", "addition").otherwise(F.col("edit_type")))
+    said = said.withColumn("improved_after_desc", F.when(F.col("edit_id") % 3 == 0, F.concat(F.lit("then "), "edit_id"))).withColumn("prompt_quality", F.col("mesh_quality"))
+    return judging.refined_prompts(judging.judge_records(work, said, judging.passes(1, _OVERRIDES)), said)
+
+
+@query("sta9_judge_audit", _jd(f"""WITH {_JOINED} SELECT edit_no AS edit_id, edit_type, p1 AS ok, 'v1' AS judge_version, CASE WHEN edit_no % 2 = 0 THEN 2 ELSE 0 END AS n_conditions, {_LEAST_VQ} AS min_visual_quality, CASE WHEN edit_type = 'color' THEN 'false' ELSE 'true' END AS keeps, CASE WHEN edit_no % 11 = 0 THEN 'good' ELSE visual_quality::VARCHAR END AS said, 'quality ' || mesh_quality AS reason,
+ 'Judge it.' AS system, 'edit_type: ' || edit_type || ', p' || edit_no AS "user" FROM j WHERE has_preview AND answered"""))
+def sta9_audit(s, d):
+    work, said = _gate_input(s, d)
+    work = work.withColumn("request", F.concat(F.lit("edit_type: "), "edit_type", F.lit(", p"), "edit_id")).withColumn("conditions", F.when(F.col("edit_id") % 2 == 0, F.array(F.lit("edited"), F.lit("input"))))
+    a = judging.judge_audit(work, said, "Judge it.", 1, _OVERRIDES)
+    return a.select("edit_id", "edit_type", "ok", "judge_version", F.size("conditions").alias("n_conditions"), F.col("thresholds")["min_visual_quality"].alias("min_visual_quality"), F.col("thresholds")["require_preserve_other"].alias("keeps"), F.col("judge.visual_quality").alias("said"), "judge.reason", "prompt.system", "prompt.user")
 
 
 _REPLIES = """CASE seq % 7 WHEN 0 THEN '{"aligned": true, "best_view": 3, "reason": "a"}' WHEN 1 THEN '{"aligned": "true"}' WHEN 2 THEN '{"aligned": false, "best_view": "2"}' WHEN 3 THEN '{"aligned": true, "best_view": true}'
@@ -189,17 +203,40 @@ def sta2(s, d):
 _LETTER = "CASE gate WHEN 'gate_a' THEN 'A' WHEN 'gate_c' THEN 'C' ELSE 'E' END"
 
 
-@query("sta3_migration", _vd("""SELECT obj_id, edit_id, 3 AS schema_version, string_agg(gate || '=' || s || ':' || coalesce(p::VARCHAR, '-'), ',' ORDER BY gate) AS stages, bool_or(old) OR edit_id[-1:] <> '3' AS changed FROM (
- SELECT *, legacy_pass IS NOT NULL AS old, CASE WHEN has_verdict THEN status WHEN legacy_pass THEN 'pass' WHEN NOT legacy_pass THEN 'fail' END AS s, coalesce(legacy_pass, CASE WHEN has_verdict THEN vlm_pass END) AS p FROM fx_verdicts) GROUP BY obj_id, edit_id"""))
-def sta3(s, d):
+_OLD = """old AS (SELECT *, CASE WHEN has_verdict THEN status WHEN legacy_pass IS NOT NULL THEN CASE WHEN coalesce(rule_pass, true) AND legacy_pass THEN 'pass' ELSE 'fail' END END AS s,
+ CASE WHEN legacy_pass IS NOT NULL THEN coalesce(rule_pass || ' ' || coalesce(rule_code, '-'), '-') || ' ' || legacy_pass || ' ' || coalesce(vlm_reason, '-') WHEN has_verdict THEN '- ' || coalesce(vlm_pass::VARCHAR, '-') || ' ' || coalesce(vlm_reason, '-') END AS v FROM fx_verdicts),
+ moved AS (SELECT obj_id, edit_id, 3 AS schema_version, string_agg(gate || '=' || s || ':' || v, ', ' ORDER BY gate) AS stages, bool_or(legacy_pass IS NOT NULL) OR bool_or(coalesce(NOT rule_pass, false)) OR edit_id[-1:] <> '3' AS changed FROM old GROUP BY obj_id, edit_id)"""
+
+
+def _old_records(s, d) -> DataFrame:
+    """Records of which some are of version 3 already, some have verdicts by letter, some the fields that were derived."""
     v = fixture(s, d, "fx_verdicts").withColumn("letter", F.expr(_LETTER))
-    stages = F.map_from_entries(F.collect_list(F.when(F.col("has_verdict"), F.struct("gate", F.struct("status", F.col("vlm_pass").alias("passed"))))))
-    gates = F.map_from_entries(F.collect_list(F.when(F.col("legacy_pass").isNotNull(), F.struct("letter", F.struct(F.col("legacy_pass").alias("passed"))))))
-    r = v.groupBy("obj_id", "edit_id").agg(stages.alias("stages"), gates.alias("gates")).withColumn("gates", F.when(F.size("gates") > 0, F.col("gates"))).withColumn("final_pass", F.lit(None).cast("boolean"))
-    done = status.migrated(status.migrated(r.withColumn("schema_version", F.when(F.col("edit_id").endswith("3"), 3).otherwise(2))).withColumn("gates", F.lit(None).cast("map<string,struct<passed:boolean>>")).withColumn("final_pass", F.lit(None)).drop("changed"))
-    first = status.migrated(r.withColumn("schema_version", F.when(F.col("edit_id").endswith("3"), 3).otherwise(2))).select("edit_id", "changed")
-    one = F.transform(F.array_sort(F.map_entries("stages")), lambda e: F.concat(e["key"], F.lit("="), e["value"]["status"], F.lit(":"), F.coalesce(e["value"]["passed"].cast("string"), F.lit("-"))))
-    return done.drop("changed").join(first, "edit_id").select("obj_id", "edit_id", "schema_version", F.when(F.size("stages") > 0, F.array_join(one, ",")).alias("stages"), "changed")
+    rule = F.when(F.col("rule_pass").isNotNull(), F.struct(F.col("rule_pass").alias("pass"), F.col("rule_code").alias("code")))
+    verdict = lambda own, c: F.struct(own.alias("rule"), F.struct(F.col(c).alias("pass"), F.col("vlm_reason").alias("reason")).alias("vlm"))
+    stage = F.struct("status", verdict(F.when(F.lit(False), rule), "vlm_pass").alias("verdict"))
+    stages = F.map_from_entries(F.collect_list(F.when(F.col("has_verdict"), F.struct("gate", stage))))
+    gates = F.map_from_entries(F.collect_list(F.when(F.col("legacy_pass").isNotNull(), F.struct(F.col("letter"), verdict(rule, "legacy_pass")))))
+    r = v.groupBy("obj_id", "edit_id").agg(stages.alias("stages"), gates.alias("gates"), F.min(F.when(~F.col("rule_pass"), F.col("letter"))).alias("fail_gate"))
+    return r.withColumn("gates", F.when(F.size("gates") > 0, F.col("gates"))).withColumn("schema_version", F.when(F.col("edit_id").endswith("3"), 3).otherwise(2))
+
+
+@query("sta3_migration", _vd(f"WITH {_OLD} SELECT * FROM moved"))
+def sta3(s, d):
+    e = lambda x: x["value"]["verdict"]
+    text = lambda c: F.coalesce(c.cast("string"), F.lit("-"))
+    rule = lambda x: F.when(e(x)["rule"].isNull(), "-").otherwise(F.concat(text(e(x)["rule"]["pass"]), F.lit(" "), text(e(x)["rule"]["code"])))
+    one = lambda x: F.concat(x["key"], F.lit("="), x["value"]["status"], F.lit(":"), rule(x), F.lit(" "), text(e(x)["vlm"]["pass"]), F.lit(" "), text(e(x)["vlm"]["reason"]))
+    m = status.migrated(_old_records(s, d))
+    return m.select("obj_id", "edit_id", "schema_version", F.when(F.size("stages") > 0, F.array_join(F.array_sort(F.transform(F.map_entries("stages"), one)), ", ")).alias("stages"), "changed")
+
+
+@query("sta3_migration_counts", _vd(f"""WITH {_OLD}, o AS (SELECT obj_id[-1:] AS shard, obj_id, bool_or(changed) AS changed FROM moved GROUP BY obj_id UNION ALL SELECT right(c_custkey::VARCHAR, 1), c_custkey::VARCHAR, NULL FROM customer WHERE c_custkey % 9 = 0)
+ SELECT shard, count(*) AS scanned, count_if(changed) AS migrated, count_if(NOT changed) AS skipped, count_if(changed IS NULL) AS bad FROM o GROUP BY shard"""))
+def sta3_counts(s, d):
+    """Every ninth customer stands for a file that can't be read."""
+    shard = lambda df: df.withColumn("shard", F.right("obj_id", F.lit(1)))
+    bad = table(s, d, "customer").where("c_custkey % 9 = 0").select(F.col("c_custkey").cast("string").alias("obj_id"))
+    return status.migration_counts(shard(status.migrated(_old_records(s, d))), shard(bad), "shard")
 
 
 _FLIP = "CASE WHEN seq % 5 = 0 OR seq % 11 = 0 THEN CASE WHEN st IN ('ok', 'fail') THEN st ELSE 'skip' END WHEN seq % 3 = 0 THEN 'fail' WHEN st IS NULL OR st NOT IN ('ok', 'fail') OR (st = 'fail' AND before IS NOT DISTINCT FROM false) THEN 'ok' ELSE st END"
@@ -337,11 +374,16 @@ def udf1(s, d):
     return status.measured(fixture(s, d, "fx_voxels"), known | odd)
 
 
-@query("udf2_mask_builder", with_fixtures("SELECT obj_id || '/' || edit_idx AS edit_id, count(*) AS n FROM fx_edits, range(2) WHERE edit_type <> 'global' GROUP BY 1", "fx_edits"))
+@query("udf2_mask_builder", with_fixtures("""WITH e AS (SELECT obj_id || '/' || edit_idx AS edit_id, substr(obj_id, 2)::BIGINT % 48 AS pair_id, CASE WHEN edit_type <> 'global' THEN least(pid1 % 10, pid2 % 10) ELSE -1 END AS lo, CASE WHEN edit_type <> 'global' THEN greatest(pid1 % 10, pid2 % 10) ELSE -1 END AS hi FROM fx_edits),
+ m AS (SELECT DISTINCT s.*, x + i.range - 1 AS x, y + j.range - 1 AS y, z + k.range - 1 AS z FROM (SELECT DISTINCT pair_id, lo, hi FROM e) s JOIN fx_half h ON h.pair_id = s.pair_id AND (part_id = lo OR part_id = hi), range(3) i, range(3) j, range(3) k),
+ n AS (SELECT pair_id, lo, hi, count(*) AS n FROM m WHERE x BETWEEN 0 AND 15 AND y BETWEEN 0 AND 15 AND z BETWEEN 0 AND 15 GROUP BY ALL) SELECT edit_id, n IS NOT NULL AS built, n FROM e LEFT JOIN n USING (pair_id, lo, hi)""", "fx_edits", "fx_half"))
 def udf2(s, d):
-    e = fixture(s, d, "fx_edits").where("edit_type <> 'global'").select(F.concat_ws("/", "obj_id", "edit_idx").alias("edit_id"), F.array("pid1", "pid2").alias("pids"))
-    made, _ = status.masks(e, fixture(s, d, "fx_voxels"), lambda x, _: grid.box_mask(x))
-    return made.groupBy("edit_id").agg(F.count(F.lit(1)).alias("n"))
+    """Masks of the parts' cells, one for all edits of the same parts; edits of the whole object have no parts, and parts 8
+    and 9 no cells."""
+    pids = F.when(F.col("edit_type") != "global", F.array(F.col("pid1") % 10, F.col("pid2") % 10))
+    e = fixture(s, d, "fx_edits").select(F.concat_ws("/", "obj_id", "edit_idx").alias("edit_id"), (F.substring("obj_id", 2, 20).cast("long") % 48).alias("pair_id"), pids.alias("pids"))
+    made, named = status.masks(e, fixture(s, d, "fx_half"), lambda specs, cells: stored(grid.part_masks(specs, cells, 1, 16).withColumn("n", F.size("cells").cast("long"))))
+    return named.join(made.select("spec_id", "n"), "spec_id", "left").select("edit_id", "built", "n")
 
 
 @query("win7_style_roster")

@@ -249,10 +249,11 @@ def vox23(s, d):
 
 
 @query("vox24_transition", _hf(f"""WITH g0 AS (SELECT pair_id, x, y, z FROM fx_half WHERE part_id = 3), g1 AS (SELECT * FROM g0 UNION SELECT pair_id, x + p, y + q, z + r FROM g0 CROSS JOIN {_SIX}), g2 AS (SELECT * FROM g1 UNION SELECT pair_id, x + p, y + q, z + r FROM g1 CROSS JOIN {_SIX})
- SELECT * FROM g0 UNION SELECT h.pair_id, h.x, h.y, h.z FROM fx_half h JOIN g2 g ON {_AT("g", "h")} WHERE in_before = 1 EXCEPT SELECT pair_id, x, y, z FROM fx_half WHERE part_id >= 6"""))
+ SELECT * FROM g0 UNION SELECT h.pair_id, h.x, h.y, h.z FROM fx_half h JOIN g2 g ON {_AT("g", "h")} WHERE in_before = 1 AND (part_id IN (4, 6) OR part_id < 6)"""))
 def vox24(s, d):
+    """Part 6 is preserved, so naming it in exclude doesn't take it away; part 7 is occupied only."""
     h = _half(s, d)
-    return grid.transition(_edit(h), h.where("in_before = 1 AND part_id <> 3"), h.where("in_before = 1"), 2, 16, h.where("part_id >= 6"))
+    return grid.transition(_edit(h), h.where("in_before = 1 AND part_id IN (4, 6)"), h.where("in_before = 1"), 2, 16, h.where("part_id >= 6 OR part_id = 3"))
 
 
 _COARSE = "c AS (SELECT pair_id, x // 2 AS x, y // 2 AS y, z // 2 AS z, min(part_id) AS part_id FROM fx_half GROUP BY ALL)"

@@ -107,13 +107,68 @@ def test_cleaning_case_by_case(spark):
 
 
 def test_migrating_twice_changes_nothing(spark):
-    rows = [("o", "a", 2, {"gate_a": ("fail", None), "s4": ("done", None)}, {"A": (True,), "C": (False,)}, True), ("o", "b", 3, {"gate_e": ("pass", True)}, None, None), ("o", "c", None, None, None, None)]
-    r = spark.createDataFrame(rows, "obj_id string, edit_id string, schema_version int, stages map<string,struct<status:string,passed:boolean>>, gates map<string,struct<passed:boolean>>, final_pass boolean")
+    verdict = "struct<rule:struct<pass:boolean,code:string>,vlm:struct<pass:boolean,score:double>>"
+    fine, bad, none = (None, (True, 0.8)), ((False, "short"), (True, 0.4)), (None, None)
+    rows = [
+        ("o", "a", 2, {"gate_a": ("fail", None, 7), "s4": ("done", None, 8)}, {"A": fine, "C": bad, "E": none}, True, None),
+        ("o", "b", 3, {"gate_e": ("pass", fine, 1)}, None, None, None), ("o", "c", None, None, None, None, None), ("p", "d", 3, {"gate_e": ("pass", fine, 1)}, None, None, "E"),
+        ("p", "e", 3, {"gate_e": (None, fine, 1)}, {"E": bad}, None, None), ("q", "f", 3, None, {}, None, None), ("r", "g", 3, None, None, None, None),
+    ]
+    r = spark.createDataFrame(rows, f"obj_id string, edit_id string, schema_version int, stages map<string,struct<status:string,verdict:{verdict},ts:int>>, gates map<string,{verdict}>, final_pass boolean, fail_gate string")
+    plain = lambda v: v if v is None else (v.rule and tuple(v.rule), v.vlm and tuple(v.vlm))
+    of = lambda df: {x.edit_id: ({k: (v.status, plain(v.verdict), v.ts) for k, v in x.stages.items()}, x.changed) for x in df.collect()}
     once = status.migrated(r)
-    got = {x.edit_id: ({k: tuple(v) for k, v in x.stages.items()}, x.changed) for x in once.collect()}
-    assert got == {"a": ({"s4": ("done", None), "gate_a": ("fail", True), "gate_c": ("fail", False)}, True), "b": ({"gate_e": ("pass", True)}, False), "c": ({}, True)}
-    again = status.migrated(once.drop("changed").withColumn("gates", F.lit(None).cast("map<string,struct<passed:boolean>>")).withColumn("final_pass", F.lit(None)))
-    assert {x.edit_id: ({k: tuple(v) for k, v in x.stages.items()}, x.changed) for x in again.collect()} == {k: (v, False) for k, (v, _) in got.items()}
+    got = of(once)
+    assert got == {
+        "a": ({"s4": ("done", None, 8), "gate_a": ("fail", fine, 7), "gate_c": ("fail", bad, None)}, True),  # a status that is there stays; an empty verdict goes
+        "b": ({"gate_e": ("pass", fine, 1)}, False), "c": ({}, True), "d": ({"gate_e": ("pass", fine, 1)}, True),
+        "e": ({"gate_e": ("fail", bad, 1)}, True), "f": ({}, True), "g": ({}, False),
+    }
+    again = status.migrated(once.drop("changed").withColumn("gates", F.lit(None).cast(r.schema["gates"].dataType)))
+    assert of(again) == {k: (v, False) for k, (v, _) in got.items()}
+    counts = status.migration_counts(once, spark.createDataFrame([("x",), ("x",)], "obj_id string"))
+    assert tuple(counts.first()) == (5, 3, 1, 1)
+
+
+def test_transition_leaves_what_exclude_names_only_where_it_is_occupied(spark):
+    cells = lambda *x: spark.createDataFrame([(1, i, 0, 0) for i in x], "pair_id int, x int, y int, z int")
+    found = grid.transition(cells(0, 1), cells(3), cells(0, 1, 2, 4), 3, 16, cells(1, 2, 3))
+    assert sorted(r.x for r in found.collect()) == [0, 1, 3, 4]  # 1 is of the region, 3 is preserved, 2 goes
+    assert sorted(r.x for r in grid.transition(cells(0), cells(), cells(1, 2, 3), 2, 16).collect()) == [0, 1, 2]
+
+
+def test_gallery_prompts_and_the_view_that_the_gate_matched(spark):
+    state = spark.createDataFrame([(e, g, "pass", v, s) for e, v in (("a", 3), ("b", 9), ("c", None), ("d", 1)) for g, s in (("gate_a", None), ("gate_e", 0.8))], "edit_id string, stage string, status string, best_view int, score double")
+    state = state.withColumn("obj_id", F.lit("o")).withColumn("shard", F.lit("0"))
+    views = spark.createDataFrame([("a", 3), ("a", 2), ("b", 4), ("b", 2), ("c", 0), ("d", 4)], "edit_id string, view int")
+    judged = spark.createDataFrame([("a", "old", "new", 4, "fine"), ("b", "old", "", None, None)], "edit_id string, original string, improved string, visual_quality int, reason string")
+    found = {r.edit_id: tuple(r)[3:] for r in release.gallery(state, views, views, 2, 3, judged=judged).collect()}
+    assert found == {"a": (3, True, 0.8, 1, "new", "old", 4, "fine"), "b": (2, False, 0.8, 2, "old", "old", None, ""), "c": (0, False, 0.8, 3, "", "", None, "")}
+
+
+def test_judge_audit_has_what_was_sent(spark):
+    work = spark.createDataFrame([(1, "scale", True, "r1"), (2, "color", False, "r2"), (3, "color", True, "r3"), (4, "color", True, "r4")], "edit_id int, edit_type string, has_preview boolean, request string")
+    said = spark.createDataFrame([(1, True, 3, "x"), (2, True, 5, "y"), (3, True, 3, "z")], "edit_id int, edit_executed boolean, visual_quality int, reason string").withColumn("correct_region", F.lit(True)).withColumn("preserve_other", F.lit(False))
+    found = {r.edit_id: (r.ok, r.thresholds, r.judge.reason, tuple(r.prompt), r.conditions) for r in judging.judge_audit(work, said, "s", 1, {"scale": {"min_visual_quality": 4}, "color": {"require_preserve_other": False}}).collect()}
+    assert found == {
+        1: (False, {"min_visual_quality": "4", "require_preserve_other": "true"}, "x", ("s", "r1"), []),
+        3: (True, {"min_visual_quality": "3", "require_preserve_other": "false"}, "z", ("s", "r3"), []),
+    }
+
+
+def test_masks_are_made_once_for_the_same_parts(spark):
+    edits = spark.createDataFrame([("a", 1, [0, 1]), ("b", 1, [1, 0, 1]), ("c", 1, [2]), ("d", 2, [0]), ("e", 1, []), ("f", 1, None), ("g", None, [0])], "edit_id string, pair_id int, pids array<int>")
+    cells = spark.createDataFrame([(1, 0, 0, 0, 0), (1, 3, 3, 3, 1), (1, 1, 0, 0, 5)], "pair_id int, x int, y int, z int, part_id int")
+    asked = []
+
+    def builder(specs, cells):
+        asked.append(specs.count())
+        return grid.part_masks(specs, cells, 1, 4)
+
+    made, named = status.masks(edits, cells, builder)
+    assert asked == [5] and {r.edit_id: r.built for r in named.collect()} == {"a": True, "b": True} | dict.fromkeys("cdefg", False)
+    (mask,) = made.collect()
+    assert mask.cells == sorted(x * 16 + y * 4 + z for r in ((0, 1), (2, 3)) for x in r for y in r for z in r)
 
 
 def test_promotion_takes_deletions_first(spark):
