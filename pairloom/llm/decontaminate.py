@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pairloom.llm.text import SHINGLE, SIMILAR, let, once, shingles, whole
 from pairloom.session import stored
 
-#: Sketch rows (about 40 bytes each) up to which they are sent to every executor; above, they are shuffled.
+#: Sketch rows (about 40 bytes each), item ids or shingles of all items (8 bytes each) up to which each of these is sent to
+#: every executor; above, it is shuffled.
 BROADCAST_ROWS = 200_000
 #: Items, about, that a text is verified for at a time.
 TESTS = 64
@@ -51,20 +52,20 @@ def contained_items(docs: DataFrame, items: DataFrame, threshold: float = SIMILA
     need = F.ceil(F.size("shingles") * F.lit(threshold) - F.lit(1e-9)).cast("int")
     sets = named.groupBy("of").agg(F.first("shingles").alias("shingles")).select("of", "shingles", F.size("shingles").alias("n_item"), need.alias("need"), F.lit(1.0 - threshold).alias("slack"))
     sketch = _sketches(sets)
-    small = max(sketch.count(), named.count()) <= broadcast_rows
-    few = F.broadcast if small else lambda df: df
+    sent = lambda df, n: F.broadcast(df) if n <= broadcast_rows else df
+    n_shingles = sets.agg(F.sum("n_item")).first()[0] or 0
     probe = rows.select("doc_id", "raw", once("s", shingles(F.col("text"), n))).select("doc_id", "raw", F.size("s").alias("x"), F.explode("s").alias("h"))
-    hits = probe.join(few(sketch), "h").where("x >= need").groupBy("doc_id", "raw", "of").agg(F.countDistinct("h").alias("hits"), F.min("least_hits").alias("least_hits"))
+    hits = probe.join(sent(sketch, sketch.count()), "h").where("x >= need").groupBy("doc_id", "raw", "of").agg(F.countDistinct("h").alias("hits"), F.min("least_hits").alias("least_hits"))
     found = stored(hits.where("hits >= least_hits").select("doc_id", "raw", "of"))
 
     # a text is read again with some of its tests at a time, however many it has
-    tests = found.join(few(sets), "of").select("doc_id", "raw", F.struct("of", "shingles", "n_item", "need").alias("test"))
+    tests = found.join(sent(sets, n_shingles), "of").select("doc_id", "raw", F.struct("of", "shingles", "n_item", "need").alias("test"))
     many = found.groupBy("doc_id", "raw").agg(F.ceil(F.count(F.lit(1)) / TESTS).cast("int").alias("turns"))
     tests = tests.join(many, tests["doc_id"].eqNullSafe(many["doc_id"]) & (tests["raw"] == many["raw"])).select(tests["doc_id"].alias("at"), tests["raw"].alias("at_raw"), "test", F.pmod(F.xxhash64("test.of"), "turns").alias("turn"))
     tests = tests.groupBy("at", "at_raw", "turn").agg(F.collect_list("test").alias("tests"))
     shared = lambda s: F.transform("tests", lambda t: F.struct(t["of"].alias("of"), F.size(F.array_intersect(s, t["shingles"])).alias("n_shared"), t["n_item"].alias("n_item"), t["need"].alias("need")))
     held = rows.join(tests, rows["doc_id"].eqNullSafe(tests["at"]) & (rows["raw"] == tests["at_raw"])).select("doc_id", F.explode(let(shingles(F.col("text"), n), shared)).alias("r"))
-    held = held.select("doc_id", "r.*").where("n_shared >= need").join(few(named.select("of", "item_id")), "of")
+    held = held.select("doc_id", "r.*").where("n_shared >= need").join(sent(named.select("of", "item_id"), named.count()), "of")
     best = held.groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("n_shared") / F.col("n_item"), "n_shared", "n_item")).alias("b"))
     return best.select("doc_id", "item_id", "b.n_shared", "b.n_item", F.round(F.col("b.n_shared") / F.col("b.n_item"), 6).alias("containment"))
 
