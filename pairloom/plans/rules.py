@@ -14,7 +14,7 @@ from pairloom.operators import edits, rules
 from pairloom.plans.core import _IDS, _QUOTA
 from pairloom.plans.fixtures import fixture, with_fixtures
 from pairloom.plans.registry import query
-from pairloom.session import stored, table
+from pairloom.session import spread, stored, table
 from pairloom.sources import containers
 
 
@@ -180,7 +180,7 @@ def _packed(rows: DataFrame, pack) -> DataFrame:
             made = [pack(r) for r in f.itertuples(index=False)]
             yield pd.DataFrame({"path": [m[0] for m in made], "content": [m[1] for m in made]})
 
-    return stored(rows.mapInPandas(run, "path string, content binary"))
+    return stored(spread(rows).mapInPandas(run, "path string, content binary"))
 
 
 def _npz(members: dict) -> bytes:

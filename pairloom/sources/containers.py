@@ -7,6 +7,7 @@ import json
 import re
 import zipfile
 from collections.abc import Iterator
+from typing import IO
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +18,8 @@ CONTENTS = "path string, key string, dtype string, shape array<int>, nbytes long
 _IDS = "path string, obj_id string, edit_id string, role string, error string"
 CELLS = f"{_IDS}, b int, x int, y int, z int, feats array<float>"
 DENSE = f"{_IDS}, shape array<int>, ss array<float>"
-#: Entries up to which a numeric array is read for its first number; rows in a batch of cells.
-FEW, ROWS = 16, 10_000
+#: Entries up to which a numeric array is read for its first number; rows in a batch; headers that are kept.
+FEW, ROWS, HEADERS = 16, 10_000, 1000
 
 
 def files(spark: SparkSession, path: str) -> DataFrame:
@@ -26,14 +27,26 @@ def files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
-def _entries(content: bytes) -> Iterator[dict]:
+def _header(f: IO[bytes], known: dict) -> tuple[tuple[int, ...], np.dtype]:
+    """Shape and type of an array; equal headers, of which there are many, are parsed once."""
+    version = npy.read_magic(f)
+    size = f.read(2 if version == (1, 0) else 4)
+    raw = size + f.read(int.from_bytes(size, "little"))
+    if (version, raw) not in known:
+        if len(known) >= HEADERS:
+            known.clear()
+        shape, _, dtype = (npy.read_array_header_1_0 if version == (1, 0) else npy.read_array_header_2_0)(io.BytesIO(raw))
+        known[version, raw] = shape, dtype
+    return known[version, raw]
+
+
+def _entries(content: bytes, known: dict) -> Iterator[dict]:
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         for info in z.infolist():
             row = {"key": info.filename.removesuffix(".npy"), "nbytes": info.file_size}
             with z.open(info) as f:
                 if info.filename.endswith(".npy"):
-                    version = npy.read_magic(f)
-                    shape, _, dtype = npy.read_array_header_1_0(f) if version == (1, 0) else npy.read_array_header_2_0(f)
+                    shape, dtype = _header(f, known)
                     n = int(np.prod(shape, dtype=np.int64))
                     row |= {"dtype": dtype.str, "shape": list(shape), "nbytes": n * dtype.itemsize}
                     if dtype.kind in "fiu" and 0 < n <= FEW and not row["key"].endswith(".json"):
@@ -56,13 +69,19 @@ def _entries(content: bytes) -> Iterator[dict]:
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = {"path": pa.string(), "key": pa.string(), "dtype": pa.string(), "shape": pa.list_(pa.int32()), "nbytes": pa.int64(), "json_keys": pa.list_(pa.string()), "json_empty": pa.list_(pa.string()), "number": pa.float64(), "error": pa.string()}
+    batch = lambda rows: pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in rows], k) for c, k in kinds.items()], list(kinds))
+    rows, known = [], {}
     for b in batches:
         for path, content in zip(b.column("path").to_pylist(), b.column("content"), strict=True):
             try:
-                rows = [{"path": path, **e} for e in _entries(content.as_py() or b"")]
+                rows += [{"path": path, **e} for e in _entries(content.as_py() or b"", known)]
             except (zipfile.BadZipFile, ValueError, OSError, EOFError):
-                rows = [{"path": path, "error": "unreadable"}]
-            yield pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in rows], k) for c, k in kinds.items()], list(kinds))
+                rows.append({"path": path, "error": "unreadable"})
+            if len(rows) >= ROWS:
+                yield batch(rows)
+                rows = []
+    if rows:
+        yield batch(rows)
 
 
 def contents(given: DataFrame) -> DataFrame:
