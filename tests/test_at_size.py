@@ -2,8 +2,12 @@
 
 import json
 
+import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
+from pairloom.operators import neighbours
 from pairloom.plans.rules import _mesh_container, _packed
 from pairloom.session import spread
 from pairloom.sources import containers
@@ -19,3 +23,46 @@ def test_containers_are_dealt_out_and_their_members_batched(spark):
     assert len(found) == 1 and len(set(found[0].column("path").to_pylist())) == 400
     assert {r["error"] for r in found[0].to_pylist() if r["path"] == "/objects/50.npz"} == {"unreadable"}
     assert {json.dumps(r["shape"]) for r in found[0].to_pylist() if r["key"] == "vd_offset"} == {"[2]", "[3]"}
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_nearest_equals_brute_force_in_dense_and_far_places(spark, k):
+    rng = np.random.default_rng(3)
+    a = np.concatenate([rng.normal(0, 1e-3, (700, 3)), rng.normal(0, 1, (40, 3)), [[50, 50, 50]]])
+    b = np.concatenate([rng.normal(0, 1e-3, (700, 3)), rng.normal(0, 1, (40, 3)), np.full((70, 3), 0.25)])
+    rows = lambda p: [(i % 2, *map(float, v), i) for i, v in enumerate(p)]
+    q, s = spark.createDataFrame(rows(a), "pair_id long, x double, y double, z double, n long").drop("n"), spark.createDataFrame(rows(b), "pair_id long, x double, y double, z double, n long")
+    found = {}
+    for r in sorted(neighbours.nearest(q, s, k, 0.1).collect(), key=lambda r: r["rank"]):
+        found.setdefault((r.pair_id, r.x, r.y, r.z), []).append((r.d2, r.s.x, r.s.y, r.s.z, r.s.n))
+    assert len(found) == len(a)
+    for i, p in enumerate(a):
+        d2 = ((p - b) ** 2 @ [1.0, 0, 0]) + ((p - b) ** 2 @ [0, 1.0, 0]) + ((p - b) ** 2 @ [0, 0, 1.0])
+        of = [(float(d2[j]), *map(float, v), j) for j, v in enumerate(b) if j % 2 == i % 2]
+        assert found[i % 2, *map(float, p)] == sorted(of)[:k]
+
+
+def test_queries_in_a_dense_bucket_meet_few_sources(spark, monkeypatch):
+    """A bucket of the given side holds all sources, yet a query is compared with a small part of them."""
+    n, compared = 20_000, spark.sparkContext.accumulator(0)
+
+    def counted(k):
+        def through(batches):
+            for b in batches:
+                compared.add(16 * 16 * sum(b.column("kind").to_pylist()))
+            return iter(())
+
+        return through
+
+    points = lambda by: spark.range(n).select(F.lit(1).alias("pair_id"), *[(F.rand(by + i) / 100).alias(a) for i, a in enumerate("xyz")])
+    monkeypatch.setattr(neighbours, "_folded", counted)
+    neighbours.nearest(points(1), points(4), 1, 0.1).collect()
+    assert 0 < compared.value < n * n / 4
+
+
+def test_copies_of_points_count_each(spark):
+    at = lambda *v: spark.createDataFrame([(1, float(x), 0.0, 0.0, n) for n, x in enumerate(v)], "obj long, x double, y double, z double, label int")
+    part, body = at(0, 0, 0, 0, 0, 0, 0, 0, 3, 9).drop("label"), at(1, 10)
+    assert neighbours.gap_distance(part, body, "obj", 1.0).first().gap == 1.0
+    assert neighbours.transferred_labels(part, body, "obj", 1.0).count() == 10
+    assert abs(neighbours.contact_centroid(part, body, "obj", 1.0, few=10).first().x - 1.2) < 1e-9
