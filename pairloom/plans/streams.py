@@ -15,14 +15,14 @@ from pairloom.session import scratch
 from pairloom.sources import manifest, snapshots
 from pairloom.streaming import progress
 
-_FILES = 4
+_BATCHES, _SPLIT = 4, 32
 
 
-def _stream(df: DataFrame, files: int = _FILES) -> DataFrame:
-    """The rows as a stream of a few files, one for each micro-batch."""
+def _stream(df: DataFrame, batches: int = _BATCHES) -> DataFrame:
+    """The rows as a stream of a few micro-batches, each of many files, so that no task has a large part of a batch."""
     path = scratch(df.sparkSession, "source")
-    df.repartition(files).write.parquet(path)
-    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    df.repartition(batches * _SPLIT).write.parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", _SPLIT).parquet(path)
 
 
 @query("str1_followed_state", with_fixtures(_LATEST + "SELECT obj_id, edit_id, stage, status, best_view, score FROM latest", "fx_stage_events"))

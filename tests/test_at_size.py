@@ -66,3 +66,18 @@ def test_copies_of_points_count_each(spark):
     assert neighbours.gap_distance(part, body, "obj", 1.0).first().gap == 1.0
     assert neighbours.transferred_labels(part, body, "obj", 1.0).count() == 10
     assert abs(neighbours.contact_centroid(part, body, "obj", 1.0, few=10).first().x - 1.2) < 1e-9
+
+
+def test_a_micro_batch_is_read_from_many_files(spark):
+    from pairloom.plans.streams import _BATCHES, _stream
+    from pairloom.session import scratch
+    from pairloom.streaming import progress
+
+    rows = spark.range(4000).selectExpr("'scale' as edit_type", "'00' as shard", "id")
+    stream, at = _stream(rows), scratch(spark, "manifest")
+    query = progress.append_manifest(stream, at, scratch(spark, "checkpoint"))
+    query.awaitTermination(120)
+    found = spark.read.parquet(at)
+    assert found.count() == 4000 and found.select("id").distinct().count() == 4000
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == _BATCHES
+    assert found.select("_metadata.file_path").distinct().count() >= 2 * _BATCHES  # one shard's rows of a batch: several tasks
