@@ -79,5 +79,16 @@ def test_a_micro_batch_is_read_from_many_files(spark):
     query.awaitTermination(120)
     found = spark.read.parquet(at)
     assert found.count() == 4000 and found.select("id").distinct().count() == 4000
-    assert len([p for p in query.recentProgress if p["numInputRows"]]) == _BATCHES
-    assert found.select("_metadata.file_path").distinct().count() >= 2 * _BATCHES  # one shard's rows of a batch: several tasks
+    read = [p for p in query.recentProgress if p["numInputRows"]]
+    source = read[0]["sources"][0]["description"].removeprefix("FileStreamSource[").removesuffix("]")
+    assert len(read) == _BATCHES and len(spark.read.parquet(source).inputFiles()) >= 8 * _BATCHES
+
+
+def test_followed_state_is_kept_without_python(spark):
+    from pairloom.plans.fixtures import fixture
+    from pairloom.plans.streams import _stream
+    from pairloom.streaming import progress
+    from tests.conftest import SF
+
+    changed = progress.changed_states(_stream(fixture(spark, SF, "fx_stage_events")))
+    assert "TransformWithState" not in changed._jdf.queryExecution().analyzed().toString()
