@@ -1,4 +1,4 @@
-"""State and plan files: one JSON file for each object, as long tables."""
+"""State and plan files: one JSON file or one line of JSON for each object, as long tables."""
 
 from __future__ import annotations
 
@@ -20,11 +20,12 @@ def _there(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Files of one JSON object each. What isn't there has no rows, what isn't JSON none either: see bad_files."""
+def read_json(spark: SparkSession, path: str, schema: str, lines: bool = False) -> DataFrame:
+    """Files of one JSON object each, or, for many objects, of one on each line. What isn't there has no rows, what isn't
+    JSON none either: see bad_files for whole files."""
     if not _there(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").option("multiLine", True).json(path).where("obj_id is not null")
+    return spark.read.schema(schema).option("mode", "PERMISSIVE").option("multiLine", not lines).json(path).where("obj_id is not null")
 
 
 def bad_files(spark: SparkSession, path: str) -> DataFrame:

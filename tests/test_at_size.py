@@ -92,3 +92,12 @@ def test_followed_state_is_kept_without_python(spark):
 
     changed = progress.changed_states(_stream(fixture(spark, SF, "fx_stage_events")))
     assert "TransformWithState" not in changed._jdf.queryExecution().analyzed().toString()
+
+
+def test_files_of_states_are_fewer_than_objects(spark):
+    from pairloom.plans.fixtures import fixture
+    from pairloom.plans.reviews import _state_files
+    from tests.conftest import SF
+
+    found, objects = _state_files(spark, SF), fixture(spark, SF, "fx_stage_events").select("obj_id").distinct().count()
+    assert found.count() == objects > 4 >= len(found.inputFiles())
