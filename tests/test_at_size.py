@@ -101,3 +101,14 @@ def test_files_of_states_are_fewer_than_objects(spark):
 
     found, objects = _state_files(spark, SF), fixture(spark, SF, "fx_stage_events").select("obj_id").distinct().count()
     assert found.count() == objects > 4 >= len(found.inputFiles())
+
+
+def test_lines_of_states_that_are_no_objects_are_left_out(spark, tmp_path):
+    from pairloom.sources import states
+
+    whole = '{"obj_id": "a", "shard": "00", "edits": {"del_a_000": {"edit_type": "deletion", "stages": {"s4": {"status": "done"}}}}}'
+    (tmp_path / "some.json").write_text("\n".join([whole, "not json", "", '{"shard": "00"}', whole.replace('"a"', '"b"')]) + "\n")
+    found = states.edit_states(states.read_json(spark, str(tmp_path), states.STATE, lines=True)).collect()
+    assert sorted((r.obj_id, r.edit_id, r.stage, r.status) for r in found) == [("a", "del_a_000", "s4", "done"), ("b", "del_a_000", "s4", "done")]
+    assert states.read_json(spark, str(tmp_path / "none"), states.STATE, lines=True).count() == 0
+    assert {(r.obj_id, r.edit_type) for r in states.promotable(states.read_json(spark, str(tmp_path), states.STATE, lines=True), ["deletion"], None, ("s4", "done")).collect()} == {("a", "deletion"), ("b", "deletion")}
