@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.operators.edits import GENERATED, invert_prompt, paired_id, prefix_of, type_of
+from pairloom.operators.edits import GENERATED, invert_prompt, of_object, paired_id, prefix_of, type_of
 from pairloom.operators.rules import VIEWS
 
 # The version of a release record, and the prefixes of edits that own no 'before' of their object.
@@ -96,7 +96,7 @@ def base_records(promoted_edits: DataFrame, instructions_: DataFrame, quality: D
 
 def training_records(edits: DataFrame, quality: DataFrame, root: str = "") -> DataFrame:
     """edits (edit_id, edit_type, obj_id, shard, prompt, pids, object_desc, target_part_desc, new_part_desc, after_desc),
-    quality (edit_id, tier, score, checks map<string, boolean>) -> a flat record of 17 fields for each edit, and the paths
+    quality (edit_id, tier, score, checks map<string, boolean>, and best obj_id too: then rows stay with their objects) -> a flat record of 17 fields for each edit, and the paths
     of its two meshes. Parts of deletions and modifications are removed ones, those of additions and modifications added
     ones. What isn't known is empty: '', 0.0, no list entries; only the donor of a swap is null."""
     c, text = F.col, lambda name: F.coalesce(F.col(name), F.lit(""))
@@ -108,7 +108,9 @@ def training_records(edits: DataFrame, quality: DataFrame, root: str = "") -> Da
         "removed_part_ids": parts("deletion", "modification"), "added_part_ids": parts("addition", "modification"), "old_part_label": text("target_part_desc"), "new_part_label": text("new_part_desc"), "object_desc": text("object_desc"), "edit_prompt": text("prompt"), "after_desc": text("after_desc"),
         "quality_tier": text("tier"), "quality_score": F.coalesce("score", F.lit(0.0)), "quality_checks": F.coalesce("checks", F.create_map().cast("map<string,boolean>")), "before_mesh": mesh("before"), "after_mesh": mesh("after"),
     }
-    return edits.join(quality.select("edit_id", "tier", "score", "checks"), "edit_id", "left").select(*[v.alias(k) for k, v in fields.items()])
+    own = quality.select(*[c for c in ("obj_id",) if c in quality.columns], "edit_id", "tier", "score", "checks")
+    found = of_object(edits, own, "edit_id") if "obj_id" in own.columns else edits.join(own, "edit_id", "left")
+    return found.select(*[v.alias(k) for k, v in fields.items()])
 
 
 def manifest_lines(records: DataFrame) -> DataFrame:

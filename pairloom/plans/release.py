@@ -74,7 +74,7 @@ def snk6(s, d):
  coalesce(tier, '') AS quality_tier, coalesce(score, 0) AS quality_score, coalesce(CASE WHEN fine THEN 'fine=true' ELSE CASE WHEN q.edit_id IS NOT NULL THEN 'fine=false' END END, '') AS quality_checks, 'out/meshes/' || edit_id || '_before.ply' AS before_mesh, 'out/meshes/' || edit_id || '_after.ply' AS after_mesh FROM named LEFT JOIN q USING (edit_id)"""))
 def snk6_records(s, d):
     n = _named(s, d).withColumn("object_desc", F.concat(F.lit("object "), "obj_id")).withColumn("pids", F.array("pid1", "pid2")).withColumn("new_part_desc", F.lit(None).cast("string"))
-    q = n.where("pid1 % 3 <> 0").select("edit_id", F.when(F.col("pid1") % 2 == 0, "high").otherwise("low").alias("tier"), (F.col("pid1") / 20).alias("score"), F.create_map(F.lit("fine"), F.col("pid2") % 2 == 0).alias("checks"))
+    q = n.where("pid1 % 3 <> 0").select("obj_id", "edit_id", F.when(F.col("pid1") % 2 == 0, "high").otherwise("low").alias("tier"), (F.col("pid1") / 20).alias("score"), F.create_map(F.lit("fine"), F.col("pid2") % 2 == 0).alias("checks"))
     r = release.training_records(n, q, "out/")
     checks = F.array_join(F.transform(F.map_entries("quality_checks"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
     return r.withColumns({k: F.array_join(k, ",") for k in ("instruction_variants", "removed_part_ids", "added_part_ids")} | {"quality_checks": checks})

@@ -1,6 +1,7 @@
 """What must not grow with the tables: batches, tasks and comparisons."""
 
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -112,3 +113,32 @@ def test_lines_of_states_that_are_no_objects_are_left_out(spark, tmp_path):
     assert sorted((r.obj_id, r.edit_id, r.stage, r.status) for r in found) == [("a", "del_a_000", "s4", "done"), ("b", "del_a_000", "s4", "done")]
     assert states.read_json(spark, str(tmp_path / "none"), states.STATE, lines=True).count() == 0
     assert {(r.obj_id, r.edit_type) for r in states.promotable(states.read_json(spark, str(tmp_path), states.STATE, lines=True), ["deletion"], None, ("s4", "done")).collect()} == {("a", "deletion"), ("b", "deletion")}
+
+
+def _dealt_by(spark, name):
+    """What the exchanges of a query deal rows out by, none of its joins being broadcast."""
+    from pairloom.plans import registry
+    from tests.conftest import SF
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = registry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    return sorted(re.sub(r"#\d+L?|, \d+$", "", keys) for keys in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan))
+
+
+def test_rows_of_an_object_are_joined_as_by_a_join(spark):
+    from pairloom.operators.edits import of_object
+
+    rows = spark.createDataFrame([("a", 0, "p"), ("a", 0, "q"), ("a", 1, "r"), ("a", None, "s"), ("b", 0, "t"), (None, 0, "u")], "obj_id string, n int, text string")
+    found = spark.createDataFrame([("a", 0, 1), ("a", 0, 2), ("a", 2, 3), ("a", None, 4), ("b", 0, None), ("c", 0, 5), (None, 0, 6)], "obj_id string, n int, m int")
+    for outer in (True, False):
+        got, joined = of_object(rows, found, "n", outer), rows.join(found, ["obj_id", "n"], "left" if outer else "inner")
+        assert got.columns == joined.columns and sorted(map(repr, got.collect())) == sorted(map(repr, joined.collect()))
+
+
+def test_training_records_stay_with_their_objects(spark):
+    dealt = _dealt_by(spark, "snk6_training_records")
+    assert set(dealt) == {"obj_id", "l_partkey", "p_partkey"} and dealt.count("obj_id") == 2
