@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.operators.edits import GENERATED, PREFIX, assign_ids
+from pairloom.operators.edits import GENERATED, PREFIX, assign_ids, of_object
 
 # The types that a plan can ask for.
 PLANNED = ("deletion", "modification", "scale", "material", "color", "global")
@@ -87,7 +87,7 @@ def specs(edits: DataFrame, gate_a: DataFrame, types: tuple[str, ...] = GENERATE
     """Edits (with their ids) of some types that gate A (obj_id, edit_idx, status, best_view) lets go on: not failed or put
     off, and with a view. Ids are given before anything is left out, so they don't depend on it."""
     kept = [t for t in types if t in allowed_types(allowed)]
-    named = assign_ids(edits).where(F.col("edit_type").isin(*kept)).join(gate_a, ["obj_id", "edit_idx"], "left")
+    named = of_object(assign_ids(edits).where(F.col("edit_type").isin(*kept)), gate_a, "edit_idx")
     return named.where(~F.coalesce(F.col("status").isin(*HELD), F.lit(False)) & F.col("best_view").isNotNull())
 
 

@@ -142,3 +142,8 @@ def test_rows_of_an_object_are_joined_as_by_a_join(spark):
 def test_training_records_stay_with_their_objects(spark):
     dealt = _dealt_by(spark, "snk6_training_records")
     assert set(dealt) == {"obj_id", "l_partkey", "p_partkey"} and dealt.count("obj_id") == 2
+
+
+def test_flat_descriptors_stay_with_their_objects(spark):
+    dealt = _dealt_by(spark, "txt13_flat_descriptor")
+    assert set(dealt) == {"obj_id", "l_partkey", "p_partkey"} and dealt.count("obj_id") == 3
