@@ -147,3 +147,8 @@ def test_training_records_stay_with_their_objects(spark):
 def test_flat_descriptors_stay_with_their_objects(spark):
     dealt = _dealt_by(spark, "txt13_flat_descriptor")
     assert set(dealt) == {"obj_id", "l_partkey", "p_partkey"} and dealt.count("obj_id") == 3
+
+
+def test_described_specs_stay_with_their_objects(spark):
+    dealt = _dealt_by(spark, "joi2_described_specs")
+    assert set(dealt) == {"obj_id", "l_partkey", "p_partkey"} and dealt.count("obj_id") == 3
