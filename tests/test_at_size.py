@@ -152,3 +152,12 @@ def test_flat_descriptors_stay_with_their_objects(spark):
 def test_described_specs_stay_with_their_objects(spark):
     dealt = _dealt_by(spark, "joi2_described_specs")
     assert set(dealt) == {"obj_id", "l_partkey", "p_partkey"} and dealt.count("obj_id") == 3
+
+
+def test_files_of_plans_are_compressed_and_bounded(spark, monkeypatch):
+    from pairloom.plans import registry, reviews
+    from tests.conftest import SF
+
+    monkeypatch.setattr(reviews, "_PLANS_A_FILE", 100)
+    found = registry.queries()["src4_5_plan_scan"](spark, SF)
+    assert len(found.inputFiles()) >= found.select("obj_id").distinct().count() / 100 and all(f.endswith(".json.gz") for f in found.inputFiles())
