@@ -161,3 +161,17 @@ def test_files_of_plans_are_compressed_and_bounded(spark, monkeypatch):
     monkeypatch.setattr(reviews, "_PLANS_A_FILE", 100)
     found = registry.queries()["src4_5_plan_scan"](spark, SF)
     assert len(found.inputFiles()) >= found.select("obj_id").distinct().count() / 100 and all(f.endswith(".json.gz") for f in found.inputFiles())
+
+
+def test_rolled_up_edits_stay_with_their_objects(spark):
+    dealt = _dealt_by(spark, "joi8_object_roll_up")
+    assert set(dealt) == {"obj_id", "l_partkey", "p_partkey"} and dealt.count("obj_id") <= 5
+
+
+def test_roll_up_is_the_same_with_and_without_objects_of_scores(spark):
+    from pairloom.operators.judging import rolled_up
+
+    edits = spark.createDataFrame([("a", "del_a_000", "deletion"), ("a", "idt_a_1", "identity"), ("b", "mod_b_000", "modification")], "obj_id string, edit_id string, edit_type string")
+    scores = spark.createDataFrame([("a", "del_a_000", "high", 0.5), ("b", "mod_b_001", "low", 0.25)], "obj_id string, edit_id string, tier string, score double")
+    with_own, without = (sorted(rolled_up(edits, s, "obj_id").collect()) for s in (scores, scores.drop("obj_id")))
+    assert with_own == without and [(r.obj_id, r.num_edits, r.num_passed) for r in with_own] == [("a", 2, 2), ("b", 1, 0)]
