@@ -11,7 +11,7 @@ from pairloom.plans.core import _LATEST
 from pairloom.plans.fixtures import fixture, with_fixtures
 from pairloom.plans.registry import query
 from pairloom.plans.rules import _CODES, _P, _pl, _plans
-from pairloom.session import scratch
+from pairloom.session import scratch, stored
 from pairloom.sources import manifest, snapshots
 from pairloom.streaming import progress
 
@@ -52,6 +52,7 @@ def _score_stream(s, d) -> str:
     number = F.regexp_extract("edit_id", "([0-9]+)$", 1).cast("int")
     named = e.select("obj_id", "edit_id", number.alias("seq"), F.col("ts").cast("timestamp").alias("ts"))
     kinds = named.select("obj_id", "edit_id", "seq").distinct().withColumn("edit_type", edits.type_of(F.col("edit_id"))).withColumn("source_del_seq", (F.col("seq") + 1) % 5)
+    kinds = stored(kinds)  # each batch reads them
     k = F.length("edit_id") + F.col("seq")
     tier = F.when(k % 4 == 0, "high").when(k % 4 == 1, "medium").when(k % 4 == 2, "low").otherwise("negative")
     judged = named.where("not startswith(edit_id, 'add_') and seq <> 3").select("obj_id", "edit_id", "seq", "ts", tier.alias("tier"), (k / 20).alias("score"))

@@ -175,3 +175,24 @@ def test_roll_up_is_the_same_with_and_without_objects_of_scores(spark):
     scores = spark.createDataFrame([("a", "del_a_000", "high", 0.5), ("b", "mod_b_001", "low", 0.25)], "obj_id string, edit_id string, tier string, score double")
     with_own, without = (sorted(rolled_up(edits, s, "obj_id").collect()) for s in (scores, scores.drop("obj_id")))
     assert with_own == without and [(r.obj_id, r.num_edits, r.num_passed) for r in with_own] == [("a", 2, 2), ("b", 1, 0)]
+
+
+def test_edits_are_read_once_for_each_batch_of_scores(spark):
+    from pairloom.plans.streams import _stream
+    from pairloom.session import scratch
+    from pairloom.sources import snapshots
+    from pairloom.streaming import progress
+
+    seen, at = spark.sparkContext.accumulator(0), scratch(spark, "scores")
+
+    def through(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    given = spark.range(40).selectExpr("concat('o', id % 8) as obj_id", "concat('del_o', id % 8, '_00', id div 8) as edit_id", "cast(id div 8 as int) as seq")
+    every = given.selectExpr("*", "'deletion' as edit_type", "cast(null as int) as source_del_seq")
+    scores = _stream(given.selectExpr("*", "timestamp'2024-01-01' as ts", "'high' as tier", "0.5D as score"), 2)
+    progress.score_stream(scores, every.mapInArrow(through, every.schema), at, scratch(spark, "checkpoint")).awaitTermination(120)
+    found = snapshots.read(spark, f"{at}/objects").collect()
+    assert 40 <= seen.value <= 2 * 40 and len(found) == 8 and {(r.num_edits, r.num_passed) for r in found} == {(5, 5)}
