@@ -9,7 +9,7 @@ from pairloom.functions import settings, texts
 from pairloom.operators import checks, choice, meshes
 from pairloom.plans.fixtures import fixture, with_fixtures
 from pairloom.plans.registry import query
-from pairloom.session import table
+from pairloom.session import stored, table
 
 _CAPTIONS = "[CASE WHEN p_partkey % 3 = 0 THEN '  ' ELSE ' A  the  ' || p_name || '.' END, CASE WHEN p_partkey % 5 <> 0 THEN p_type || '   x' ELSE '' END]"
 
@@ -91,7 +91,8 @@ _CORNERS = """corners AS (SELECT pair_id, side, (x * 1024 + y * 32 + z) AS face,
 
 def _triangles(s, d) -> DataFrame:
     """A triangle for each cell: its corner and the next ones along x and y, moved a little by a feature."""
-    v = fixture(s, d, "fx_sides").select("pair_id", "side", (F.col("x") * 1024 + F.col("y") * 32 + F.col("z")).alias("face"), "x", "y", "z", "f0", F.explode(F.array(*map(F.lit, range(3)))).alias("k"))
+    cells = stored(fixture(s, d, "fx_sides").select("pair_id", "side", "x", "y", "z", "f0"))  # what follows reads them often, and the input once
+    v = cells.select("pair_id", "side", (F.col("x") * 1024 + F.col("y") * 32 + F.col("z")).alias("face"), "x", "y", "z", "f0", F.explode(F.array(*map(F.lit, range(3)))).alias("k"))
     return v.select("pair_id", "side", "face", "k", (F.col("x") + F.when(F.col("k") == 1, 1).otherwise(0) + F.col("f0") / 100).alias("vx"), (F.col("y") + F.when(F.col("k") == 2, 1).otherwise(0)).alias("vy"), F.col("z").alias("vz"))
 
 

@@ -196,3 +196,10 @@ def test_edits_are_read_once_for_each_batch_of_scores(spark):
     progress.score_stream(scores, every.mapInArrow(through, every.schema), at, scratch(spark, "checkpoint")).awaitTermination(120)
     found = snapshots.read(spark, f"{at}/objects").collect()
     assert 40 <= seen.value <= 2 * 40 and len(found) == 8 and {(r.num_edits, r.num_passed) for r in found} == {(5, 5)}
+
+
+def test_meshes_read_their_input_once(spark):
+    from pairloom.plans.words import _triangles
+    from tests.conftest import SF
+
+    assert not [f for f in _triangles(spark, SF).inputFiles() if "lineitem" in f]
