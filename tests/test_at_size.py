@@ -129,6 +129,15 @@ def _dealt_by(spark, name):
     return sorted(re.sub(r"#\d+L?|, \d+$", "", keys) for keys in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan))
 
 
+def test_states_are_dealt_out_once_when_they_are_latest(spark):
+    from pairloom.plans.reviews import _states
+    from tests.conftest import SF
+
+    plan = _states(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    dealt = sorted(re.sub(r"#\d+L?|, \d+$", "", keys) for keys in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan))
+    assert dealt == ["obj_id", "obj_id, edit_id, stage"]
+
+
 def test_rows_of_an_object_are_joined_as_by_a_join(spark):
     from pairloom.operators.edits import of_object
 
