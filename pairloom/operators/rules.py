@@ -87,8 +87,8 @@ def specs(edits: DataFrame, gate_a: DataFrame, types: tuple[str, ...] = GENERATE
     """Edits (with their ids) of some types that gate A (obj_id, edit_idx, status, best_view) lets go on: not failed or put
     off, and with a view. Ids are given before anything is left out, so they don't depend on it."""
     kept = [t for t in types if t in allowed_types(allowed)]
-    named = of_object(assign_ids(edits).where(F.col("edit_type").isin(*kept)), gate_a, "edit_idx")
-    return named.where(~F.coalesce(F.col("status").isin(*HELD), F.lit(False)) & F.col("best_view").isNotNull())
+    open_gate = gate_a.where(~F.coalesce(F.col("status").isin(*HELD), F.lit(False)) & F.col("best_view").isNotNull())
+    return of_object(assign_ids(edits).where(F.col("edit_type").isin(*kept)), open_gate, "edit_idx", outer=False)
 
 
 def described(spec: DataFrame, parts: DataFrame) -> DataFrame:

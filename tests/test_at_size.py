@@ -163,6 +163,31 @@ def test_described_specs_stay_with_their_objects(spark):
     assert set(dealt) == {"obj_id", "l_partkey", "p_partkey"} and dealt.count("obj_id") == 3
 
 
+@pytest.mark.parametrize("name", ["joi2_described_specs", "txt13_flat_descriptor", "flt5_generated_specs"])
+def test_specs_and_gate_a_read_lineitem_dealt_out_by_part_once(spark, name):
+    from pairloom.plans import registry
+    from tests.conftest import SF
+
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = registry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(re.findall(r"[+:]- Exchange hashpartitioning\(l_partkey", plan)) == 1 == plan.count("- ReusedExchange")
+
+
+def test_specs_have_each_row_of_gate_a_that_lets_them_go_on(spark):
+    from pairloom.operators.rules import specs
+
+    plan = spark.createDataFrame([("a", n, "scale") for n in range(6)] + [("b", 0, "scale"), (None, 0, "scale")], "obj_id string, edit_idx int, edit_type string")
+    said = [("a", 0, "pass", 1), ("a", 0, None, 2), ("a", 0, "fail", 3), ("a", 1, "deferred", 1), ("a", 2, "pass", None), ("a", 3, "odd", 9), ("a", 5, "fail", 1), ("c", 0, "pass", 1), (None, 0, "pass", 1)]
+    found = specs(plan, spark.createDataFrame(said, "obj_id string, edit_idx int, status string, best_view int")).collect()
+    assert sorted((r.edit_id, r.status or "", r.best_view) for r in found) == [("scl_a_000", "", 2), ("scl_a_000", "pass", 1), ("scl_a_003", "odd", 9)]
+
+
 def test_files_of_plans_are_compressed_and_bounded(spark, monkeypatch):
     from pairloom.plans import registry, reviews
     from tests.conftest import SF
