@@ -35,9 +35,14 @@ def _codes(**conditions: Column) -> Column:
     return F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in conditions.items()])).cast("array<string>")
 
 
+def known_parts(parts: DataFrame) -> DataFrame:
+    """parts (obj_id, part_id) -> obj_id, known: the ids of each object's parts (an object has few)."""
+    return parts.groupBy("obj_id").agg(F.collect_set("part_id").alias("known"))
+
+
 def _with_known(edits: DataFrame, parts: DataFrame) -> DataFrame:
-    """edits with known: the ids of their object's parts (an object has few)."""
-    known = parts.groupBy(F.col("obj_id").alias("_obj")).agg(F.collect_set("part_id").alias("known"))
+    """edits with known: the ids of their object's parts, which parts can have listed already (see known_parts)."""
+    known = (parts if "known" in parts.columns else known_parts(parts)).select(F.col("obj_id").alias("_obj"), "known")
     joined = edits.join(known, F.col("obj_id") == F.col("_obj"), "left").drop("_obj")
     return joined.withColumn("known", F.coalesce("known", F.array().cast("array<int>")))
 

@@ -18,9 +18,9 @@ from pairloom.session import spread, stored, table
 from pairloom.sources import containers
 
 
-def _plans(s, d) -> DataFrame:
+def _plans(s, d, tasks: int | None = None) -> DataFrame:
     pids = F.array_compact(F.array("pid1", "pid2"))
-    return fixture(s, d, "fx_plans").withColumn("pids", pids)
+    return fixture(s, d, "fx_plans", tasks).withColumn("pids", pids)
 
 
 def _pl(sql: str) -> str:

@@ -6,22 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairloom.operators import edits, state
+from pairloom.operators import edits, rules, state
 from pairloom.plans.core import _LATEST
 from pairloom.plans.fixtures import fixture, with_fixtures
 from pairloom.plans.registry import query
 from pairloom.plans.rules import _CODES, _P, _pl, _plans
-from pairloom.session import scratch, stored
+from pairloom.session import bucketed, scratch, stored
 from pairloom.sources import manifest, snapshots
 from pairloom.streaming import progress
 
 _BATCHES, _SPLIT = 4, 32
 
 
-def _stream(df: DataFrame, batches: int = _BATCHES) -> DataFrame:
-    """The rows as a stream of a few micro-batches, each of many files, so that no task has a large part of a batch."""
+def _stream(df: DataFrame, batches: int = _BATCHES, by: tuple[str, ...] = ()) -> DataFrame:
+    """The rows as a stream of a few micro-batches, each of many files, so that no task has a large part of a batch. Rows that
+    are dealt out `by` columns into as many tasks already are written as they lie."""
     path = scratch(df.sparkSession, "source")
-    df.repartition(batches * _SPLIT).write.parquet(path)
+    df.repartition(batches * _SPLIT, *by).write.parquet(path)
     return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", _SPLIT).parquet(path)
 
 
@@ -35,8 +36,10 @@ def str1(s, d):
 
 @query("str2_gated_plans", _pl(_P + f"SELECT obj_id, edit_idx, {_CODES} AS codes FROM k"))
 def str2(s, d):
-    at = scratch(s, "gated")
-    progress.gated_plans(_stream(_plans(s, d)), fixture(s, d, "fx_parts"), at, scratch(s, "checkpoint")).awaitTermination()
+    """Plans arrive by object, with the fields that rules go by. Every batch reads the parts."""
+    at, asked = scratch(s, "gated"), ("obj_id", "edit_idx", "edit_type", "pids", "prompt", "target_part_desc", "new_part_desc")
+    plans = _stream(_plans(s, d, _BATCHES * _SPLIT).select(*asked), by=("obj_id",))
+    progress.gated_plans(plans, bucketed(rules.known_parts(fixture(s, d, "fx_parts")), "obj_id"), at, scratch(s, "checkpoint")).awaitTermination()
     return s.read.parquet(at).select("obj_id", "edit_idx", F.array_join("codes", ",").alias("codes"))
 
 
@@ -101,7 +104,8 @@ def str4_sessions(s, d):
 @query("str5_streamed_manifest", with_fixtures("SELECT edit_type, obj_id, edit_idx FROM fx_edits", "fx_edits"))
 def str5(s, d):
     at = scratch(s, "manifest")
-    progress.append_manifest(_stream(fixture(s, d, "fx_edits").select("edit_type", "shard", "obj_id", "edit_idx")), at, scratch(s, "checkpoint")).awaitTermination()
+    made = fixture(s, d, "fx_edits", _BATCHES * _SPLIT).select("edit_type", "shard", "obj_id", "edit_idx")
+    progress.append_manifest(_stream(made, by=("obj_id",)), at, scratch(s, "checkpoint")).awaitTermination()
     return s.read.parquet(at).select("edit_type", "obj_id", "edit_idx")
 
 

@@ -237,3 +237,71 @@ def test_meshes_read_their_input_once(spark):
     from tests.conftest import SF
 
     assert not [f for f in _triangles(spark, SF).inputFiles() if "lineitem" in f]
+
+
+@pytest.mark.parametrize("name", ["str2_gated_plans", "str5_streamed_manifest"])
+def test_streamed_plans_are_written_as_they_lie_by_object(spark, monkeypatch, name):
+    from pairloom import session
+    from pairloom.plans import registry, streams
+    from tests.conftest import SF
+
+    monkeypatch.setattr(session, "_STORED", [])
+    n = registry.queries()[name](spark, SF).count()
+    source, log = (next(p for p in session._STORED if f"/{kind}-" in p) for kind in ("source", "checkpoint"))
+    found = spark.read.parquet(source)
+    assert found.count() == n and found.select("obj_id", F.input_file_name()).distinct().count() == found.select("obj_id").distinct().count()
+    assert len(found.inputFiles()) >= streams._SPLIT * streams._BATCHES // 2
+    commits = spark.sparkContext._jvm.java.io.File(f"{log}/commits".removeprefix("file:")).list()
+    assert len([c for c in commits if c.isdigit()]) == streams._BATCHES
+    assert name != "str2_gated_plans" or found.columns == ["obj_id", "edit_idx", "edit_type", "pids", "prompt", "target_part_desc", "new_part_desc"]
+
+
+def test_edits_of_so_many_tasks_are_dealt_out_by_object_once(spark):
+    from pairloom.plans.rules import _plans
+    from tests.conftest import SF
+
+    plan = _plans(spark, SF, 7).repartition(7, "obj_id")._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"Exchange hashpartitioning\(obj_id#\d+, (\d+)\)", plan) == ["7"]
+    assert _plans(spark, SF, 7).exceptAll(_plans(spark, SF)).isEmpty() and _plans(spark, SF, 7).count() == _plans(spark, SF).count()
+
+
+def test_parts_are_made_once_for_all_batches_of_plans(spark, monkeypatch):
+    from pairloom.plans import registry, streams
+    from pairloom.plans.fixtures import fixture
+    from tests.conftest import SF
+
+    seen, parts = spark.sparkContext.accumulator(0), fixture(spark, SF, "fx_parts")
+
+    def through(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    monkeypatch.setattr(streams, "fixture", lambda s, d, name, *more: parts.mapInArrow(through, parts.schema) if name == "fx_parts" else fixture(s, d, name, *more))
+    assert registry.queries()["str2_gated_plans"](spark, SF).count() > 0
+    assert seen.value == parts.count()
+
+
+def test_rows_in_buckets_are_joined_as_they_lie(spark, monkeypatch):
+    from pairloom import session
+    from pairloom.operators.rules import known_parts, rule_codes
+
+    monkeypatch.setattr(session, "_STORED", [])
+    monkeypatch.setattr(session, "_TABLES", [])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    parts = spark.createDataFrame([("a", 1), ("a", 1), ("a", None), ("b", 2), (None, 3)], "obj_id string, part_id int")
+    plans = spark.createDataFrame([("a", 0, [1]), ("a", 1, [1, 2]), ("b", 0, [2]), ("c", 0, [2]), (None, 0, [3])], "obj_id string, edit_idx int, pids array<int>")
+    plans = plans.selectExpr("*", "'deletion' as edit_type", "'Remove the lid' as prompt", "'lid' as target_part_desc", "'' as new_part_desc")
+    own = session.bucketed(known_parts(parts), "obj_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = rule_codes(plans, own)
+        assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(") == 1
+        rows = sorted(map(repr, found.collect()))
+        assert rows == sorted(map(repr, rule_codes(plans, parts).collect()))
+        assert sum("parts_invalid" in r for r in rows) == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    (name,) = session._TABLES
+    session.clear_stored(spark)
+    assert not spark.catalog.tableExists(name) and not session._TABLES and not session._STORED
